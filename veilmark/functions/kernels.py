@@ -2,6 +2,9 @@
 
 The module is pickled by value, so executors need NumPy and PyArrow but not
 this package. Keep it free of other imports from the package.
+
+Functions are marked nondeterministic to make the optimizer evaluate each call
+once: it must not copy a call into a filter or into a lambda.
 """
 
 from __future__ import annotations
@@ -74,7 +77,7 @@ def first_come(strict: bool):
             rows.append(([rank[i] for i in kept], [starts[i] for i in kept], [ends[i] for i in kept]))
         return _hits(rows)
 
-    return run
+    return run.asNondeterministic()
 
 
 def first_come_spans(strict: bool):
@@ -93,4 +96,128 @@ def first_come_spans(strict: bool):
             rows.append((kept, [s[i] for i in kept], [e[i] for i in kept]))
         return _hits(rows)
 
+    return run.asNondeterministic()
+
+
+# -- small network scoring ------------------------------------------------------
+
+
+def forward(layers: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray) -> list[np.ndarray]:
+    """Activations of every layer: tanh between layers, none at the end."""
+    acts = [x]
+    for i, (w, b) in enumerate(layers):
+        z = acts[-1] @ w + b
+        acts.append(np.tanh(z) if i < len(layers) - 1 else z)
+    return acts
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def mlp(layers):
+    """array<double> features -> struct(pred, prob of class 1)."""
+
+    @F.arrow_udf("struct<pred:int,prob:double>")
+    def run(features: pa.Array) -> pa.Array:
+        x = features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1)
+        p = softmax(forward(layers, x)[-1])
+        return pa.StructArray.from_arrays(
+            [pa.array(p.argmax(axis=1).astype(np.int32)), pa.array(p[:, 1])], names=["pred", "prob"]
+        )
+
+    return run.asNondeterministic()
+
+
+def mlp_nested(layers):
+    """array<array<double>> features -> array<double> probabilities of class 1."""
+    width = layers[0][0].shape[0]
+
+    @F.arrow_udf("array<double>")
+    def run(features: pa.Array) -> pa.Array:
+        x = features.flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        bounds = np.concatenate([[0], np.cumsum(features.value_lengths().to_numpy(zero_copy_only=False))])
+        p = softmax(forward(layers, x)[-1])[:, 1] if len(x) else np.zeros(0)
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(p))
+
+    return run.asNondeterministic()
+
+
+# -- training: per-example clipped gradients -------------------------------------
+
+
+def loss_and_slope(kind: str, logits: np.ndarray, y: np.ndarray, weights: tuple[float, float]):
+    """Per-example loss and its derivative by the logits."""
+    if kind == "sigmoid":  # binary, on the logit of class 1; weights[1] is the positive weight
+        z = logits[:, 1]
+        w = 1.0 + (weights[1] - 1.0) * y
+        loss = w * (np.maximum(z, 0) - z * y + np.log1p(np.exp(-np.abs(z))))
+        slope = np.zeros_like(logits)
+        slope[:, 1] = w * (1.0 / (1.0 + np.exp(-z)) - y)
+        return loss, slope
+    p = softmax(logits)
+    hot = np.eye(logits.shape[1])[y.astype(int)]
+    loss = -np.log(np.maximum((p * hot).sum(axis=1), 1e-300))
+    slope = p - hot
+    if kind == "weighted":
+        w = np.where(y == 1, weights[1], weights[0])
+        return loss * w, slope * w[:, None]
+    return loss, slope
+
+
+def clipped_gradient(layers, x, y, clip: float, kind: str, weights, per_tensor: bool):
+    """Sum over examples of gradients clipped one example at a time.
+
+    Returns (flat sum, sum of losses, sum of unclipped norms).
+    """
+    acts = forward(layers, x)
+    loss, delta = loss_and_slope(kind, acts[-1], y, weights)
+    parts = []
+    for i in range(len(layers) - 1, -1, -1):
+        parts.append((acts[i][:, :, None] * delta[:, None, :], delta))
+        if i:
+            delta = (delta @ layers[i][0].T) * (1.0 - acts[i] ** 2)
+    parts.reverse()
+    tensors = [t.reshape(len(x), -1) for pair in parts for t in pair]
+    norms = [np.linalg.norm(t, axis=1) for t in tensors]
+    total = np.sqrt(sum(n**2 for n in norms))
+    out = []
+    for t, n in zip(tensors, norms):
+        scale = np.minimum(1.0, clip / np.maximum(n if per_tensor else total, 1e-10))
+        out.append((t * scale[:, None]).sum(axis=0))
+    return np.concatenate(out), float(loss.sum()), float(total.sum())
+
+
+def gradient_sums(models: list[dict], width: int):
+    """mapInArrow body: (features, label) rows -> one partial sum per model and task."""
+
+    def run(batches):
+        sums: dict[int, list] = {}
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+            y = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
+            for k, m in enumerate(models):
+                g, loss, norm = clipped_gradient(
+                    m["layers"], x, y, m["clip"], m["loss"], m["weights"], m["per_tensor"]
+                )
+                held = sums.setdefault(k, [np.zeros_like(g), 0.0, 0.0, 0])
+                held[0] += g
+                held[1] += loss
+                held[2] += norm
+                held[3] += n
+        if sums:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "model": pa.array(list(sums), type=pa.int32()),
+                    "grad": pa.array([s[0].tolist() for s in sums.values()], type=pa.list_(pa.float64())),
+                    "loss": pa.array([s[1] for s in sums.values()], type=pa.float64()),
+                    "norm": pa.array([s[2] for s in sums.values()], type=pa.float64()),
+                    "n": pa.array([s[3] for s in sums.values()], type=pa.int64()),
+                }
+            )
+
     return run
