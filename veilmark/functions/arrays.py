@@ -56,4 +56,7 @@ def indices(size: Column, start: int = 0, step: int = 1) -> Column:
 
 def pad(arr: Column, n: Column, filler: Column) -> Column:
     """Cut ``arr`` to n elements, or fill it up with ``filler``."""
-    return F.slice(F.concat(arr, F.array_repeat(filler, F.greatest(n - F.size(arr), F.lit(0)))), F.lit(1), n)
+    return let(
+        arr,
+        lambda a: F.slice(F.concat(a, F.array_repeat(filler, F.greatest(n - F.size(a), F.lit(0)))), F.lit(1), n),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,36 +164,42 @@ def weak_label(name: str, f: dict[str, Column] | None = None) -> Column:
     return rules[name]().cast("int")
 
 
+@cache
+def columns(text: str, feature_set: str) -> dict[str, Column]:
+    """Feature columns of a text column, built once per process."""
+    return SETS[feature_set](F.col(text))
+
+
 def featurize(df: DataFrame, text: str = "text", feature_set: str = "final") -> DataFrame:
     """Adds the columns of a feature set and its weak label ``label``."""
-    wide = df.select("*", *[c.alias(n) for n, c in SETS[feature_set](F.col(text)).items()])
+    wide = df.select("*", *[c.alias(n) for n, c in columns(text, feature_set).items()])
     if feature_set == "proper":
         wide = wide.withColumn("n_tokens", tx.n_tokens(F.col(text)))
     return wide.withColumn("label", weak_label(feature_set)) if feature_set != "word" else wide
 
 
 def names(feature_set: str) -> list[str]:
-    return list(SETS[feature_set](F.lit("")))
+    return list(columns("text", feature_set))
 
 
-def scaler(df: DataFrame, columns: list[str]) -> DataFrame:
+def scaler(df: DataFrame, names: list[str]) -> DataFrame:
     """One row: mean and population standard deviation per column (0 becomes 1)."""
     stats = []
-    for c in columns:
+    for c in names:
         spread = F.stddev_pop(c)
         stats += [F.avg(c).alias(f"{c}_mean"), F.when(spread > 0, spread).otherwise(1.0).alias(f"{c}_std")]
     return df.agg(*stats)
 
 
-def standardise(df: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:
+def standardise(df: DataFrame, names: list[str], fitted: DataFrame | None = None) -> DataFrame:
     """(x - mean) / std with a stored scaler, or one fitted on ``df`` itself."""
-    fitted = scaler(df, columns) if fitted is None else fitted
+    fitted = scaler(df, names) if fitted is None else fitted
     row = fitted.select(F.struct("*").alias("s")).scalar()
-    others = [F.col(c) for c in df.columns if c not in columns]
+    others = [F.col(c) for c in df.columns if c not in names]
     return df.select(
-        *others, *[((F.col(c) - row[f"{c}_mean"]) / row[f"{c}_std"]).alias(c) for c in columns]
+        *others, *[((F.col(c) - row[f"{c}_mean"]) / row[f"{c}_std"]).alias(c) for c in names]
     )
 
 
-def vector(columns: list[str]) -> Column:
-    return F.array(*[F.col(c).cast("double") for c in columns])
+def vector(names: list[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in names])

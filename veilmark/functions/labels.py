@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veilmark import catalog
 from veilmark.functions import text as tx
-from veilmark.functions.arrays import indices, pad
+from veilmark.functions.arrays import indices, let, pad
 
 OUTSIDE = "O"
 PAD_TOKEN = "[PAD]"
@@ -46,12 +46,15 @@ def tags(tokens: Column) -> Column:
 
 def demo_tags(tokens: Column) -> Column:
     """First two tokens are one PERSON; texts of one token get none."""
-    return F.transform(
+    return let(
         tokens,
-        lambda t, i: F.when(F.size(tokens) < 2, OUTSIDE)
-        .when(i == 0, "B-PERSON")
-        .when(i == 1, "I-PERSON")
-        .otherwise(OUTSIDE),
+        lambda ts: F.transform(
+            ts,
+            lambda t, i: F.when(F.size(ts) < 2, OUTSIDE)
+            .when(i == 0, "B-PERSON")
+            .when(i == 1, "I-PERSON")
+            .otherwise(OUTSIDE),
+        ),
     )
 
 
@@ -101,9 +104,11 @@ def padded_tokens(tokens: Column, max_len: int) -> Column:
 
 
 def attention_mask(tokens: Column, max_len: int, all_ones: bool = False) -> Column:
-    return F.transform(
-        indices(F.lit(max_len)),
-        lambda i: (F.lit(True) if all_ones else i < F.size(tokens)).cast("int"),
+    return let(
+        F.size(tokens),
+        lambda n: F.transform(
+            indices(F.lit(max_len)), lambda i: (F.lit(True) if all_ones else i < n).cast("int")
+        ),
     )
 
 

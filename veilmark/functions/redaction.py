@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,9 +66,19 @@ STYLES: dict[str, Rule] = {
 }
 
 
-def redact(text: Column, spans: Column, style: str = "mask") -> Column:
-    """Redacted text; ``spans`` must be sorted and disjoint. Unknown style = mask."""
-    return sp.splice(text, spans, STYLES.get(style, mask))
+def redact(text: str, spans: str, style: str = "mask") -> Column:
+    """Redacted text from a text column and a sorted, disjoint span array column.
+
+    An unknown style is a mask.
+    """
+    return _redacted(text, spans, STYLES.get(style, mask))
+
+
+@cache
+def _redacted(text: str, spans: str, rule: Rule) -> Column:
+    # Columns are unresolved expressions: building one costs hundreds of calls
+    # into the JVM, so it is built once per process.
+    return sp.splice(F.col(text), F.col(spans), rule)
 
 
 def redaction_probability(epsilon: Column) -> Column:

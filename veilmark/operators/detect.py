@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,30 +23,48 @@ __all__ = [
 
 CHUNK = 50
 
+# A column expression is unresolved and reusable; building one of these takes
+# hundreds of calls into the JVM, so each is built once per process.
+
+
+@cache
+def _core(text: str) -> Column:
+    return sp.merge(sp.find(F.col(text), catalog.CORE))
+
+
+@cache
+def _fallback(text: str) -> Column:
+    return sp.find(F.col(text), catalog.FALLBACK, catalog.FALLBACK_CONFIDENCE, "fallback")
+
+
+@cache
+def _truth(text: str) -> Column:
+    return sp.find(F.col(text), catalog.TRUTH, 1.0, "truth")
+
 
 def detect_core(df: DataFrame, text: str = "text", out: str = "spans", categories=None) -> DataFrame:
     """Six core patterns, overlapping and touching matches merged."""
-    found = sp.merge(sp.find(F.col(text), catalog.CORE))
+    found = _core(text)
     return df.withColumn(out, found if categories is None else sp.only(found, categories))
 
 
 def detect_fallback(df: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     """Four patterns with a flat confidence; overlaps stay."""
-    return df.withColumn(
-        out, sp.find(F.col(text), catalog.FALLBACK, catalog.FALLBACK_CONFIDENCE, "fallback")
-    )
+    return df.withColumn(out, _fallback(text))
 
 
 def detect_truth(df: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     """Ground-truth extractor; overlaps stay."""
-    return df.withColumn(out, sp.find(F.col(text), catalog.TRUTH, 1.0, "truth"))
+    return df.withColumn(out, _truth(text))
 
 
 def to_rows(df: DataFrame, ids: list[str], spans: str = "spans", text: str | None = "text") -> DataFrame:
     """Span table: one row per span, with its text if ``text`` names the source column."""
+    # Outer, then filtered: a plain explode would push "has spans" below the
+    # projection and so detect twice.
     rows = df.select(
-        *ids, *([text] if text else []), F.posexplode(spans).alias("span_no", "s")
-    )
+        *ids, *([text] if text else []), F.posexplode_outer(spans).alias("span_no", "s")
+    ).where("span_no IS NOT NULL")
     piece = [sp.span_text(F.col(text), F.col("s")).alias("span_text")] if text else []
     fields = [
         F.col(f"s.{f}").alias(a)
@@ -61,20 +81,22 @@ def tokens(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
     return df.select(*ids, F.posexplode(tx.ws_tokens(F.col(text))).alias("pos", "token"))
 
 
-def _word_offsets(text: Column) -> Column:
-    return sp.offsets(text, catalog.WORD)
+@cache
+def _word_offsets(text: str) -> Column:
+    return sp.offsets(F.col(text), catalog.WORD)
 
 
 def words(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
     """Word tokens with exact offsets, one row each."""
-    rows = df.select(*ids, text, F.posexplode(_word_offsets(F.col(text))).alias("pos", "s"))
+    rows = df.select(*ids, text, F.posexplode(_word_offsets(text)).alias("pos", "s"))
     return rows.select(
         *ids, "pos", sp.span_text(F.col(text), F.col("s")).alias("word"),
         F.col("s.start").alias("start"), F.col("s.end").alias("end"),
     )
 
 
-def _chunk_array(text: Column, size: int) -> Column:
+@cache
+def _chunk_array(text: str, size: int) -> Column:
     """``array<struct<chunk,context,start,end>>`` of one text.
 
     A chunk is its words joined by one blank; start and end are the character
@@ -105,16 +127,16 @@ def _chunk_array(text: Column, size: int) -> Column:
 
                 return F.transform(chunk, one)
 
-            return let(prefix_sums(sp.lengths(text, word)), place)
+            return let(prefix_sums(sp.lengths(F.col(text), word)), place)
 
         return let(joined, with_context)
 
-    return let(tx.ws_tokens(text), build)
+    return let(tx.ws_tokens(F.col(text)), build)
 
 
 def chunks(df: DataFrame, ids: list[str], text: str = "text", size: int = CHUNK) -> DataFrame:
     """Overlapping word chunks (step = size // 5) with their neighbours as context."""
-    rows = df.select(*ids, F.posexplode(_chunk_array(F.col(text), size)).alias("chunk_no", "c"))
+    rows = df.select(*ids, F.posexplode(_chunk_array(text, size)).alias("chunk_no", "c"))
     return rows.select(*ids, "chunk_no", "c.chunk", "c.context", "c.start", "c.end")
 
 
@@ -138,7 +160,7 @@ def model_chunk_spans(df: DataFrame, model: Model, text: str = "text", out: str
     Chunk features are computed inside the document's row; the model sees one
     Arrow batch of feature arrays and returns one probability array per row.
     """
-    arr = df.withColumn("_c", _chunk_array(F.col(text), size))
+    arr = df.withColumn("_c", _chunk_array(text, size))
 
     features = F.transform(F.col("_c"), lambda c: _struct_of(ft.in_context(c["chunk"], c["context"])))
     scored = arr.withColumn("_p", kernels.mlp_nested(model.layers)(features))
@@ -162,7 +184,7 @@ def model_word_spans(
     arr = df.withColumn(
         "_w",
         F.transform(
-            _word_offsets(source), lambda s: s.withField("word", sp.span_text(source, s))
+            _word_offsets(text), lambda s: s.withField("word", sp.span_text(source, s))
         ),
     )
     scored = arr.withColumn(

@@ -3,7 +3,9 @@ the order of acceptance, so it runs as an Arrow batch function per document."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark import catalog
@@ -26,6 +28,11 @@ def suppress(df: DataFrame, spans: str = "spans", strict: bool = False) -> DataF
     return picked.withColumn(spans, sp.in_order(kept)).drop("_kept")
 
 
+@cache
+def _lengths(text: str, ignore_case: bool) -> Column:
+    return F.array(*[sp.lengths(F.col(text), p) for p in catalog.extended(ignore_case)])
+
+
 def detect_extended(
     df: DataFrame, text: str = "text", ignore_case: bool = True, strict: bool = False, out: str = "spans"
 ) -> DataFrame:
@@ -34,7 +41,7 @@ def detect_extended(
     The expressions run in the JVM; only match lengths go to the Arrow function.
     """
     patterns = catalog.extended(ignore_case)
-    lens = F.array(*[sp.lengths(F.col(text), p) for p in patterns])
+    lens = _lengths(text, ignore_case)
     names = F.array(*[F.lit(p.name) for p in patterns])
     hits = F.transform(
         F.col("_hits"),

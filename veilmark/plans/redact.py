@@ -44,7 +44,7 @@ def redact_documents(
     )
     result = F.struct(
         source.alias("original_text"),
-        rd.redact(source, F.col("_chosen"), style).alias("redacted_text"),
+        rd.redact(text, "_chosen", style).alias("redacted_text"),
         entities.alias("detected_entities"),
         rd.span_stats(source, F.col("_chosen")).alias("statistics"),
         info.alias("pipeline_info"),

@@ -38,21 +38,18 @@ def spans_core(spark, sf):
 def spans_core_by_language(spark, sf):
     """Flagship: spans, documents and characters per language and category."""
     found = detect.detect_core(texts(spark, sf)).select("doc_id", "lang", "spans")
-    # One row per document and category before the shuffle: no distinct needed.
-    per_doc = found.select(
-        "lang",
-        F.explode(F.array_distinct(F.transform("spans", lambda s: s["category"]))).alias("category"),
-        "spans",
-    )
-    mine = F.filter("spans", lambda s: s["category"] == F.col("category"))
-    return (
-        per_doc.select("lang", "category", mine.alias("m"))
-        .groupBy("lang", "category")
-        .agg(
-            F.sum(F.size("m")).alias("n_spans"),
-            F.count(F.lit(1)).alias("n_docs"),
-            F.sum(F.aggregate("m", F.lit(0), lambda a, s: a + s["end"] - s["start"])).alias("n_chars"),
-        )
+    # Spans are disjoint and few: the first of its category stands for the document,
+    # so documents are counted without a distinct.
+    def first(s, i):
+        earlier = F.slice("spans", F.lit(1), i)
+        return (~F.exists(earlier, lambda e: e["category"] == s["category"])).cast("long")
+
+    flagged = F.transform("spans", lambda s, i: s.withField("first", first(s, i)))
+    rows = found.select("lang", F.explode_outer(flagged).alias("s")).where("s IS NOT NULL")
+    return rows.groupBy("lang", F.col("s.category").alias("category")).agg(
+        F.count(F.lit(1)).alias("n_spans"),
+        F.sum("s.first").alias("n_docs"),
+        F.sum(F.col("s.end") - F.col("s.start")).alias("n_chars"),
     )
 
 
@@ -104,7 +101,7 @@ def extended_pattern_matches(spark, sf):
             for p in _RE2_ABLE
         ]
     )
-    rows = docs.select(F.explode(lens).alias("x")).select("x.*")
+    rows = docs.select(F.explode_outer(lens).alias("x")).select("x.*")
     matched = F.filter("lens", lambda _, i: i % 2 == 1)
     return rows.groupBy("pattern").agg(
         F.count_if(F.size("lens") > 1).alias("n_docs"),
@@ -158,7 +155,7 @@ def spans_fallback(spark, sf):
 
     folded = F.array(*[fold(p.name) for p in catalog.FALLBACK])
     return (
-        found.select("doc_id", F.explode(folded).alias("x"))
+        found.select("doc_id", F.explode_outer(folded).alias("x"))
         .where("x.n_spans > 0")
         .select("doc_id", "x.*", F.lit(catalog.FALLBACK_CONFIDENCE).alias("confidence"))
     )

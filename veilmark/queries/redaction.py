@@ -38,7 +38,7 @@ _PARTIAL = (
 
 def _redacted(spark, sf, style):
     found = detect.detect_core(texts(spark, sf).select("doc_id", "text"))
-    return found.select("doc_id", rd.redact(F.col("text"), F.col("spans"), style).alias("redacted_text"))
+    return found.select("doc_id", rd.redact("text", "spans", style).alias("redacted_text"))
 
 
 @query("redact_mask", _spliced("'[REDACTED]'"))
@@ -83,7 +83,7 @@ def redact_by_privacy_level(spark, sf):
     found = detect.detect_core(texts(spark, sf).select("doc_id", "text"))
     chosen = rd.drawn(F.col("spans"), F.col("doc_id"), F.lit(2.0))
     return found.withColumn("spans", chosen).select(
-        "doc_id", rd.redact(F.col("text"), F.col("spans"), "blocks").alias("redacted_text")
+        "doc_id", rd.redact("text", "spans", "blocks").alias("redacted_text")
     )
 
 
@@ -152,7 +152,7 @@ def spans_drawn_by_confidence(spark, sf):
 )
 def redaction_rate(spark, sf):
     found = detect.detect_core(texts(spark, sf).select("doc_id", "text"))
-    covered = found.withColumn("r", rd.redact(F.col("text"), F.col("spans"), "blocks"))
+    covered = found.withColumn("r", rd.redact("text", "spans", "blocks"))
     return covered.select("doc_id", F.round(rd.redaction_rate(F.col("text"), F.col("r")), 6).alias("percent"))
 
 
@@ -202,7 +202,7 @@ def export_with_header(spark, sf):
     return merged.select(
         "doc_id",
         plan.export_text(
-            rd.redact(F.col("text"), F.col("spans"), "blocks"), F.col("spans"),
+            rd.redact("text", "spans", "blocks"), F.col("spans"),
             name=F.concat(F.lit("document-"), F.col("doc_id")), epsilon=F.lit(8.0),
             when=F.lit("2024-01-01 00:00:00"), mode=F.lit(plan.FALLBACK_MODE),
         ).alias("content"),

@@ -247,10 +247,10 @@ def label_ids(spark, sf):
     f"WITH {LABELLED}, ids AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS id FROM "
     "(SELECT DISTINCT unnest(labels) AS label FROM labelled)), "
     "m AS (SELECT map(list(label ORDER BY id), list(id ORDER BY id)) AS m FROM ids) "
-    "SELECT md5(array_to_string(list_transform(labels, lambda x: (SELECT m FROM m)[x]), ' ')) AS labels, "
+    "SELECT md5(array_to_string(list_transform(labels, lambda x: m.m[x]), ' ')) AS labels, "
     "array_to_string((list_transform(t[1:16], lambda x: CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 30000) || "
     "list_transform(range(0, 16), lambda i: 0::BIGINT))[1:16], ' ') AS input_ids, "
-    "array_to_string(list_transform(range(0, 16), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS attention_mask FROM labelled",
+    "array_to_string(list_transform(range(0, 16), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS attention_mask FROM labelled, m",
 )
 def tokenised_corpus(spark, sf):
     from veilmark.sources.files import tokenised

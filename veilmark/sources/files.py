@@ -129,8 +129,8 @@ def tokenised(df: DataFrame, label_ids: DataFrame, buckets: int = 30000, max_len
     """
     mapping = label_ids.agg(F.map_from_entries(F.collect_list(F.struct("label", F.col("label_id").cast("long"))))).scalar()
     tokens = tx.ws_tokens(F.col("text"))
-    return df.select(
-        F.transform("labels", lambda x: F.element_at(mapping, x)).alias("labels"),
+    return df.withColumn("_ids", mapping).select(
+        F.transform("labels", lambda x: F.element_at(F.col("_ids"), x)).alias("labels"),
         F.transform(lb.token_ids(tokens, buckets, max_len), lambda x: x.cast("int")).alias("input_ids"),
         lb.attention_mask(tokens, max_len).cast("array<tinyint>").alias("attention_mask"),
     )
