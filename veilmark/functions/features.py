@@ -125,6 +125,20 @@ def word(token: Column) -> dict[str, Column]:
     }
 
 
+def word_token(token: Column) -> dict[str, Column]:
+    """Same as :func:`word` for one word of letters, digits and underscores: it
+    holds no '@', no '.' and no blank, so three features are constants."""
+    digits = F.when(token.rlike(tx.DIGIT), tx.digit_ratio(token)).otherwise(0.0)
+    return {
+        "length": F.least(F.length(token) / F.lit(10.0), F.lit(2.0)),
+        "has_at": F.lit(0.0),
+        "has_dot": F.lit(0.0),
+        "digit_ratio": digits,
+        "first_upper": _flag(tx.starts_upper(token)),
+        "words": F.lit(0.1),
+    }
+
+
 SETS = {
     "final": final, "simple": simple, "proper": proper, "improved": improved,
     "tiny": tiny, "check": check, "word": word,
@@ -136,6 +150,52 @@ def in_context(chunk: Column, context: Column) -> dict[str, Column]:
     return final(F.when(context != "", F.concat(context, F.lit(" "), chunk)).otherwise(chunk))
 
 
+def chunk_facts(chunk: Column) -> Column:
+    """What a chunk contributes to the features of any text it is part of."""
+    return F.struct(
+        F.length(chunk).alias("n"),
+        tx.has_at(chunk).alias("at"),
+        tx.dot_after_last_at(chunk).alias("dot_after"),
+        _has(chunk, ".").alias("dot"),
+        tx.digit_count(chunk).alias("digits"),
+        chunk.rlike(tx.HAS_TITLE_WORD).alias("title"),
+        tx.n_tokens(chunk).alias("words"),
+    )
+
+
+def from_facts(before: Column, after: Column, own: Column) -> Column:
+    """Feature array of "before after own" joined by blanks, from the parts' facts.
+
+    Equal to :func:`in_context`: words do not cross a blank, counts add up, and
+    the last '@' lies in the last part that has one. The parts before and
+    after may be NULL; a missing "before" still leaves its blank.
+    """
+    either = before.isNotNull() | after.isNotNull()
+
+    def count(name: str) -> Column:
+        return F.coalesce(before[name], F.lit(0)) + F.coalesce(after[name], F.lit(0)) + own[name]
+
+    def flag(part: Column, name: str) -> Column:
+        return F.coalesce(part[name], F.lit(False))
+
+    blanks = F.when(after.isNotNull(), 1).otherwise(0) + F.when(either, 1).otherwise(0)
+    chars = count("n") + blanks
+    dotted = (
+        F.when(own["at"], own["dot_after"])
+        .when(flag(after, "at"), flag(after, "dot_after") | own["dot"])
+        .when(flag(before, "at"), flag(before, "dot_after") | flag(after, "dot") | own["dot"])
+        .otherwise(F.lit(False))
+    )
+    return F.array(
+        F.least(chars / F.lit(50.0), F.lit(2.0)),
+        _flag(own["at"] | flag(before, "at") | flag(after, "at")),
+        _flag(dotted),
+        count("digits") / F.greatest(chars, F.lit(1)),
+        _flag(own["title"] | flag(before, "title") | flag(after, "title")),
+        count("words") / F.lit(20.0),
+    )
+
+
 def weak_label(name: str, f: dict[str, Column] | None = None) -> Column:
     """0/1 label computed from the columns of the feature set of that name."""
 

@@ -118,16 +118,14 @@ def pii_count(labels: Column) -> Column:
 
 def counts(truth: Column, predicted: Column) -> Column:
     """Per-row token counts; ``predicted`` must be aligned with ``truth``."""
-    pairs = F.arrays_zip(truth.alias("t"), predicted.alias("p"))
-
-    def n(test) -> Column:
-        return F.size(F.filter(pairs, test)).cast("long")
-
-    t, p = (lambda x: is_pii(x["t"])), (lambda x: is_pii(x["p"]))
-    return F.struct(
-        F.size(truth).cast("long").alias("n"),
-        n(lambda x: t(x) & p(x)).alias("tp"),
-        n(lambda x: ~t(x) & p(x)).alias("fp"),
-        n(lambda x: t(x) & ~p(x)).alias("fn"),
-        n(lambda x: ~t(x) & ~p(x)).alias("tn"),
-    )
+    codes = F.zip_with(truth, predicted, lambda t, p: is_pii(t).cast("int") * 2 + is_pii(p).cast("int"))
+
+    def tally(code: Column) -> Column:
+        def n(value: int) -> Column:
+            return F.size(F.filter(code, lambda c: c == value)).cast("long")
+
+        return F.struct(
+            F.size(code).cast("long").alias("n"), n(3).alias("tp"), n(1).alias("fp"), n(2).alias("fn"), n(0).alias("tn")
+        )
+
+    return let(codes, tally)

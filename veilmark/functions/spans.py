@@ -231,16 +231,21 @@ def band(confidence: Column) -> Column:
 
 def chunk_category(chunk: Column) -> Column:
     """Category of a text chunk: first core pattern found, else heuristics."""
-    category = None
-    for p in catalog.CORE:
-        category = (F if category is None else category).when(chunk.rlike(p.java), F.lit(p.name))
-    return (
-        category.when(tx.dot_after_last_at(chunk), "EMAIL")
-        .when(tx.digit_count(chunk) > 7, "PHONE")
-        .when(chunk.rlike(tx.HAS_TITLE_WORD), "NAME")
-        .when(chunk.rlike(tx.has_word(catalog.STREET_WORDS)), "ADDRESS")
-        .otherwise(catalog.GENERIC)
-    )
+
+    def decide(digits: Column) -> Column:
+        category = None
+        for p in catalog.CORE:
+            guard = F.contains(chunk, F.lit(p.needs)) if p.needs else digits > 0
+            category = (F if category is None else category).when(guard & chunk.rlike(p.java), F.lit(p.name))
+        return (
+            category.when(tx.dot_after_last_at(chunk), "EMAIL")
+            .when(digits > 7, "PHONE")
+            .when(chunk.rlike(tx.HAS_TITLE_WORD), "NAME")
+            .when(chunk.rlike(tx.has_word(catalog.STREET_WORDS)), "ADDRESS")
+            .otherwise(catalog.GENERIC)
+        )
+
+    return let(tx.digit_count(chunk), decide)
 
 
 def word_type(length: Column, at: Column, dot_at: Column, digits: Column, caps: Column) -> Column:

@@ -78,21 +78,27 @@ def to_rows(df: DataFrame, ids: list[str], spans: str = "spans", text: str | Non
 
 def tokens(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
     """Whitespace tokens, one row each."""
-    return df.select(*ids, F.posexplode(tx.ws_tokens(F.col(text))).alias("pos", "token"))
+    rows = df.select(*ids, F.posexplode_outer(tx.ws_tokens(F.col(text))).alias("pos", "token"))
+    return rows.where("pos IS NOT NULL")
 
 
 @cache
-def _word_offsets(text: str) -> Column:
-    return sp.offsets(F.col(text), catalog.WORD)
+def _word_array(text: str) -> Column:
+    """``array<struct<word,start,end>>``; words come from the matches themselves,
+    because cutting each one out of a long text would walk the text every time."""
+    return let(
+        tx.word_tokens(F.col(text)),
+        lambda found: F.transform(
+            sp.offsets(F.col(text), catalog.WORD),
+            lambda s, i: F.struct(F.get(found, i).alias("word"), s["start"].alias("start"), s["end"].alias("end")),
+        ),
+    )
 
 
 def words(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
     """Word tokens with exact offsets, one row each."""
-    rows = df.select(*ids, text, F.posexplode(_word_offsets(text)).alias("pos", "s"))
-    return rows.select(
-        *ids, "pos", sp.span_text(F.col(text), F.col("s")).alias("word"),
-        F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-    )
+    rows = df.select(*ids, F.posexplode_outer(_word_array(text)).alias("pos", "s"))
+    return rows.where("pos IS NOT NULL").select(*ids, "pos", "s.word", "s.start", "s.end")
 
 
 @cache
@@ -136,8 +142,8 @@ def _chunk_array(text: str, size: int) -> Column:
 
 def chunks(df: DataFrame, ids: list[str], text: str = "text", size: int = CHUNK) -> DataFrame:
     """Overlapping word chunks (step = size // 5) with their neighbours as context."""
-    rows = df.select(*ids, F.posexplode(_chunk_array(text, size)).alias("chunk_no", "c"))
-    return rows.select(*ids, "chunk_no", "c.chunk", "c.context", "c.start", "c.end")
+    rows = df.select(*ids, F.posexplode_outer(_chunk_array(text, size)).alias("chunk_no", "c"))
+    return rows.where("chunk_no IS NOT NULL").select(*ids, "chunk_no", "c.chunk", "c.context", "c.start", "c.end")
 
 
 def _as_spans(hits: Column, category, source: str) -> Column:
@@ -157,18 +163,23 @@ def _struct_of(f: dict[str, Column]) -> Column:
 def model_chunk_spans(df: DataFrame, model: Model, text: str = "text", out: str = "spans", size: int = CHUNK) -> DataFrame:
     """Chunks that the model calls personal data, with category, merged per document.
 
-    Chunk features are computed inside the document's row; the model sees one
-    Arrow batch of feature arrays and returns one probability array per row.
+    Each chunk is scanned once; what it contributes to its own and its neighbours'
+    features is combined by index. The model sees one Arrow batch of feature
+    arrays and returns one probability array per row.
     """
     arr = df.withColumn("_c", _chunk_array(text, size))
 
-    features = F.transform(F.col("_c"), lambda c: _struct_of(ft.in_context(c["chunk"], c["context"])))
-    scored = arr.withColumn("_p", kernels.mlp_nested(model.layers)(features))
+    facts = arr.withColumn("_f", F.transform(F.col("_c"), lambda c: ft.chunk_facts(c["chunk"])))
+    features = F.transform(
+        F.col("_f"),
+        lambda f, i: ft.from_facts(F.when(i > 0, F.get(F.col("_f"), i - 1)), F.get(F.col("_f"), i + 1), f),
+    )
+    scored = facts.withColumn("_p", kernels.mlp_nested(model.layers)(features))
     hits = F.filter(
         F.transform(F.col("_c"), lambda c, i: c.withField("p", F.get(F.col("_p"), i))), lambda h: h["p"] > 0.5
     )
     spans = _as_spans(hits, lambda h: sp.chunk_category(h["chunk"]), "model")
-    return scored.withColumn(out, sp.merge(spans)).drop("_c", "_p")
+    return scored.withColumn(out, sp.merge(spans)).drop("_c", "_f", "_p")
 
 
 def model_word_spans(
@@ -180,24 +191,16 @@ def model_word_spans(
     ``position='each'`` places every occurrence where it stands;
     ``'first'`` places a word at its first occurrence in the text.
     """
-    source = F.col(text)
-    arr = df.withColumn(
-        "_w",
-        F.transform(
-            _word_offsets(text), lambda s: s.withField("word", sp.span_text(source, s))
-        ),
-    )
-    scored = arr.withColumn(
-        "_p",
-        kernels.mlp_nested(model.layers)(F.transform(F.col("_w"), lambda w: _struct_of(ft.word(w["word"])))),
-    )
+    arr = df.withColumn("_w", _word_array(text))
+    features = F.transform(F.col("_w"), lambda w: _struct_of(ft.word_token(w["word"])))
+    scored = arr.withColumn("_p", kernels.mlp_nested(model.layers)(features))
     hits = F.filter(
         F.transform(F.col("_w"), lambda w, i: w.withField("p", F.get(F.col("_p"), i))),
         lambda h: h["p"] > threshold,
     )
 
     def category(h: Column) -> Column:
-        f = ft.word(h["word"])
+        f = ft.word_token(h["word"])
         return sp.word_type(f["length"], f["has_at"], f["has_dot"], f["digit_ratio"], f["first_upper"])
 
     if position == "first":

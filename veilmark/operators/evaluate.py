@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark import catalog
-from veilmark.operators.order import running
+from veilmark.operators.order import running, slice_bounds
+from veilmark.sources.shared import cut
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -85,42 +86,40 @@ def class_report(df: DataFrame, y: str, p: str) -> DataFrame:
     return per_class.unionByName(macro).unionByName(weighted)
 
 
-def _by_score(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Positives and negatives at or above each distinct score."""
-    grouped = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(F.col(y) != 0).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
-    )
-    down = grouped.withColumn("_down", -F.col("threshold"))
-    return running(
-        down, [], ["_down"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
-    ).drop("_down")
+def _by_score(df: DataFrame, y: str, score: str) -> tuple[DataFrame, Column, Column]:
+    """Positives and negatives at or above each distinct score, and their totals.
 
-
-def _totals(df: DataFrame, y: str) -> tuple[Column, Column]:
-    return (
-        df.agg(F.count_if(F.col(y) != 0)).scalar(),
-        df.agg(F.count_if(F.col(y) == 0)).scalar(),
+    Equal scores are combined first; everything after works on that table.
+    """
+    grouped = cut(
+        df.groupBy(F.col(score).alias("threshold")).agg(
+            F.count_if(F.col(y) != 0).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
+        ),
+        "scores",
     )
+    down = grouped.withColumn("_down", -F.col("threshold"))
+    summed = running(down, [], ["_down"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}).drop("_down")
+    return summed, grouped.agg(F.sum("pos")).scalar(), grouped.agg(F.sum("neg")).scalar()
 
 
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """One point per distinct score, from the highest threshold down."""
-    pos, neg = _totals(df, y)
-    return _by_score(df, y, score).select(
+    points, pos, neg = _by_score(df, y, score)
+    return points.select(
         "threshold", ratio(F.col("fp"), neg).alias("fpr"), ratio(F.col("tp"), pos).alias("tpr")
     )
 
 
 def auc(df: DataFrame, y: str, score: str) -> DataFrame:
     """Area under the ROC curve: each score adds a trapezoid known from its own row."""
-    pos, neg = _totals(df, y)
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
-    return _by_score(df, y, score).agg(area.alias("a")).select(ratio(F.col("a"), pos * neg).alias("auc"))
+    points, pos, neg = _by_score(df, y, score)
+    area = points.agg(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("a"))
+    return area.select(ratio(F.col("a"), pos * neg).alias("auc"))
 
 
 def precision_recall_curve(df: DataFrame, y: str, score: str) -> DataFrame:
-    pos, _ = _totals(df, y)
-    return _by_score(df, y, score).select(
+    points, pos, _ = _by_score(df, y, score)
+    return points.select(
         "threshold", ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), pos).alias("recall")
     )
 
@@ -216,13 +215,13 @@ def early_stop(history: DataFrame, keys: Sequence[str], epoch: str, metric: str,
     Where the count since the last strict improvement reaches the patience;
     NULL if training would have run to the end.
     """
-    keys = list(keys)
-    seen = running(history, keys, [epoch], {"_best": ("max", F.col(metric))}, before=True)
-    better = F.col("_best").isNull() | (F.col(metric) > F.col("_best"))
-    placed = running(
-        seen.withColumn("_better", better), keys, [epoch], {"_at": ("sum", F.lit(1).cast("long"))}
+    keys, bounds = list(keys), slice_bounds(history, F.col(epoch), 64)
+    seen = running(
+        history, keys, [epoch], {"_best": ("max", F.col(metric)), "_at": ("sum", F.lit(1).cast("long"))},
+        bounds, before=["_best"],
     )
-    last = running(placed, keys, [epoch], {"_last": ("max", F.when(F.col("_better"), F.col("_at")))})
+    better = F.col("_best").isNull() | (F.col(metric) > F.col("_best"))
+    last = running(seen, keys, [epoch], {"_last": ("max", F.when(better, F.col("_at")))}, bounds)
     stop = F.min(F.when(F.col("_at") - F.col("_last") >= patience, F.col(epoch)))
     return last.groupBy(*keys).agg(stop.alias("stop_epoch"), F.count(F.lit(1)).alias("epochs"))
 
@@ -255,7 +254,7 @@ def rank_runs(history: DataFrame, run: str, metric: str, min_runs: int = 2) -> D
     down = best.where(runs >= min_runs).withColumn("_down", -F.col("best"))
     ahead = running(
         down.groupBy("_down").agg(F.count(F.lit(1)).alias("_same")), [], ["_down"],
-        {"_ahead": ("sum", F.col("_same"))}, before=True,
+        {"_ahead": ("sum", F.col("_same"))}, before=["_ahead"],
     )
     return down.join(ahead.select("_down", "_ahead"), "_down").select(
         run, "best", (F.col("_ahead") + 1).alias("rank")

@@ -67,40 +67,38 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     aggs: dict[str, tuple[str, Column]],
-    slices: int = 64,
-    before: bool = False,
+    slices: int | Sequence[float] = 64,
+    before: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum, max or min per key, also when one key holds most rows.
 
     ``order[0]`` must be numeric; later columns break ties. Each (key, slice of
     order[0]) is one window group; slices of a key are linked by their totals.
-    ``before=True`` leaves the current row out.
+    ``slices`` may be ready bounds from :func:`slice_bounds`. Results named in
+    ``before`` leave the current row out.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}
-    sliced = df.withColumn("_slice", slice_of(F.col(order[0]), slice_bounds(df, F.col(order[0]), slices)))
-    for name, (_, value) in aggs.items():
-        sliced = sliced.withColumn(f"_v_{name}", value)
-    group = [*keys, "_slice"]
-    totals = sliced.groupBy(*group).agg(
-        *[fold[fn](f"_v_{name}").alias(f"_t_{name}") for name, (fn, _) in aggs.items()]
+    bounds = slice_bounds(df, F.col(order[0]), slices) if isinstance(slices, int) else slices
+    sliced = df.withColumns(
+        {"_slice": slice_of(F.col(order[0]), bounds)} | {f"_v_{n}": value for n, (_, value) in aggs.items()}
     )
+    group = [*keys, "_slice"]
+    totals = sliced.groupBy(*group).agg(*[fold[fn](f"_v_{n}").alias(f"_t_{n}") for n, (fn, _) in aggs.items()])
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*_BEFORE)
-    carry = totals.select(
-        *group, *[fold[fn](f"_t_{name}").over(earlier).alias(f"_c_{name}") for name, (fn, _) in aggs.items()]
-    )
+    carry = totals.select(*group, *[fold[fn](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, (fn, _) in aggs.items()])
     if not keys:
-        carry = F.broadcast(carry)  # at most ``slices`` rows
-    local = Window.partitionBy(*group).orderBy(*order).rowsBetween(*(_BEFORE if before else _UP_TO))
-    joined = sliced.join(carry, group, "left")
-    for name, (fn, _) in aggs.items():
-        here, past = fold[fn](f"_v_{name}").over(local), F.col(f"_c_{name}")
+        carry = F.broadcast(carry)  # at most one row per slice
+    local = Window.partitionBy(*group).orderBy(*order)
+    results = {}
+    for n, (fn, _) in aggs.items():
+        here = fold[fn](f"_v_{n}").over(local.rowsBetween(*(_BEFORE if n in before else _UP_TO)))
+        past = F.col(f"_c_{n}")
         if fn == "sum":
-            value = F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
+            results[n] = F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
         else:
-            value = F.greatest(here, past) if fn == "max" else F.least(here, past)
-        joined = joined.withColumn(name, value)
+            results[n] = F.greatest(here, past) if fn == "max" else F.least(here, past)
     helpers = ["_slice"] + [f"_{p}_{n}" for n in aggs for p in ("v", "c")]
-    return joined.drop(*helpers)
+    return sliced.join(carry, group, "left").withColumns(results).drop(*helpers)
 
 
 def ordered_position(df: DataFrame, order: Sequence[str], out: str = "position", slices: int = 64) -> DataFrame:

@@ -26,9 +26,10 @@ def lengths(df: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFr
     )
 
 
-def pii_counts(df: DataFrame, labels: str = "labels", by: Sequence[str] = ()) -> DataFrame:
-    """Non-O labels: total, per row, rows that have any."""
-    n = lb.pii_count(F.col(labels))
+def pii_counts(df: DataFrame, labels: str = "labels", by: Sequence[str] = (), count: str | None = None) -> DataFrame:
+    """Non-O labels: total, per row, rows that have any. ``count`` names a column
+    that already holds the number per row (so arrays need not be shuffled)."""
+    n = lb.pii_count(F.col(labels)) if count is None else F.col(count)
     sums = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(n).alias("total_pii"), F.count_if(n > 0).alias("rows_with_pii")
     )
@@ -40,7 +41,7 @@ def pii_counts(df: DataFrame, labels: str = "labels", by: Sequence[str] = ()) ->
 
 
 def _exploded(df: DataFrame, labels: str) -> DataFrame:
-    return df.select(F.explode(labels).alias("label"))
+    return df.select(F.explode_outer(labels).alias("label")).where("label IS NOT NULL")
 
 
 def pii_types(df: DataFrame, labels: str = "labels") -> DataFrame:

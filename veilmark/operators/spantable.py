@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilmark.operators.order import running
+from veilmark.operators.order import running, slice_bounds
+from veilmark.sources.shared import cut
 
 
 def dedupe_rows(spans: DataFrame, ids: Sequence[str], prefer: Sequence[str]) -> DataFrame:
@@ -29,11 +30,13 @@ def merge_rows(spans: DataFrame, ids: Sequence[str], slices: int = 64) -> DataFr
     document with very many spans is spread over tasks.
     """
     keys = list(ids)
+    spans = cut(spans.select(*keys, "category", "span_start", "span_end", "confidence", "priority"), "spans")
     order = ["span_start", "priority", "span_end"]
-    reach = running(spans, keys, order, {"_reach": ("max", F.col("span_end"))}, slices, before=True)
+    bounds = slice_bounds(spans, F.col("span_start"), slices)
+    reach = running(spans, keys, order, {"_reach": ("max", F.col("span_end"))}, bounds, before=["_reach"])
     opens = F.when(F.col("span_start") <= F.col("_reach"), 0).otherwise(1)
     marked = running(
-        reach.withColumn("_opens", opens).drop("_reach"), keys, order, {"_island": ("sum", F.col("_opens"))}, slices
+        reach.withColumn("_opens", opens).drop("_reach"), keys, order, {"_island": ("sum", F.col("_opens"))}, bounds
     )
     lead = F.struct(F.col("confidence"), -F.col("span_start"), -F.col("priority"))
     return marked.groupBy(*keys, "_island").agg(
@@ -59,7 +62,8 @@ def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str]) -> DataFr
             F.col("span_end").alias(f"{p}_end"),
         ).distinct()
 
-    d, t = side(detected, "d"), side(truth, "t")
+    # Both sides are read twice; their texts are scanned once.
+    d, t = cut(side(detected, "d"), "detected"), cut(side(truth, "t"), "truth")
     exact = F.max(((F.col("d_start") == F.col("t_start")) & (F.col("d_end") == F.col("t_end"))).cast("int"))
 
     def judge(own: DataFrame, other: DataFrame, p: str, alone: str, name: str) -> DataFrame:

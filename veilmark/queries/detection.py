@@ -232,7 +232,7 @@ def word_types_and_groups(spark, sf):
     from veilmark.functions import features as ft
     from veilmark.functions import text as tx
 
-    words = texts(spark, sf).select(F.explode(tx.word_tokens(F.col("text"))).alias("word"))
+    words = texts(spark, sf).select(F.explode_outer(tx.word_tokens(F.col("text"))).alias("word")).where("word IS NOT NULL")
     f = ft.word(F.col("word"))
     kind = sp.word_type(f["length"], f["has_at"], f["has_dot"], f["digit_ratio"], f["first_upper"])
     counted = words.groupBy(kind.alias("word_type")).agg(F.count(F.lit(1)).alias("n_words"))
@@ -335,5 +335,5 @@ def tagger_counts(spark, sf):
     from veilmark.functions import labels as lb
     from veilmark.functions import text as tx
 
-    tokens = texts(spark, sf).select("doc_id", F.explode(tx.ws_tokens(F.col("text"))).alias("t"))
+    tokens = texts(spark, sf).select("doc_id", F.explode_outer(tx.ws_tokens(F.col("text"))).alias("t")).where("t IS NOT NULL")
     return tokens.groupBy("doc_id", lb.tag(F.col("t")).alias("tag")).agg(F.count(F.lit(1)).alias("n_tokens"))

@@ -113,7 +113,7 @@ _WORD_DIGITS = f"((length(w) - length(regexp_replace(w, {q(tx.DIGIT)}, '', 'g'))
 )
 def features_word(spark, sf):
     """Word features, averaged per document."""
-    words = texts(spark, sf).select("doc_id", F.explode(tx.word_tokens(F.col("text"))).alias("w"))
+    words = texts(spark, sf).select("doc_id", F.explode_outer(tx.word_tokens(F.col("text"))).alias("w")).where("w IS NOT NULL")
     f = ft.word(F.col("w"))
     return words.groupBy("doc_id").agg(*[F.round(F.avg(c), 6).alias(n) for n, c in f.items()])
 

@@ -170,9 +170,9 @@ def pii_label_counts(spark, sf):
     f"SELECT split, {_PII_COUNTS} FROM labelled JOIN p USING (doc_id) GROUP BY split",
 )
 def pii_counts_by_split(spark, sf):
-    counted = corpus(spark, sf).select("doc_id", F.transform("labels", lambda x: x).alias("labels"))
+    counted = corpus(spark, sf).select("doc_id", lb.pii_count(F.col("labels")).alias("n"))
     rows = order.shuffled_split(counted, ["doc_id"])
-    return _rounded(profile.pii_counts(rows, by=["split"]), "pii_per_row", "pii_row_percent")
+    return _rounded(profile.pii_counts(rows, by=["split"], count="n"), "pii_per_row", "pii_row_percent")
 
 
 @query(

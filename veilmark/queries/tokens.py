@@ -270,7 +270,7 @@ def tokenised_corpus(spark, sf):
     "FROM labelled) WHERE entity_type IS NOT NULL GROUP BY entity_type",
 )
 def entity_types(spark, sf):
-    both = corpus(spark, sf).select(F.explode(F.concat("labels", "tags")).alias("label"))
+    both = corpus(spark, sf).select(F.explode_outer(F.concat("labels", "tags")).alias("label")).where("label IS NOT NULL")
     return (
         both.select(lb.entity_type(F.col("label")).alias("entity_type"))
         .where("entity_type IS NOT NULL")
