@@ -32,7 +32,11 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_folder(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """Every matching file of a folder, one row each."""
+    """Every matching file of a folder, one row each.
+
+    Spark's file sources leave out files of zero length: there is nothing to
+    redact in them and they are not counted.
+    """
     return _read(spark, folder, glob)
 
 
@@ -48,7 +52,7 @@ def _read(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
 
 def redacted_name(path: Column) -> Column:
     """dir/name.ext -> dir/name_redacted.ext"""
-    return F.regexp_replace(path, r"(\.[^./]*)?$", "_redacted$1")
+    return F.regexp_replace(path, r"^(.*?)(\.[^./]*)?$", "$1_redacted$2")
 
 
 def details_name(path: Column) -> Column:
