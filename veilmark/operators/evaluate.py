@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilmark import catalog
@@ -54,7 +54,7 @@ def metrics(counts: DataFrame) -> DataFrame:
 
 def class_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """Precision, recall, F1 and support per class, macro and weighted averages."""
-    cells = df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    cells = cut(df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("c")), "cells")
     roles = cells.select(
         F.explode(
             F.when(
@@ -126,7 +126,7 @@ def precision_recall_curve(df: DataFrame, y: str, score: str) -> DataFrame:
 
 def class_distribution(df: DataFrame, y: str) -> DataFrame:
     counts = df.groupBy(F.col(y).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("n").over(Window.partitionBy())  # one row per class
     return counts.withColumn("share", F.col("n") / total)
 
 
@@ -168,10 +168,10 @@ def error_analysis(counted: DataFrame, counts: str = "counts") -> DataFrame:
         F.sum(F.col(f"{counts}.tp") + F.col(f"{counts}.tn")).alias("correct"),
         F.sum(f"{counts}.fp").alias("false_positives"),
         F.sum(f"{counts}.fn").alias("false_negatives"),
+        F.sum(f"{counts}.n").alias("_all"),
     )
-    long = c.unpivot([], ["correct", "false_positives", "false_negatives"], "outcome", "tokens")
-    total = c.select(F.col("correct") + F.col("false_positives") + F.col("false_negatives")).scalar()
-    return long.withColumn("percent", ratio(F.col("tokens") * 100.0, total))
+    long = c.unpivot(["_all"], ["correct", "false_positives", "false_negatives"], "outcome", "tokens")
+    return long.select("outcome", "tokens", ratio(F.col("tokens") * 100.0, F.col("_all")).alias("percent"))
 
 
 # -- losses -----------------------------------------------------------------------
@@ -242,14 +242,13 @@ def compare_budgets(results: DataFrame) -> DataFrame:
 
     ``results`` has one row per budget (at most a few dozen).
     """
-    best = results.agg(F.max(F.struct("accuracy", "epsilon")).alias("b"))
-    eps = best.select("b.epsilon").scalar()
-    return results.withColumn("is_best", F.col("epsilon") == eps).orderBy("epsilon")
+    best = F.max(F.struct("accuracy", "epsilon")).over(Window.partitionBy())
+    return results.withColumn("is_best", F.col("epsilon") == best["epsilon"]).orderBy("epsilon")
 
 
 def rank_runs(history: DataFrame, run: str, metric: str, min_runs: int = 2) -> DataFrame:
     """Best metric per run with its rank; empty unless at least ``min_runs`` runs exist."""
-    best = history.groupBy(run).agg(F.max(metric).alias("best"))
+    best = cut(history.groupBy(run).agg(F.max(metric).alias("best")), "runs")
     runs = best.agg(F.count(F.lit(1))).scalar()
     down = best.where(runs >= min_runs).withColumn("_down", -F.col("best"))
     ahead = running(

@@ -15,11 +15,13 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from veilmark.functions import kernels
 from veilmark.functions.text import uniform
 from veilmark.sources.shared import scratch_path
 
+ROWS_PER_FILE = 50_000
 PARAMS_SCHEMA = "model string, epsilon double, layer int, w array<array<double>>, b array<double>"
 
 
@@ -162,7 +164,7 @@ class Trained:
 
 
 def draw_steps(data: DataFrame, ids: list[str], steps: int, q: float, seed: int) -> DataFrame:
-    """Poisson sampling for all steps in one pass: (step, features, label).
+    """Poisson sampling for all steps in one pass: (step, features, label, key).
 
     Each row joins each step with probability q, by a reproducible hash. The
     result holds about steps * q * n rows, grouped by step when written.
@@ -171,7 +173,26 @@ def draw_steps(data: DataFrame, ids: list[str], steps: int, q: float, seed: int)
         F.sequence(F.lit(0), F.lit(steps - 1)),
         lambda s: uniform(F.lit(seed), s, *[F.col(i) for i in ids]) < q,
     )
-    return data.select("features", "label", F.explode(hit).alias("step"))
+    return data.select("features", "label", F.xxhash64(*ids).alias("key"), F.explode(hit).alias("step"))
+
+
+def _write_draws(draws: DataFrame, path: str, batch_size: int) -> None:
+    """One folder per step; a large batch is spread over several files by row
+    key, so that its gradient is computed by several tasks."""
+    parts = max(1, math.ceil(batch_size / ROWS_PER_FILE))
+    spread = draws.withColumn("_part", F.pmod("key", F.lit(parts))).repartition("step", "_part")
+    spread.select("features", "label", "step").write.partitionBy("step").parquet(path)
+
+
+def _read_step(spark: SparkSession, path: str, step: int) -> DataFrame:
+    """The rows drawn for one step, without listing the others; maybe none."""
+    schema = "features array<double>, label int"
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/step={step}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def train(
@@ -208,10 +229,7 @@ def train(
     steps = epochs * per_epoch
 
     drawn_path = scratch_path(spark, "draws")
-    draws = draw_steps(data, ids, steps, q, sample_seed)
-    group = F.floor(F.col("step") / per_epoch).cast("int")
-    draws.withColumn("epoch", group).repartition("epoch", "step").write.partitionBy("epoch").parquet(drawn_path)
-    drawn = spark.read.parquet(drawn_path)
+    _write_draws(draw_steps(data, ids, steps, q, sample_seed), drawn_path, batch_size)
 
     dims = [width, hidden, hidden // 2, 2]
     models = [Model.random(dims, init_seed, f"eps_{e}", e) for e in budgets]
@@ -222,10 +240,10 @@ def train(
     active = list(range(len(models)))
 
     for epoch in range(epochs):
-        rows = drawn.where(F.col("epoch") == epoch).persist()
         losses = {k: [0.0, 0.0, 0] for k in active}
         for step in range(epoch * per_epoch, (epoch + 1) * per_epoch):
-            sums = _step_sums(rows.where(F.col("step") == step), [models[k] for k in active], strategy, width)
+            rows = _read_step(spark, drawn_path, step)
+            sums = _step_sums(rows, [models[k] for k in active], strategy, width)
             for slot, k in enumerate(active):
                 grad, loss, norm, count = sums.get(slot, (np.zeros(models[k].flat().size), 0.0, 0.0, 0))
                 noisy = _add_noise(grad, strategy, budgets[k], noise_rng, models[k])
@@ -234,7 +252,6 @@ def train(
                 losses[k][0] += loss
                 losses[k][1] += norm
                 losses[k][2] += count
-        rows.unpersist()
         for k in list(active):
             e = budgets[k]
             loss, norm, count = losses[k]

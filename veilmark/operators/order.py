@@ -28,7 +28,17 @@ def hashed_position(df: DataFrame, key: Column, out: str = "position", n_out: st
     The first ``digits`` hex digits are the bucket: digests are uniform, so no
     bucket is hot, and at most 16**digits bucket totals are broadcast.
     """
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
+    return text_position(df, key, out, n_out, digits, small=True)
+
+
+def text_position(
+    df: DataFrame, key: Column, out: str = "position", n_out: str = "n_rows", prefix: int = 4, small: bool = False
+) -> DataFrame:
+    """0-based position in the order of a text key; buckets are its prefixes.
+
+    ``small`` says that the number of different prefixes has a known bound.
+    """
+    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, prefix))
     totals = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     carry = totals.select(
         "_bucket",
@@ -37,7 +47,7 @@ def hashed_position(df: DataFrame, key: Column, out: str = "position", n_out: st
     )
     local = Window.partitionBy("_bucket").orderBy("_key")
     return (
-        keyed.join(F.broadcast(carry), "_bucket")
+        keyed.join(F.broadcast(carry) if small else carry, "_bucket")
         .withColumn(out, F.col("_before") + F.row_number().over(local) - 1)
         .drop("_bucket", "_key", "_before")
     )

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from veilmark.functions import labels as lb
 from veilmark.functions import text as tx
 from veilmark.operators.evaluate import ratio
+from veilmark.operators.order import text_position
+from veilmark.sources.shared import cut
 
 
 def lengths(df: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
@@ -46,7 +48,10 @@ def _exploded(df: DataFrame, labels: str) -> DataFrame:
 
 def pii_types(df: DataFrame, labels: str = "labels") -> DataFrame:
     """Entity types with count and share of all non-O labels, most frequent first."""
-    counted = _exploded(df, labels).where(lb.is_pii(F.col("label"))).groupBy("label").agg(F.count(F.lit(1)).alias("c"))
+    counted = cut(
+        _exploded(df, labels).where(lb.is_pii(F.col("label"))).groupBy("label").agg(F.count(F.lit(1)).alias("c")),
+        "label-counts",
+    )
     total = counted.agg(F.sum("c")).scalar()
     typed = counted.withColumn("pii_type", lb.entity_type(F.col("label"))).where("pii_type IS NOT NULL")
     by_type = typed.groupBy("pii_type").agg(F.sum("c").alias("n"))
@@ -78,15 +83,10 @@ def label_summary(df: DataFrame, labels: str = "labels") -> DataFrame:
 
 
 def label_ids(df: DataFrame, labels: str = "labels") -> DataFrame:
-    """Ids 0, 1, ... of the distinct labels in sorted order.
-
-    The label vocabulary is the product of tags and entity types, not of the
-    data; it is counted before it is ranked in one place.
-    """
-    from pyspark.sql import Window
-
+    """Ids 0, 1, ... of the distinct labels in sorted order."""
     distinct = _exploded(df, labels).distinct()
-    return distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("label_id"))
+    placed = text_position(distinct, F.col("label"), "label_id", "_n", prefix=6)
+    return placed.select("label", F.col("label_id").cast("int").alias("label_id"))
 
 
 def missing(df: DataFrame) -> DataFrame:

@@ -47,12 +47,13 @@ def merge_rows(spans: DataFrame, ids: Sequence[str], slices: int = 64) -> DataFr
     ).drop("_island")
 
 
-def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str]) -> DataFrame:
+def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str], block: int = 1024) -> DataFrame:
     """Status of every span: exact, partial, missed (truth) or spurious (detected).
 
-    An equi-join on the document with a range condition, grouped before any
-    pair leaves the join: each side keeps only its best overlap. Row ids are
-    (document, start, end, category).
+    An equi-join on (document, block of characters) with a range condition: only
+    spans of the same block meet, so a document with very many spans is spread
+    over many join keys. Each side keeps only its best overlap. Row ids are
+    (document, category, start, end).
     """
     keys = list(ids)
 
@@ -66,14 +67,21 @@ def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str]) -> DataFr
     d, t = cut(side(detected, "d"), "detected"), cut(side(truth, "t"), "truth")
     exact = F.max(((F.col("d_start") == F.col("t_start")) & (F.col("d_end") == F.col("t_end"))).cast("int"))
 
-    def judge(own: DataFrame, other: DataFrame, p: str, alone: str, name: str) -> DataFrame:
+    def blocks(df: DataFrame, p: str) -> DataFrame:
+        first = F.floor(F.col(f"{p}_start") / block).cast("int")
+        last = F.floor((F.col(f"{p}_end") - 1) / block).cast("int")
+        return df.withColumn("_b", F.explode(F.sequence(first, F.greatest(first, last))))
+
+    def judge(own: DataFrame, other: DataFrame, p: str, q: str, alone: str, name: str) -> DataFrame:
         cols = [f"{p}_category", f"{p}_start", f"{p}_end"]
         overlap = [
-            *[F.col(k) == F.col(f"_{k}") for k in keys],
+            *[F.col(k) == F.col(f"_{k}") for k in [*keys, "_b"]],
             F.col("d_start") < F.col("t_end"),
             F.col("t_start") < F.col("d_end"),
         ]
-        pairs = own.join(other.withColumnsRenamed({k: f"_{k}" for k in keys}), overlap, "left")
+        pairs = blocks(own, p).join(
+            blocks(other, q).withColumnsRenamed({k: f"_{k}" for k in [*keys, "_b"]}), overlap, "left"
+        )
         best = pairs.groupBy(*keys, *cols).agg(exact.alias("_exact"))
         status = F.when(F.col("_exact") == 1, "exact").when(F.col("_exact") == 0, "partial").otherwise(alone)
         return best.select(
@@ -81,7 +89,7 @@ def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str]) -> DataFr
             F.col(cols[1]).alias("span_start"), F.col(cols[2]).alias("span_end"), status.alias("status"),
         )
 
-    return judge(t, d, "t", "missed", "truth").unionByName(judge(d, t, "d", "spurious", "detected"))
+    return judge(t, d, "t", "d", "missed", "truth").unionByName(judge(d, t, "d", "t", "spurious", "detected"))
 
 
 def rank_spans(spans: DataFrame, ids: Sequence[str], descending: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from veilmark.operators.model import Model, score
 from veilmark.queries.base import DIGITS, TOKENS, q, query
 from veilmark.queries.detection import mlp_ctes
 from veilmark.queries.tokens import _CONTEXT
+from veilmark.sources.shared import cut
 from veilmark.sources.tables import texts
 
 _RATIO = f"({DIGITS}::DOUBLE / greatest(length(text), 1))"
@@ -147,7 +148,8 @@ def _scaled_sql() -> str:
 def features_standardised(spark, sf):
     wide = ft.featurize(texts(spark, sf).select("doc_id", "text"))
     names = ft.names("final")
-    scaled = ft.standardise(wide.select("doc_id", *names), names)
+    # Fitting and scaling read the features twice, but the texts once.
+    scaled = ft.standardise(cut(wide.select("doc_id", *names), "features"), names)
     return scaled.select("doc_id", *[F.round(n, 6).alias(n) for n in names])
 
 

@@ -10,12 +10,13 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for CPU-heavy work on an input of fewer partitions than cores.
+    """Use all cores for CPU-heavy work on an input that would leave most of them idle.
 
-    Large inputs have more partitions than that and pass unchanged (no shuffle).
+    Inputs with partitions for at least half of the cores pass unchanged, so a
+    large table is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores / 2 else df
 
 
 def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
