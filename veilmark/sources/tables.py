@@ -10,13 +10,13 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for CPU-heavy work on an input that would leave most of them idle.
+    """Use all cores for CPU-heavy work on an input with fewer partitions than cores.
 
-    Inputs with partitions for at least half of the cores pass unchanged, so a
-    large table is never shuffled for this.
+    A small file may be cut into a few splits of which one holds its only row
+    group. Large inputs have more partitions than cores and are never shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores / 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
