@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts
+from veilmark.llm import chat, counts, language, toxicity
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +52,21 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return counts.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def fold(column: str, parts: int):
+    """crc32 of an id's text modulo ``parts``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    classifier = toxicity.train(documents, labels, fold("doc_id", 5) != 0)
+    marked = documents.withColumn("held_out", fold("doc_id", 5) == 0)
+    return toxicity.score(marked, classifier, ("doc_id", "held_out"))
+
+
+@query("op9_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read(spark, folder, "documents"), fold("doc_id", 4) != 2, public_tokenizers.path("piece_bpe_32k.model"))
