@@ -40,3 +40,23 @@ def text_groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+class Recent:
+    """What a worker remembers of the words it has seen: at most ``limit`` of the latest
+    and as many of those before them, so frequent ones stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.old, self.new = limit, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys to be put into ``new``; all others are in there."""
+        if len(self.new) + len(keys) > self.limit:
+            self.old, self.new = self.new, {}
+        out = []
+        for k in keys.difference(self.new):
+            if (value := self.old.get(k)) is None:
+                out.append(k)
+            else:
+                self.new[k] = value
+        return out

@@ -19,11 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from veilmark.llm.arrow import batch, text_groups, utf8
+from veilmark.llm.arrow import Recent, batch, text_groups, utf8
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
-#: Pre-tokens a worker remembers before it forgets them all.
+#: Pre-tokens of each age that a worker remembers.
 REMEMBER = 300_000
 
 
@@ -56,8 +56,7 @@ class Merger:
         high = [ranks[score[p]] for p in score if len(p) > 1 and p.strip(SPACE)]
         if later or "\n" in symbols or (low and (len(set(low)) > 1 or min(low) < max(high))):
             raise ValueError("pre-tokens of this model cannot be cut at spaces and line feeds")
-        self.seen: dict[str, int] = {}
-        self.bare: set[str] = set()  # pre-tokens whose leading space stays a symbol of its own
+        self.seen = Recent(REMEMBER)  # tokens of a pre-token, below 0 if its leading space stays alone
         for probe in ("", " ", "a  b", " a ", "\t x\n", "<s> é\x00", "aaaa  \n\n   aaa", "a" + " " * 40 + "\n 　x"):
             if self.count([probe])[0] != len(sp.encode(probe)):
                 raise ValueError("this model normalises its texts")
@@ -133,15 +132,9 @@ class Merger:
         return len(stack)
 
     def _learn(self, tokens: set[str]) -> None:
-        new = [t for t in tokens if t not in self.seen]
-        if len(self.seen) + len(new) > REMEMBER:
-            self.seen.clear()
-            self.bare.clear()
-            new = list(tokens)
-        if new:
+        if new := self.seen.missing(tokens):
             counts, bare = self.merge(new)
-            self.seen.update(zip(new, counts.tolist(), strict=True))
-            self.bare.update(t for t, b in zip(new, bare, strict=True) if b)
+            self.seen.new.update(zip(new, np.where(bare, -counts, counts).tolist(), strict=True))
 
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text."""
@@ -149,9 +142,9 @@ class Merger:
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         lists = [cut(t) for t in marked]
         self._learn(set().union(*lists))
-        seen, out = self.seen, []
+        seen, out = self.seen.new, []
         for text, tokens in zip(marked, lists, strict=True):
-            n = sum(map(seen.__getitem__, tokens))
+            n = sum(map(abs, map(seen.__getitem__, tokens)))
             if SPACE + SPACE in text:
                 n += self._spaces(tokens)
             out.append(n)
@@ -160,8 +153,8 @@ class Merger:
     def _spaces(self, tokens: list[str]) -> int:
         """What the count changes by when spaces in a row merge."""
         change, run = 0, 0
-        for t in [*tokens, "\n"]:
-            if t in self.bare:
+        for t in [*tokens, ""]:
+            if self.seen.new.get(t, 1) < 0:
                 run += 1
                 if t == SPACE:
                     continue

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, language, toxicity
+from veilmark.llm import chat, counts, language, packing, toxicity
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read(spark, folder, "documents"), fold("doc_id", 4) != 2, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
