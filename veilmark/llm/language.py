@@ -29,8 +29,8 @@ from veilmark.sources.shared import cut
 
 SPACE = "▁"
 PART = 48
-#: Words a worker remembers before it forgets them all.
-REMEMBER = 250_000
+#: Words of each age that a worker remembers.
+REMEMBER = 500_000
 _RUNS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -195,24 +195,34 @@ def _expectation(model: str, p: np.ndarray, column: dict[str, int]):
 
 
 class _Scorer:
+    """Scores texts; remembers the latest words and as many before them."""
+
     def __init__(self, model: str, p: np.ndarray):
         self.model, self.p = model, p
-        self.at: dict[str, int] = {}
-        self.rows = np.zeros((0, p.shape[1]))
+        self.old, self.at = {}, {}
+        self.old_rows = self.rows = np.zeros((0, p.shape[1]))
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.at]
-        if len(self.at) + len(new) > REMEMBER:
-            self.at, self.rows, new = {}, self.rows[:0], list(words)
-        for lo in range(0, len(new), 5000):
-            some = new[lo : lo + 5000]
+        if len(self.at) + len(words) > len(self.rows):
+            self.old, self.old_rows = self.at, self.rows
+            self.at, self.rows = {}, np.empty((REMEMBER + len(words), self.p.shape[1]))
+        missing = words.difference(self.at)
+        known = [w for w in missing if w in self.old]
+        self._put(known, self.old_rows[[self.old[w] for w in known]])
+        new = list(missing.difference(known))
+        for lo in range(0, len(new), 4000):
+            some = new[lo : lo + 4000]
             cut_up = [parts_of(w) for w in some]
             flat = [x for parts in cut_up for x in parts]
             own = np.zeros((len(some), self.p.shape[1]))
             if flat:
                 np.add.at(own, np.repeat(np.arange(len(some)), [len(x) for x in cut_up]), Lattice(flat, self.model).log_probabilities(self.p))
-            self.at.update({w: len(self.rows) + i for i, w in enumerate(some)})
-            self.rows = np.concatenate([self.rows, own])
+            self._put(some, own)
+
+    def _put(self, words: list[str], rows: np.ndarray) -> None:
+        n = len(self.at)
+        self.rows[n : n + len(words)] = rows
+        self.at.update(zip(words, range(n, n + len(words)), strict=True))
 
     def score(self, texts: list[str]) -> np.ndarray:
         """Log probability of each text in each language; NaN without a letter."""

@@ -154,7 +154,7 @@ def configurations(demand: dict[int, int], capacity: int, steps: int = 200) -> l
     for config, times in sorted(fractional(left, capacity, steps).items(), key=lambda x: (-x[1], x[0])):
         if sum(length * each for length, each in config) < capacity:
             continue  # rounded to nothing: best fit may still fill that space
-        take(config, min(int(times), *(left[length] // each for length, each in config)))
+        take(config, min(int(times), *(left[length] // each for length, each in config)) * 9 // 10)
     # Best fit on the rest: equal bins are kept as (free space, contents) with their number.
     bins: Counter = Counter()
     heap_of: dict[int, list] = defaultdict(list)

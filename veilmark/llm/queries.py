@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, language, packing, toxicity
+from veilmark.llm import chat, counts, decontaminate, html, language, packing, toxicity, urls
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,23 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(read(spark, folder, "pages"), RULES)
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(read(spark, folder, "pages"))
