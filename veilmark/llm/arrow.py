@@ -53,10 +53,7 @@ class Recent:
         """The keys to be put into ``new``; all others are in there."""
         if len(self.new) + len(keys) > self.limit:
             self.old, self.new = self.new, {}
-        out = []
-        for k in keys.difference(self.new):
-            if (value := self.old.get(k)) is None:
-                out.append(k)
-            else:
-                self.new[k] = value
-        return out
+        fresh = keys.difference(self.new)
+        known = self.old.keys() & fresh
+        self.new.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        return list(fresh - known)

@@ -17,6 +17,8 @@ whose id is NULL or repeats; an empty table gives no rows; other columns are ign
 from __future__ import annotations
 
 import heapq
+import os
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -31,33 +33,59 @@ from veilmark.llm.arrow import Recent, batch, text_groups
 from veilmark.sources.shared import cut
 
 #: Words of each age that a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 150_000
 #: Numbers of pieces of one length are counted in this many parts.
 PARTS = 1024
 
 
+_SIMPLE = re.compile(r"[ -&(-~À-ÖØ-öø-ÿ]*").fullmatch
+_PRE_TOKENS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if printable, else one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class Encoder:
     """Token ids of texts, as little-endian bytes.
 
     Spaces and line feeds always part pre-tokens, so the ids of a text are the ids of
-    what stands between them; those are remembered.
+    what stands between them. Of that, runs of Latin letters, single digits and runs of
+    punctuation are pre-tokens of their own; anything else goes through the whole
+    tokenizer. What has been seen lately is remembered.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses all cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen = Recent(REMEMBER)
-        for probe in ("a  b\nc", "́x ́y\ńz", "Ab'S'll \t1 2"):
-            if self.ids([probe])[0] != np.array(self.tokenizer.encode(probe, add_special_tokens=False).ids, "<u4").tobytes():
-                raise ValueError("this tokenizer has tokens over white space")
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.seen, self.runs = Recent(REMEMBER), Recent(REMEMBER)
+        printable = "".join(chr(c) for c in [*range(32, 127), *range(192, 256)])
+        for probe in ("a  b\nc", "́x ́y\ńz", "Ab'S'll \t1 2,5..", printable, " ".join(printable), "ÄÉÿß!?ab12.", "日本 x"):
+            if self.ids([probe])[0] != self._whole(probe):
+                raise ValueError("this tokenizer cuts or normalises texts in another way")
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _run(self, run: str) -> bytes:
+        spelled = run.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         lists = [t.replace("\n", " ").split(" ") for t in texts]
         new = self.seen.missing(set().union(*lists))
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.seen.new.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        cuts = {w: _PRE_TOKENS(w.lower()) for w in new if _SIMPLE(w) and "<|" not in w}
+        runs = self.runs.missing(set().union(*cuts.values()))
+        self.runs.new.update((r, self._run(r)) for r in runs)
+        of = self.runs.new
+        self.seen.new.update((w, b"".join([of[r] for r in cuts[w]]) if w in cuts else self._whole(w)) for w in new)
         return [b"".join(map(self.seen.new.__getitem__, words)) for words in lists]
 
 
