@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, decontaminate, html, language, packing, toxicity, urls
+from veilmark.llm import chat, counts, decontaminate, html, jaccard, language, lattice, packing, toxicity, urls
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_html_text")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(read(spark, folder, "pages"))
+
+
+@query("op4_embedding_duplicates")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(read(spark, folder, "embeddings"), threshold=0.98)
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(read(spark, folder, "documents"), width=3, num=90, den=100)
