@@ -1,4 +1,4 @@
-"""Groups of any size as tasks of bounded size.
+"""Groups of any size as tasks of bounded size, and joins with few ids.
 
 A group is dealt out over blocks; every pair of blocks is a task, so that each pair of
 members meets in exactly one task that holds at most two blocks.
@@ -14,6 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Most ids that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """``ids`` (a written table of narrow rows), to be broadcast if it is small enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def only(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is in ``ids`` (doc_id, distinct), with the columns of ``documents``."""
+    return documents.join(small(ids), "doc_id", "left_semi").select(*documents.columns)
+
+
 def tasks(members: DataFrame, group: str, member: str, n_blocks: Column) -> DataFrame:
     """``members`` with the columns task, block, block_i and block_j: a row for each task
     the member is in. ``n_blocks`` is the same for all rows of a group."""

@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilmark.llm import blocks
+from veilmark.sources.shared import cut
+
 WIDTH = 5
 #: Most windows of benchmark items that are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -80,11 +83,11 @@ def find(documents: DataFrame, benchmark: DataFrame, share: float = 0.8) -> Data
     shared = of_documents.join(F.broadcast(items) if n_items <= BROADCAST_ROWS else items, "window")
     # First by alignment, so that what a document repeats is summed up before it moves on.
     aligned = shared.groupBy("doc_id", "item_id", "item_at").agg(F.min("at").alias("at"))
-    found = (
-        aligned.groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("n_found"), F.collect_list(F.struct("item_at", "at")).alias("places"))
+    found = cut(
+        aligned.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_found"), F.collect_list(F.struct("item_at", "at")).alias("places"))
         .join(sizes, "item_id")
-        .where(F.col("n_found") >= share * F.col("n_windows"))
+        .where(F.col("n_found") >= share * F.col("n_windows")),
+        "found",
     )
     agreement = _agreement(found, documents, benchmark)
     return (
@@ -109,8 +112,8 @@ def _agreement(found: DataFrame, documents: DataFrame, benchmark: DataFrame) ->
     own = places.join(item_slots, (places["i"] == item_slots["item_id"]) & (places["item_at"] == item_slots["item_at"])).select(
         "d", "i", places["at"], "kind", "item_value"
     )
-    texts = documents.join(own.select(F.col("d").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    slots = _slots(texts, "doc_id", "value").withColumnsRenamed({"doc_id": "s_id", "at": "s_at", "kind": "s_kind"})
+    ids = cut(own.select(F.col("d").alias("doc_id")).distinct(), "slot-ids")
+    slots = _slots(blocks.only(documents, ids), "doc_id", "value").withColumnsRenamed({"doc_id": "s_id", "at": "s_at", "kind": "s_kind"})
     pairs = own.join(slots, (own["d"] == slots["s_id"]) & (own["at"] == slots["s_at"]) & (own["kind"] == slots["s_kind"]))
     values = pairs.groupBy("d", "i", "kind", "item_value").agg(F.countDistinct("value").alias("n"))
     return values.groupBy("d", "i").agg(F.count("*").alias("n_values"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("n_agreeing"))
@@ -118,5 +121,5 @@ def _agreement(found: DataFrame, documents: DataFrame, benchmark: DataFrame) ->
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:
     """The documents that no benchmark item contaminates."""
-    hit = find(documents, benchmark, share).select(F.col("doc_id").alias("__hit")).distinct()
-    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["__hit"]), "left_anti")
+    hit = cut(find(documents, benchmark, share).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
+    return documents.join(blocks.small(hit), documents["doc_id"].eqNullSafe(hit["__hit"]), "left_anti")

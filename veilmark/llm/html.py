@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from veilmark.llm.arrow import batch, text_groups
 from veilmark.llm.urls import split_url
+from veilmark.sources.shared import cut
 
 SUPPORT = 3
 #: Most template texts that are broadcast; more are joined by a shuffle.
@@ -221,7 +222,7 @@ def templates(tokens: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     hosted = pages.select("page_id", "url", "html", split_url("url")[0].alias("host"))
-    template = templates(occurrences(hosted))
+    template = cut(templates(cut(occurrences(hosted), "tokens")), "template")
     by_host = template.groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("fixed"))
     joined = hosted.join(F.broadcast(by_host) if template.count() <= BROADCAST_ROWS else by_host, "host", "left")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

@@ -36,8 +36,6 @@ CELLS = 1 << 20
 BLOCK_GRAMS = 1 << 18
 #: Queries that run down a trie together.
 QUERIES = 128
-#: Most ids that are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def _rows(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -108,16 +106,10 @@ def _stored(documents: DataFrame, ids: DataFrame, width: int, level: np.ndarray)
             for _, found in _rows(part, width):
                 yield batch(schema, _digests(found), [ordered(f, level).astype(">u8").tobytes() for f in found])
 
-    own = only(documents, ids).select("text")
+    own = blocks.only(documents, ids).select("text")
     return cut(own.mapInArrow(store, "rep long, grams binary"), "sets").dropDuplicates(["rep"])
 
 
-def only(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is in ``ids`` (doc_id, distinct)."""
-    few = ids.count() <= BROADCAST_ROWS
-    return documents.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-
 class Trie:
     """Ordered sets as a compressed trie, run through by many queries at once."""
 
@@ -274,6 +266,6 @@ def keep_first(documents: DataFrame, width: int, num: int, den: int) -> DataFram
     """One document of each component: the one with the smallest id. Of rows that repeat
     that id with the same text one stays; rows with a NULL id stay."""
     found = cut(join(documents, width, num, den).where("doc_id = component_id"), "kept").groupBy("doc_id").agg(F.count("*").alias("c"))
-    once = only(documents, found.where("c = 1").select("doc_id"))
-    repeated = only(documents, found.where("c > 1").select("doc_id")).dropDuplicates(["doc_id", "text"])
+    once = blocks.only(documents, found.where("c = 1").select("doc_id"))
+    repeated = blocks.only(documents, found.where("c > 1").select("doc_id")).dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated).unionByName(documents.where("doc_id IS NULL"))

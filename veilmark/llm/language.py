@@ -16,13 +16,15 @@ go to the first language in alphabetical order. Repeated rows count as often as
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilmark.llm.arrow import batch, text_groups
 from veilmark.sources.shared import cut
@@ -246,38 +248,40 @@ def _scorer(key: str, model: str, p: np.ndarray) -> _Scorer:
     return _SCORERS[key]
 
 
-def predict(documents: DataFrame, model: str, languages: list[str], p: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep``, lang_pred and score of every row."""
-    import uuid
-
+def predictions(model: str, languages: list[str], p: np.ndarray) -> Callable[[Column], Column]:
+    """A function of a text column: lang_pred and score of each text, as a struct."""
     key = uuid.uuid4().hex
-    kinds = [documents.schema[c].dataType.simpleString() for c in keep]
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    def predict(column: pa.Array) -> pa.Array:
         scorer = _scorer(key, model, p)
-        for part in batches:
-            names, scores = [], []
-            for _, texts in text_groups(part.column(part.num_columns - 1)):
-                if not languages:
-                    names += ["und"] * len(texts)
-                    scores += [0.0] * len(texts)
-                    continue
-                logs = scorer.score(texts)
-                best = np.argmax(np.nan_to_num(logs, nan=0.0), axis=1)
-                share = 1 / np.exp(logs - logs[np.arange(len(logs)), best][:, None]).sum(axis=1)
-                empty = np.isnan(logs[:, 0])
-                names += ["und" if e else languages[b] for e, b in zip(empty, best, strict=True)]
-                scores += np.where(empty, 0.0, share).tolist()
-            columns = [part.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{c}` {k}" for c, k in zip(keep, kinds, strict=True))
-    return documents.select(*keep, F.col("text").alias("__text")).mapInArrow(score, f"{fields}, lang_pred string, score double")
+        names, scores = [], []
+        for _, texts in text_groups(column):
+            if not languages:
+                names += ["und"] * len(texts)
+                scores += [0.0] * len(texts)
+                continue
+            logs = scorer.score(texts)
+            best = np.argmax(np.nan_to_num(logs, nan=0.0), axis=1)
+            share = 1 / np.exp(logs - logs[np.arange(len(logs)), best][:, None]).sum(axis=1)
+            empty = np.isnan(logs[:, 0])
+            names += ["und" if e else languages[b] for e, b in zip(empty, best, strict=True)]
+            scores += np.where(empty, 0.0, share).tolist()
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+
+    return predict
 
 
 def identify(documents: DataFrame, training: Column, model: str, steps: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, learned from the documents
     for which ``training`` holds."""
-    languages, p = train(documents.where(training), model, steps)
-    marked = documents.withColumn("held_out", ~F.coalesce(training, F.lit(False)))
-    return predict(marked, model, languages, p, ("doc_id", "held_out"))
+    found = predictions(model, *train(documents.where(training), model, steps))(F.col("text"))
+    held_out = ~F.coalesce(training, F.lit(False))
+    return documents.select("doc_id", held_out.alias("held_out"), found.alias("found")).select("doc_id", "held_out", "found.*")
+
+
+def keep_known(documents: DataFrame, model: str, least: float = 0.5) -> DataFrame:
+    """The documents whose language is predicted with a score of ``least`` or more,
+    learned from all rows with a language."""
+    found = predictions(model, *train(documents, model))(F.col("text"))
+    return documents.where((found["lang_pred"] != "und") & (found["score"] >= least))

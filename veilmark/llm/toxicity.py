@@ -20,16 +20,18 @@ import math
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from veilmark.llm.arrow import batch, text_groups
+from veilmark.llm.arrow import Recent, batch, text_groups
 
-REMEMBER = 250_000
+#: Words of each age that a worker remembers.
+REMEMBER = 300_000
 PREFIXES = (4, 5, 6, 7, 8)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -140,43 +142,43 @@ def train(
     )
 
 
-_WEIGHTS: dict[str, dict[str, list[int]]] = {}
+_FEATURES: dict[str, Recent] = {}
 
 
-def score(documents: DataFrame, classifier: Classifier | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep``, score and predicted of every row."""
+def scores(classifier: Classifier | None) -> Callable[[Column], Column]:
+    """A function of a text column: the score of each text."""
     key = uuid.uuid4().hex
     weights = None if classifier is None else classifier.weights
     bias = 0.0 if classifier is None else classifier.bias
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _WEIGHTS:
-            _WEIGHTS.clear()
-            _WEIGHTS[key] = {}
-        of = _WEIGHTS[key]
-        for part in batches:
-            z = []
-            for _, texts in text_groups(part.column(part.num_columns - 1)):
-                if weights is None:
-                    z += [-np.inf] * len(texts)
-                    continue
-                sets = [set(_WORDS(t.lower())) for t in texts]
-                if len(of) > REMEMBER:
-                    of.clear()
-                for w in set().union(*sets).difference(of):
-                    of[w] = [f for f in features(w) if f in weights]
-                for words in sets:
-                    used = set()
-                    for w in words:
-                        if found := of[w]:
-                            used.update(found)
-                    z.append(bias + math.fsum(weights[f] for f in used))
-            with np.errstate(over="ignore"):
-                s = 1 / (1 + np.exp(-np.array(z, float)))
-            columns = [part.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[*keep, "score", "predicted"]
-            )
-
-    fields = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in keep)
-    return documents.select(*keep, F.col("text").alias("__text")).mapInArrow(rate, f"{fields}, score double, predicted int")
+    @F.arrow_udf(T.DoubleType())
+    def rate(column: pa.Array) -> pa.Array:
+        if key not in _FEATURES:
+            _FEATURES.clear()
+            _FEATURES[key] = Recent(REMEMBER)
+        seen, z = _FEATURES[key], []
+        for _, texts in text_groups(column):
+            if weights is None:
+                z += [-np.inf] * len(texts)
+                continue
+            sets = [set(_WORDS(t.lower())) for t in texts]
+            for w in seen.missing(set().union(*sets)):
+                seen.new[w] = [f for f in features(w) if f in weights]
+            for words in sets:
+                used = set().union(*filter(None, map(seen.new.__getitem__, words)))
+                z.append(bias + math.fsum(weights[f] for f in used))
+        with np.errstate(over="ignore"):
+            return pa.array(1 / (1 + np.exp(-np.array(z, float))), pa.float64())
+
+    return rate
+
+
+def score(documents: DataFrame, classifier: Classifier | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``keep``, score and predicted of every row."""
+    rated = documents.select(*keep, scores(classifier)(F.col("text")).alias("score"))
+    return rated.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not scored as toxic, learned from all labels."""
+    return documents.where(scores(train(documents, labels, F.lit(True)))(F.col("text")) < 0.5)

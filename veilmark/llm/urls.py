@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 4
-CELLS = 1 << 15
+CELLS = 1 << 14
 WEIGHT = 2.0
 ALPHABET = 64.0
 
@@ -56,7 +56,7 @@ def _marked(text: Column) -> Column:
     return F.concat(F.lit("^" * ORDER), text, F.lit("$"))
 
 
-def _counts(urls: DataFrame) -> list[float]:
+def _counts(urls: DataFrame) -> list[int]:
     """Cell -> how often, of all grams and contexts in ``urls`` (text, n)."""
     at = urls.select(_marked(F.col("text")).alias("t"), "n").select(
         "t", "n", F.explode(F.expr(f"sequence({ORDER + 1}, length(t))")).alias("i")
@@ -66,21 +66,21 @@ def _counts(urls: DataFrame) -> list[float]:
         *(_cell(F.expr(f"substring(t, i - {k}, {k})"), k, "context") for k in range(ORDER + 1)),
     )
     rows = at.select(F.explode(cells).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    out = [0.0] * CELLS
+    out = [0] * CELLS
     for r in rows:
-        out[r["cell"]] = float(r["n"])
+        out[r["cell"]] = int(r["n"])
     return out
 
 
-def _fixed(values: list[float]) -> Column:
+def _fixed(values: list[int]) -> Column:
     """A constant array of ``CELLS`` numbers."""
-    return F.from_json(F.lit(json.dumps(values)), "array<double>")
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<double>")
 
 
 class Models:
     """Cell counts of accepted and of rejected URLs, and the threshold between them."""
 
-    def __init__(self, accepted: list[float], rejected: list[float], threshold: float = 0.0):
+    def __init__(self, accepted: list[int], rejected: list[int], threshold: float = 0.0):
         self.accepted, self.rejected, self.threshold = accepted, rejected, threshold
 
     def difference(self, text: Column) -> Column:
