@@ -133,7 +133,7 @@ def train(
     if not p or not sum(map(len, p)):
         return None
     fitted = [
-        _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 3e-4, 8, 6.0)
+        _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 5e-4, 8, 5.0)
         for k in range(members)
     ]
     names = set().union(*(c.weights for c in fitted))
