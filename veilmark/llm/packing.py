@@ -20,6 +20,7 @@ import heapq
 import os
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -38,8 +39,8 @@ REMEMBER = 150_000
 PARTS = 1024
 
 
-_SIMPLE = re.compile(r"[ -&(-~À-ÖØ-öø-ÿ]*").fullmatch
-_PRE_TOKENS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+_SIMPLE = re.compile(r"[ \n\t\r!-&(-~À-ÖØ-öø-ÿ]*").fullmatch
+_PRE_TOKENS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -52,10 +53,11 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Token ids of texts, as little-endian bytes.
 
-    Spaces and line feeds always part pre-tokens, so the ids of a text are the ids of
-    what stands between them. Of that, runs of Latin letters, single digits and runs of
-    punctuation are pre-tokens of their own; anything else goes through the whole
-    tokenizer. What has been seen lately is remembered.
+    In texts of Latin letters, digits and plain punctuation, runs of letters, single
+    digits and runs of punctuation are pre-tokens, each encoded by the model alone. Of
+    other texts only the words between spaces and line feeds that are so simple go that
+    way, and all other words through the whole tokenizer: nothing crosses a space or line
+    feed. What has been seen lately is remembered.
     """
 
     def __init__(self, path: str):
@@ -65,7 +67,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.seen, self.runs = Recent(REMEMBER), Recent(REMEMBER)
+        self.seen = Recent(REMEMBER)
         printable = "".join(chr(c) for c in [*range(32, 127), *range(192, 256)])
         for probe in ("a  b\nc", "́x ́y\ńz", "Ab'S'll \t1 2,5..", printable, " ".join(printable), "ÄÉÿß!?ab12.", "日本 x"):
             if self.ids([probe])[0] != self._whole(probe):
@@ -74,19 +76,31 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _run(self, run: str) -> bytes:
-        spelled = run.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+    def _encode(self, word: str) -> bytes:
+        if word[0] == "\0":
+            return self._whole(word[1:])
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """Pre-tokens, and words marked with NUL that are none."""
+        if _SIMPLE(text) and "<|" not in text:
+            return _PRE_TOKENS(text.lower())
+        out = []
+        for word in text.replace("\n", " ").split(" "):
+            if _SIMPLE(word) and "<|" not in word:
+                out += _PRE_TOKENS(word.lower())
+            else:
+                out.append("\0" + word)
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        lists = [self._cut(t) for t in texts]
         new = self.seen.missing(set().union(*lists))
-        cuts = {w: _PRE_TOKENS(w.lower()) for w in new if _SIMPLE(w) and "<|" not in w}
-        runs = self.runs.missing(set().union(*cuts.values()))
-        self.runs.new.update((r, self._run(r)) for r in runs)
-        of = self.runs.new
-        self.seen.new.update((w, b"".join([of[r] for r in cuts[w]]) if w in cuts else self._whole(w)) for w in new)
-        return [b"".join(map(self.seen.new.__getitem__, words)) for words in lists]
+        of = self.seen.new
+        of.update(zip(new, map(self._encode, new), strict=True))
+        return [b"".join(map(of.__getitem__, words)) for words in lists]
 
 
 @cache
