@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,8 @@ from veilmark.llm.arrow import Recent, batch, text_groups
 #: Words of each age that a worker remembers.
 REMEMBER = 300_000
 PREFIXES = (4, 5, 6, 7, 8)
+#: Positive rows that a feature with a weight is in.
+LEAST = 8
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -41,16 +44,18 @@ def features(word: str) -> set[int]:
     return {zlib.crc32(f.encode()) for f in (word, *("^" + word[:k] for k in PREFIXES if len(word) >= k))}
 
 
-def _features(rows: DataFrame) -> DataFrame:
-    """positive, words: the hashed words of each sampled text."""
-    schema = pa.schema([("positive", pa.bool_()), ("words", pa.list_(pa.int64()))])
+def _features(rows: DataFrame, among: np.ndarray | None = None) -> list[np.ndarray]:
+    """The features of each text in ``rows``; with ``among``, those of them."""
+    schema = pa.schema([("words", pa.list_(pa.int32()))])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            words = [sorted(set().union(*map(features, set(_WORDS(t.lower()))))) for _, texts in text_groups(part["text"]) for t in texts]
-            yield batch(schema, part["positive"], words)
+            found = [np.array(sorted(set().union(*map(features, set(_WORDS(t.lower()))))), np.uint32) for _, texts in text_groups(part["text"]) for t in texts]
+            yield batch(schema, [(f if among is None else f[np.isin(f, among)]).view(np.int32) for f in found])
 
-    return rows.select("positive", "text").mapInArrow(hashed, "positive boolean, words array<long>")
+    column = rows.select("text").mapInArrow(hashed, "words array<int>").toArrow()["words"].combine_chunks()
+    values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+    return np.split(values, np.cumsum(pc.list_value_length(column).to_numpy())[:-1]) if len(column) else []
 
 
 def _sample(rows: DataFrame, n: int) -> DataFrame:
@@ -77,7 +82,7 @@ def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     seen = np.bincount(column[first], minlength=len(known)) + 0.5
     other = np.bincount(column[~first], minlength=len(known)) + 0.5
     odds = np.log(seen / len(positive)) - np.log(other / len(unlabelled))
-    used = np.flatnonzero((seen > least) & (np.abs(odds) >= sure * np.sqrt(1 / seen + 1 / other)))
+    used = np.flatnonzero((seen >= least) & (np.abs(odds) >= sure * np.sqrt(1 / seen + 1 / other)))
     place = np.full(len(known), -1)
     place[used] = np.arange(len(used))
     column = place[column]
@@ -124,16 +129,16 @@ def train(
         prior = min(max(tally["toxic"] / tally["n"], 0.01), 0.5)
     texts = documents.where(training).select("doc_id", "text")
     toxic = _sample(known.where("toxic = 1").select("doc_id"), positives)
-    marked = texts.join(toxic.withColumn("positive", F.lit(True)), "doc_id")
-    rows = _features(marked.unionByName(_sample(texts, unlabelled).withColumn("positive", F.lit(False)))).toArrow()
-    found = [np.array(w, np.int64) for w in rows["words"].to_pylist()]
-    yes = rows["positive"].to_pylist()
-    p = [f for f, y in zip(found, yes, strict=True) if y]
-    u = [f for f, y in zip(found, yes, strict=True) if not y]
+    marked = texts.join(F.broadcast(toxic), "doc_id")  # about ``positives`` ids
+    p = _features(marked)
     if not p or not sum(map(len, p)):
         return None
+    seen, n = np.unique(np.concatenate(p), return_counts=True)
+    frequent = seen[n >= LEAST]
+    p = [f[np.isin(f, frequent)] for f in p]
+    u = _features(_sample(texts, unlabelled), frequent)
     fitted = [
-        _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 5e-4, 8, 5.0)
+        _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 2e-4, LEAST, 5.0)
         for k in range(members)
     ]
     names = set().union(*(c.weights for c in fitted))
