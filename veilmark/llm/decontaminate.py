@@ -35,7 +35,7 @@ UNITS = (
     "euro", "cents", "cent", "percent", "degrees", "degree", "liters", "litres", "gallons", "pounds", "grams", "kilograms", "tons",
 )
 NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
-WITH_UNIT = rf"{NUMBER}[ ]?(%|{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))})([^\p{{L}}\p{{N}}]|$)"
+WITH_UNIT = rf"{NUMBER}[ ]?(%|(?i:{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))}))([^\p{{L}}\p{{N}}]|$)"
 NAME = r"([^.!?: \t\r\n][ \t\r\n]+)(\p{Lu}\p{Ll}+(?:[ ]\p{Lu}\p{Ll}+)*)"
 SPLIT = r"[^\p{L}\p{N}]+"
 # Placeholders start with a letter that no benchmark or document language uses.

@@ -3,12 +3,13 @@
 All n-grams have one global order: rarest first by a count sketch of fixed size, then by
 hash. A text's set in that order is a path in a trie. Two texts within the threshold
 share an n-gram among the first |x| - ceil(t |x|) + 1 of each (prefix filter), so the
-paths to compare meet below a shared prefix n-gram. Below each, first the smallest and
-largest id are compared with the other members and links are joined to components; what
-is then still in different components is compared in full. A comparison runs down a trie
-of the members' ordered sets: overlaps with all queries are kept per node and shared by
+paths to compare meet below a shared prefix n-gram. Below each, first two of the sets are
+paired with the other members and links are joined to components; then all members still
+in different components are paired. A pair is left out only where a bitmap of parities
+proves that the sets differ in too many n-grams. What is paired with one set goes into
+tries of ordered sets that this set runs down: the overlap is kept per node and shared by
 the paths below it, and a subtree is left when the overlap so far and the remaining
-lengths cannot reach the threshold for any query.
+lengths cannot reach the threshold.
 
 A node of the graph is a set, named by a 64-bit digest of its n-grams. Nothing is dropped: the sketch only decides the order, groups of any size are dealt out
 over pairs of blocks, and rows with equal sets are one class. A set is empty and links
@@ -30,10 +31,14 @@ from veilmark.llm import blocks, graph, shingles
 from veilmark.llm.arrow import batch, groups, utf8
 from veilmark.sources.shared import cut
 
-#: Cells of the count sketch.
-CELLS = 1 << 20
-#: n-grams in one block of a task.
-BLOCK_GRAMS = 1 << 18
+#: Cells of the count sketch, a byte each once they are levels.
+CELLS = 1 << 23
+#: Bits of a set's bitmap.
+BITS = 512
+#: Members of a prefix n-gram in one block of a task.
+BLOCK_ROWS = 2048
+#: n-grams in one trie.
+TRIE_GRAMS = 1 << 18
 #: Queries that run down a trie together.
 QUERIES = 128
 
@@ -44,70 +49,81 @@ def _rows(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarr
 
 
 def levels(documents: DataFrame, width: int) -> np.ndarray:
-    """Level of each sketch cell: the logarithm of how many rows hold an n-gram of it."""
-    step = 1 << 14
+    """Level of each sketch cell: the logarithm of about how many rows hold an n-gram of it."""
+    step = 1 << 16
     schema = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        total = np.zeros(CELLS, np.int32)
         for part in batches:
             for _, found in _rows(part, width):
-                total += np.bincount((np.concatenate(found) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                np.add.at(total, (np.concatenate(found) & np.uint64(CELLS - 1)).astype(np.int64), 1)
         if total.any():
-            small = total.astype(np.uint16 if total.max() < 1 << 16 else np.int64)
-            yield batch(schema, range(CELLS // step), [small[i : i + step].tobytes() for i in range(0, CELLS, step)])
+            small = np.minimum(total, 255).astype(np.uint8)
+            for i in range(0, CELLS, step):
+                yield batch(schema, [i // step], [small[i : i + step].tobytes()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for some in batches:
             for part, counts in zip(some["part"].to_pylist(), some["counts"].to_pylist(), strict=True):
-                of = np.frombuffer(counts, np.uint16 if len(counts) == 2 * step else np.int64)
-                held[part] = held.get(part, 0) + of.astype(np.int64)
-        if held:
-            yield batch(schema, list(held), [c.tobytes() for c in held.values()])
+                held[part] = held.get(part, 0) + np.frombuffer(counts, np.uint8).astype(np.int64)
+        for part, total in held.items():
+            yield batch(schema, [part], [np.minimum(16 * np.log2(1.0 + total), 255).astype(np.uint8).tobytes()])
 
     kinds = "part int, counts binary"
-    sums = documents.select("text").mapInArrow(count, kinds).repartition("part").mapInArrow(add, kinds)
-    total = np.zeros(CELLS, np.int64)
-    for r in sums.collect():  # CELLS numbers at most
-        total[r["part"] * step : (r["part"] + 1) * step] += np.frombuffer(r["counts"], np.int64)
-    return np.minimum(np.log2(1.0 + total) * 128, 4095).astype(np.uint64)
+    out = np.zeros(CELLS, np.uint8)
+    for r in documents.select("text").mapInArrow(count, kinds).repartition("part").mapInArrow(add, kinds).toLocalIterator():
+        out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["counts"], np.uint8)
+    return out
 
 
 def ordered(found: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """A set in the global order: 12 bits of level, 52 of hash."""
-    return np.sort((level[(found & np.uint64(CELLS - 1)).astype(np.int64)] << np.uint64(52)) | (found >> np.uint64(12)))
+    """A set in the global order: 8 bits of level, 56 of hash."""
+    return np.sort((level[(found & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (found >> np.uint64(8)))
 
 
-def _profiles(documents: DataFrame, width: int, level: np.ndarray, num: int, den: int) -> DataFrame:
-    """doc_id, n, rep, prefix: size and digest of each set, and its prefix n-grams."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+def _digests(found: list[np.ndarray]) -> np.ndarray:
+    return np.array([int(shingles.mix(f).sum()) for f in found], np.uint64).view(np.int64)
+
+
+def bitmaps(found: list[np.ndarray]) -> np.ndarray:
+    """A row of BITS / 64 numbers per set; each n-gram flips one bit. Two bitmaps differ in
+    no more bits than their sets in n-grams."""
+    row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    bit = (shingles.mix(np.concatenate(found) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(row * BITS + bit, minlength=len(found) * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(found), BITS), axis=1).view(np.int64)
+
+
+def _profiles(documents: DataFrame, width: int, level, num: int, den: int) -> DataFrame:
+    """doc_id, n, rep, bits, prefix: size, digest and bitmap of each set, and its prefix n-grams."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("rep", pa.int64()), ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))]
+    )
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             ids = part["doc_id"]
             for lo, found in _rows(part, width):
-                first = [ordered(f, level)[: len(f) - -(-num * len(f) // den) + 1].view(np.int64) if len(f) else [] for f in found]
-                yield batch(schema, ids.slice(lo, len(found)), [len(f) for f in found], _digests(found), first)
-
-    return documents.select("doc_id", "text").mapInArrow(profile, "doc_id long, n long, rep long, prefix array<long>")
+                first = [ordered(f, level.value)[: len(f) - -(-num * len(f) // den) + 1].view(np.int64) if len(f) else [] for f in found]
+                yield batch(schema, ids.slice(lo, len(found)), [len(f) for f in found], _digests(found), list(bitmaps(found)), first)
 
-
-def _digests(found: list[np.ndarray]) -> np.ndarray:
-    return np.array([int(shingles.mix(f).sum()) for f in found], np.uint64).view(np.int64)
+    return documents.select("doc_id", "text").mapInArrow(
+        profile, "doc_id long, n long, rep long, bits array<long>, prefix array<long>"
+    )
 
 
-def _stored(documents: DataFrame, ids: DataFrame, width: int, level: np.ndarray) -> DataFrame:
+def _stored(documents: DataFrame, ids: DataFrame, width: int, level) -> DataFrame:
     """rep, grams: the ordered sets of some documents."""
     schema = pa.schema([("rep", pa.int64()), ("grams", pa.binary())])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             for _, found in _rows(part, width):
-                yield batch(schema, _digests(found), [ordered(f, level).astype(">u8").tobytes() for f in found])
+                yield batch(schema, _digests(found), [ordered(f, level.value).astype(">u8").tobytes() for f in found])
 
-    own = blocks.only(documents, ids).select("text")
-    return cut(own.mapInArrow(store, "rep long, grams binary"), "sets").dropDuplicates(["rep"])
+    return blocks.only(documents, ids).select("text").mapInArrow(store, "rep long, grams binary")
 
 
 class Trie:
@@ -161,86 +177,104 @@ class Trie:
             nodes += [(a, b, end, overlap) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _joined(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b: links that join what is linked within each task. Rows with ``asks`` are the
-    queries and the others the members; without any, all rows are both."""
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: the ``pairs`` (center, rep, n) within the threshold, but for those that others
+    in the same task make needless. The sets paired with one center are dealt out over
+    tries of bounded size that the center's set runs down."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[int, int]] = []
         for group in blocks.groups(batches, "task"):
-            if group.num_rows < 2:
-                continue
             rep, asks = group["rep"].to_numpy(), group["asks"].to_numpy(zero_copy_only=False)
             sets = [np.frombuffer(g, ">u8").astype(np.uint64) for g in group["grams"].to_pylist()]
-            who = np.flatnonzero(asks) if asks.any() else np.arange(len(sets))
-            whom = np.flatnonzero(~asks) if asks.any() else who
-            if not len(whom):
+            who, whom = np.flatnonzero(asks), np.flatnonzero(~asks)
+            if not len(who) or not len(whom):
                 continue
             trie = Trie([sets[i] for i in whom])
-            root = {int(r): int(r) for r in rep}
-
-            def top(x: int) -> int:
-                while root[x] != x:  # noqa: B023
-                    root[x] = root[root[x]]  # noqa: B023
-                    x = root[x]
-                return x
-
             for lo in range(0, len(who), QUERIES):
                 some = who[lo : lo + QUERIES]
                 for row, hits in trie.run([sets[i] for i in some], num, den):
-                    for q in some[hits].tolist():
-                        a, b = int(rep[q]), int(rep[whom[row]])
-                        x, y = top(a), top(b)
-                        if x != y:
-                            root[x] = y
-                            found.append((a, b))
+                    found += [(rep[q], rep[whom[row]]) for q in some[hits].tolist()]
             if len(found) > 10_000:
                 yield batch(schema, *zip(*found, strict=True))
                 found = []
         if found:
             yield batch(schema, *zip(*found, strict=True))
 
-    return blocks.together(rows.select("task", "rep", "asks", "grams"), "task").mapInArrow(verify, "a long, b long")
+    grams = pairs.groupBy("center").agg(F.sum("n").alias("total"))
+    part = F.pmod(F.xxhash64("rep", F.lit(3)), F.ceil(F.col("total") / TRIE_GRAMS))
+    members = pairs.join(grams, "center").select("center", part.alias("part"), "rep", F.lit(False).alias("asks"))
+    centers = members.select("center", "part").distinct().select("center", "part", F.col("center").alias("rep"), F.lit(True).alias("asks"))
+    rows = members.union(centers).join(sets, "rep").select(F.xxhash64("center", "part").alias("task"), "rep", "asks", "grams")
+    return blocks.together(rows, "task").mapInArrow(verify, "a long, b long")
+
 
+def _room(n, m, num: int, den: int):
+    """In how many n-grams sets of these sizes may differ within the threshold."""
+    return n + m - 2 * -(-num * (n + m) // (num + den))
 
-def _stars(prefixes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of the first and the last set below each prefix n-gram."""
+
+def _stars(prefixes: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """center, rep, n: the first and the last set below each prefix n-gram with all others,
+    as far as sizes and bitmaps allow."""
     own = F.struct("rep", "n")
     ends = prefixes.groupBy("gram").agg(F.min(own).alias("first"), F.max(own).alias("last"))
     pairs = prefixes.join(ends, "gram").select(F.explode(F.array("first", "last")).alias("c"), "rep", "n")
-    pairs = pairs.select(F.col("c.rep").alias("center"), F.col("c.n").alias("center_n"), "rep", "n").where(
-        (F.col("rep") != F.col("center")) & (F.lit(den) * F.least("n", "center_n") >= F.lit(num) * F.greatest("n", "center_n"))
+    both = F.col("n") + F.col("m")
+    room = both - 2 * F.ceil(F.lit(num) * both / (num + den))
+    pairs = pairs.select(F.col("c.rep").alias("center"), F.col("c.n").alias("m"), "rep", "n").where(
+        (F.col("rep") != F.col("center")) & (F.abs(F.col("n") - F.col("m")) <= room)
     )
-    pairs = cut(pairs.select("center", "rep", "n").distinct(), "stars")
-    grams = pairs.groupBy("center").agg(F.sum("n").alias("grams"))
-    part = F.pmod(F.xxhash64("rep", F.lit(3)), F.ceil(F.col("grams") / BLOCK_GRAMS))
-    members = pairs.join(grams, "center").select("center", part.alias("part"), "rep", F.lit(False).alias("asks"))
-    centers = members.select("center", "part").distinct().select("center", "part", F.col("center").alias("rep"), F.lit(True).alias("asks"))
-    rows = members.union(centers).join(sets, "rep").withColumn("task", F.xxhash64("center", "part"))
-    return _joined(rows, num, den)
+    bits = profiles.select("rep", "bits")
+    differ = F.aggregate(F.zip_with("bits", "center_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    marked = pairs.distinct().join(bits, "rep").join(bits.select(F.col("rep").alias("center"), F.col("bits").alias("center_bits")), "center")
+    return marked.where(differ <= room).select("center", "rep", "n")
 
 
-def _rest(prefixes: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between what shares a prefix n-gram and is not in one component yet."""
+def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+    """center, rep, n: pairs of members of a prefix n-gram that are not in one component
+    yet, as far as sizes and bitmaps allow."""
+    schema = pa.schema([("center", pa.int64()), ("rep", pa.int64()), ("n", pa.int64())])
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in blocks.groups(batches, "task"):
+            if group.num_rows < 2:
+                continue
+            rep, n, component, block = (group[c].to_numpy() for c in ("rep", "n", "component", "block"))
+            bits = group["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
+            apart = group["block_i"][0] != group["block_j"][0]
+            for lo in range(0, len(rep), 64):
+                a = slice(lo, lo + 64)
+                room = _room(n[a, None], n[None, :], num, den)
+                near = (component[a, None] != component[None, :]) & (rep[a, None] < rep[None, :]) & (np.abs(n[a, None] - n[None, :]) <= room)
+                if apart:
+                    near &= block[a, None] != block[None, :]  # pairs of one block have a task of their own
+                i, j = np.nonzero(near)
+                keep = np.bitwise_count(bits[lo + i] ^ bits[j]).sum(axis=1) <= room[i, j]
+                if keep.any():
+                    i, j = i[keep], j[keep]
+                    yield batch(schema, rep[lo + i], rep[j], n[j])
+
     placed = prefixes.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     ends = prefixes.groupBy("gram").agg(F.min("rep").alias("first"), F.max("rep").alias("last"))
     untried = placed.join(ends, "gram").where("rep != first AND rep != last").select("gram", "rep", "n", "component")
     among = untried.groupBy("gram").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"), F.count("*").alias("k"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("k"),
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(5))).alias("y"),
     ).where("low != high")
     # Equal groups below different n-grams are compared once.
-    once = among.groupBy("x", "y", "k", "total").agg(F.min("gram").alias("gram")).select("gram", "total")
-    members = untried.join(once, "gram").select("gram", "total", "rep")
-    tasks = blocks.tasks(members, "gram", "rep", F.ceil(F.col("total") / BLOCK_GRAMS)).select("task", "rep", F.lit(False).alias("asks"))
-    return _joined(tasks.join(sets, "rep"), num, den)
+    once = among.groupBy("x", "y", "k").agg(F.min("gram").alias("gram")).select("gram", "k")
+    members = untried.join(once, "gram")
+    tasks = blocks.tasks(members, "gram", "rep", F.ceil(F.col("k") / BLOCK_ROWS)).join(profiles.select("rep", "bits"), "rep")
+    columns = ("task", "rep", "n", "component", "bits", "block", "block_i", "block_j")
+    return blocks.together(tasks.select(*columns), "task").mapInArrow(pair, "center long, rep long, n long").distinct()
 
 
 def join(documents: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every document: components of the links
     ``den * intersection >= num * union``."""
-    level = levels(documents, width)
+    level = documents.sparkSession.sparkContext.broadcast(levels(documents, width))
     profiles = cut(_profiles(documents, width, level, num, den), "profiles")
     linkable = profiles.where("n > 0 AND doc_id IS NOT NULL")
     grams = linkable.select("rep", "n", F.explode("prefix").alias("gram"))
@@ -248,17 +282,23 @@ def join(documents: DataFrame, width: int = 3, num: int = 90, den: int = 100) ->
     meeting = cut(grams.join(shared, "gram", "left_semi").distinct(), "meeting")
     several = meeting.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     prefixes = cut(meeting.join(several, "gram", "left_semi"), "prefixes")
-    classes = linkable.groupBy("rep").agg(F.min("doc_id").alias("doc_id"))
-    sets = _stored(documents, classes.join(prefixes.select("rep").distinct(), "rep", "left_semi").select("doc_id").distinct(), width, level)
-    star = cut(_stars(prefixes, sets, num, den), "star-links")
+    classes = cut(linkable.groupBy("rep").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")), "classes")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs, "pairs")
+        wanted = pairs.select("rep").union(pairs.select("center")).distinct()
+        ids = cut(classes.join(wanted, "rep", "left_semi").select("doc_id").distinct(), "set-ids")
+        return cut(_verified(pairs, _stored(documents, ids, width, level), num, den), "links")
+
+    star = links(_stars(prefixes, classes, num, den))
     joined = cut(graph.components(star).withColumnRenamed("id", "rep"), "first-components")
-    rest = _rest(prefixes, joined, sets, num, den)
+    rest = links(_rest(prefixes, classes, joined, num, den))
     final = graph.components(star.union(rest)).withColumnRenamed("id", "rep")
-    of_class = classes.join(final, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    smallest = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = of_class.join(smallest, "component").select("rep", "component_id")
+    named = classes.join(final, "rep", "left").select("rep", "doc_id", F.coalesce("component", "rep").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(smallest, "component").select("rep", "component_id")
     empty = profiles.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    rows = linkable.join(named, "rep").select("doc_id", "n", "component_id").union(empty)
+    rows = linkable.select("rep", "doc_id", "n").join(named, "rep").select("doc_id", "n", "component_id").union(empty)
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
