@@ -240,3 +240,8 @@ def test_losses(spark):
     for r, a, t in zip(rows, np.array(z), y):
         for value, kind, weights in ((r["ce"], "cross_entropy", (1, 1)), (r["w"], "weighted", (1.0, 2.0)), (r["s"], "sigmoid", (1.0, 3.0))):
             assert value == pytest.approx(kernels.loss_and_slope(kind, a[None], np.array([float(t)]), weights)[0][0])
+
+
+def test_runs_without_a_metric_have_no_rank(spark):
+    rows = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.7), ("a", 0.1)], "run string, f1 double")
+    assert {r["run"]: r["rank"] for r in evaluate.rank_runs(rows, "run", "f1").collect()} == {"c": 1, "a": 2}

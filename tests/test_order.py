@@ -37,11 +37,10 @@ def test_ordered_split(spark):
     assert {r["id"]: r["split"] for r in rows} == {i: "train" if i < 18 else "val" if i < 20 else "test" for i in range(23)}
 
 
-@pytest.mark.parametrize("small", [100, 0])
-def test_sample(spark, small):
-    got = {r["id"] for r in order.sample_rows(spark.range(300), ["id"], 50, small=small).collect()}
+def test_sample(spark):
+    got = {r["id"] for r in order.sample_rows(spark.range(300), ["id"], 50).collect()}
     assert got == set(sorted(range(300), key=lambda i: digest(42, i))[:50])
-    assert order.sample_rows(spark.range(10), ["id"], 50, small=small).count() == 10
+    assert order.sample_rows(spark.range(10), ["id"], 50).count() == 10
 
 
 def test_batches_cover_all_rows(spark):
@@ -81,3 +80,20 @@ def test_position_with_ties(spark):
     df = spark.createDataFrame([(1, i) for i in range(40)] + [(0, 99)], "a int, b int")
     rows = order.ordered_position(df, ["a", "b"]).collect()
     assert sorted((r["position"], r["a"], r["b"]) for r in rows) == [(0, 0, 99)] + [(i + 1, 1, i) for i in range(40)]
+
+
+def test_null_keys_keep_their_totals(spark):
+    rows = spark.range(200).select(F.lit(None).cast("string").alias("k"), F.col("id").cast("double").alias("at"))
+    rows = rows.union(spark.range(50).select(F.lit("a"), F.col("id").cast("double")))
+    got = order.running(rows, ["k"], ["at"], {"n": ("sum", F.lit(1))}).groupBy("k").agg(F.max("n").alias("n")).collect()
+    assert {r["k"]: r["n"] for r in got} == {None: 200, "a": 50}
+
+
+def test_samples_are_exact(spark):
+    rows = spark.range(1000).repartition(7)
+    for n in (0, 1, 37, 999, 1000, 5000):
+        got = order.sample_rows(rows, ["id"], n)
+        assert got.count() == min(n, 1000)
+    few = {r["id"] for r in order.sample_rows(rows, ["id"], 37).collect()}
+    assert few == {r["id"] for r in order.sample_rows(rows.repartition(3), ["id"], 37).collect()}
+    assert few <= {r["id"] for r in order.sample_rows(rows, ["id"], 38).collect()}

@@ -206,3 +206,10 @@ def test_tagger(spark):
     tokens = ["Ann", "NASA", "A", "x@y.z", "555-123-4567x", "123-45-6789", "word", "McDonald", "Ünal", "x@y"]
     got = spark.createDataFrame([(tokens,)], "t array<string>").select(lb.tags(F.col("t")).alias("y")).first()["y"]
     assert got == ["B-PERSON", "O", "O", "B-EMAIL", "B-PHONE", "B-SSN", "O", "B-PERSON", "B-PERSON", "O"]
+
+
+def test_raw_rows_with_too_many_fields(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('a,b\nlong,,extra\nlong,x,\n"q,""r",s\nshort\n"two\nlines, x",\nlonger,,,,\n')
+    rows = files.read_raw_corpus(spark, str(path), ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in rows) == sorted([('q,"r', "s"), ("short", None), ("two\nlines, x", None)], key=str)

@@ -23,8 +23,38 @@ class Pattern:
 
     @property
     def java(self) -> str:
-        # U: Unicode \w \d \b \s (and case folding); d: only \n ends a line.
-        return f"(?{'i' if self.ignore_case else ''}Ud){self.regex}"
+        # i, u: ignore case by Unicode's rules; d: only \n ends a line.
+        return f"(?{'iu' if self.ignore_case else ''}d){spelled_out(self.regex)}"
+
+
+# What \w, \d and \s stand for: letters, all numbers and the underscore; decimal digits;
+# white space with the four separators U+001C-U+001F. Engines differ on marks, joiners
+# and superscripts, so the classes are always written out.
+WORD_CLASS = r"\p{L}\p{N}_"
+DIGIT_CLASS = r"\p{Nd}"
+SPACE_CLASS = r"\t-\r\x1c-\x20\x85\p{Z}"
+_SHORT = {"w": WORD_CLASS, "d": DIGIT_CLASS, "s": SPACE_CLASS}
+_BORDER = f"(?:(?<=[{WORD_CLASS}])(?![{WORD_CLASS}])|(?<![{WORD_CLASS}])(?=[{WORD_CLASS}]))"
+
+
+def spelled_out(regex: str) -> str:
+    """``regex`` with its shorthands and word borders written as classes."""
+    out, inside, at = [], False, 0
+    while at < len(regex):
+        c = regex[at : at + 2] if regex[at] == "\\" else regex[at]
+        at += len(c)
+        if c == "[" and not inside:
+            inside = True
+        elif c == "]":
+            inside = False
+        if c == "\\b" and not inside:
+            out.append(_BORDER)
+        elif c[0] == "\\" and c[1:].lower() in _SHORT and (c[1].islower() or not inside):
+            own = _SHORT[c[1].lower()]
+            out.append(own if inside else f"[{'^' if c[1].isupper() else ''}{own}]")
+        else:
+            out.append(c)
+    return "".join(out)
 
 
 # -- fixed values: six core patterns -----------------------------------------

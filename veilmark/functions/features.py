@@ -83,7 +83,7 @@ def improved(text: Column) -> dict[str, Column]:
         "length": _scaled(text, 50, 2.0),
         "has_at": _flag(tx.has_at(text)),
         "is_email": _flag(text.rlike(catalog.SEARCH_EMAIL)),
-        "has_phone": _flag(text.rlike(f"(?U){catalog.SEARCH_PHONE}")),
+        "has_phone": _flag(text.rlike(catalog.spelled_out(catalog.SEARCH_PHONE))),
         "digit_ratio": tx.digit_ratio(text),
         "many_digits": _flag(tx.digit_ratio(text) > 0.3),
         "has_title": _flag(text.rlike(tx.HAS_LONG_TITLE_WORD)),

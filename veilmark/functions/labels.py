@@ -34,8 +34,8 @@ def tag(token: Column) -> Column:
             F.when(tx.is_all_caps(token), OUTSIDE).otherwise("B-PERSON"),
         )
         .when(F.contains(token, F.lit("@")) & F.contains(token, F.lit(".")), "B-EMAIL")
-        .when(token.rlike(f"(?U)^{catalog.TAGGER_PHONE}"), "B-PHONE")
-        .when(token.rlike(f"(?U)^{catalog.TAGGER_SSN}"), "B-SSN")
+        .when(token.rlike(f"^{catalog.spelled_out(catalog.TAGGER_PHONE)}"), "B-PHONE")
+        .when(token.rlike(f"^{catalog.spelled_out(catalog.TAGGER_SSN)}"), "B-SSN")
         .otherwise(OUTSIDE)
     )
 

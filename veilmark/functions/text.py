@@ -97,7 +97,7 @@ def dot_after_last_at(text: Column) -> Column:
 def uniform(*parts: Column) -> Column:
     """Reproducible number in [0, 1) from the values of ``parts``."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def pick(pool: list[str] | tuple[str, ...], *parts: Column) -> Column:

@@ -247,8 +247,9 @@ def compare_budgets(results: DataFrame) -> DataFrame:
 
 
 def rank_runs(history: DataFrame, run: str, metric: str, min_runs: int = 2) -> DataFrame:
-    """Best metric per run with its rank; empty unless at least ``min_runs`` runs exist."""
-    best = cut(history.groupBy(run).agg(F.max(metric).alias("best")), "runs")
+    """Best metric per run with its rank, without runs that have no metric; empty unless at
+    least ``min_runs`` runs remain."""
+    best = history.groupBy(run).agg(F.max(metric).alias("best")).where("best IS NOT NULL")
     runs = best.agg(F.count(F.lit(1))).scalar()
     down = best.where(runs >= min_runs).withColumn("_down", -F.col("best"))
     ahead = running(

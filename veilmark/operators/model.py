@@ -88,11 +88,10 @@ def load_model(spark: SparkSession, path: str, name: str | None = None) -> Model
     """Model from a parameter table; ``name`` defaults to the best, then the last."""
     rows = spark.read.parquet(path)
     if name is None:
-        known = [r["model"] for r in rows.select("model").distinct().limit(1000).collect()]
-        ranked = [n for n in known if n.startswith("best")] or [n for n in known if n.startswith("last")] or known
-        if not ranked:
-            raise FileNotFoundError(f"no model parameters in {path}")
-        name = sorted(ranked)[0]
+        first = rows.agg(*[F.min(F.when(F.col("model").startswith(p), F.col("model"))).alias(p) for p in ("best", "last")]).first()
+        name = first["best"] or first["last"]
+        if name is None:
+            raise FileNotFoundError(f"no best or last model in {path}")
     layers = rows.where(F.col("model") == name).orderBy("layer").collect()
     if not layers:
         raise FileNotFoundError(f"no model {name!r} in {path}")

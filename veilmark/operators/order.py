@@ -9,6 +9,8 @@ totals supplies what comes before it. Bucket borders never change the result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,8 +109,10 @@ def running(
             results[n] = F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
         else:
             results[n] = F.greatest(here, past) if fn == "max" else F.least(here, past)
-    helpers = ["_slice"] + [f"_{p}_{n}" for n in aggs for p in ("v", "c")]
-    return sliced.join(carry, group, "left").withColumns(results).drop(*helpers)
+    helpers = [f"_{p}_{n}" for n in aggs for p in ("v", "c")]
+    named = carry.withColumnsRenamed({g: f"_k_{g}" for g in group})
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_k_{g}")) for g in group])
+    return sliced.join(named, same, "left").withColumns(results).drop("_slice", *helpers, *(f"_k_{g}" for g in group))
 
 
 def ordered_position(df: DataFrame, order: Sequence[str], out: str = "position", slices: int = 64) -> DataFrame:
@@ -150,12 +154,22 @@ def ordered_split(
     return placed.withColumn("split", split_label(F.col("position"), n, ratios, names))
 
 
-def sample_rows(df: DataFrame, ids: Sequence[str], n: int, seed: int = 42, small: int = 100_000) -> DataFrame:
-    """Exactly n rows without replacement; all rows if there are no more than n."""
+def sample_rows(df: DataFrame, ids: Sequence[str], n: int, seed: int = 42) -> DataFrame:
+    """Exactly n rows without replacement; all rows if there are no more than n.
+
+    Bucket totals tell in which bucket of the hashed order the n-th row is. Rows of
+    earlier buckets stay by a plain filter on their key; only the ids of that one
+    bucket are ranked, so rows themselves are not moved.
+    """
     key = shuffle_key(seed, *[F.col(i) for i in ids])
-    if n <= small:
-        return df.withColumn("_key", key).orderBy("_key").limit(n).drop("_key")
-    return hashed_position(df, key, "_at", "_n").where(F.col("_at") < n).drop("_at", "_n")
+    keys = df.select(key.alias("_key")).withColumn("_bucket", F.substring("_key", 1, 4))
+    totals = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))  # 65,536 rows at most
+    upto = F.sum("_rows").over(Window.orderBy("_bucket"))
+    bucket = totals.withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_bucket").limit(1)
+    last = keys.join(F.broadcast(bucket), "_bucket")
+    rank = F.row_number().over(Window.orderBy("_key"))  # the rows of one bucket in 65,536
+    cut = last.withColumn("_at", rank + F.col("_upto") - F.col("_rows")).where(F.col("_at") == n).agg(F.max("_key")).scalar()
+    return df.where(F.lit(n) > 0).where(key <= F.coalesce(cut, F.lit("g")))  # hex digits end before g
 
 
 def budget_sample_size(n: int, epsilon: float, validation: bool = False) -> int:

@@ -9,7 +9,7 @@ from veilmark.sources import files
 from veilmark.sources.shared import cut
 
 
-def prepare(raw: DataFrame, n_samples: int | None = 5000, seed: int = 42) -> DataFrame:
+def prepare(raw: DataFrame, n_samples: int | None = None, seed: int = 42) -> DataFrame:
     """(text, labels, split) of a raw corpus table."""
     rows = files.clean_corpus(files.map_corpus(raw))
     ids = ["text", "labels"]
@@ -20,7 +20,7 @@ def prepare(raw: DataFrame, n_samples: int | None = 5000, seed: int = 42) -> Dat
     return split.select(*ids, "split", "position")
 
 
-def run(spark: SparkSession, path: str, columns: list[str], out: str, n_samples: int | None = 5000) -> dict[str, DataFrame]:
+def run(spark: SparkSession, path: str, columns: list[str], out: str, n_samples: int | None = None) -> dict[str, DataFrame]:
     """Prepare a CSV corpus and write splits, split statistics and the profile."""
     rows = cut(prepare(files.read_raw_corpus(spark, path, columns), n_samples), "corpus")
     files.write_splits(rows.drop("position"), f"{out}/splits")

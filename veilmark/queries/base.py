@@ -132,4 +132,4 @@ def tag_case(t: str) -> str:
 
 def uniform_sql(*parts: str) -> str:
     joined = " || '|' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CAST(('0x' || substr(md5({joined}), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+    return f"(CAST(('0x' || substr(md5({joined}), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE)"

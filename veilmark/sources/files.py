@@ -73,16 +73,17 @@ def write_json(df: DataFrame, out: str) -> None:
 def read_raw_corpus(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Raw CSV with a header; rows with too many fields are skipped, short ones padded.
 
-    Permissive parsing keeps both kinds as corrupt records; a short one is told
-    from a long one by its missing last column.
+    Permissive parsing keeps both kinds as corrupt records; a short one has too few
+    commas outside its quoted fields.
     """
     schema = ", ".join(f"`{c}` string" for c in columns) + ", _bad string"
     rows = spark.read.csv(
         path, schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE",
         columnNameOfCorruptRecord="_bad",
     )
-    short = F.col("_bad").isNotNull() & F.col(f"`{columns[-1]}`").isNull()
-    return rows.where(F.col("_bad").isNull() | short).drop("_bad")
+    unquoted = F.regexp_replace("_bad", r'"(?:[^"]|"")*"', "")
+    n_fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    return rows.where(F.col("_bad").isNull() | (n_fields < len(columns))).drop("_bad")
 
 
 def map_corpus(df: DataFrame) -> DataFrame:
