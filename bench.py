@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -40,6 +41,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="veilmark-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ def spark():
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="veilmark-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -71,12 +71,14 @@ def binary(labels: Column) -> Column:
     return F.transform(labels, lambda x: is_pii(x).cast("int"))
 
 
+def class_of(label: Column) -> Column:
+    """0 = O, 1 = B-, 2 = I-."""
+    return F.when(label.startswith("B-"), 1).when(label.startswith("I-"), 2).otherwise(0)
+
+
 def classes(labels: Column, max_len: int) -> Column:
-    """0 = O, 1 = B-, 2 = I-, cut or padded with 0."""
-    ids = F.transform(
-        labels, lambda x: F.when(x.startswith("B-"), 1).when(x.startswith("I-"), 2).otherwise(0)
-    )
-    return pad(ids, F.lit(max_len), F.lit(0))
+    """The class of each label, cut or padded with 0."""
+    return pad(F.transform(labels, class_of), F.lit(max_len), F.lit(0))
 
 
 def entity_type(label: Column) -> Column:

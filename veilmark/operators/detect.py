@@ -102,8 +102,8 @@ def words(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
 
 
 @cache
-def _chunk_array(text: str, size: int) -> Column:
-    """``array<struct<chunk,context,start,end>>`` of one text.
+def _chunk_array(text: str, size: int, context: bool = True) -> Column:
+    """``array<struct<chunk,context,start,end>>`` of one text; the context is optional.
 
     A chunk is its words joined by one blank; start and end are the character
     range in the source from its first to its last word. The context is the
@@ -123,10 +123,12 @@ def _chunk_array(text: str, size: int) -> Column:
                 def one(c: Column, i: Column) -> Column:
                     before = F.when(i > 0, F.get(chunk, i - 1)).otherwise("")
                     after = F.get(chunk, i + 1)
+                    around = [F.when(after.isNotNull(), F.concat(before, F.lit(" "), after)).otherwise(before).alias("context")]
+                    around = around if context else []
                     last = F.least(i * step + size, n)
                     return F.struct(
                         c.alias("chunk"),
-                        F.when(after.isNotNull(), F.concat(before, F.lit(" "), after)).otherwise(before).alias("context"),
+                        *around,
                         F.get(ends, 2 * i * step).alias("start"),
                         F.get(ends, 2 * last - 1).alias("end"),
                     )
@@ -167,7 +169,7 @@ def model_chunk_spans(df: DataFrame, model: Model, text: str = "text", out: str
     features is combined by index. The model sees one Arrow batch of feature
     arrays and returns one probability array per row.
     """
-    arr = df.withColumn("_c", _chunk_array(text, size))
+    arr = df.withColumn("_c", _chunk_array(text, size, context=False))
 
     facts = arr.withColumn("_f", F.transform(F.col("_c"), lambda c: ft.chunk_facts(c["chunk"])))
     features = F.transform(

@@ -22,6 +22,8 @@ from veilmark.functions.text import uniform
 from veilmark.sources.shared import scratch_path
 
 ROWS_PER_FILE = 50_000
+#: Folders of the draws of one training.
+FOLDERS = 256
 PARAMS_SCHEMA = "model string, epsilon double, layer int, w array<array<double>>, b array<double>"
 
 
@@ -165,33 +167,50 @@ class Trained:
 def draw_steps(data: DataFrame, ids: list[str], steps: int, q: float, seed: int) -> DataFrame:
     """Poisson sampling for all steps in one pass: (step, features, label, key).
 
-    Each row joins each step with probability q, by a reproducible hash. The
-    result holds about steps * q * n rows, grouped by step when written.
+    Each row joins each step with probability q. The gaps between the steps of a row
+    are geometric, so a row jumps from hit to hit: the work is the expected number of
+    hits, whatever the number of steps. A row takes up to a number of hits that is
+    exceeded with a chance below 1e-20.
     """
-    hit = F.filter(
-        F.sequence(F.lit(0), F.lit(steps - 1)),
-        lambda s: uniform(F.lit(seed), s, *[F.col(i) for i in ids]) < q,
-    )
-    return data.select("features", "label", F.xxhash64(*ids).alias("key"), F.explode(hit).alias("step"))
+    mean = steps * q
+    most = math.ceil(min(steps, mean + 12 * math.sqrt(mean) + 40))
+
+    def jump(state: Column, i: Column) -> Column:
+        u = uniform(F.lit(seed), i, *[F.col(c) for c in ids])
+        gap = F.floor(F.log(1 - u) / F.lit(math.log1p(-q))) if q < 1 else F.lit(0)
+        at = F.least(state["at"] + 1 + gap, F.lit(steps)).cast("long")
+        return F.struct(at.alias("at"), F.when(at < steps, F.array_append(state["hits"], at)).otherwise(state["hits"]).alias("hits"))
+
+    start = F.struct(F.lit(-1).cast("long").alias("at"), F.array().cast("array<bigint>").alias("hits"))
+    hits = F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, jump)["hits"]
+    drawn = data.select("features", "label", F.xxhash64(*ids).alias("key"), F.explode_outer(hits).alias("step"))
+    return drawn.where("step IS NOT NULL").withColumn("step", F.col("step").cast("int"))
+
+
+def _folder_of(steps: int) -> int:
+    """Steps that share a folder, so that there are at most FOLDERS of them."""
+    return max(1, math.ceil(steps / FOLDERS))
 
 
-def _write_draws(draws: DataFrame, path: str, batch_size: int) -> None:
-    """One folder per step; a large batch is spread over several files by row
-    key, so that its gradient is computed by several tasks."""
+def _write_draws(draws: DataFrame, path: str, batch_size: int, steps: int) -> None:
+    """Folders of consecutive steps, sorted by step; a large batch is spread over several
+    files by row key, so that its gradient is computed by several tasks."""
     parts = max(1, math.ceil(batch_size / ROWS_PER_FILE))
-    spread = draws.withColumn("_part", F.pmod("key", F.lit(parts))).repartition("step", "_part")
-    spread.select("features", "label", "step").write.partitionBy("step").parquet(path)
+    foldered = draws.withColumn("folder", F.floor(F.col("step") / _folder_of(steps)).cast("int"))
+    spread = foldered.withColumn("_part", F.pmod("key", F.lit(parts))).repartition("folder", "_part").sortWithinPartitions("folder", "step")
+    spread.select("features", "label", "step", "folder").write.partitionBy("folder").parquet(path)
 
 
-def _read_step(spark: SparkSession, path: str, step: int) -> DataFrame:
-    """The rows drawn for one step, without listing the others; maybe none."""
-    schema = "features array<double>, label int"
+def _read_step(spark: SparkSession, path: str, step: int, steps: int) -> DataFrame:
+    """The rows drawn for one step, without listing the other folders; maybe none."""
+    schema = "features array<double>, label int, step int"
     try:
-        return spark.read.schema(schema).parquet(f"{path}/step={step}")
+        found = spark.read.schema(schema).parquet(f"{path}/folder={step // _folder_of(steps)}")
+        return found.where(F.col("step") == step).drop("step")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).drop("step")
 
 
 def train(
@@ -213,12 +232,17 @@ def train(
 
     Deliberate differences from common practice in small scripts: clipping is per
     example, every step draws fresh noise (``seed`` is for tests only), and
-    no budget floor applies unless the strategy names one.
+    no budget floor applies unless the strategy names one. Without ``validation`` a tenth
+    of the rows, by hash of their ids, is held out for it (all rows, if that is none).
     """
     strategy = STRATEGIES[strategy] if isinstance(strategy, str) else strategy
     spark = data.sparkSession
     sample_seed = seed if seed is not None else secrets.randbits(31)
     noise_rng = np.random.default_rng(seed if seed is not None else secrets.randbits(128))
+    if validation is None:
+        held_out = uniform(F.lit("validation"), F.lit(init_seed), *[F.col(i) for i in ids]) < 0.1
+        if not data.where(held_out).isEmpty() and not data.where(~held_out).isEmpty():
+            data, validation = data.where(~held_out), data.where(held_out)
     facts = data.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("d")).first()
     n, width = facts["n"], facts["d"]
     if not n:
@@ -228,7 +252,7 @@ def train(
     steps = epochs * per_epoch
 
     drawn_path = scratch_path(spark, "draws")
-    _write_draws(draw_steps(data, ids, steps, q, sample_seed), drawn_path, batch_size)
+    _write_draws(draw_steps(data, ids, steps, q, sample_seed), drawn_path, batch_size, steps)
 
     dims = [width, hidden, hidden // 2, 2]
     models = [Model.random(dims, init_seed, f"eps_{e}", e) for e in budgets]
@@ -241,7 +265,7 @@ def train(
     for epoch in range(epochs):
         losses = {k: [0.0, 0.0, 0] for k in active}
         for step in range(epoch * per_epoch, (epoch + 1) * per_epoch):
-            rows = _read_step(spark, drawn_path, step)
+            rows = _read_step(spark, drawn_path, step, steps)
             sums = _step_sums(rows, [models[k] for k in active], strategy, width)
             for slot, k in enumerate(active):
                 grad, loss, norm, count = sums.get(slot, (np.zeros(models[k].flat().size), 0.0, 0.0, 0))

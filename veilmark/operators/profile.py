@@ -64,21 +64,27 @@ def label_distribution(df: DataFrame, labels: str = "labels") -> DataFrame:
 
 def label_summary(df: DataFrame, labels: str = "labels") -> DataFrame:
     """One row: distinct labels, labels per row, PII and other tokens, entity types."""
-    size = F.size(labels)
-    per_row = df.agg(F.avg(size).alias("labels_mean"), F.stddev_samp(size).alias("labels_std"))
-    dist = label_distribution(df, labels)
-    over = dist.agg(
-        F.count(F.lit(1)).alias("unique_labels"),
+    # The first label of a row also carries the row's size, so one pass counts both.
+    size = F.size(labels).cast("long")
+    rows = df.select(size.alias("_size"), F.posexplode_outer(labels).alias("_at", "label"))
+    of_row = F.when(F.coalesce(F.col("_at"), F.lit(0)) == 0, F.col("_size"))
+    counted = rows.groupBy("label").agg(
+        F.count("label").alias("n"), F.count(of_row).alias("_rows"), F.sum(of_row).alias("_sum"), F.sum(of_row * of_row).alias("_squares")
+    )
+    n, total, squares = F.sum("_rows"), F.sum("_sum"), F.sum("_squares")
+    mean = total / n
+    over = counted.agg(
+        mean.alias("labels_mean"),
+        F.when(n > 1, F.sqrt((squares - total * mean) / (n - 1))).alias("labels_std"),
+        F.count("label").alias("unique_labels"),
         F.sum(F.when(lb.is_pii(F.col("label")), F.col("n")).otherwise(0)).alias("pii_tokens"),
         F.sum(F.when(lb.is_pii(F.col("label")), 0).otherwise(F.col("n"))).alias("other_tokens"),
         F.array_sort(F.collect_set(lb.entity_type(F.col("label")))).alias("entity_types"),
     )
-    row = per_row.select(F.struct("*")).scalar()
     return over.select(
-        "*",
+        "unique_labels", "pii_tokens", "other_tokens", "entity_types",
         ratio(F.col("pii_tokens"), F.col("pii_tokens") + F.col("other_tokens")).alias("pii_ratio"),
-        row["labels_mean"].alias("labels_mean"),
-        row["labels_std"].alias("labels_std"),
+        "labels_mean", "labels_std",
     )
 
 

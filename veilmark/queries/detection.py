@@ -38,18 +38,16 @@ def spans_core(spark, sf):
 def spans_core_by_language(spark, sf):
     """Flagship: spans, documents and characters per language and category."""
     found = detect.detect_core(texts(spark, sf)).select("doc_id", "lang", "spans")
-    # Spans are disjoint and few: the first of its category stands for the document,
-    # so documents are counted without a distinct.
-    def first(s, i):
-        earlier = F.slice("spans", F.lit(1), i)
-        return (~F.exists(earlier, lambda e: e["category"] == s["category"])).cast("long")
-
-    flagged = F.transform("spans", lambda s, i: s.withField("first", first(s, i)))
-    rows = found.select("lang", F.explode_outer(flagged).alias("s")).where("s IS NOT NULL")
+    # One row for each of the few categories of a text, so documents are counted without a distinct.
+    def of_category(c):
+        own = F.filter("spans", lambda s: s["category"] == c)
+        chars = F.aggregate(own, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+        return F.struct(c.alias("category"), F.size(own).alias("n"), chars.alias("chars"))
+
+    kinds = F.array_distinct(F.transform("spans", lambda s: s["category"]))
+    rows = found.select("lang", F.explode_outer(F.transform(kinds, of_category)).alias("s")).where("s IS NOT NULL")
     return rows.groupBy("lang", F.col("s.category").alias("category")).agg(
-        F.count(F.lit(1)).alias("n_spans"),
-        F.sum("s.first").alias("n_docs"),
-        F.sum(F.col("s.end") - F.col("s.start")).alias("n_chars"),
+        F.sum("s.n").alias("n_spans"), F.count(F.lit(1)).alias("n_docs"), F.sum("s.chars").alias("n_chars")
     )
 
 

@@ -51,10 +51,7 @@ def sample_exact(spark, sf):
 
 @query("sample_exact_large", f"SELECT o_orderkey, o_totalprice FROM {_rank('orders', 'o_orderkey')} WHERE position < 5000")
 def sample_exact_large(spark, sf):
-    """Sample through positions, the way a sample too large for one task is taken."""
-    return order.sample_rows(
-        read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 5000, small=0
-    )
+    return order.sample_rows(read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 5000)
 
 
 @query("split_shuffled", f"SELECT doc_id, position, {_SPLIT} AS split FROM {_rank('documents', 'doc_id')}")

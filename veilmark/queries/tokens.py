@@ -198,38 +198,38 @@ def binary_labels(spark, sf):
 @query(
     "class_labels",
     f"WITH {LABELLED} SELECT doc_id, array_to_string((list_transform(labels, lambda x: CASE WHEN starts_with(x, 'B-') THEN 1 "
-    "WHEN starts_with(x, 'I-') THEN 2 ELSE 0 END) || list_transform(range(0, 64), lambda i: 0))[1:64], '') AS classes FROM labelled",
+    "WHEN starts_with(x, 'I-') THEN 2 ELSE 0 END) || list_transform(range(0, 512), lambda i: 0))[1:512], '') AS classes FROM labelled",
 )
 def class_labels(spark, sf):
-    ids = lb.classes(F.col("labels"), 64).cast("array<string>")
+    ids = lb.classes(F.col("labels"), 512).cast("array<string>")
     return corpus(spark, sf).select("doc_id", F.array_join(ids, "").alias("classes"))
 
 
 @query(
     "token_ids",
-    "WITH tok AS (SELECT doc_id, " + TOKENS + " AS t FROM documents) SELECT doc_id, array_to_string((list_transform(t[1:32], "
-    "lambda x: CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 1000) || list_transform(range(0, 32), lambda i: 0::BIGINT))[1:32], ' ') AS ids, "
-    "array_to_string(list_transform(range(0, 32), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS mask FROM tok",
+    "WITH tok AS (SELECT doc_id, " + TOKENS + " AS t FROM documents) SELECT doc_id, array_to_string((list_transform(t[1:512], "
+    "lambda x: CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 1000) || list_transform(range(0, 512), lambda i: 0::BIGINT))[1:512], ' ') AS ids, "
+    "array_to_string(list_transform(range(0, 512), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS mask FROM tok",
 )
 def token_ids(spark, sf):
     t = tx.ws_tokens(F.col("text"))
     return texts(spark, sf).select(
         "doc_id",
-        F.array_join(lb.token_ids(t, 1000, 32).cast("array<string>"), " ").alias("ids"),
-        F.array_join(lb.attention_mask(t, 32).cast("array<string>"), "").alias("mask"),
+        F.array_join(lb.token_ids(t, 1000, 512).cast("array<string>"), " ").alias("ids"),
+        F.array_join(lb.attention_mask(t, 512).cast("array<string>"), "").alias("mask"),
     )
 
 
 @query(
     "padded_tokens",
     "WITH tok AS (SELECT doc_id, " + TOKENS + " AS t FROM documents) SELECT doc_id, array_to_string((t || "
-    "list_transform(range(0, greatest(64 - len(t), 0)), lambda i: '[PAD]'))[1:64], ' ') AS tokens, repeat('1', 64) AS ones FROM tok",
+    "list_transform(range(0, greatest(512 - len(t), 0)), lambda i: '[PAD]'))[1:512], ' ') AS tokens, repeat('1', 512) AS ones FROM tok",
 )
 def padded_tokens(spark, sf):
     t = tx.ws_tokens(F.col("text"))
     return texts(spark, sf).select(
-        "doc_id", F.array_join(lb.padded_tokens(t, 64), " ").alias("tokens"),
-        F.array_join(lb.attention_mask(t, 64, all_ones=True).cast("array<string>"), "").alias("ones"),
+        "doc_id", F.array_join(lb.padded_tokens(t, 512), " ").alias("tokens"),
+        F.array_join(lb.attention_mask(t, 512, all_ones=True).cast("array<string>"), "").alias("ones"),
     )
 
 
@@ -248,19 +248,19 @@ def label_ids(spark, sf):
     "(SELECT DISTINCT unnest(labels) AS label FROM labelled)), "
     "m AS (SELECT map(list(label ORDER BY id), list(id ORDER BY id)) AS m FROM ids) "
     "SELECT md5(array_to_string(list_transform(labels, lambda x: m.m[x]), ' ')) AS labels, "
-    "array_to_string((list_transform(t[1:16], lambda x: CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 30000) || "
-    "list_transform(range(0, 16), lambda i: 0::BIGINT))[1:16], ' ') AS input_ids, "
-    "array_to_string(list_transform(range(0, 16), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS attention_mask FROM labelled, m",
+    "md5(array_to_string((list_transform(t[1:512], lambda x: CAST(('0x' || substr(md5(x), 1, 8)) AS BIGINT) % 30000) || "
+    "list_transform(range(0, 512), lambda i: 0::BIGINT))[1:512], ' ')) AS input_ids, "
+    "array_to_string(list_transform(range(0, 512), lambda i: CASE WHEN i < len(t) THEN 1 ELSE 0 END), '') AS attention_mask FROM labelled, m",
 )
 def tokenised_corpus(spark, sf):
     from veilmark.sources.files import tokenised
 
     c = corpus(spark, sf)
-    done = tokenised(c, profile.label_ids(c), max_len=16)
+    done = tokenised(c, profile.label_ids(c), max_len=512)
     flat = lambda name, sep: F.array_join(F.col(name).cast("array<string>"), sep).alias(name)
     return done.select(
         F.md5(F.array_join(F.col("labels").cast("array<string>"), " ")).alias("labels"),
-        flat("input_ids", " "), flat("attention_mask", ""),
+        F.md5(flat("input_ids", " ")).alias("input_ids"), flat("attention_mask", ""),
     )
 
 

@@ -11,6 +11,8 @@ from veilmark.queries.base import query
 from veilmark.sources.shared import cut
 from veilmark.sources.tables import texts
 
+EPOCHS = 10
+
 
 def training_rows(spark, sf, feature_set: str = "final"):
     """(doc_id, features, label) of all documents, standardised and written once."""
@@ -30,17 +32,17 @@ def _batch(rows) -> int:
 def train_private_model(spark, sf):
     """Two budgets trained side by side; one row per budget and epoch."""
     rows = training_rows(spark, sf)
-    done = md.train(rows, ["doc_id"], [8.0, 1.0], "final", lr=0.05, batch_size=_batch(rows), epochs=2, seed=42)
+    done = md.train(rows, ["doc_id"], [8.0, 1.0], "final", lr=0.05, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
     return md.history_table(spark, done)
 
 
 @query("train_strategies")
 def train_strategies(spark, sf):
-    """One epoch of every clipping and noise strategy, with gradient norms."""
+    """Every clipping and noise strategy, with gradient norms, over the same rows."""
     out = None
+    rows = cut(training_rows(spark, sf, "final"), "training-rows")
     for name in md.STRATEGIES:
-        rows = training_rows(spark, sf, "final")
-        done = md.train(rows, ["doc_id"], [8.0], name, lr=0.05, batch_size=max(32, rows.count() // 2), epochs=1, seed=42)
+        done = md.train(rows, ["doc_id"], [8.0], name, lr=0.05, batch_size=max(32, rows.count() // 2), epochs=EPOCHS, seed=42)
         table = md.history_table(spark, done).withColumn("strategy", F.lit(name))
         out = table if out is None else out.unionByName(table)
     return out
@@ -52,4 +54,4 @@ def budget_sweep(spark, sf):
     from veilmark.plans.sweep import sweep
 
     rows = training_rows(spark, sf)
-    return sweep(rows, ["doc_id"], list(catalog.EPSILONS), lr=0.05, batch_size=_batch(rows), epochs=1, seed=42)
+    return sweep(rows, ["doc_id"], list(catalog.EPSILONS), lr=0.05, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
