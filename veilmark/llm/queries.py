@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, decontaminate, html, jaccard, language, lattice, packing, toxicity, urls
+from veilmark.llm import chat, counts, decontaminate, html, jaccard, language, lattice, packing, sql, toxicity, urls
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,7 +87,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(read(spark, folder, "pages"), RULES)
 
 
-@query("op3_decontamination")
+@query("op3_decontamination", sql.DECONTAMINATION)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -97,11 +97,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(read(spark, folder, "pages"))
 
 
-@query("op4_embedding_duplicates")
+@query("op4_embedding_duplicates", sql.EMBEDDINGS)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, folder, "embeddings"), threshold=0.98)
 
 
-@query("op5_jaccard_join")
+@query("op5_jaccard_join", sql.JACCARD)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(read(spark, folder, "documents"), width=3, num=90, den=100)
