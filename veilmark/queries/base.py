@@ -111,7 +111,7 @@ def merged_spans(prefix: str = "", ids: str = "doc_id") -> str:
 CORE_MERGED = raw_spans(catalog.CORE) + ", " + merged_spans()
 
 TOKENS = f"list_filter(string_split_regex(text, {q(tx.WS + '+')}), lambda x: x <> '')"
-WORDS = r"regexp_extract_all(text, '[\p{L}\p{Nd}_]+')"
+WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+')"
 DIGITS = f"(length(text) - length(regexp_replace(text, {q(tx.DIGIT)}, '', 'g')))"
 
 

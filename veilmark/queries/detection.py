@@ -214,7 +214,7 @@ def _word_type_sql() -> str:
         f"WHEN word_type IN ({', '.join(q(m) for m in ms)}) THEN {q(g)}" for g, ms in catalog.TYPE_GROUPS.items()
     )
     return (
-        "WITH w AS (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{Nd}_]+')) AS w FROM documents), "
+        "WITH w AS (SELECT unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS w FROM documents), "
         f"f AS (SELECT least(length(w)::DOUBLE / 10, 2.0) AS len, {digits} AS dr, "
         "regexp_matches(w, '^\\p{Lu}') AS up FROM w), "
         "t AS (SELECT CASE WHEN dr > 0.7 AND len > 1.0 THEN CASE WHEN dr > 0.9 THEN 'CREDIT_CARD' ELSE 'PHONE' END "
@@ -265,7 +265,7 @@ def _word_model_sql() -> str:
     last = f"c_h{len(WORD_MODEL.layers) - 1}"
     out = f"h{len(WORD_MODEL.layers) - 1}"
     return (
-        "WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{Nd}_]+')) AS w FROM documents), "
+        "WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS w FROM documents), "
         f"f AS (SELECT doc_id, length(w) AS n, [least(length(w)::DOUBLE / 10, 2.0::DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE, {digits}, "
         "CASE WHEN regexp_matches(w, '^\\p{Lu}') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, 0.1::DOUBLE] AS x FROM w), "
         f"{mlp_ctes(WORD_MODEL, 'f', 'doc_id, n', 'x')}, "

@@ -110,7 +110,7 @@ _WORD_DIGITS = f"((length(w) - length(regexp_replace(w, {q(tx.DIGIT)}, '', 'g'))
     "SELECT doc_id, round(avg(least(length(w)::DOUBLE / 10, 2.0::DOUBLE)), 6) AS length, "
     "0.0::DOUBLE AS has_at, 0.0::DOUBLE AS has_dot, "
     f"round(avg({_WORD_DIGITS}), 6) AS digit_ratio, round(avg(CASE WHEN regexp_matches(w, '^\\p{{Lu}}') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS first_upper, "
-    "round(avg(0.1::DOUBLE), 6) AS words FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{Nd}_]+')) AS w FROM documents) GROUP BY doc_id",
+    "round(avg(0.1::DOUBLE), 6) AS words FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS w FROM documents) GROUP BY doc_id",
 )
 def features_word(spark, sf):
     """Word features, averaged per document."""
