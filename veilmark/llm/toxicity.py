@@ -51,13 +51,20 @@ def _features(rows: DataFrame, among: np.ndarray | None = None) -> list[np.ndarr
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             found = [np.array(sorted(set().union(*map(features, set(_WORDS(t.lower()))))), np.uint32) for _, texts in text_groups(part["text"]) for t in texts]
-            yield batch(schema, [(f if among is None else f[np.isin(f, among)]).view(np.int32) for f in found])
+            yield batch(schema, [(f if among is None else _within(f, among)).view(np.int32) for f in found])
 
     column = rows.select("text").mapInArrow(hashed, "words array<int>").toArrow()["words"].combine_chunks()
     values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
     return np.split(values, np.cumsum(pc.list_value_length(column).to_numpy())[:-1]) if len(column) else []
 
 
+def _within(found: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Those of ``found`` that are in the sorted array ``among``."""
+    if not len(among):
+        return found[:0]
+    return found[among[np.minimum(np.searchsorted(among, found), len(among) - 1)] == found]
+
+
 def _sample(rows: DataFrame, n: int) -> DataFrame:
     """About ``n`` rows by hash of the id, the same ones under any partitioning."""
     total = rows.count()
@@ -135,7 +142,7 @@ def train(
         return None
     seen, n = np.unique(np.concatenate(p), return_counts=True)
     frequent = seen[n >= LEAST]
-    p = [f[np.isin(f, frequent)] for f in p]
+    p = [_within(f, frequent) for f in p]
     u = _features(_sample(texts, unlabelled), frequent)
     fitted = [
         _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 2e-4, LEAST, 5.0)
