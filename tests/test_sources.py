@@ -33,7 +33,9 @@ def test_one_file(spark, inbox):
 
 def test_folder_job(spark, inbox, tmp_path):
     out = tmp_path / "out"
-    summary = redact.redact_folder(spark, str(inbox), str(out), style="category_specific").first()
+    summary = redact.redact_folder(spark, str(inbox), str(out), style="category_specific", text_files=True).first()
+    names = {r["name"] for r in spark.read.text(str(out / "text_files")).collect()}
+    assert names and all("_redacted" in n for n in names)
     assert tuple(summary) == (3, 2, 1, 2)
     texts = {r["output_file"].rsplit("/", 1)[1]: r["value"] for r in spark.read.json(f"{out}/text").collect()}
     assert texts == {"a_redacted.txt": "mail [EMAIL]\nline two\n", "b.v2_redacted.txt": "ip [IP_ADDRESS] — ünïcode"}

@@ -90,6 +90,8 @@ def running(
     ``before`` leave the current row out.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}
+    if isinstance(slices, int):  # at least as many as the session has shuffle partitions
+        slices = max(slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = slice_bounds(df, F.col(order[0]), slices) if isinstance(slices, int) else slices
     sliced = df.withColumns(
         {"_slice": slice_of(F.col(order[0]), bounds)} | {f"_v_{n}": value for n, (_, value) in aggs.items()}

@@ -67,10 +67,14 @@ def redact_text(spark: SparkSession, text: str, **options) -> dict:
     return done.select("result").first()["result"].asDict(recursive=True)
 
 
+# -- fixed values: header lines of exported texts -----------------------------------
+
+
 def export_text(
     redacted: Column, spans: Column, name: Column, epsilon: Column, when: Column, mode: Column
 ) -> Column:
-    """A metadata header (mode, level, file, date, counts, confidence) and the text."""
+    """A metadata header (mode, level, file, date, counts, confidence) and the text;
+    ``spans`` are the detected ones, before they are merged for redaction."""
     rule = F.lit("=" * 50)
     lines = F.concat_ws(
         "\n",
@@ -81,6 +85,7 @@ def export_text(
         F.concat(F.lit("Redaction Date: "), when.cast("string")),
         F.concat(F.lit("PII Detected: "), F.size(spans).cast("string")),
         F.concat(F.lit("Average Confidence: "), F.format_string("%.1f%%", rd.mean_confidence(spans) * 100.0)),
+        F.lit("Color Coding: Bright=High, Medium=Medium, Pastel=Low confidence"),
         rule,
     )
     return F.concat(lines, F.lit("\n\n"), redacted)
@@ -105,9 +110,10 @@ def basic_header(redacted: Column, spans: Column, name: Column, epsilon: Column,
 
 def redact_folder(
     spark: SparkSession, folder: str, out: str, style: str = "mask", categories: list[str] | None = None,
-    model: Model | None = None,
+    model: Model | None = None, text_files: bool = False,
 ) -> DataFrame:
-    """Redact every *.txt file of a folder; returns the one-row summary.
+    """Redact every *.txt file of a folder; returns the one-row summary. ``text_files``
+    also writes each text as plain text, in a folder that bears its output name.
 
     Text and details are written as tables under ``out`` with the output names
     as columns; undecodable files are counted as failed and do not stop the job.
@@ -123,6 +129,9 @@ def redact_folder(
     results = spark.read.schema(named.schema).parquet(f"{out}/results")
     ok = results.where("error IS NULL")
     ok.select("output_file", F.col("result.redacted_text").alias("value")).write.mode("overwrite").json(f"{out}/text")
+    if text_files:
+        named_texts = ok.select(F.element_at(F.split("output_file", "/"), -1).alias("name"), F.col("result.redacted_text").alias("value"))
+        named_texts.write.mode("overwrite").partitionBy("name").text(f"{out}/text_files")
     ok.select("details_file", "result.*").write.mode("overwrite").json(f"{out}/details")
     ok.select(
         F.col("path").alias("input_file"), "output_file", F.col("result.statistics.entity_count").alias("entity_count")

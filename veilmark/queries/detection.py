@@ -315,6 +315,15 @@ def hybrid_spans(spark, sf):
     )
 
 
+@query("hybrid_spans_unmerged")
+def hybrid_spans_unmerged(spark, sf):
+    """Model and core spans as found, one for each exact position."""
+    found = detect.detect_hybrid(texts(spark, sf).select("doc_id", "text"), CHUNK_MODEL, merged=False)
+    return detect.to_rows(found, ["doc_id"], text=None).select(
+        "doc_id", "category", "span_start", "span_end", "source", F.round("confidence", 6).alias("confidence")
+    )
+
+
 @query("fallback_policy")
 def fallback_policy(spark, sf):
     """Model spans where a document has any, fallback spans elsewhere."""

@@ -198,7 +198,7 @@ _HEADER = (
     "'=== Redacted Document - Model-Based Detection ===' || chr(10) || 'Detection Mode: Regex Fallback' || chr(10) || "
     "'Privacy Level: ε=8.0' || chr(10) || 'Original File: document-' || d.doc_id || chr(10) || 'Redaction Date: 2024-01-01 00:00:00' || chr(10) || "
     "'PII Detected: ' || coalesce(n, 0) || chr(10) || 'Average Confidence: ' || CASE WHEN n > 0 THEN '70.0%' ELSE '0.0%' END || chr(10) || "
-    "repeat('=', 50) || chr(10) || chr(10)"
+    "'Color Coding: Bright=High, Medium=Medium, Pastel=Low confidence' || chr(10) || repeat('=', 50) || chr(10) || chr(10)"
 )
 
 
@@ -207,18 +207,18 @@ _HEADER = (
     f"WITH {raw_spans(catalog.FALLBACK)}, {merged_spans()}, "
     "x AS (SELECT m.doc_id, s, e, text, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS p, "
     "row_number() OVER (PARTITION BY doc_id ORDER BY s DESC) AS back FROM merged m JOIN documents USING (doc_id)), "
-    "y AS (SELECT doc_id, count(*) AS n, string_agg(substring(text, p + 1, s - p) || repeat('█', e - s) || "
+    "k AS (SELECT doc_id, count(*) AS n FROM raw GROUP BY doc_id), y AS (SELECT doc_id, string_agg(substring(text, p + 1, s - p) || repeat('█', e - s) || "
     "CASE WHEN back = 1 THEN substring(text, e + 1) ELSE '' END, '' ORDER BY s) AS r FROM x GROUP BY doc_id) "
-    f"SELECT d.doc_id, {_HEADER} || coalesce(r, d.text) AS content FROM documents d LEFT JOIN y USING (doc_id)",
+    f"SELECT d.doc_id, {_HEADER} || coalesce(r, d.text) AS content FROM documents d LEFT JOIN y USING (doc_id) LEFT JOIN k USING (doc_id)",
 )
 def export_with_header(spark, sf):
     """Redacted text under a metadata header."""
     found = detect.detect_fallback(texts(spark, sf).select("doc_id", "text"))
-    merged = found.withColumn("spans", sp.merge(F.col("spans")))
+    merged = found.withColumn("merged", sp.merge(F.col("spans")))
     return merged.select(
         "doc_id",
         plan.export_text(
-            rd.redact("text", "spans", "blocks"), F.col("spans"),
+            rd.redact("text", "merged", "blocks"), F.col("spans"),
             name=F.concat(F.lit("document-"), F.col("doc_id")), epsilon=F.lit(8.0),
             when=F.lit("2024-01-01 00:00:00"), mode=F.lit(plan.FALLBACK_MODE),
         ).alias("content"),
