@@ -276,6 +276,29 @@ def _word_model_sql() -> str:
     )
 
 
+def _scored_words_sql() -> str:
+    """CTEs ending in ``scored``: every word with its place, first place in the text, type and probability."""
+    from veilmark.functions import text as tx
+
+    digits = f"(length(w) - length(regexp_replace(w, {q(tx.DIGIT)}, '', 'g')))::DOUBLE / greatest(length(w), 1)"
+    out = f"h{len(WORD_MODEL.layers) - 1}"
+    keep = "doc_id, s, e, w, n, dr, up"
+    return (
+        "m AS (SELECT doc_id, text, regexp_extract_all(text, '[\\p{L}\\p{N}_]+') AS w, string_split_regex(text, '[\\p{L}\\p{N}_]+') AS g FROM documents), "
+        "u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS w, unnest(list_transform(g[1:len(w)], lambda x: length(x))) AS gl "
+        "FROM m WHERE len(w) > 0), "
+        "o AS (SELECT doc_id, w, length(w) AS n, sum(gl) OVER z + sum(length(w)) OVER z AS e FROM u WINDOW z AS (PARTITION BY doc_id ORDER BY i)), "
+        f"f AS (SELECT doc_id, w, n, CAST(e - n AS INTEGER) AS s, CAST(e AS INTEGER) AS e, {digits} AS dr, regexp_matches(w, '^\\p{{Lu}}') AS up FROM o), "
+        "x AS (SELECT *, [least(n::DOUBLE / 10, 2.0::DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE, dr, CASE WHEN up THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, "
+        "0.1::DOUBLE] AS x FROM f), "
+        f"{mlp_ctes(WORD_MODEL, 'x', keep, 'x')}, "
+        f"scored AS (SELECT {keep}, 1 / (1 + exp({out}[1] - {out}[2])) AS p, min(s) OVER (PARTITION BY doc_id, w) AS first, "
+        "CASE WHEN dr > 0.7 AND n > 10 THEN CASE WHEN dr > 0.9 THEN 'CREDIT_CARD' ELSE 'PHONE' END "
+        "WHEN up AND n > 10 THEN CASE WHEN dr < 0.1 THEN 'NAME' ELSE 'ACCOUNT_NUMBER' END "
+        f"WHEN dr > 0.3 THEN 'NUMERIC_ID' ELSE 'GENERAL_PII' END AS category FROM c_{out})"
+    )
+
+
 @query("model_word_spans", _word_model_sql())
 def model_word_spans(spark, sf):
     """Words scored by a network; spans folded per document, with confidence bands."""
@@ -291,7 +314,11 @@ def model_word_spans(spark, sf):
     )
 
 
-@query("model_word_spans_first_position")
+@query(
+    "model_word_spans_first_position",
+    f"WITH {_scored_words_sql()} SELECT doc_id, category, first AS span_start, first + n AS span_end, round(p, 6) AS confidence "
+    "FROM scored WHERE p > 0.5",
+)
 def model_word_spans_first_position(spark, sf):
     found = detect.model_word_spans(texts(spark, sf).select("doc_id", "text"), WORD_MODEL, position="first")
     return detect.to_rows(found, ["doc_id"], text=None).select(
@@ -324,7 +351,13 @@ def hybrid_spans_unmerged(spark, sf):
     )
 
 
-@query("fallback_policy")
+@query(
+    "fallback_policy",
+    f"WITH {_scored_words_sql()}, {raw_spans(catalog.FALLBACK, prefix='r_')}, "
+    "a AS (SELECT doc_id, count(*) AS n FROM scored WHERE p > 0.5 GROUP BY doc_id), b AS (SELECT doc_id, count(*) AS n FROM r_raw GROUP BY doc_id) "
+    "SELECT doc_id, CASE WHEN a.n > 0 THEN 'model' WHEN b.n > 0 THEN 'fallback' END AS source, coalesce(a.n, b.n, 0) AS n_spans "
+    "FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)",
+)
 def fallback_policy(spark, sf):
     """Model spans where a document has any, fallback spans elsewhere."""
     found = detect.detect_with_policy(texts(spark, sf).select("doc_id", "text"), WORD_MODEL)

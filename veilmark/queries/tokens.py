@@ -88,7 +88,7 @@ def word_tokens(spark, sf):
 
 @query(
     "word_offsets",
-    f"WITH m AS (SELECT doc_id, {WORDS} AS w, string_split_regex(text, '[\\p{{L}}\\p{{Nd}}_]+') AS g FROM documents), "
+    f"WITH m AS (SELECT doc_id, {WORDS} AS w, string_split_regex(text, '[\\p{{L}}\\p{{N}}_]+') AS g FROM documents), "
     "p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(list_transform(w, lambda x: length(x))) AS wl, "
     "unnest(list_transform(g[1:len(w)], lambda x: length(x))) AS gl FROM m WHERE len(w) > 0), "
     "o AS (SELECT doc_id, i, wl, sum(gl) OVER (PARTITION BY doc_id ORDER BY i) + sum(wl) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM p) "
