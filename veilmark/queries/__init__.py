@@ -1,7 +1,7 @@
 """Registered queries: one callable per operator and, where SQL can say it, the SQL."""
 
 from veilmark.queries import (  # noqa: F401
-    detection, evaluation, features, planted, prep, privacy, redaction, spans, synthetic, tokens, training,
+    chunks, detection, evaluation, features, planted, prep, privacy, redaction, spans, synthetic, tokens, training,
 )
 from veilmark.queries.base import REGISTRY
 

@@ -326,31 +326,6 @@ def model_word_spans_first_position(spark, sf):
     )
 
 
-@query("model_chunk_spans")
-def model_chunk_spans(spark, sf):
-    found = detect.model_chunk_spans(texts(spark, sf).select("doc_id", "text"), CHUNK_MODEL)
-    return detect.to_rows(found, ["doc_id"], text=None).select(
-        "doc_id", "category", "span_start", "span_end", F.round("confidence", 6).alias("confidence")
-    )
-
-
-@query("hybrid_spans")
-def hybrid_spans(spark, sf):
-    found = detect.detect_hybrid(texts(spark, sf).select("doc_id", "text"), CHUNK_MODEL)
-    return detect.to_rows(found, ["doc_id"], text=None).select(
-        "doc_id", "category", "span_start", "span_end", "source", F.round("confidence", 6).alias("confidence")
-    )
-
-
-@query("hybrid_spans_unmerged")
-def hybrid_spans_unmerged(spark, sf):
-    """Model and core spans as found, one for each exact position."""
-    found = detect.detect_hybrid(texts(spark, sf).select("doc_id", "text"), CHUNK_MODEL, merged=False)
-    return detect.to_rows(found, ["doc_id"], text=None).select(
-        "doc_id", "category", "span_start", "span_end", "source", F.round("confidence", 6).alias("confidence")
-    )
-
-
 @query(
     "fallback_policy",
     f"WITH {_scored_words_sql()}, {raw_spans(catalog.FALLBACK, prefix='r_')}, "
