@@ -62,6 +62,18 @@ def test_trie_equals_brute_force():
         assert got == want
 
 
+def test_bitmaps_never_differ_more_than_sets():
+    rng = np.random.default_rng(5)
+    for n in (3, 900, 2500, 5000):
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: int(n * 0.8)], rng.integers(0, 1 << 63, n // 3).astype(np.uint64)]))
+        a, b = sorted((m.view(np.uint64) for m in jaccard.bitmaps([x, y])), key=len)
+        if len(b) == 2 * len(a):
+            b = b[: len(a)] ^ b[len(a) :]
+        assert len(a) == len(b) and np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+    assert [len(m) * 64 for m in jaccard.bitmaps([x[:0], x[:1024], x[:1026], x[:4096]])] == [512, 512, 1024, 2048]
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(500 + i, 501 + i) for i in range(60)] + [(7, 7)]
@@ -88,9 +100,10 @@ def test_tables(spark):
         assert found(table, width, num, 100) == brute_force(rows, width, num, 100)
 
 
-@pytest.mark.parametrize("rows_of_block, grams", [(2048, 1 << 18), (8, 300)])
-def test_hard_groups(spark, monkeypatch, rows_of_block, grams):
+@pytest.mark.parametrize("few, rows_of_block, grams", [(8, 2048, 1 << 18), (2, 8, 300)])
+def test_hard_groups(spark, monkeypatch, few, rows_of_block, grams):
     """Chains, near copies around the threshold, a passage in all texts; many blocks."""
+    monkeypatch.setattr(jaccard, "FEW", few)
     monkeypatch.setattr(jaccard, "BLOCK_ROWS", rows_of_block)
     monkeypatch.setattr(jaccard, "TRIE_GRAMS", grams)
     rng = random.Random(2)
@@ -108,6 +121,8 @@ def test_hard_groups(spark, monkeypatch, rows_of_block, grams):
         rows.append((i, " ".join(copy)))
     rows += [(200 + i, " ".join([*passage, *(f"u{i}_{k}" for k in range(rng.randint(0, 12)))])) for i in range(60)]
     rows += [(300 + i, "same text again") for i in range(20)] + [(400, None), (401, ""), (402, "one"), (403, "ONE"), (404, "a b"), (405, "long " * 30_000)]
+    words = [f"v{k}" for k in range(3000)]
+    rows += [(500 + i, " ".join(words[: 3000 - 90 * i] + [f"t{i}_{k}" for k in range(5)])) for i in range(8)]
     rng.shuffle(rows)
     table = documents(spark, rows)
     for width, num in ((3, 90), (5, 80), (3, 60)):

@@ -1,15 +1,16 @@
 """N-gram Jaccard join with prefix trees.
 
-All n-grams have one global order: rarest first by a count sketch of fixed size, then by
-hash. A text's set in that order is a path in a trie. Two texts within the threshold
-share an n-gram among the first |x| - ceil(t |x|) + 1 of each (prefix filter), so the
-paths to compare meet below a shared prefix n-gram. Below each, first two of the sets are
-paired with the other members and links are joined to components; then all members still
-in different components are paired. A pair is left out only where a bitmap of parities
-proves that the sets differ in too many n-grams. What is paired with one set goes into
-tries of ordered sets that this set runs down: the overlap is kept per node and shared by
-the paths below it, and a subtree is left when the overlap so far and the remaining
-lengths cannot reach the threshold.
+All n-grams have one global order: by hash, but the most frequent ones (by a count sketch
+of fixed size) last. A text's set in that order is a path in a trie. Two texts within the
+threshold share an n-gram among the first |x| - ceil(t |x|) + 1 of each (prefix filter),
+so the paths to compare meet below a shared prefix n-gram. Where few sets meet, they are
+paired, and pairs that share fewer prefix n-grams than their sizes call for are left out.
+Where more meet, first two of them are paired with the others and links are joined to
+components; then all that are still in different components are paired, but for those
+that a bitmap of parities proves to differ in too many n-grams. What is paired with one
+set goes into tries of ordered sets that this set runs down: the overlap is kept per node
+and shared by the paths below it, and a subtree is left when the overlap so far and the
+remaining lengths cannot reach the threshold.
 
 A node of the graph is a set, named by a 64-bit digest of its n-grams. Nothing is dropped: the sketch only decides the order, groups of any size are dealt out
 over pairs of blocks, and rows with equal sets are one class. A set is empty and links
@@ -24,16 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm import blocks, graph, shingles
 from veilmark.llm.arrow import batch, groups, utf8
 from veilmark.sources.shared import cut
 
-#: Cells of the count sketch, a byte each once they are levels.
-CELLS = 1 << 23
-#: Bits of a set's bitmap.
+#: Cells of the count sketch, a byte each.
+CELLS = 1 << 22
+#: Sets below one prefix n-gram that are paired at once.
+FEW = 8
+#: Bits of a set's bitmap; a large set has half as many as n-grams, to a power of two.
 BITS = 512
 #: Members of a prefix n-gram in one block of a task.
 BLOCK_ROWS = 2048
@@ -49,19 +53,19 @@ def _rows(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarr
 
 
 def levels(documents: DataFrame, width: int) -> np.ndarray:
-    """Level of each sketch cell: the logarithm of about how many rows hold an n-gram of it."""
+    """Level of each sketch cell: 0, or the logarithm of its count if it is far above the mean."""
     step = 1 << 16
     schema = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int32)
+        total = np.zeros(CELLS, np.uint8)
         for part in batches:
             for _, found in _rows(part, width):
-                np.add.at(total, (np.concatenate(found) & np.uint64(CELLS - 1)).astype(np.int64), 1)
+                cell, n = np.unique((np.concatenate(found) & np.uint64(CELLS - 1)).astype(np.int32), return_counts=True)
+                total[cell] = np.minimum(total[cell].astype(np.int64) + n, 255)
         if total.any():
-            small = np.minimum(total, 255).astype(np.uint8)
             for i in range(0, CELLS, step):
-                yield batch(schema, [i // step], [small[i : i + step].tobytes()])
+                yield batch(schema, [i // step], [total[i : i + step].tobytes()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -69,7 +73,9 @@ def levels(documents: DataFrame, width: int) -> np.ndarray:
             for part, counts in zip(some["part"].to_pylist(), some["counts"].to_pylist(), strict=True):
                 held[part] = held.get(part, 0) + np.frombuffer(counts, np.uint8).astype(np.int64)
         for part, total in held.items():
-            yield batch(schema, [part], [np.minimum(16 * np.log2(1.0 + total), 255).astype(np.uint8).tobytes()])
+            usual = 2 * total.mean() + 32
+            level = np.where(total > usual, np.minimum(1 + 8 * np.log2(np.maximum(total, 1) / usual), 255), 0)
+            yield batch(schema, [part], [level.astype(np.uint8).tobytes()])
 
     kinds = "part int, counts binary"
     out = np.zeros(CELLS, np.uint8)
@@ -87,13 +93,16 @@ def _digests(found: list[np.ndarray]) -> np.ndarray:
     return np.array([int(shingles.mix(f).sum()) for f in found], np.uint64).view(np.int64)
 
 
-def bitmaps(found: list[np.ndarray]) -> np.ndarray:
-    """A row of BITS / 64 numbers per set; each n-gram flips one bit. Two bitmaps differ in
-    no more bits than their sets in n-grams."""
-    row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    bit = (shingles.mix(np.concatenate(found) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)).astype(np.int64)
-    odd = (np.bincount(row * BITS + bit, minlength=len(found) * BITS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(found), BITS), axis=1).view(np.int64)
+def bitmaps(found: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set a power of two of 64-bit numbers; each n-gram flips one bit. Two
+    bitmaps differ in no more bits than their sets in n-grams, also if the larger one is
+    folded to the size of the other."""
+    out = []
+    for f in found:
+        size = max(BITS, 1 << max(len(f) // 2 - 1, 0).bit_length())
+        bit = (shingles.mix(f ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(size - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(bit, minlength=size) & 1).astype(np.uint8)).view(np.int64))
+    return out
 
 
 def _profiles(documents: DataFrame, width: int, level, num: int, den: int) -> DataFrame:
@@ -107,7 +116,7 @@ def _profiles(documents: DataFrame, width: int, level, num: int, den: int) -> Da
             ids = part["doc_id"]
             for lo, found in _rows(part, width):
                 first = [ordered(f, level.value)[: len(f) - -(-num * len(f) // den) + 1].view(np.int64) if len(f) else [] for f in found]
-                yield batch(schema, ids.slice(lo, len(found)), [len(f) for f in found], _digests(found), list(bitmaps(found)), first)
+                yield batch(schema, ids.slice(lo, len(found)), [len(f) for f in found], _digests(found), bitmaps(found), first)
 
     return documents.select("doc_id", "text").mapInArrow(
         profile, "doc_id long, n long, rep long, bits array<long>, prefix array<long>"
@@ -215,19 +224,48 @@ def _room(n, m, num: int, den: int):
     return n + m - 2 * -(-num * (n + m) // (num + den))
 
 
+def _least_shared(num: int, den: int) -> Column:
+    """How many prefix n-grams sets of sizes n and m within the threshold share at least."""
+    both, larger = F.col("n") + F.col("m"), F.greatest("n", "m")
+    return F.ceil(F.lit(num) * both / (num + den)) - F.ceil(F.lit(num) * larger / den) + 1
+
+
+def _allowed(num: int, den: int) -> Column:
+    """In how many n-grams sets of sizes n and m within the threshold may differ."""
+    both = F.col("n") + F.col("m")
+    return both - 2 * F.ceil(F.lit(num) * both / (num + den))
+
+
+def _of_few(prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """center, rep, n: pairs of sets that meet below n-grams of few sets, if they share
+    enough of them. (Pairs that also meet below others are found there.)"""
+    groups_ = prefixes.where(F.col("c") <= FEW).groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("g"))
+    pairs = groups_.select(
+        F.explode(F.expr("flatten(transform(g, (x, i) -> transform(slice(g, i + 2, size(g)), y -> struct(x.rep AS center, x.n AS m, y.rep AS rep, y.n AS n))))")).alias("p")
+    ).select("p.*")
+    counted = pairs.where(F.abs(F.col("n") - F.col("m")) <= _allowed(num, den)).groupBy("center", "m", "rep", "n").agg(F.count("*").alias("k"))
+    return counted.where(F.col("k") >= _least_shared(num, den)).select("center", "rep", "n")
+
+
 def _stars(prefixes: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
-    """center, rep, n: the first and the last set below each prefix n-gram with all others,
-    as far as sizes and bitmaps allow."""
+    """center, rep, n: the first and the last set below each n-gram with all others, as
+    far as sizes and bitmaps allow."""
     own = F.struct("rep", "n")
     ends = prefixes.groupBy("gram").agg(F.min(own).alias("first"), F.max(own).alias("last"))
-    pairs = prefixes.join(ends, "gram").select(F.explode(F.array("first", "last")).alias("c"), "rep", "n")
-    both = F.col("n") + F.col("m")
-    room = both - 2 * F.ceil(F.lit(num) * both / (num + den))
-    pairs = pairs.select(F.col("c.rep").alias("center"), F.col("c.n").alias("m"), "rep", "n").where(
+    pairs = prefixes.join(ends, "gram").select(F.explode(F.array("first", "last")).alias("p"), "rep", "n")
+    room = _allowed(num, den)
+    pairs = pairs.select(F.col("p.rep").alias("center"), F.col("p.n").alias("m"), "rep", "n").where(
         (F.col("rep") != F.col("center")) & (F.abs(F.col("n") - F.col("m")) <= room)
     )
     bits = profiles.select("rep", "bits")
-    differ = F.aggregate(F.zip_with("bits", "center_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    half = "zip_with(slice({0}, 1, size({0}) / 2), slice({0}, size({0}) / 2 + 1, size({0}) / 2), (x, y) -> x ^ y)"
+    folded = {c: half.format(c).replace("size(" + c + ") / 2", f"cast(size({c}) / 2 AS int)") for c in ("bits", "center_bits")}
+    differ = F.expr(
+        "aggregate(zip_with("
+        f"CASE WHEN size(bits) = 2 * size(center_bits) THEN {folded['bits']} ELSE bits END, "
+        f"CASE WHEN size(center_bits) = 2 * size(bits) THEN {folded['center_bits']} ELSE center_bits END, "
+        "(x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + coalesce(x, 0))"
+    )
     marked = pairs.distinct().join(bits, "rep").join(bits.select(F.col("rep").alias("center"), F.col("bits").alias("center_bits")), "center")
     return marked.where(differ <= room).select("center", "rep", "n")
 
@@ -242,7 +280,15 @@ def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int,
             if group.num_rows < 2:
                 continue
             rep, n, component, block = (group[c].to_numpy() for c in ("rep", "n", "component", "block"))
-            bits = group["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
+            bits = group["bits"].combine_chunks()
+            words = pc.list_value_length(bits).to_numpy()
+            flat, at = bits.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(words)])
+            row = np.zeros(len(rep), np.int64)
+            table = {}
+            for w in np.unique(words).tolist():
+                own = np.flatnonzero(words == w)
+                row[own] = np.arange(len(own))
+                table[w] = flat[at[own][:, None] + np.arange(w)]
             apart = group["block_i"][0] != group["block_j"][0]
             for lo in range(0, len(rep), 64):
                 a = slice(lo, lo + 64)
@@ -251,7 +297,15 @@ def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int,
                 if apart:
                     near &= block[a, None] != block[None, :]  # pairs of one block have a task of their own
                 i, j = np.nonzero(near)
-                keep = np.bitwise_count(bits[lo + i] ^ bits[j]).sum(axis=1) <= room[i, j]
+                keep = np.ones(len(i), bool)
+                for w in table:
+                    for v in (w, w // 2, w * 2):
+                        both = np.flatnonzero((words[lo + i] == w) & (words[j] == v))
+                        if len(both) and v in table:
+                            x, y = table[w][row[lo + i[both]]], table[v][row[j[both]]]
+                            x = x[:, :v] ^ x[:, v:] if w > v else x
+                            y = y[:, :w] ^ y[:, w:] if v > w else y
+                            keep[both] = np.bitwise_count(x ^ y).sum(axis=1) <= room[i[both], j[both]]
                 if keep.any():
                     i, j = i[keep], j[keep]
                     yield batch(schema, rep[lo + i], rep[j], n[j])
@@ -280,8 +334,9 @@ def join(documents: DataFrame, width: int = 3, num: int = 90, den: int = 100) ->
     grams = linkable.select("rep", "n", F.explode("prefix").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     meeting = cut(grams.join(shared, "gram", "left_semi").distinct(), "meeting")
-    several = meeting.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
-    prefixes = cut(meeting.join(several, "gram", "left_semi"), "prefixes")
+    sizes = meeting.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
+    prefixes = cut(meeting.join(sizes, "gram"), "prefixes")
+    crowded = prefixes.where(F.col("c") > FEW).drop("c")
     classes = cut(linkable.groupBy("rep").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")), "classes")
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -290,9 +345,9 @@ def join(documents: DataFrame, width: int = 3, num: int = 90, den: int = 100) ->
         ids = cut(classes.join(wanted, "rep", "left_semi").select("doc_id").distinct(), "set-ids")
         return cut(_verified(pairs, _stored(documents, ids, width, level), num, den), "links")
 
-    star = links(_stars(prefixes, classes, num, den))
+    star = links(_stars(crowded, classes, num, den).union(_of_few(prefixes, num, den)).distinct())
     joined = cut(graph.components(star).withColumnRenamed("id", "rep"), "first-components")
-    rest = links(_rest(prefixes, classes, joined, num, den))
+    rest = links(_rest(crowded, classes, joined, num, den))
     final = graph.components(star.union(rest)).withColumnRenamed("id", "rep")
     named = classes.join(final, "rep", "left").select("rep", "doc_id", F.coalesce("component", "rep").alias("component"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
