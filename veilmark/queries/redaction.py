@@ -187,7 +187,21 @@ def document_confidence(spark, sf):
     )
 
 
-@query("redaction_records")
+def _record_sql() -> str:
+    entity = "{'text': substring(text, s + 1, e - s), 'category': category, 'start': s, 'end': e, 'confidence': 1.0::DOUBLE}"
+    spliced = _spliced("'[' || category || ']'").replace("SELECT d.doc_id, coalesce(y.r, d.text) AS redacted_text FROM documents d LEFT JOIN y USING (doc_id)", "")
+    return (
+        f"{spliced.rstrip()}, k AS (SELECT doc_id, list({entity} ORDER BY s DESC) AS l, sum(e - s) AS n, list_sort(list(DISTINCT category)) AS c "
+        "FROM merged JOIN documents USING (doc_id) GROUP BY doc_id), "
+        "z AS (SELECT d.doc_id, text, coalesce(y.r, text) AS r, coalesce(l, []) AS l, coalesce(n, 0) AS n, coalesce(c, []) AS c "
+        "FROM documents d LEFT JOIN y USING (doc_id) LEFT JOIN k USING (doc_id)) "
+        "SELECT doc_id, CAST(to_json({'original_text': text, 'redacted_text': r, 'detected_entities': l, 'statistics': {'total_characters': length(text), "
+        "'redacted_characters': CAST(n AS BIGINT), 'entity_count': len(l), 'categories_detected': c}, "
+        "'pipeline_info': {'redaction_style': 'category_specific'}}) AS VARCHAR) AS details, r AS redacted_text FROM z"
+    )
+
+
+@query("redaction_records", _record_sql())
 def redaction_records(spark, sf):
     """Full result record per document as JSON."""
     done = plan.redact_documents(texts(spark, sf).select("doc_id", "text"), style="category_specific")
