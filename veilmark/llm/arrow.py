@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,44 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """The worker's own ``make()`` for ``key``. What it held for another key is let go: a
+    worker that goes from job to job remembers the words of one at a time."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Free what the worker holds for another job."""
+    if _HELD:
+        _HELD.clear()
+        release()
+
+
+def release() -> None:
+    """Give memory that is free inside the worker back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def tidy(task: Callable) -> Callable:
+    """A function over Arrow batches that gives free memory back when its task ends."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        release()
+
+    return run
+
+
 class Recent:
     """What a worker remembers of the words it has seen: at most ``limit`` of the latest
     and as many of those before them, so frequent ones stay."""

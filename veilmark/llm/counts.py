@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from veilmark.llm.arrow import Recent, batch, text_groups, utf8
+from veilmark.llm.arrow import Recent, batch, held, text_groups, utf8
 
 SPACE = "▁"
 NONE = np.iinfo(np.int32).max
@@ -164,18 +164,13 @@ class Merger:
         return change
 
 
-@cache
-def merger(model: str) -> Merger:
-    return Merger(model)
-
-
 def count_tokens(documents: DataFrame, model: str, limit: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens, over_limit of every text. ``model`` is the path of a
     SentencePiece model that every executor has."""
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = merger(model)
+        own = held(("merger", model), lambda: Merger(model))
         for part in batches:
             tokens = [n for _, texts in text_groups(part.column(1)) for n in own.count(texts)]
             yield batch(schema, part.column(0), np.diff(utf8(part.column(1))[1]), tokens, [n > limit for n in tokens])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark.llm import blocks, graph, shingles
-from veilmark.llm.arrow import batch, groups, utf8
+from veilmark.llm.arrow import batch, groups, let_go, tidy, utf8
 from veilmark.sources.shared import cut
 
 #: Cells of the count sketch, a byte each.
@@ -48,6 +48,7 @@ QUERIES = 128
 
 
 def _rows(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    let_go()
     for lo, hi in groups(utf8(part["text"])[1], 1 << 20):
         yield lo, shingles.sets(part["text"].slice(lo, hi - lo), width)
 
@@ -79,7 +80,7 @@ def levels(documents: DataFrame, width: int) -> np.ndarray:
 
     kinds = "part int, counts binary"
     out = np.zeros(CELLS, np.uint8)
-    for r in documents.select("text").mapInArrow(count, kinds).repartition("part").mapInArrow(add, kinds).toLocalIterator():
+    for r in documents.select("text").mapInArrow(tidy(count), kinds).repartition("part").mapInArrow(add, kinds).toLocalIterator():
         out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["counts"], np.uint8)
     return out
 
@@ -119,7 +120,7 @@ def _profiles(documents: DataFrame, width: int, level, num: int, den: int) -> Da
                 yield batch(schema, ids.slice(lo, len(found)), [len(f) for f in found], _digests(found), bitmaps(found), first)
 
     return documents.select("doc_id", "text").mapInArrow(
-        profile, "doc_id long, n long, rep long, bits array<long>, prefix array<long>"
+        tidy(profile), "doc_id long, n long, rep long, bits array<long>, prefix array<long>"
     )
 
 
@@ -132,7 +133,7 @@ def _stored(documents: DataFrame, ids: DataFrame, width: int, level) -> DataFram
             for _, found in _rows(part, width):
                 yield batch(schema, _digests(found), [ordered(f, level.value).astype(">u8").tobytes() for f in found])
 
-    return blocks.only(documents, ids).select("text").mapInArrow(store, "rep long, grams binary")
+    return blocks.only(documents, ids).select("text").mapInArrow(tidy(store), "rep long, grams binary")
 
 
 class Trie:
@@ -216,7 +217,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     members = pairs.join(grams, "center").select("center", part.alias("part"), "rep", F.lit(False).alias("asks"))
     centers = members.select("center", "part").distinct().select("center", "part", F.col("center").alias("rep"), F.lit(True).alias("asks"))
     rows = members.union(centers).join(sets, "rep").select(F.xxhash64("center", "part").alias("task"), "rep", "asks", "grams")
-    return blocks.together(rows, "task").mapInArrow(verify, "a long, b long")
+    return blocks.together(rows, "task").mapInArrow(tidy(verify), "a long, b long")
 
 
 def _room(n, m, num: int, den: int):
@@ -322,7 +323,7 @@ def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int,
     members = untried.join(once, "gram")
     tasks = blocks.tasks(members, "gram", "rep", F.ceil(F.col("k") / BLOCK_ROWS)).join(profiles.select("rep", "bits"), "rep")
     columns = ("task", "rep", "n", "component", "bits", "block", "block_i", "block_j")
-    return blocks.together(tasks.select(*columns), "task").mapInArrow(pair, "center long, rep long, n long").distinct()
+    return blocks.together(tasks.select(*columns), "task").mapInArrow(tidy(pair), "center long, rep long, n long").distinct()
 
 
 def join(documents: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:

@@ -26,13 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.arrow import batch, text_groups
+from veilmark.llm.arrow import batch, held, let_go, text_groups, tidy
 from veilmark.sources.shared import cut
 
 SPACE = "▁"
 PART = 48
 #: Words of each age that a worker remembers.
-REMEMBER = 500_000
+REMEMBER = 350_000
 _RUNS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -133,6 +133,7 @@ def word_counts(training: DataFrame) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: dict[str, dict[str, int]] = {}
 
         def flush():
@@ -153,7 +154,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         yield from flush()
 
     rows = training.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def train(training: DataFrame, model: str, steps: int = 2, smoothing: float = 0.1) -> tuple[list[str], np.ndarray]:
@@ -180,6 +181,7 @@ def _expectation(model: str, p: np.ndarray, column: dict[str, int]):
     schema = pa.schema([("lang", pa.int32()), ("piece", pa.int32()), ("n", pa.float64())])
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = np.zeros_like(p)
         for part in batches:
             words = part["word"].to_pylist()
@@ -193,7 +195,7 @@ def _expectation(model: str, p: np.ndarray, column: dict[str, int]):
         if len(piece):
             yield batch(schema, lang, piece, total[piece, lang])
 
-    return expect
+    return tidy(expect)
 
 
 class _Scorer:
@@ -237,24 +239,13 @@ class _Scorer:
         return out
 
 
-_SCORERS: dict[str, _Scorer] = {}
-
-
-def _scorer(key: str, model: str, p: np.ndarray) -> _Scorer:
-    """The worker's own scorer: it remembers words over the tasks of one model."""
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = _Scorer(model, p)
-    return _SCORERS[key]
-
-
 def predictions(model: str, languages: list[str], p: np.ndarray) -> Callable[[Column], Column]:
     """A function of a text column: lang_pred and score of each text, as a struct."""
     key = uuid.uuid4().hex
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     def predict(column: pa.Array) -> pa.Array:
-        scorer = _scorer(key, model, p)
+        scorer = held(key, lambda: _Scorer(model, p))
         names, scores = [], []
         for _, texts in text_groups(column):
             if not languages:

@@ -23,14 +23,13 @@ import zlib
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm.arrow import Recent, batch, text_groups
+from veilmark.llm.arrow import Recent, batch, held, text_groups, tidy
 from veilmark.sources.shared import cut
 
 #: Words of each age that a worker remembers.
@@ -103,11 +102,6 @@ class Encoder:
         return [b"".join(map(of.__getitem__, words)) for words in lists]
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def pieces_of(documents: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
     """doc_id, row, piece, start, length, ids_crc32: the cut token ids of every row."""
     schema = pa.schema(
@@ -116,7 +110,7 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = held(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for part in batches:
             ids = part["doc_id"].to_pylist()
             for lo, texts in text_groups(part["text"]):
@@ -128,7 +122,7 @@ def pieces_of(documents: DataFrame, tokenizer: str, capacity: int, end_id: int =
                         rows.append((doc_id, piece, at // 4, len(some) // 4, zlib.crc32(some)))
                 yield batch(schema, *zip(*rows, strict=True))
 
-    return documents.select("doc_id", "text").mapInArrow(cut_up, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return documents.select("doc_id", "text").mapInArrow(tidy(cut_up), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _dearest(price: np.ndarray, capacity: int) -> Counter:

@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilmark.llm.arrow import Recent, batch, text_groups
+from veilmark.llm.arrow import Recent, batch, held, let_go, text_groups, tidy
 
 #: Words of each age that a worker remembers.
-REMEMBER = 300_000
+REMEMBER = 150_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: Positive rows that a feature with a weight is in.
 LEAST = 8
@@ -49,11 +49,12 @@ def _features(rows: DataFrame, among: np.ndarray | None = None) -> list[np.ndarr
     schema = pa.schema([("words", pa.list_(pa.int32()))])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for part in batches:
             found = [np.array(sorted(set().union(*map(features, set(_WORDS(t.lower()))))), np.uint32) for _, texts in text_groups(part["text"]) for t in texts]
             yield batch(schema, [(f if among is None else _within(f, among)).view(np.int32) for f in found])
 
-    column = rows.select("text").mapInArrow(hashed, "words array<int>").toArrow()["words"].combine_chunks()
+    column = rows.select("text").mapInArrow(tidy(hashed), "words array<int>").toArrow()["words"].combine_chunks()
     values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
     return np.split(values, np.cumsum(pc.list_value_length(column).to_numpy())[:-1]) if len(column) else []
 
@@ -154,9 +155,6 @@ def train(
     )
 
 
-_FEATURES: dict[str, Recent] = {}
-
-
 def scores(classifier: Classifier | None) -> Callable[[Column], Column]:
     """A function of a text column: the score of each text."""
     key = uuid.uuid4().hex
@@ -165,17 +163,14 @@ def scores(classifier: Classifier | None) -> Callable[[Column], Column]:
 
     @F.arrow_udf(T.DoubleType())
     def rate(column: pa.Array) -> pa.Array:
-        if key not in _FEATURES:
-            _FEATURES.clear()
-            _FEATURES[key] = Recent(REMEMBER)
-        seen, z = _FEATURES[key], []
+        seen, z = held(key, lambda: Recent(REMEMBER)), []
         for _, texts in text_groups(column):
             if weights is None:
                 z += [-np.inf] * len(texts)
                 continue
             sets = [set(_WORDS(t.lower())) for t in texts]
             for w in seen.missing(set().union(*sets)):
-                seen.new[w] = [f for f in features(w) if f in weights]
+                seen.new[w] = tuple(f for f in features(w) if f in weights)
             for words in sets:
                 used = set().union(*filter(None, map(seen.new.__getitem__, words)))
                 z.append(bias + math.fsum(weights[f] for f in used))
