@@ -1,3 +1,4 @@
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -68,3 +69,39 @@ def test_without_training_rows(spark):
     got = urls.filter_urls(table(spark, ["http://x.org/", None]), RULES).collect()
     assert [r["verdict"] for r in got] == ["allow", "allow"]
     assert urls.filter_urls(table(spark, ["http://x.org/"]).limit(0), RULES).count() == 0
+
+
+def exact(rows):
+    """Differences of the rows (host, path, rule, verdict) from exact counts."""
+    grams = {"allow": Counter(), "block": Counter()}
+    for r in rows:
+        text = (r["host"] + r["path"]).lower()
+        if r["rule"] and zlib.crc32(text.encode()) % 5:
+            marked = "^" * urls.ORDER + text + "$"
+            for i in range(urls.ORDER, len(marked)):
+                for k in range(urls.ORDER + 1):
+                    grams[r["verdict"]][marked[i - k : i + 1]] += 1
+                    grams[r["verdict"]]["of", marked[i - k : i], k] += 1
+
+    def log_p(kind, marked, i):
+        p = 1 / urls.ALPHABET
+        for k in range(urls.ORDER + 1):
+            p = (grams[kind][marked[i - k : i + 1]] + urls.WEIGHT * p) / (grams[kind]["of", marked[i - k : i], k] + urls.WEIGHT)
+        return math.log(p)
+
+    for r in rows:
+        text = (r["host"] + r["path"]).lower()
+        marked = "^" * urls.ORDER + text + "$"
+        yield sum(log_p("allow", marked, i) - log_p("block", marked, i) for i in range(urls.ORDER, len(marked))) / (len(text) + 1) if text else 0.0
+
+
+def test_counts_are_exact_for_many_grams(spark, monkeypatch):
+    """With the module's own parameters, and both kinds of join: no two grams share a count."""
+    words = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(400)]
+    given = [f"http://{w[:20]}.{('com/a', 'net/es')[i % 2]}/{w[20:50]}é😀" for i, w in enumerate(words)]
+    given += [f"http://{w[::-1]}.org/" for w in words[:50]] + [None]
+    for cells in (urls.CELLS, 0):
+        monkeypatch.setattr(urls, "CELLS", cells)
+        rows = urls.filter_urls(table(spark, given), RULES).collect()
+        assert len(rows) == len(given)
+        assert max(abs(r["difference"] - want) for r, want in zip(rows, exact(rows), strict=True)) < 1e-9

@@ -6,9 +6,9 @@ a log-likelihood difference per character; it is compared with a threshold calib
 a fifth of the decided URLs that the models have not seen.
 
 A model mixes the orders 0 to ``ORDER``: p_k = (n(context, char) + a * p_(k-1)) /
-(n(context) + a), so that a context counts for as much as is known of it. Counts are kept
-in ``CELLS`` hashed cells per model, which bounds what goes to the driver and into the
-plan, whatever the table's size. Everything is DataFrame functions.
+(n(context) + a), so that a context counts for as much as is known of it. Counts are exact:
+a table with a row per gram, which grows with the URLs and is joined to the characters of
+each distinct text. Everything is DataFrame functions.
 
 A NULL URL or one without ``://`` has an empty host and path, and its difference is 0. If
 one class has no URL, there is no model and what no rule fits is allowed. Every row gets
@@ -17,14 +17,16 @@ one row; repeated rows count as often as they occur; other columns are ignored.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilmark.sources.shared import cut
+
 ORDER = 4
-CELLS = 1 << 14
+#: Most grams whose log-ratios are broadcast; more are joined by a shuffle.
+CELLS = 1 << 20
 WEIGHT = 2.0
 ALPHABET = 64.0
 
@@ -48,84 +50,68 @@ def by_rules(rules: Iterable[tuple[str, str]], host: Column, path: Column) -> tu
     return rule, verdict
 
 
-def _cell(gram: Column, order: int, kind: str) -> Column:
-    return F.pmod(F.xxhash64(gram, F.lit(order), F.lit(kind)), F.lit(CELLS)).cast("int")
-
-
-def _marked(text: Column) -> Column:
-    return F.concat(F.lit("^" * ORDER), text, F.lit("$"))
-
-
-def _counts(urls: DataFrame) -> list[int]:
-    """Cell -> how often, of all grams and contexts in ``urls`` (text, n)."""
-    at = urls.select(_marked(F.col("text")).alias("t"), "n").select(
-        "t", "n", F.explode(F.expr(f"sequence({ORDER + 1}, length(t))")).alias("i")
-    )
-    cells = F.array(
-        *(_cell(F.expr(f"substring(t, i - {k}, {k + 1})"), k, "gram") for k in range(ORDER + 1)),
-        *(_cell(F.expr(f"substring(t, i - {k}, {k})"), k, "context") for k in range(ORDER + 1)),
-    )
-    rows = at.select(F.explode(cells).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    out = [0] * CELLS
-    for r in rows:
-        out[r["cell"]] = int(r["n"])
-    return out
-
-
-def _fixed(values: list[int]) -> Column:
-    """A constant array of ``CELLS`` numbers."""
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<double>")
-
-
-class Models:
-    """Cell counts of accepted and of rejected URLs, and the threshold between them."""
+def _grams(texts: DataFrame) -> DataFrame:
+    """id, gram, accepted, rejected: every character of ``texts`` with the ``ORDER`` before it."""
+    marked = F.concat(F.lit("^" * ORDER), F.col("text"), F.lit("$"))
+    chars = texts.where("text != ''").select("id", "accepted", "rejected", F.split(marked, "").alias("c"))
+    of = ", ".join(f"get(c, i + {k})" for k in range(ORDER + 1))
+    grams = F.expr(f"transform(sequence(0, size(c) - {ORDER + 1}), i -> concat({of}))")
+    return chars.select("id", "accepted", "rejected", F.explode_outer(grams).alias("gram"))
 
-    def __init__(self, accepted: list[int], rejected: list[int], threshold: float = 0.0):
-        self.accepted, self.rejected, self.threshold = accepted, rejected, threshold
 
-    def difference(self, text: Column) -> Column:
-        """Log-likelihood difference per character."""
-        t = _marked(text)
-
-        def log_p(cells: Column, i: Column) -> Column:
-            p = F.lit(1 / ALPHABET)
-            for k in range(ORDER + 1):
-                n = F.get(cells, _cell(F.substring(t, i - k, F.lit(k + 1)), k, "gram"))
-                of = F.get(cells, _cell(F.substring(t, i - k, F.lit(k)), k, "context"))
-                p = (n + WEIGHT * p) / (of + WEIGHT)
-            return F.log(p)
-
-        accepted, rejected = _fixed(self.accepted), _fixed(self.rejected)
-        total = F.aggregate(
-            F.sequence(F.lit(ORDER + 1), F.length(t)), F.lit(0.0), lambda s, i: s + log_p(accepted, i) - log_p(rejected, i)
+def _ratios(grams: DataFrame) -> DataFrame:
+    """gram, ratio: the log-ratio of the last character after those before it, for each of
+    ``grams`` (gram, accepted, rejected; each once). All shorter grams and all contexts are
+    counted from them, order by order; a gram meets one context and one shorter gram."""
+    found = None
+    for k in range(ORDER + 1):
+        level = grams if k == ORDER else grams.groupBy(F.substring("gram", ORDER + 1 - k, k + 1).alias("gram")).agg(
+            F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")
         )
-        return F.when(F.length(text) > 0, total / (F.length(text) + 1)).otherwise(F.lit(0.0))
-
-
-def fit(decided: DataFrame) -> Models | None:
-    """Models of ``decided`` (text, n, verdict), each text once."""
-    kept = F.crc32(F.col("text").cast("binary")) % 5 != 0
-    accepted, rejected = (_counts(decided.where(kept & (F.col("verdict") == v))) for v in ("allow", "block"))
-    if not any(accepted) or not any(rejected):
-        return None
-    models = Models(accepted, rejected)
+        context = Window.partitionBy(F.substring("gram", 1, k))
+        level = level.withColumns({f"of_{c}": F.sum(c).over(context) for c in ("accepted", "rejected")})
+        if found is None:
+            level = level.withColumns({f"p_{c}": F.lit(1 / ALPHABET) for c in ("accepted", "rejected")})
+        else:
+            level = level.withColumn("shorter", F.substring("gram", 2, k)).join(found.withColumnRenamed("gram", "shorter"), "shorter")
+        found = level.select("gram", *(
+            ((F.col(c) + WEIGHT * F.col(f"p_{c}")) / (F.col(f"of_{c}") + WEIGHT)).alias(f"p_{c}") for c in ("accepted", "rejected")
+        ))
+    return found.select("gram", F.log(F.col("p_accepted") / F.col("p_rejected")).alias("ratio"))
+
+
+def differences(texts: DataFrame) -> DataFrame:
+    """``texts`` (id, text, accepted, rejected; each text once) with ``difference``, the
+    log-likelihood difference per character of models of the accepted and rejected counts."""
+    at = _grams(texts)
+    grams = cut(at.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")), "grams")
+    ratios = cut(_ratios(grams), "ratios")
+    joined = at.select("id", "gram").join(F.broadcast(ratios) if ratios.count() <= CELLS else ratios, "gram")
+    # Decimals, so that a sum does not depend on the order of its parts.
+    total = joined.groupBy("id").agg(F.sum(F.col("ratio").cast("decimal(20,12)")).cast("double").alias("total"))
+    return texts.join(total, "id", "left").withColumn("difference", F.coalesce(F.col("total") / (F.length("text") + 1), F.lit(0.0)))
+
+
+def threshold(scored: DataFrame) -> float:
+    """Between the differences of the decided URLs that the models have not seen."""
     steps = [i / 100 for i in range(101)]
-    seen = decided.where(~kept).withColumn("d", models.difference(F.col("text"))).groupBy("verdict").agg(
-        F.percentile_approx("d", steps, 10000).alias("d")
-    )
-    of = {r["verdict"]: r["d"] for r in seen.collect()}
-    if len(of) == 2:
-        low, high = sorted(of["block"]), sorted(of["allow"])
+    of = {}
+    for verdict in ("allow", "block"):
+        row = scored.where(f"unseen_{verdict}").agg(F.percentile_approx("difference", steps, 10000).alias("d")).first()
+        if row["d"]:
+            of[verdict] = row["d"]
+    if len(of) < 2:
+        return 0.0
+    low, high = sorted(of["block"]), sorted(of["allow"])
 
-        def right(t: float) -> int:
-            return sum(x >= t for x in high) + sum(x < t for x in low)
+    def right(t: float) -> int:
+        return sum(x >= t for x in high) + sum(x < t for x in low)
 
-        points = sorted({*low, *high})
-        best = max(map(right, points))
-        chosen = [t for t in points if right(t) == best]
-        below = [x for x in points if x < chosen[0]]
-        models.threshold = (chosen[0] + below[-1]) / 2 if below else chosen[0]
-    return models
+    points = sorted({*low, *high})
+    best = max(map(right, points))
+    chosen = [t for t in points if right(t) == best]
+    below = [x for x in points if x < chosen[0]]
+    return (chosen[0] + below[-1]) / 2 if below else chosen[0]
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], id_column: str = "page_id", url_column: str = "url") -> DataFrame:
@@ -134,13 +120,27 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], id_column: s
     parts = pages.select(id_column, host.alias("host"), path.alias("path"))
     rule, verdict = by_rules(rules, F.col("host"), F.col("path"))
     ruled = parts.withColumns({"rule": rule, "verdict": verdict})
-    text = F.lower(F.concat("host", "path"))
-    decided = ruled.where("verdict IS NOT NULL").groupBy(text.alias("text"), "verdict").agg(F.count("*").alias("n"))
-    models = fit(decided)
-    difference = models.difference(text) if models else F.lit(0.0)
-    judged = F.when(F.col("difference") >= (models.threshold if models else 0.0), F.lit("allow")).otherwise(F.lit("block"))
-    return ruled.withColumn("difference", difference).select(
-        id_column, "host", "path", "rule", F.coalesce("verdict", judged).alias("verdict"), "difference"
-    )
+    ruled = ruled.withColumn("text", F.lower(F.concat("host", "path")))
+    kept = F.crc32(F.col("text").cast("binary")) % 5 != 0
 
+    def n(verdict: str) -> Column:
+        return F.count_if(kept & F.col("verdict").eqNullSafe(verdict))
 
+    def unseen(verdict: str) -> Column:
+        return F.max(~kept & F.col("verdict").eqNullSafe(verdict))
+
+    texts = cut(
+        ruled.groupBy("text").agg(
+            n("allow").alias("accepted"), n("block").alias("rejected"), unseen("allow").alias("unseen_allow"), unseen("block").alias("unseen_block")
+        ).withColumn("id", F.monotonically_increasing_id()),
+        "texts",
+    )
+    known = texts.agg(F.max("accepted").alias("accepted"), F.max("rejected").alias("rejected")).first()
+    if known["accepted"] and known["rejected"]:
+        scored = cut(differences(texts).select("text", "difference", "unseen_allow", "unseen_block"), "scored")
+        limit = threshold(scored)
+        ruled = ruled.join(scored.select("text", "difference"), "text")
+    else:
+        limit, ruled = 0.0, ruled.withColumn("difference", F.lit(0.0))
+    judged = F.when(F.col("difference") >= limit, F.lit("allow")).otherwise(F.lit("block"))
+    return ruled.select(id_column, "host", "path", "rule", F.coalesce("verdict", judged).alias("verdict"), "difference")
