@@ -55,3 +55,17 @@ def test_equals_brute_force(spark):
     rows = [(n, "x y z " + " ".join(words[:n]) + " q r s") for n in range(3, 51)]
     want = [n for n in range(5, 51) if n - 4 >= 0.8 * 46]
     assert [r[0] for r in hits(documents(spark, rows), items)] == want
+
+
+def test_finds_an_item_after_a_variant_of_its_template(spark):
+    """Each occurrence is aligned by itself, not with the first places of its windows."""
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    before = "A bus leaves at 9 and drives 80 km, then stops. "
+    mixed = "so Eve met Max and then Jim saw Tom while Kim told Ben that Ida likes Leo. "
+    rows = [(1, before + ITEM), (2, before * 3 + "words " * 50 + "end. " + ITEM + " " + before), (3, before + "of the train with Alice"), (4, mixed + ITEM)]
+    table = documents(spark, rows)
+    assert [tuple(r) for r in hits(table, items)] == [(d, 1, 20, 20, 6, 6) for d in (1, 2, 4)]
+    assert [r["doc_id"] for r in decontaminate.keep_clean(table, items).collect()] == [3]
+    met = "so Ann met Bob and then Ann saw Bob while Ann told Bob that Ann likes Bob"
+    items = spark.createDataFrame([(1, met)], "item_id long, text string")
+    assert hits(documents(spark, [(1, mixed), (2, mixed + mixed), (3, mixed + "and " + met)]), items) == [(3, 1, 13, 13, 2, 2)]

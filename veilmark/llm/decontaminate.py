@@ -5,9 +5,11 @@ typed placeholders. Windows of ``WIDTH`` template words of all documents are has
 with those of the benchmark items; a document is contaminated by an item if it holds at
 least ``share`` of the item's distinct windows and the slots agree: under the alignment
 of the shared windows each value in the item's slots stands for one value in the
-document's, for at least ``share`` of the item's values. So a question with other numbers
-or names is found, a table that merely looks alike is not. Everything is DataFrame
-functions.
+document's, for at least ``share`` of the item's values. Windows are aligned with their
+first places in the document; where those do not agree, the item is looked for around every
+place of its windows, so that a variant that stands before it does not hide it. So a
+question with other numbers or names is found, a table that merely looks alike is not.
+Everything is DataFrame functions.
 
 Rows with the same id count as one document, a NULL id as an id of its own. NULL texts
 and texts of fewer than ``WIDTH`` template words share no window; an item that short
@@ -89,34 +91,76 @@ def find(documents: DataFrame, benchmark: DataFrame, share: float = 0.8) -> Data
         .where(F.col("n_found") >= share * F.col("n_windows")),
         "found",
     )
-    agreement = _agreement(found, documents, benchmark)
-    return (
-        found.join(agreement, found["doc_id"].eqNullSafe(agreement["d"]) & found["item_id"].eqNullSafe(agreement["i"]), "left")
-        .select(
-            "doc_id", "item_id", "n_windows", "n_found",
-            F.coalesce("n_values", F.lit(0)).cast("long").alias("n_values"),
-            F.coalesce("n_agreeing", F.lit(0)).cast("long").alias("n_agreeing"),
-        )
-        .where(F.col("n_agreeing") >= share * F.col("n_values"))
+    first = found.select("doc_id", "item_id", F.lit(0).alias("shift"), F.explode("places").alias("p")).select(
+        "doc_id", "item_id", "shift", "p.item_at", "p.at"
+    )
+    judged = cut(_judged(found.withColumn("shift", F.lit(0)), _agreement(first, documents, benchmark), share), "judged")
+    kept = judged.where("agrees").select("doc_id", "item_id", "n_windows", "n_found", "n_values", "n_agreeing")
+    if judged.where("NOT agrees").isEmpty():
+        return kept
+    others = _occurrences(judged.where("NOT agrees"), items, documents)
+    sized = others.groupBy("doc_id", "item_id", "shift", "n_windows").agg(F.count("*").alias("n_found")).where(
+        F.col("n_found") >= share * F.col("n_windows")
+    )
+    apart = _judged(sized, _agreement(others, documents, benchmark), share).where("agrees")
+    best = F.max_by(F.struct("n_windows", "n_found", "n_values", "n_agreeing"), F.struct("n_found", "n_agreeing", -F.col("shift")))
+    return kept.unionByName(apart.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*"))
+
+
+def _judged(found: DataFrame, agreement: DataFrame, share: float) -> DataFrame:
+    """doc_id, item_id, shift, n_windows, n_found, n_values, n_agreeing, agrees."""
+    same = [found[c].eqNullSafe(agreement[o]) for c, o in (("doc_id", "d"), ("item_id", "i"), ("shift", "o"))]
+    return found.join(agreement, same[0] & same[1] & same[2], "left").select(
+        "doc_id", "item_id", "shift", "n_windows", "n_found",
+        F.coalesce("n_values", F.lit(0)).cast("long").alias("n_values"),
+        F.coalesce("n_agreeing", F.lit(0)).cast("long").alias("n_agreeing"),
+    ).withColumn("agrees", F.col("n_agreeing") >= share * F.col("n_values"))
+
+
+def _occurrences(pairs: DataFrame, items: DataFrame, documents: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_windows, shift, item_at, at: the places of an item's windows in a
+    document around each ``shift`` (a place less the item's) that one of them has. A window
+    stands at the place nearest to it, no farther off than the item is long; shifts that are
+    so near to each other meet in slices of that length."""
+    ids = cut(pairs.select(F.col("doc_id")).distinct(), "again-ids")
+    again = documents.join(blocks.small(ids.withColumnRenamed("doc_id", "__id")), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    wanted = pairs.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"), "n_windows").join(
+        items, F.col("i").eqNullSafe(F.col("item_id"))
+    ).select("d", "i", "n_windows", "window", "item_at")
+    at = windows(again, "doc_id").withColumnRenamed("window", "w")
+    places = cut(
+        wanted.join(at, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("window") == F.col("w")))
+        .select("d", "i", "n_windows", "item_at", "at", (F.col("at") - F.col("item_at")).alias("off")),
+        "places",
+    )
+    slice_of = F.floor(F.col("off") / F.col("n_windows"))
+    shifts = places.select(
+        F.col("d").alias("doc_id"), F.col("i").alias("item_id"), F.col("off").alias("shift"), slice_of.alias("slice")
+    ).distinct().withColumn("slice", F.explode(F.array(F.col("slice") - 1, F.col("slice"), F.col("slice") + 1)))
+    near = places.withColumn("s", slice_of).join(
+        shifts, F.col("d").eqNullSafe(F.col("doc_id")) & F.col("i").eqNullSafe(F.col("item_id")) & (F.col("s") == F.col("slice"))
+    ).where(F.abs(F.col("off") - F.col("shift")) <= F.col("n_windows"))
+    return near.groupBy("doc_id", "item_id", "n_windows", "shift", "item_at").agg(
+        F.min_by("at", F.struct(F.abs(F.col("off") - F.col("shift")), "at")).alias("at")
     )
 
 
-def _agreement(found: DataFrame, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """d, i, n_values, n_agreeing: the item's slot values, and those that stand for one
-    value in the document."""
-    places = found.select("doc_id", "item_id", F.explode("places").alias("p")).select(
-        F.col("doc_id").alias("d"), F.col("item_id").alias("i"),
-        F.explode(F.expr(f"transform(sequence(0, {WIDTH - 1}), k -> struct(p.item_at + k AS item_at, p.at + k AS at))")).alias("p"),
-    ).select("d", "i", "p.item_at", "p.at").distinct()
+def _agreement(aligned: DataFrame, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """d, i, o, n_values, n_agreeing: the item's slot values, and those that stand for one
+    value in the document, under each alignment (doc_id, item_id, shift, item_at, at)."""
+    places = aligned.select(
+        F.col("doc_id").alias("d"), F.col("item_id").alias("i"), F.col("shift").alias("o"),
+        F.explode(F.expr(f"transform(sequence(0, {WIDTH - 1}), k -> struct(item_at + k AS item_at, at + k AS at))")).alias("p"),
+    ).select("d", "i", "o", "p.item_at", "p.at").distinct()
     item_slots = _slots(benchmark, "item_id", "item_value").withColumnRenamed("at", "item_at")
     own = places.join(item_slots, (places["i"] == item_slots["item_id"]) & (places["item_at"] == item_slots["item_at"])).select(
-        "d", "i", places["at"], "kind", "item_value"
+        "d", "i", "o", places["at"], "kind", "item_value"
     )
     ids = cut(own.select(F.col("d").alias("doc_id")).distinct(), "slot-ids")
     slots = _slots(blocks.only(documents, ids), "doc_id", "value").withColumnsRenamed({"doc_id": "s_id", "at": "s_at", "kind": "s_kind"})
     pairs = own.join(slots, (own["d"] == slots["s_id"]) & (own["at"] == slots["s_at"]) & (own["kind"] == slots["s_kind"]))
-    values = pairs.groupBy("d", "i", "kind", "item_value").agg(F.countDistinct("value").alias("n"))
-    return values.groupBy("d", "i").agg(F.count("*").alias("n_values"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("n_agreeing"))
+    values = pairs.groupBy("d", "i", "o", "kind", "item_value").agg(F.countDistinct("value").alias("n"))
+    return values.groupBy("d", "i", "o").agg(F.count("*").alias("n_values"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("n_agreeing"))
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:
