@@ -40,3 +40,10 @@ def test_constant_text_of_an_element_is_template(spark):
     rows += [(9, "http://two.com/", "<body><div class=top>Welcome</div></body>")]
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {**{i: f"Story {i}" for i in range(5)}, 9: "Welcome"}
+
+
+def test_an_article_that_is_apart_does_not_mark_the_main_text():
+    story = "<div><p>one</p><p>two</p></div>"
+    for apart in ("aside", "nav", "div class='related-posts'", "section role=complementary"):
+        assert text(f"<body>{story}<{apart}><article><p>teaser</p></article></{apart.split()[0]}></body>") == "one\n\ntwo"
+    assert text("<body><aside><article>teaser</article></aside><article>story</article><p>other</p></body>") == "story"

@@ -141,7 +141,7 @@ class Page:
             if self._stack[i][0] in SCOPES:
                 break
         _, path, was_apart, was_main, _ = self._stack[-1] if self._stack else ("", "", False, False, None)
-        main = was_main or tag in ("article", "main")
+        main = was_main or (tag in ("article", "main") and not was_apart)
         self.has_main |= main
         path = f"{path}/{name}"
         self.elements[path] += 1
