@@ -47,3 +47,17 @@ def test_an_article_that_is_apart_does_not_mark_the_main_text():
     for apart in ("aside", "nav", "div class='related-posts'", "section role=complementary"):
         assert text(f"<body>{story}<{apart}><article><p>teaser</p></article></{apart.split()[0]}></body>") == "one\n\ntwo"
     assert text("<body><aside><article>teaser</article></aside><article>story</article><p>other</p></body>") == "story"
+
+
+def test_copies_and_parts_of_a_host_are_no_template(spark):
+    def page(i):
+        return f"<body><div class=top>Welcome</div><div class=text>Story {i}</div></body>"
+
+    quote = "<body><div class=top>Welcome</div><blockquote>Told once</blockquote></body>"
+    rows = [(i, "http://one.com/", page(0)) for i in range(5)]  # copies of one page
+    rows += [(10 + i, "http://h.com/", page(i)) for i in range(9)] + [(20 + i, "http://h.com/", quote) for i in range(4)]
+    rows += [(30 + i, "http://h.com/", f"<body><div class=top>Welcome</div><div class=text>Part {i}</div><h2 class=part>Same head</h2></body>") for i in range(3)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
+    want = {i: "Welcome\n\nStory 0" for i in range(5)} | {10 + i: f"Story {i}" for i in range(9)}
+    assert got == want | {20 + i: "Told once" for i in range(4)} | {30 + i: f"Part {i}\n\nSame head" for i in range(3)}

@@ -2,9 +2,9 @@
 
 A page is a sequence of tokens: elements (by their path of tags and classes) and blocks
 of text at such a path. A token's occurrence vector says how often it occurs on each page
-of its host. Tokens with equal vectors over at least ``SUPPORT`` pages form a class; a
-text whose class holds the element around it stands there each time, so the two nest
-into the host's template. What is left of a page are its slots. The main text is the
+of its host, where pages with equal tokens count once. Tokens with equal vectors over at
+least ``SUPPORT`` pages and most pages of the host form a class; a text whose class holds
+the element around it stands there each time, so the two nest into the host's template. What is left of a page are its slots. The main text is the
 slots inside ``article`` or ``main`` where a page has one, otherwise all slots, without
 those below elements whose tag, role, class or id says navigation, header, footer,
 sidebar, notice, advert, form, script, style or comment. Text inside an article is never
@@ -177,33 +177,34 @@ def _hash(text: str) -> int:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """host, path, text, vector, n_pages, n: the tokens of each host. ``text`` is 0 for an
-    element; texts are tokens only where no article marks the main text."""
-    schema = pa.schema(
-        [("host", pa.string()), ("path", pa.int64()), ("text", pa.int64()), ("vector", pa.int64()), ("n_pages", pa.int64()), ("n", pa.int64())]
-    )
+    """host, path, text, vector, n_pages, n: the tokens of each host, where equal pages
+    count once. ``text`` is 0 for an element; texts are tokens only where no article marks
+    the main text. Path 0 stands for the page itself."""
+    token = pa.struct([("path", pa.int64()), ("text", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("tokens", pa.list_(token))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            hosts, ids = part["host"].to_pylist(), part["page_id"].to_pylist()
-            found: dict[tuple, list[int]] = {}
+            hosts = part["host"].to_pylist()
             for lo, sources in text_groups(part["html"]):
+                found = {}
                 for k, source in enumerate(sources, lo):
                     page = Page(source)
                     tokens = Counter({(_path(p), 0): n for p, n in page.elements.items()})
                     if not page.has_main:
                         tokens.update((_path(p), _hash(t)) for p, t in page.slots())
-                    for (path, text), n in tokens.items():
-                        row = found.setdefault((hosts[k], path, text), [0, 0, 0])
-                        row[0] ^= _hash(f"{ids[k]} {n}")
-                        row[1] += 1
-                        row[2] += n
-            if found:
-                yield batch(schema, *zip(*((*k, *v) for k, v in found.items()), strict=True))
-
-    tokens = pages.select("host", "page_id", "html").mapInArrow(count, "host string, path long, text long, vector long, n_pages long, n long")
-    return tokens.groupBy("host", "path", "text").agg(
-        F.bit_xor("vector").alias("vector"), F.sum("n_pages").alias("n_pages"), F.sum("n").alias("n")
+                    if tokens:
+                        tokens[0, 0] = 1
+                        digest = _hash(repr((sorted(page.elements.items()), page.blocks)))
+                        found[hosts[k], digest] = [{"path": p, "text": t, "n": n} for (p, t), n in tokens.items()]
+                if found:
+                    yield batch(schema, *zip(*((*k, v) for k, v in found.items()), strict=True))
+
+    distinct = pages.select("host", "html").mapInArrow(
+        count, "host string, page long, tokens array<struct<path: long, text: long, n: long>>"
+    ).dropDuplicates(["host", "page"])
+    return distinct.select("host", "page", F.inline_outer("tokens")).groupBy("host", "path", "text").agg(
+        F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("n_pages"), F.sum("n").alias("n")
     )
 
 
@@ -213,10 +214,13 @@ def _path(path: str) -> int:
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """host, path, text of the texts that are in the class of the element around them."""
-    frequent = tokens.where(F.col("n_pages") >= SUPPORT)
+    """host, path, text of the texts that are in the class of the element around them, on
+    most of the host's distinct pages."""
+    hosts = tokens.where("path = 0 AND text = 0").select("host", F.col("n_pages").alias("n_host"))
+    frequent = tokens.where((F.col("n_pages") >= SUPPORT) & (F.col("path") != 0))
     elements = frequent.where("text = 0").drop("text")
-    return frequent.where("text != 0").join(elements, ["host", "path", "vector", "n_pages", "n"]).select("host", "path", "text")
+    nested = frequent.where("text != 0").join(elements, ["host", "path", "vector", "n_pages", "n"])
+    return nested.join(hosts, "host").where("2 * n_pages > n_host").select("host", "path", "text")
 
 
 def extract(pages: DataFrame) -> DataFrame:
