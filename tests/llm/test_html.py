@@ -61,3 +61,15 @@ def test_copies_and_parts_of_a_host_are_no_template(spark):
     got = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
     want = {i: "Welcome\n\nStory 0" for i in range(5)} | {10 + i: f"Story {i}" for i in range(9)}
     assert got == want | {20 + i: "Told once" for i in range(4)} | {30 + i: f"Part {i}\n\nSame head" for i in range(3)}
+
+
+def test_sections_and_headings_of_an_article_stay(spark):
+    kept = "<header><h1>Head</h1></header><section id='discussion'><p>a</p></section><section id='related-work'><h2 id=comments>b</h2></section>"
+    kept += "<div class='form-of-government'>c</div><p class='market-share'>d <span class=form>e</span></p>"
+    gone = "<div class='share-buttons'>x</div><div id=comments>x</div><div class='newsletter form'>x</div><p>f <span class=ad>x</span></p>"
+    assert text(f"<article>{kept}{gone}</article>") == "Head\n\na\n\nb\n\nc\n\nd e\n\nf"
+    assert text("<body><div id='discussion'>x</div><p>y</p></body>") == "y"
+    pages = [f"<article><p>Story {i}</p><p>Shared passage</p><div class='social'>Follow us</div><div class='search'>Case {i}</div></article>" for i in range(4)]
+    table = spark.createDataFrame([(i, "http://h.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
+    assert got == {i: f"Story {i}\n\nShared passage\n\nCase {i}" for i in range(4)}

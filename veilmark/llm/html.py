@@ -7,8 +7,10 @@ least ``SUPPORT`` pages and most pages of the host form a class; a text whose cl
 the element around it stands there each time, so the two nest into the host's template. What is left of a page are its slots. The main text is the
 slots inside ``article`` or ``main`` where a page has one, otherwise all slots, without
 those below elements whose tag, role, class or id says navigation, header, footer,
-sidebar, notice, advert, form, script, style or comment. Text inside an article is never
-compared with other pages: passages that pages share stay.
+sidebar, notice, advert, form, script, style or comment. Inside an article only clear
+names (adverts, comments, share boxes, newsletters) are apart; text under the other names
+goes only if it is template. Other text inside an article is never compared with other
+pages: passages that pages share stay, and so does template text under unknown names.
 
 White space inside a block becomes one space (``br`` is white space), blocks are joined
 by an empty line, character references are decoded. NULL html is empty and has no text;
@@ -62,6 +64,13 @@ APART_NAMES = frozenset(
     "newsletter subscribe subscription signup login form search widget widgets toolbar skip".split()
 )
 
+#: Inside an article only these are apart by name, alone or with words for their boxes.
+APART_INSIDE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsored comments commentlist disqus share sharing newsletter".split()
+)
+BOX_NAMES = frozenset("area bar block box button buttons container form icons inner item links list section slot thread unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S
 )
@@ -71,23 +80,27 @@ _NAME = re.compile(r"[a-z]+")
 
 
 @lru_cache(maxsize=100_000)
-def _element(tag: str, attributes: str) -> tuple[str, bool]:
-    """An element's name in a path, and whether what is in it is apart from the text."""
+def _element(tag: str, attributes: str) -> tuple[str, bool, int]:
+    """An element's name in a path, whether what is in it is apart from the text, and what
+    it is inside an article: text (0), text unless it is template (1) or apart (2)."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
     names = found.get("class", "").split()
-    parts = {w for n in (*names, found.get("id", "")) for w in _NAME.findall(n)}
-    apart = tag in APART or found.get("role") in APART_ROLES or bool(parts & APART_NAMES)
-    return ".".join([tag, *sorted(names)]), apart and tag not in ("html", "body", "article", "main")
+    parts = [frozenset(_NAME.findall(n)) for n in (*names, found.get("id", ""))]
+    apart = tag in APART or found.get("role") in APART_ROLES or any(p & APART_NAMES for p in parts)
+    apart = apart and tag not in ("html", "body", "article", "main")
+    clear = (tag in APART and tag != "header") or found.get("role") in APART_ROLES
+    clear |= tag not in HEADINGS and any(p & APART_INSIDE and p <= APART_INSIDE | BOX_NAMES for p in parts)
+    return ".".join([tag, *sorted(names)]), apart, (2 if clear else 1) if apart else 0
 
 
 class Page:
     """The blocks and elements of one page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, bool]] = []  # path, text, inside article or main
+        self.blocks: list[tuple[str, str, bool, bool]] = []  # path, text, inside article or main, under a name that may be apart
         self.elements: Counter = Counter()
         self.has_main = False
-        self._stack: list[tuple[str, str, bool, bool, list | None]] = []  # tag, path, apart, main, text before
+        self._stack: list[tuple[str, str, int, bool, list | None]] = []  # tag, path, apart (0 to 2), main, text before
         self._text: list[str] = []
         at = 0
         while m := _TAG.search(source, at):
@@ -121,16 +134,16 @@ class Page:
             if "&" in text:
                 text = entities.unescape(text)
             text = " ".join(text.split())
-            _, path, apart, main, _ = self._stack[-1] if self._stack else ("", "", False, False, None)
-            if text and not apart:
-                self.blocks.append((path, text, main))
+            _, path, apart, main, _ = self._stack[-1] if self._stack else ("", "", 0, False, None)
+            if text and apart < 2:
+                self.blocks.append((path, text, main, apart == 1))
 
     def _open(self, tag: str, attributes: str) -> None:
-        name, apart = _element(tag, attributes)
+        name, apart, inside = _element(tag, attributes)
         if tag in INLINE:
-            if apart:  # its text goes, and the block goes on after it
-                above = self._stack[-1][1:4] if self._stack else ("", False, False)
-                self._stack.append((tag, above[0], True, above[2], self._text))
+            above = self._stack[-1][1:4] if self._stack else ("", 0, False)
+            if inside == 2 if above[2] else apart:  # its text goes, and the block goes on after it
+                self._stack.append((tag, above[0], 2, above[2], self._text))
                 self._text = []
             return
         self._flush()
@@ -140,12 +153,13 @@ class Page:
                 break
             if self._stack[i][0] in SCOPES:
                 break
-        _, path, was_apart, was_main, _ = self._stack[-1] if self._stack else ("", "", False, False, None)
+        _, path, was_apart, was_main, _ = self._stack[-1] if self._stack else ("", "", 0, False, None)
         main = was_main or (tag in ("article", "main") and not was_apart)
+        level = inside if was_main else 2 * apart
         self.has_main |= main
         path = f"{path}/{name}"
         self.elements[path] += 1
-        self._stack.append((tag, path, apart or was_apart, main, None))
+        self._stack.append((tag, path, max(level, was_apart), main, None))
 
     def _close(self, tag: str) -> None:
         for i in range(len(self._stack) - 1, -1, -1):
@@ -169,7 +183,19 @@ class Page:
 
     def slots(self) -> list[tuple[str, str]]:
         """Path and text of the blocks that may be main text."""
-        return [(p, t) for p, t, main in self.blocks if main or not self.has_main]
+        return [(p, t) for p, t, main, _ in self.blocks if main or not self.has_main]
+
+    def compared(self) -> list[tuple[str, str]]:
+        """Those of the slots that may be template: inside an article, only what stands
+        under a name that may be apart."""
+        return [(p, t) for p, t, main, unsure in self.blocks if unsure or not self.has_main]
+
+    def text(self, fixed: set[tuple[int, int]]) -> str:
+        """The slots without the template texts ``fixed`` (path, text)."""
+        kept = (b for b in self.blocks if b[2] or not self.has_main)
+        return "\n\n".join(
+            t for p, t, _, unsure in kept if not (fixed and (unsure or not self.has_main) and (_path(p), _hash(t)) in fixed)
+        )
 
 
 def _hash(text: str) -> int:
@@ -179,7 +205,7 @@ def _hash(text: str) -> int:
 def occurrences(pages: DataFrame) -> DataFrame:
     """host, path, text, vector, n_pages, n: the tokens of each host, where equal pages
     count once. ``text`` is 0 for an element; texts are tokens only where no article marks
-    the main text. Path 0 stands for the page itself."""
+    the main text, or under a name that may be apart. Path 0 stands for the page itself."""
     token = pa.struct([("path", pa.int64()), ("text", pa.int64()), ("n", pa.int64())])
     schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("tokens", pa.list_(token))])
 
@@ -191,8 +217,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 for k, source in enumerate(sources, lo):
                     page = Page(source)
                     tokens = Counter({(_path(p), 0): n for p, n in page.elements.items()})
-                    if not page.has_main:
-                        tokens.update((_path(p), _hash(t)) for p, t in page.slots())
+                    tokens.update((_path(p), _hash(t)) for p, t in page.compared())
                     if tokens:
                         tokens[0, 0] = 1
                         digest = _hash(repr((sorted(page.elements.items()), page.blocks)))
@@ -235,13 +260,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for part in batches:
             fixed = [{(x["path"], x["text"]) for x in f or ()} for f in part["fixed"].to_pylist()]
             for lo, sources in text_groups(part["html"]):
-                texts = []
-                for k, source in enumerate(sources, lo):
-                    page = Page(source)
-                    slots = page.slots()
-                    if fixed[k] and not page.has_main:
-                        slots = [(p, t) for p, t in slots if (_path(p), _hash(t)) not in fixed[k]]
-                    texts.append("\n\n".join(t for _, t in slots))
+                texts = [Page(source).text(fixed[k]) for k, source in enumerate(sources, lo)]
                 n = len(texts)
                 yield batch(schema, part["page_id"].slice(lo, n), part["url"].slice(lo, n), texts, [len(t) for t in texts])
 
