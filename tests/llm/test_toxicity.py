@@ -52,3 +52,14 @@ def test_cases(spark):
     assert toxicity.train(table, labels.where("toxic = 0"), F.lit(True)) is None
     assert {r["score"] for r in toxicity.score(table, None).collect()} == {0.0}
     assert toxicity.keep_clean(table.limit(0), labels.limit(0)).count() == 0
+
+
+def test_the_prior_is_the_measured_share(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(toxicity, "_fit", lambda p, u, prior, *_: given.append(prior) or toxicity.Classifier({}, 0.0))
+    table = documents(spark, [(i, f"bad words {i}") for i in range(1000)])
+    for n in (1, 700):
+        labels = spark.range(1000).selectExpr("id AS doc_id", f"CAST(id < {n} AS INT) AS toxic")
+        monkeypatch.setattr(toxicity, "LEAST", 1)
+        toxicity.train(table, labels, F.lit(True), members=1)
+    assert given == [0.001, 0.7]

@@ -36,6 +36,8 @@ REMEMBER = 150_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: Positive rows that a feature with a weight is in.
 LEAST = 8
+#: Keeps the prior's logarithm finite.
+FLOOR = 1e-9
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -134,7 +136,7 @@ def train(
     if not tally["toxic"]:
         return None
     if 0 < tally["toxic"] < tally["n"]:
-        prior = min(max(tally["toxic"] / tally["n"], 0.01), 0.5)
+        prior = min(max(tally["toxic"] / tally["n"], FLOOR), 1 - FLOOR)
     texts = documents.where(training).select("doc_id", "text")
     toxic = _sample(known.where("toxic = 1").select("doc_id"), positives)
     marked = texts.join(F.broadcast(toxic), "doc_id")  # about ``positives`` ids
