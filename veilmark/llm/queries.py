@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, decontaminate, html, jaccard, language, lattice, packing, sql, toxicity, urls
+from veilmark.llm import chat, counts, decontaminate, hosts, html, jaccard, language, lattice, packing, sql, toxicity, urls
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_jaccard_join", sql.JACCARD)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(read(spark, folder, "documents"), width=3, num=90, den=100)
+
+
+@query("op13_host_rules", sql.HOSTS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return hosts.judge(read(spark, folder, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from veilmark.llm import decontaminate as dc
+from veilmark.llm import hosts
 
 _REACH = """
     ties AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
@@ -71,3 +72,45 @@ WITH documents_rows AS (SELECT doc_id AS documents_key, text FROM documents), be
       SELECT doc_id, item_id, kind, item_value, count(DISTINCT value) AS n FROM pairs GROUP BY ALL) GROUP BY ALL)
 SELECT doc_id, item_id, n_windows, n_found, coalesce(n_values, 0) AS n_values, coalesce(n_agreeing, 0) AS n_agreeing
 FROM found LEFT JOIN agreement USING (doc_id, item_id) WHERE coalesce(n_agreeing, 0) >= 0.8 * coalesce(n_values, 0)"""
+
+
+def _host_rules() -> str:
+    """Quality rules by host, with windows and lines as rows."""
+    low, high = hosts.STRENGTH
+    rules = hosts.RULES.items()
+    sums = ", ".join(f"sum(CAST({r} AS DOUBLE)) AS {r}" for r, _ in rules)
+    totals = ", ".join(f"sum({r}) AS {r}, sum({r} * {r} / n) AS {r}_2" for r, _ in rules)
+    between = "(({r}_2 - n * ({r} / n) * ({r} / n) - (h - 1) * ({r} / n) * (1 - {r} / n)) / (n - nn / n))"
+    priors = ", ".join(
+        f"{r} / n AS {r}_m, CASE WHEN h > 1 AND {between.format(r=r)} > 0 "
+        f"THEN least(greatest(({r} / n) * (1 - {r} / n) / {between.format(r=r)} - 1, {low}), {high}) ELSE {high} END AS {r}_s"
+        for r, _ in rules
+    )
+    shrunk = ", ".join(f"({r} + {r}_m * {r}_s) / (n + {r}_s) AS rate_{r}" for r, _ in rules)
+    worst = "greatest(" + ", ".join(f"rate_{r}" for r, _ in rules) + ")"
+    own = " OR ".join(f"({r} AND rate_{r} > 0.25)" for r, _ in rules)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT id, list_filter(string_split_regex(text, '{hosts.SPACE}'), lambda x: x <> '') AS w FROM d),
+    rows AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+    grams AS (SELECT id, i, word || chr(31) || lead(word, 1) OVER o || chr(31) || lead(word, 2) OVER o AS g FROM rows WINDOW o AS (PARTITION BY id ORDER BY i)),
+    repeated AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS c FROM grams WHERE g IS NOT NULL) WHERE c > 1),
+    covered AS (SELECT id, count(DISTINCT i + k) AS c FROM repeated, range(0, 3) r(k) GROUP BY id),
+    lines AS (SELECT id, unnest(string_split(text, chr(10))) AS line FROM d),
+    dup AS (SELECT id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS c FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY id),
+    m AS (SELECT id, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+      CAST(length(text) - length(regexp_replace(text, '[{hosts.SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols,
+      coalesce(dup.c, 0) AS n_dup_lines, coalesce(covered.c, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+      FROM d JOIN w USING (id) LEFT JOIN dup USING (id) LEFT JOIN covered USING (id)),
+    f AS (SELECT *, {", ".join(f"({rule}) AS {r}" for r, rule in rules)} FROM m),
+    h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {sums} FROM f GROUP BY source),
+    t AS (SELECT count(*) AS h, sum(n) AS n, sum(n * n) AS nn, {totals} FROM h),
+    p AS (SELECT {priors} FROM t),
+    s AS (SELECT source, {shrunk} FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
+  NOT (short OR repeats) AND {worst} <= 0.5 AND NOT ({own}) AS kept,
+  CASE WHEN {worst} > 0.5 THEN 'bad' WHEN {worst} > 0.25 THEN 'doubtful' ELSE 'good' END AS host_verdict
+FROM f JOIN s USING (source)"""
+
+
+HOSTS = _host_rules()
