@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, decontaminate, hosts, html, jaccard, language, lattice, packing, sql, toxicity, urls
+from veilmark.llm import chat, counts, decontaminate, hosts, html, jaccard, language, lattice, packing, sql, toxicity, urls, whitening
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_host_rules", sql.HOSTS)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return hosts.judge(read(spark, folder, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"), most=8)
