@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilmark.llm import chat, counts, decontaminate, hosts, html, jaccard, language, lattice, packing, sql, toxicity, urls, whitening
+from veilmark.llm import chat, collocations, counts, decontaminate, hosts, html, jaccard, language, lattice, packing, sql, toxicity, urls, whitening
 from veilmark.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_whitening")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read(spark, folder, "embeddings"), most=8)
+
+
+@query("op11_collocations", sql.COLLOCATIONS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(read(spark, folder, "documents"))

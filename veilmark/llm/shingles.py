@@ -39,15 +39,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a string column, and the row borders in them."""
-    data, at = utf8(column)
-    space = _SPACE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[at] = True
-    before = np.append(True, space[:-1]) | edge[:-1] if len(data) else np.zeros(0, bool)
-    after = np.append(space[1:], True) | edge[1:] if len(data) else np.zeros(0, bool)
-    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words at these places of ``data``, with A-Z in lower case."""
     out = np.empty(len(starts), np.uint64)
     lo = 0
     while lo < len(starts):
@@ -60,7 +53,25 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         s, e = starts[lo:hi] - first, ends[lo:hi] - first
         out[lo:hi] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
         lo = hi
-    return out, np.searchsorted(starts, at)
+    return out
+
+
+def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are ``inside`` words; rows end at ``at``."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[at] = True
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    before = np.append(True, ~inside[:-1]) | edge[:-1]
+    after = np.append(~inside[1:], True) | edge[1:]
+    return np.flatnonzero(inside & before), np.flatnonzero(inside & after) + 1
+
+
+def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a string column, and the row borders in them."""
+    data, at = utf8(column)
+    starts, ends = runs(~_SPACE[data], at)
+    return hashes(data, starts, ends), np.searchsorted(starts, at)
 
 
 def sets(column: pa.Array, width: int) -> list[np.ndarray]:

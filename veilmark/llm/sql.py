@@ -114,3 +114,26 @@ FROM f JOIN s USING (source)"""
 
 
 HOSTS = _host_rules()
+
+
+COLLOCATIONS = """
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT id, lang, unnest(p) AS piece, generate_subscripts(p, 1) AS j FROM (SELECT id, lang, string_split_regex(text, '[.,;:!?\\x0A-\\x0D]') AS p FROM d)),
+    w AS (SELECT id, lang, j, unnest(w) AS word, generate_subscripts(w, 1) AS i
+      FROM (SELECT id, lang, j, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p)),
+    g AS (SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4 FROM w WINDOW o AS (PARTITION BY id, j ORDER BY i)),
+    f AS (SELECT lang, [w1] AS w, count(*) AS f FROM g GROUP BY ALL
+      UNION ALL SELECT lang, [w1, w2], count(*) FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+      UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+      UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM g WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+    n AS (SELECT lang, sum(f) AS n FROM f WHERE len(w) = 1 GROUP BY lang),
+    c AS (SELECT lang, w, f AS a FROM f WHERE len(w) > 1),
+    cuts AS (SELECT c.lang, c.w, a, k, l.f AS l, r.f AS r, (CAST(2000000 AS HUGEINT) * a) // (l.f + r.f) AS score FROM c, range(1, 4) t(k), f l, f r
+      WHERE k < len(c.w) AND l.lang = c.lang AND r.lang = c.lang AND l.w = c.w[1:k] AND r.w = c.w[k + 1:]),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+    subs AS (SELECT lang, w[i:i + m - 1] AS w, max(a) AS longer FROM c, range(2, 4) x(m), range(1, 4) y(i) WHERE m < len(w) AND i + m - 1 <= len(w) GROUP BY ALL),
+    kept AS (SELECT best.*, array_to_string(best.w, ' ') AS phrase FROM best LEFT JOIN subs USING (lang, w) WHERE longer IS NULL OR 100 * longer < 80 * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
