@@ -11,17 +11,23 @@ place of its windows, so that a variant that stands before it does not hide it.
 question with other numbers or names is found, a table that merely looks alike is not.
 Everything is DataFrame functions.
 
+An item of fewer than ``WIDTH`` template words, but ``shortest`` or more, is one window of
+its own length, and all of its slot values must be equal: a document holds it if it holds
+its words in a row. (Items of fewer words than that parameter are ordinary phrases that
+identify nothing.)
+
 Rows with the same id count as one document, a NULL id as an id of its own. NULL texts
-and texts of fewer than ``WIDTH`` template words share no window; an item that short
-identifies nothing and contaminates nothing. Repeated items are found each. Empty tables
-give no rows; other columns are ignored.
+and texts of fewer words than a window share none. Repeated items are found each. Runs of
+numbers or names of any length are matched without recursion, in time that grows with the
+text. Empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilmark.functions.arrays import let
 from veilmark.llm import blocks
 from veilmark.sources.shared import cut
 
@@ -40,44 +46,93 @@ NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
 WITH_UNIT = rf"{NUMBER}[ ]?(%|(?i:{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))}))([^\p{{L}}\p{{N}}]|$)"
 NAME = r"([^.!?: \t\r\n][ \t\r\n]+)(\p{Lu}\p{Ll}+(?:[ ]\p{Lu}\p{Ll}+)*)"
 SPLIT = r"[^\p{L}\p{N}]+"
+# The same for the JVM's matcher: inner loops give nothing back (nothing after them could use
+# it), which spares it the recursion, and a number is not tried again from its middle.
+_NUMBER = r"\p{N}++(?:[.,]\p{N}++)*+"
+_WITH_UNIT = r"(?<!\p{N})(?<!\p{N}[.,])" + WITH_UNIT.replace(NUMBER, _NUMBER)
+_NAME = r"([^.!?: \t\r\n][ \t\r\n]++)(\p{Lu}\p{Ll}++(?:[ ]\p{Lu}\p{Ll}++)*+)"
 # Placeholders start with a letter that no benchmark or document language uses.
 P_NUMBER, P_UNIT, P_NAME = "ʘnum", "ʘunit", "ʘname"
 
 
 def _without_numbers(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, WITH_UNIT, f" {P_NUMBER} {P_UNIT} $2"), NUMBER, f" {P_NUMBER} ")
+    return F.regexp_replace(F.regexp_replace(text, _WITH_UNIT, f" {P_NUMBER} {P_UNIT} $2"), _NUMBER, f" {P_NUMBER} ")
 
 
 def template(text: Column) -> Column:
     """The template words of a text."""
-    words = F.split(F.lower(F.regexp_replace(_without_numbers(F.coalesce(text, F.lit(""))), NAME, f"$1 {P_NAME} ")), SPLIT)
+    words = F.split(F.lower(F.regexp_replace(_without_numbers(F.coalesce(text, F.lit(""))), _NAME, f"$1 {P_NAME} ")), SPLIT)
     return F.filter(words, lambda w: w != "")
 
 
+def _digests(words: Column, width: int) -> Column:
+    """The digests of all ``width`` words in a row; each word is hashed once."""
+    def of(h: Column) -> Column:
+        places = F.when(F.size(h) >= width, F.slice(h, F.lit(1), F.size(h) - (width - 1)))
+        return F.transform(places, lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, width))))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
+
+
 def windows(rows: DataFrame, id_column: str) -> DataFrame:
     """id, at, window: the hash of the template words from place ``at`` on."""
-    hashed = F.expr(f"CASE WHEN size(w) >= {WIDTH} THEN transform(sequence(1, size(w) - {WIDTH - 1}), i -> xxhash64(slice(w, i, {WIDTH}))) END")
-    arrays = rows.select(id_column, template(F.col("text")).alias("w")).select(id_column, hashed.alias("h"))
+    arrays = rows.select(id_column, _digests(template(F.col("text")), WIDTH).alias("h"))
     return arrays.select(id_column, F.posexplode_outer("h").alias("at", "window")).where("window IS NOT NULL")
 
 
 def _slots(rows: DataFrame, id_column: str, value: str) -> DataFrame:
-    """id, at, kind, value: what stands in each placeholder, for few rows."""
+    """id, at, kind, value: what stands in each placeholder."""
     text = F.coalesce("text", F.lit(""))
-    words = rows.select(
-        id_column,
-        F.posexplode(template(F.col("text"))).alias("at", "kind"),
-        F.regexp_extract_all(text, F.lit(NUMBER), 0).alias("numbers"),
-        F.regexp_extract_all(text, F.lit(WITH_UNIT), 1).alias("units"),
-        F.regexp_extract_all(_without_numbers(text), F.lit(NAME), 2).alias("names"),
-    ).where(F.col("kind").isin(P_NUMBER, P_UNIT, P_NAME))
-    n = F.row_number().over(Window.partitionBy(id_column, "kind").orderBy("at"))
-    of = F.when(F.col("kind") == P_NUMBER, F.col("numbers")).when(F.col("kind") == P_UNIT, F.col("units")).otherwise(F.col("names"))
-    return words.withColumn("n", n).select(id_column, "at", "kind", F.lower(F.get(of, F.col("n") - 1)).alias(value))
-
-
-def find(documents: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:
+    found = {
+        P_NUMBER: F.regexp_extract_all(text, F.lit(_NUMBER), 0),
+        P_UNIT: F.regexp_extract_all(text, F.lit(_WITH_UNIT), 1),
+        P_NAME: F.regexp_extract_all(_without_numbers(text), F.lit(_NAME), 2),
+    }
+
+    def of_kind(words: Column, kind: str, values: Column) -> Column:
+        at = F.filter(F.transform(words, lambda w, i: F.when(w == kind, i)), lambda i: i.isNotNull())
+        return F.zip_with(at, values, lambda i, v: F.struct(i.alias("at"), F.lit(kind).alias("kind"), F.lower(v).alias(value)))
+
+    def of(words: Column) -> Column:
+        return F.concat(*(of_kind(words, *kv) for kv in found.items()))
+
+    slots = rows.select(id_column, F.explode_outer(let(template(F.col("text")), of)).alias("s"))
+    return slots.select(id_column, "s.*").where("at IS NOT NULL")
+
+
+def find(documents: DataFrame, benchmark: DataFrame, share: float = 0.8, shortest: int = 4) -> DataFrame:
     """doc_id, item_id, n_windows, n_found, n_values, n_agreeing of each contamination."""
+    found = _by_windows(documents, benchmark, share)
+    sized = benchmark.select("item_id", "text", F.size(template(F.col("text"))).alias("__size"))
+    short = cut(sized.where(F.col("__size").between(shortest, WIDTH - 1)).drop("__size"), "short-items")
+    return found if short.isEmpty() else found.unionByName(_whole(documents, short))
+
+
+def _whole(documents: DataFrame, short: DataFrame) -> DataFrame:
+    """The contaminations by items that are found as a whole."""
+    def words(text: str) -> Column:
+        return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPLIT), lambda w: w != "")
+
+    sized = short.withColumn("n", F.size(words("text")))
+    lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())  # a few small numbers
+    items = sized.select("item_id", "n", F.coalesce(*(F.when(F.col("n") == n, F.get(_digests(words("text"), n), F.lit(0))) for n in lengths)).alias("h"))
+    values = _slots(short, "item_id", "value").groupBy("item_id").agg(F.countDistinct("kind", "value").alias("n_values"))
+    items = items.distinct().join(values.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")), "left").drop("i")
+
+    def sized_windows(n: int) -> Column:
+        return F.transform(F.coalesce(_digests(words("text"), n), F.array().cast("array<long>")), lambda h: F.struct(F.lit(n).alias("n"), h.alias("h")))
+
+    each = [sized_windows(n) for n in lengths]
+    own = documents.select("doc_id", F.explode_outer(F.concat(*each)).alias("x")).where("x IS NOT NULL").select("doc_id", "x.n", "x.h")
+    hits = own.join(F.broadcast(items) if items.count() <= BROADCAST_ROWS else items, ["n", "h"])
+    one, values = F.lit(1).cast("long"), F.coalesce("n_values", F.lit(0)).cast("long")
+    return hits.select(
+        "doc_id", "item_id", one.alias("n_windows"), one.alias("n_found"), values.alias("n_values"), values.alias("n_agreeing")
+    ).distinct()
+
+
+def _by_windows(documents: DataFrame, benchmark: DataFrame, share: float) -> DataFrame:
+    """The contaminations by items of ``WIDTH`` template words or more."""
     items = windows(benchmark, "item_id").groupBy("item_id", "window").agg(F.min("at").alias("item_at"))
     n_items = items.count()
     sizes = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))

@@ -56,6 +56,18 @@ def _side(name: str, table: str) -> str:
       ELSE regexp_extract_all(plain, '{dc.NAME}', 2)[n] END) AS value FROM {name}_n s JOIN {name}_t t ON s.id = t.id)"""
 
 
+def _agreement(name: str, aligned: str) -> str:
+    """CTEs: how many slot values of an item stand for one value, under each alignment."""
+    return f"""
+    {name}_p AS (SELECT DISTINCT doc_id, item_id, shift, item_at + k AS item_at, pos + k AS pos FROM {aligned}, range(0, {dc.WIDTH}) r(k)),
+    {name}_v AS (SELECT doc_id, item_id, shift, b.kind, b.value AS item_value, d.value FROM {name}_p p
+      JOIN b_s b ON b.id = p.item_id AND b.pos = p.item_at JOIN d_s d ON d.id = p.doc_id AND d.pos = p.pos AND d.kind = b.kind),
+    {name} AS (SELECT doc_id, item_id, shift, count(*) AS n_values, count(*) FILTER (n = 1) AS n_agreeing FROM (
+      SELECT doc_id, item_id, shift, kind, item_value, count(DISTINCT value) AS n FROM {name}_v GROUP BY ALL) GROUP BY ALL)"""
+
+
+_RAW = f"list_filter(string_split_regex(lower(coalesce(text, '')), '{dc.SPLIT}'), lambda x: x <> '')"
+
 DECONTAMINATION = f"""
 WITH documents_rows AS (SELECT doc_id AS documents_key, text FROM documents), benchmark_rows AS (SELECT item_id AS benchmark_key, text FROM benchmark),
     {_side("d", "documents")}, {_side("b", "benchmark")},
@@ -64,14 +76,27 @@ WITH documents_rows AS (SELECT doc_id AS documents_key, text FROM documents), be
     aligned AS (SELECT d.id AS doc_id, item_id, item_at, min(d.pos) AS pos FROM d_g d JOIN items USING (g) GROUP BY ALL),
     found AS (SELECT doc_id, item_id, any_value(n_windows) AS n_windows, count(*) AS n_found FROM aligned JOIN sizes USING (item_id)
       GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n_windows)),
-    places AS (SELECT DISTINCT doc_id, item_id, item_at + k AS item_at, pos + k AS pos
-      FROM aligned JOIN found USING (doc_id, item_id), range(0, {dc.WIDTH}) r(k)),
-    pairs AS (SELECT doc_id, item_id, b.kind, b.value AS item_value, d.value FROM places p
-      JOIN b_s b ON b.id = p.item_id AND b.pos = p.item_at JOIN d_s d ON d.id = p.doc_id AND d.pos = p.pos AND d.kind = b.kind),
-    agreement AS (SELECT doc_id, item_id, count(*) AS n_values, count(*) FILTER (n = 1) AS n_agreeing FROM (
-      SELECT doc_id, item_id, kind, item_value, count(DISTINCT value) AS n FROM pairs GROUP BY ALL) GROUP BY ALL)
-SELECT doc_id, item_id, n_windows, n_found, coalesce(n_values, 0) AS n_values, coalesce(n_agreeing, 0) AS n_agreeing
-FROM found LEFT JOIN agreement USING (doc_id, item_id) WHERE coalesce(n_agreeing, 0) >= 0.8 * coalesce(n_values, 0)"""
+    first_places AS (SELECT doc_id, item_id, 0 AS shift, item_at, pos FROM aligned JOIN found USING (doc_id, item_id)),
+    {_agreement("first_values", "first_places")},
+    judged AS (SELECT doc_id, item_id, n_windows, n_found, coalesce(n_values, 0) AS n_values, coalesce(n_agreeing, 0) AS n_agreeing
+      FROM found LEFT JOIN first_values USING (doc_id, item_id)),
+    offsets AS (SELECT doc_id, item_id, n_windows, i.item_at, d.pos, d.pos - i.item_at AS off
+      FROM judged JOIN items i USING (item_id) JOIN d_g d ON d.id = doc_id AND d.g = i.g WHERE n_agreeing < 0.8 * n_values),
+    shifts AS (SELECT DISTINCT doc_id, item_id, off AS shift FROM offsets),
+    near AS (SELECT * FROM offsets JOIN shifts USING (doc_id, item_id) WHERE abs(off - shift) <= n_windows
+      QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift, item_at ORDER BY abs(off - shift), pos) = 1),
+    {_agreement("near_values", "near")},
+    apart AS (SELECT * FROM (SELECT doc_id, item_id, shift, n_windows, count(*) AS n_found FROM near GROUP BY ALL HAVING count(*) >= 0.8 * n_windows)
+      LEFT JOIN near_values USING (doc_id, item_id, shift) WHERE coalesce(n_agreeing, 0) >= 0.8 * coalesce(n_values, 0)
+      QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_found DESC, n_agreeing DESC NULLS LAST, shift) = 1),
+    short AS (SELECT item_id, r, len(r) AS n FROM (SELECT id AS item_id, {_RAW} AS r FROM b_t WHERE len(w) BETWEEN 4 AND {dc.WIDTH - 1})),
+    slots AS (SELECT id AS item_id, count(DISTINCT (kind, value)) AS n_values FROM b_s GROUP BY id),
+    raw AS (SELECT id AS doc_id, {_RAW} AS r FROM d_t),
+    places AS (SELECT doc_id, n, r, unnest(range(1, len(r) - n + 2)) AS i FROM raw, (SELECT DISTINCT n FROM short)),
+    whole AS (SELECT DISTINCT doc_id, item_id FROM places p JOIN short s ON p.n = s.n AND p.r[i:i + p.n - 1] = s.r)
+SELECT doc_id, item_id, n_windows, n_found, n_values, n_agreeing FROM judged WHERE n_agreeing >= 0.8 * n_values
+UNION ALL SELECT doc_id, item_id, n_windows, n_found, coalesce(n_values, 0), coalesce(n_agreeing, 0) FROM apart
+UNION ALL SELECT doc_id, item_id, 1, 1, coalesce(n_values, 0), coalesce(n_values, 0) FROM whole LEFT JOIN slots USING (item_id)"""
 
 
 def _host_rules() -> str:
