@@ -34,6 +34,57 @@ def test_forward_sums_all_segmentations():
     assert 0 < uses.sum() / 2 <= letters
 
 
+def test_lattice_equals_a_plain_one():
+    """Edges, sums and expected uses, short words as they are and long ones as logarithms."""
+    table, size = language.vocabulary(MODEL)
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet(np.ones(size), 3).T
+    words = ["▁" + "".join(rng.choice(list("etaoinshrd日本жé"), n)) for n in (*range(1, 24), 60, 200)] + ["▁the", "▁the"]
+
+    def plain(word):
+        """Forward and backward sums by position as logarithms, and expected uses."""
+        edges = [(i, j, q) for i in range(len(word)) for j in range(i + 1, len(word) + 1) if (q := table.get(word[i:j], -1)) >= 0]
+        edges += [(i, i + 1, size - 1) for i in range(len(word)) if table.get(word[i], -1) < 0]
+        a, b = np.full((len(word) + 1, 3), -np.inf), np.full((len(word) + 1, 3), -np.inf)
+        a[0] = b[-1] = 0
+        for i, j, q in sorted(edges, key=lambda e: e[1]):
+            a[j] = np.logaddexp(a[j], a[i] + np.log(p[q]))
+        for i, j, q in sorted(edges, key=lambda e: -e[0]):
+            b[i] = np.logaddexp(b[i], b[j] + np.log(p[q]))
+        uses = np.zeros((size, 3))
+        for i, j, q in edges:
+            uses[q] += np.exp(a[i] + np.log(p[q]) + b[j] - a[-1])
+        return a[-1], uses
+
+    want = [plain(w) for w in words]
+    got, uses, one = np.zeros((len(words), 3)), np.zeros((size, 3)), np.zeros((size, 3))
+    lots = list(language.lots(words))
+    assert sorted(np.concatenate(lots).tolist()) == list(range(len(words)))
+    own, n = np.arange(len(words)) % 3, rng.integers(1, 9, len(words))
+    for some in (np.arange(23), np.arange(23, 25), np.array([25, 26, 3])):
+        lattice = language.Lattice([words[i] for i in some], MODEL)
+        assert lattice.log == bool(23 in some)
+        got[some] = lattice.log_probabilities(p)
+        if 25 not in some:
+            uses += lattice.expected(p, np.ones((len(some), 3)))
+            one += lattice.expected_in(p, own[some], n[some])
+    assert np.allclose(got, [a for a, _ in want], rtol=1e-9)
+    assert np.allclose(uses, sum(u for _, u in want[:25]), rtol=1e-9)
+    wanted = np.zeros((size, 3))
+    for i, (_, u) in enumerate(want[:25]):
+        wanted[:, own[i]] += u[:, own[i]] * n[i]
+    assert np.allclose(one, wanted, rtol=1e-9)
+
+
+def test_long_runs_are_scored_whole():
+    p = np.random.default_rng(1).dirichlet(np.ones(language.vocabulary(MODEL)[1]), 2).T
+    scorer = language._Scorer(MODEL, p)
+    logs = scorer.score(["the" * 100_000, "the" * 20, "x²" * 30, "²"])
+    assert np.isfinite(logs[:3]).all() and np.isnan(logs[3]).all()
+    assert np.allclose(logs[1], language.Lattice(["▁" + "the" * 20], MODEL).log_probabilities(p)[0])
+    assert np.allclose(logs[2], language.Lattice(["▁" + "x" * 30], MODEL).log_probabilities(p)[0])
+
+
 @pytest.mark.skipif(not HAS_DATA, reason="no test tables")
 def test_held_out_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

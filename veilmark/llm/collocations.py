@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilmark.llm import blocks, shingles
+from veilmark.llm import blocks, shingles, tries
 from veilmark.llm.arrow import batch, groups, let_go, tidy, utf8
 from veilmark.sources.shared import cut
 
@@ -45,6 +45,8 @@ WORDS, PHRASES = 1 << 20, 1 << 18
 HELD = 400_000
 #: Counts in one row.
 COUNTS = 1 << 16
+#: Places of a stream that are worked on at once; a longer text is worked on alone.
+PLACES = 1 << 19
 
 _INSIDE = np.array([b not in SPACE + END for b in range(256)])
 _ENDS = np.array([b in END for b in range(256)])
@@ -154,6 +156,13 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[at[0] : at[-1]], at - at[0]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``PLACES`` numbers at once."""
+    for part in batches:
+        for lo, hi in groups(_lists(part["ids"])[1], PLACES):
+            yield part.slice(lo, hi - lo)
+
+
 def _filled(vocabulary) -> Callable:
     """Give the words of a part of the vocabulary their numbers."""
 
@@ -213,11 +222,8 @@ def streams(documents: DataFrame, vocabulary: DataFrame, parts: int) -> DataFram
 
 
 class Trie:
-    """Phrases of equal length as a double-array trie over the bytes of word numbers.
-
-    A state is a place in the arrays. Its child by a byte stands at ``base[state] ^ byte``
-    and is one if ``check`` there names the state. ``leaf`` numbers the accepting states.
-    """
+    """Phrases of equal length as a double-array trie over the bytes of word numbers;
+    ``leaf`` numbers the accepting states."""
 
     def __init__(self, phrases: np.ndarray):
         """``phrases``: a row of word numbers each, distinct and in ascending order."""
@@ -237,45 +243,10 @@ class Trie:
             node = nodes + np.cumsum(fresh) - 1
             nodes = int(node[-1]) + 1
         parent, code = np.concatenate(parent), np.concatenate(code)
-        base = self._placed(parent, code, nodes)
-        state = np.zeros(nodes, np.int64)
-        state[1:] = base[parent] ^ code  # the k-th edge leads to node k + 1
-        size = (int(state.max()) | 255) + 1
-        self.base, self.check, self.leaf = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.zeros(size, np.int32)
-        self.base[state] = base
-        self.check[state[1:]] = state[parent]
+        self.base, self.check, state = tries.double_array(parent, code)
+        self.leaf = np.zeros(len(self.base), np.int32)
         self.leaf[state[node]] = np.arange(n)
 
-    @staticmethod
-    def _placed(parent: np.ndarray, code: np.ndarray, nodes: int) -> np.ndarray:
-        """A base for each node under which no two children of the trie meet: all nodes
-        try a place at once, those with more children go first, the rest try again."""
-        degree = np.bincount(parent, minlength=nodes)
-        base = np.zeros(nodes, np.int64)
-        order = np.lexsort((parent, -degree[parent]))  # edges, by node, of many children first
-        parent, code = parent[order], code[order]
-        free = max(256, 1 << (4 * len(parent)).bit_length())
-        used = np.zeros(free, bool)
-        used[0] = True  # the root
-        rng, turns, low = np.random.default_rng(1), 0, 0
-        while len(parent):
-            first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
-            count = np.diff(np.append(first, len(parent)))
-            tried = rng.integers(low, len(used), len(first))
-            place = np.repeat(tried, count) ^ code
-            clear = np.zeros(len(place), bool)
-            clear[np.unique(place, return_index=True)[1]] = True
-            ok = np.logical_and.reduceat(clear & ~used[place], first)
-            base[parent[first[ok]]] = tried[ok]
-            done = np.repeat(ok, count)
-            used[place[done]] = True
-            parent, code = parent[~done], code[~done]
-            turns += 1
-            if turns % 16 == 0:  # crowded: the others go to fresh places
-                low = len(used)
-                used = np.concatenate([used, np.zeros(len(used), bool)])
-        return base
-
     def run(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions at which a phrase begins, its number)."""
         word = (ids >= 0) & (ids < 1 << 8 * self.bytes)
@@ -300,7 +271,7 @@ def _counted(found: DataFrame, trie) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = trie.value
         total = np.zeros(len(tree.phrases), np.int64)
-        for part in batches:
+        for part in _slices(batches):
             total += np.bincount(tree.run(_lists(part["ids"])[0])[1], minlength=len(total))
         for lo in range(0, len(total), COUNTS):
             if total[lo : lo + COUNTS].any():
@@ -319,13 +290,13 @@ def _counted(found: DataFrame, trie) -> DataFrame:
     return summed.mapInArrow(add, "w array<int>, a long")
 
 
-def _marked(found: DataFrame, tries: list) -> DataFrame:
+def _marked(found: DataFrame, all_tries: list) -> DataFrame:
     """ids, alive: whether a phrase of one of the tries begins at each place."""
     schema = pa.schema([("ids", pa.list_(pa.int32())), ("alive", pa.list_(pa.bool_()))])
 
     def mark(trie):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in batches:
+            for part in _slices(batches):
                 ids, at = _lists(part["ids"])
                 alive = np.zeros(len(ids), bool)
                 if "alive" in part.schema.names:
@@ -335,7 +306,7 @@ def _marked(found: DataFrame, tries: list) -> DataFrame:
 
         return run
 
-    for k, trie in enumerate(tries):
+    for k, trie in enumerate(all_tries):
         found = (cut(found, "marked") if k else found).mapInArrow(tidy(mark(trie)), "ids array<int>, alive array<boolean>")
     return found
 
@@ -362,7 +333,7 @@ def _proposed(found: DataFrame, length: int, least: int) -> DataFrame:
             (head, tail), n = _combined(columns[:2], columns[2])
             return head, tail, n
 
-        for part in batches:
+        for part in _slices(batches):
             ids, _ = _lists(part["ids"])
             alive = part["alive"].flatten().to_numpy(zero_copy_only=False) if "alive" in part.schema.names else ids >= 0
             at = np.flatnonzero(alive[:-1] & alive[1:])
@@ -416,13 +387,13 @@ def mine(
     found = streams(rows, vocabulary, parts)
     counts, marked = [vocabulary.select(F.array("id").alias("w"), F.col("n").alias("a"))], found
     for length in range(2, LONGEST + 1):
-        tries = _tries(session, _proposed(marked, length, least), length, phrases)
-        if not tries:
+        candidates = _tries(session, _proposed(marked, length, least), length, phrases)
+        if not candidates:
             break
-        for trie in tries:
+        for trie in candidates:
             counts.append(cut(_counted(found, trie), "phrases"))
         if length < LONGEST:
-            marked = _marked(found, tries)
+            marked = _marked(found, candidates)
     if len(counts) == 1:
         return empty
     counted = counts[0]

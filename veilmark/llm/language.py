@@ -6,11 +6,14 @@ text's the product over its words; the language with the largest one is predicte
 the score is its share under equal priors. The probabilities are learned by expectation
 maximisation over the word counts of the training rows.
 
-A word is a run of letters in lower case; a letter outside the vocabulary counts as one
-unknown piece, and a run of over 48 letters is scored in parts of 48, so that long runs
-stay within floating point. NULL texts and texts without a letter give ``und`` and 0.
-Training rows need a text and a language; without any, all predictions are ``und``. Ties
-go to the first language in alphabetical order. Repeated rows count as often as they occur.
+A word is a run of letters in lower case, of any length and always whole; a letter outside
+the vocabulary counts as one unknown piece. Words of over ``LINEAR`` letters are summed up
+as logarithms, which keeps them within floating point. NULL texts and texts without a
+letter give ``und`` and 0. Training rows need a text and a language; without any, all
+predictions are ``und``. Ties go to the first language in alphabetical order. Repeated rows
+count as often as they occur. An empty table gives no rows, and columns other than doc_id,
+text and lang are ignored. The number of languages is small: each has a column of piece
+probabilities in every task.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veilmark.llm import tries
 from veilmark.llm.arrow import batch, held, let_go, text_groups, tidy
 from veilmark.sources.shared import cut
 
 SPACE = "▁"
-PART = 48
+#: Letters of a word whose sums are taken as they are, and places times words in one lattice.
+LINEAR, PLACES = 24, 1 << 18
 #: Words of each age that a worker remembers.
 REMEMBER = 350_000
 _RUNS = re.compile(r"[^\W\d_]+").findall
@@ -50,83 +55,131 @@ def vocabulary(model: str) -> tuple[dict[str, int], int]:
     return table, len(pieces) + 1
 
 
-def parts_of(word: str) -> list[str]:
-    """What a run of word characters is scored as."""
+@cache
+def automaton(model: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """The pieces as a double-array trie: the code of each character, base, check, the
+    piece of each state (or -1), and the length of the longest piece."""
+    table, _ = vocabulary(model)
+    letter = np.zeros(0x110000, np.int32)  # 0: a character that no piece has
+    letters = sorted({c for p in table for c in p})
+    letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+    prefixes = sorted(table, key=lambda p: (len(p), p))
+    number = {"": 0} | {p: k + 1 for k, p in enumerate(prefixes)}
+    parent = np.array([number[p[:-1]] for p in prefixes])
+    base, check, state = tries.double_array(parent, letter[[ord(p[-1]) for p in prefixes]].astype(np.int64))
+    piece = np.full(len(base), -1, np.int32)
+    piece[state[1:]] = [table[p] for p in prefixes]
+    return letter, base, check, piece, max(map(len, prefixes))
+
+
+def scored(word: str) -> str:
+    """What a run of word characters is scored as: its letters, or nothing without one."""
     if not word.isalpha():
         word = "".join(c for c in word if c.isalpha())
-    return [SPACE + word[i : i + PART] for i in range(0, len(word), PART)]
+    return SPACE + word if word else ""
+
+
+def lots(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of the words, those of about equal length together, for one lattice each."""
+    size = np.array([len(w) for w in words])
+    order = np.argsort(size, kind="stable")
+    lo = 0
+    while lo < len(order):
+        most = np.searchsorted((size[order[lo:]] + 1) * np.arange(1, len(order) - lo + 1), PLACES, "right")
+        hi = lo + max(1, min(int(most), 60_000))
+        yield order[lo:hi]
+        lo = hi
 
 
 class Lattice:
     """All segmentations of a list of words, as edges sorted by (end, word)."""
 
     def __init__(self, words: list[str], model: str):
-        table, size = vocabulary(model)
-        get, unknown = table.get, size - 1
-        word, start, end, piece = [], [], [], []
-        for w, text in enumerate(words):
-            n = len(text)
-            for i in range(n):
-                single = False
-                for j in range(i + 1, n + 1):
-                    p = get(text[i:j])
-                    if p is None:
-                        break
-                    if p >= 0:
-                        single |= j == i + 1
-                        word.append(w)
-                        start.append(i)
-                        end.append(j)
-                        piece.append(p)
-                if not single:
-                    word.append(w)
-                    start.append(i)
-                    end.append(i + 1)
-                    piece.append(unknown)
-        word, start, end, piece = (np.array(x, np.int64) for x in (word, start, end, piece))
-        self.n, self.size = len(words), size
+        letter, base, check, pieces, longest = automaton(model)
+        self.n, self.size = len(words), vocabulary(model)[1]
         self.length = np.array([len(w) for w in words], np.int64)
-        order = np.lexsort((word, end))
+        self.log = int(self.length.max(initial=0)) > LINEAR
+        codes = letter[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        first = np.cumsum(self.length) - self.length
+        own = np.repeat(np.arange(self.n), self.length)
+        left = (first + self.length)[own] - np.arange(len(codes))
+        at, state, single = np.arange(len(codes)), np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+        edges = []
+        for k in range(longest):
+            inside = left[at] > k
+            at, state = at[inside], state[inside]
+            after = base[state] ^ codes[at + k]
+            hit = check[after] == state
+            at, state = at[hit], after[hit]
+            if not len(at):
+                break
+            piece = pieces[state]
+            ends = np.flatnonzero(piece >= 0)
+            edges.append((at[ends], np.full(len(ends), k + 1), piece[ends]))
+            if k == 0:
+                single[at[ends]] = True
+        unknown = np.flatnonzero(~single)
+        edges.append((unknown, np.ones(len(unknown), np.int64), np.full(len(unknown), self.size - 1)))
+        at, size, piece = (np.concatenate(x).astype(np.int64) for x in zip(*edges, strict=True))
+        word = own[at]
+        start = at - first[word]
+        end = start + size
+        order = np.argsort(word.astype(np.uint16), kind="stable")  # radix sorts: by word, then by end
+        order = order[np.argsort(end[order].astype(np.uint16 if end.max(initial=0) < 1 << 16 else np.int64), kind="stable")]
         self.word, self.start, self.end, self.piece = word[order], start[order], end[order], piece[order]
 
-    def _sum(self, place: np.ndarray, values: np.ndarray, into: np.ndarray) -> None:
-        """Add rows of ``values`` up by their (sorted) place."""
-        first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-        into[place[first]] += np.add.reduceat(values, first, axis=0)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """alpha[position, word, language]: the sum over all ways to get there. ``p`` has
-        a row per piece and a column per language."""
+    def _passed(self, edge: np.ndarray, forward: bool) -> np.ndarray:
+        """[position, word, column]: the sum over all ways from the first position (or to
+        the last one) of the products of ``edge``, a row per edge; logarithms where ``log``."""
+        times, plus, one, none = (np.add, np.logaddexp, 0.0, -np.inf) if self.log else (np.multiply, np.add, 1.0, 0.0)
         top = int(self.length.max(initial=0))
-        alpha = np.zeros((top + 1, self.n, p.shape[1]))
-        alpha[0] = 1
-        for t in range(1, top + 1):
-            lo, hi = np.searchsorted(self.end, [t, t + 1])
-            if hi > lo:
-                self._sum(self.word[lo:hi], alpha[self.start[lo:hi], self.word[lo:hi]] * p[self.piece[lo:hi]], alpha[t])
-        return alpha
+        out = np.full((top + 1, self.n, edge.shape[1]), none)
+        if forward:
+            out[0], by, source, steps = one, self.end, self.start, range(1, top + 1)
+            order = np.arange(len(by))
+        else:
+            out[self.length, np.arange(self.n)] = one
+            order = np.argsort(self.word.astype(np.uint16), kind="stable")
+            order = order[np.argsort(self.start[order].astype(np.uint16 if top < 1 << 16 else np.int64), kind="stable")]
+            by, source, steps = self.start[order], self.end, range(top - 1, -1, -1)
+        bounds = np.searchsorted(by, np.arange(top + 2))
+        for t in steps:
+            e = order[bounds[t] : bounds[t + 1]]
+            if len(e):
+                word = self.word[e]
+                values = times(out[source[e], word], edge[e])
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                sums = plus.reduceat(values, first, axis=0)
+                ends = word[first]
+                # A word's last position keeps the end of its own ways.
+                out[t, ends] = plus(out[t, ends], sums)
+        return out
 
     def log_probabilities(self, p: np.ndarray) -> np.ndarray:
-        alpha = self.forward(p)
-        return np.log(alpha[self.length, np.arange(self.n)])
+        """A row per word, a column for each column of ``p`` (piece probabilities)."""
+        whole = self._passed(np.log(p)[self.piece] if self.log else p[self.piece], True)[self.length, np.arange(self.n)]
+        return whole if self.log else np.log(whole)
+
+    def shares(self, edge: np.ndarray) -> np.ndarray:
+        """How often each edge is used in a word on average; ``edge`` has probabilities."""
+        if self.log:
+            edge = np.log(edge)
+        alpha, beta = self._passed(edge, True), self._passed(edge, False)
+        whole = alpha[self.length, np.arange(self.n)][self.word]
+        before, after = alpha[self.start, self.word], beta[self.end, self.word]
+        return np.exp(before + edge + after - whole) if self.log else before * edge * after / whole
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of each piece, for words that occur ``weight`` times in each language."""
-        alpha = self.forward(p)
-        top = len(alpha) - 1
-        beta = np.zeros_like(alpha)
-        beta[self.length, np.arange(self.n)] = 1
-        order = np.lexsort((self.word, self.start))
-        by_start = self.start[order]
-        for t in range(top - 1, -1, -1):
-            lo, hi = np.searchsorted(by_start, [t, t + 1])
-            e = order[lo:hi]
-            if len(e):
-                self._sum(self.word[e], beta[self.end[e], self.word[e]] * p[self.piece[e]], beta[t])
-        whole = alpha[self.length, np.arange(self.n)]
-        share = alpha[self.start, self.word] * p[self.piece] * beta[self.end, self.word] / whole[self.word] * weight[self.word]
+        share = self.shares(p[self.piece]) * weight[self.word]
         return np.stack([np.bincount(self.piece, share[:, k], self.size) for k in range(p.shape[1])], axis=1)
 
+    def expected_in(self, p: np.ndarray, language: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The same for words of one language each, that occur ``n`` times."""
+        share = self.shares(p[self.piece, language[self.word]][:, None])[:, 0] * n[self.word]
+        place = self.piece * p.shape[1] + language[self.word]
+        return np.bincount(place, share, p.size).reshape(p.shape)
+
 
 def word_counts(training: DataFrame) -> DataFrame:
     """lang, word, n: how often each scored word occurs in the rows of a language."""
@@ -137,7 +190,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         seen: dict[str, dict[str, int]] = {}
 
         def flush():
-            rows = [(lang, part, n) for lang, words in seen.items() for word, n in words.items() for part in parts_of(word)]
+            rows = [(lang, own, n) for lang, words in seen.items() for word, n in words.items() if (own := scored(word))]
             seen.clear()
             if rows:
                 yield batch(schema, *zip(*rows, strict=True))
@@ -187,10 +240,8 @@ def _expectation(model: str, p: np.ndarray, column: dict[str, int]):
             words = part["word"].to_pylist()
             at = np.array([column[x] for x in part["lang"].to_pylist()], np.int64)
             n = part["n"].to_numpy()
-            for lo in range(0, len(words), 5000):
-                weight = np.zeros((len(words[lo : lo + 5000]), p.shape[1]))
-                weight[np.arange(len(weight)), at[lo : lo + 5000]] = n[lo : lo + 5000]
-                total += Lattice(words[lo : lo + 5000], model).expected(p, weight)
+            for some in lots(words):
+                total += Lattice([words[i] for i in some.tolist()], model).expected_in(p, at[some], n[some])
         piece, lang = np.nonzero(total)
         if len(piece):
             yield batch(schema, lang, piece, total[piece, lang])
@@ -214,14 +265,12 @@ class _Scorer:
         known = [w for w in missing if w in self.old]
         self._put(known, self.old_rows[[self.old[w] for w in known]])
         new = list(missing.difference(known))
-        for lo in range(0, len(new), 4000):
-            some = new[lo : lo + 4000]
-            cut_up = [parts_of(w) for w in some]
-            flat = [x for parts in cut_up for x in parts]
-            own = np.zeros((len(some), self.p.shape[1]))
-            if flat:
-                np.add.at(own, np.repeat(np.arange(len(some)), [len(x) for x in cut_up]), Lattice(flat, self.model).log_probabilities(self.p))
-            self._put(some, own)
+        own, cut_up = np.zeros((len(new), self.p.shape[1])), [scored(w) for w in new]
+        letters = [i for i, w in enumerate(cut_up) if w]
+        cut_up = [cut_up[i] for i in letters]
+        for some in lots(cut_up):
+            own[np.array(letters)[some]] = Lattice([cut_up[i] for i in some.tolist()], self.model).log_probabilities(self.p)
+        self._put(new, own)
 
     def _put(self, words: list[str], rows: np.ndarray) -> None:
         n = len(self.at)
