@@ -57,9 +57,12 @@ def spelled_out(regex: str) -> str:
     return "".join(out)
 
 
+# -- fixed values: the e-mail pattern of all catalogs --------------------------
+EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+
 # -- fixed values: six core patterns -----------------------------------------
 CORE = (
-    Pattern("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", True, needs="@"),
+    Pattern("EMAIL", EMAIL, True, needs="@"),
     Pattern("PHONE", r"\b(\+\d{1,3}[-.]?)?\(?\d{3}\)?[-.]?\d{3}[-.]?\d{4}\b", needs_digit=True),
     Pattern("SSN", r"\b\d{3}[-]?\d{2}[-]?\d{4}\b", needs_digit=True),
     Pattern("CREDIT_CARD", r"\b\d{4}[- ]?\d{4}[- ]?\d{4}[- ]?\d{4}\b", needs_digit=True),
@@ -72,7 +75,7 @@ _EXTENDED = (
     ("FULLNAME", r"\b(?:Mr\.|Ms\.|Mrs\.|Dr\.|Prof\.)?\s*[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}\b"),
     ("FIRSTNAME", r"\b(?:Mr\.|Ms\.|Mrs\.|Dr\.|Prof\.)?\s*([A-Z][a-z]+)\b(?!\s+(?:Street|St\.|Ave\.|Avenue|Road|Rd\.))"),
     ("LASTNAME", r"\b[A-Z][a-z]+(?:-[A-Z][a-z]+)?\b(?=\s*(?:,|\.|\s|$))"),
-    ("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"),
+    ("EMAIL", EMAIL),
     ("PHONE", r"\b(?:\+\d{1,3}[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b"),
     ("STREET_ADDRESS", r"\b\d{1,5}\s+[A-Za-z0-9\s]+(?:Street|St\.|Avenue|Ave\.|Road|Rd\.|Boulevard|Blvd\.|Drive|Dr\.|Lane|Ln\.)\b"),
     ("CITY", r"\b(?:New\s+York|Los\s+Angeles|Chicago|Houston|Phoenix|Philadelphia|San\s+Antonio|San\s+Diego|Dallas|San\s+Jose|Austin|Jacksonville|Fort\s+Worth|Columbus|Charlotte|San\s+Francisco|Indianapolis|Seattle|Denver|Washington)\b"),
@@ -118,7 +121,7 @@ def extended(ignore_case: bool = True) -> tuple[Pattern, ...]:
 # -- fixed values: 4 fallback patterns (case-insensitive, confidence 0.7) ------
 FALLBACK_CONFIDENCE = 0.7
 FALLBACK = (
-    Pattern("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", True, needs="@"),
+    Pattern("EMAIL", EMAIL, True, needs="@"),
     Pattern("PHONE", r"\b(?:\+\d{1,3}[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b", True, needs_digit=True),
     Pattern("CREDIT_CARD", r"\b(?:\d{4}[- ]?){3}\d{4}\b", True, needs_digit=True),
     Pattern("NAME", r"\b(?:Mr\.|Ms\.|Mrs\.|Dr\.|Prof\.)?\s*[A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\b", True),
@@ -126,7 +129,7 @@ FALLBACK = (
 
 # -- fixed values: 6 truth patterns (overlaps kept) ----------------------------
 TRUTH = (
-    Pattern("EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", True, needs="@"),
+    Pattern("EMAIL", EMAIL, True, needs="@"),
     Pattern("PHONE", r"\(?\d{3}\)?[-.]?\d{3}[-.]?\d{4}\b", needs_digit=True),
     Pattern("SSN", r"\b\d{3}[-]?\d{2}[-]?\d{4}\b", needs_digit=True),
     Pattern("CREDIT_CARD", r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b", needs_digit=True),

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilmark import catalog
+from veilmark.functions import matching
 from veilmark.functions import text as tx
 from veilmark.functions.arrays import indices, let, prefix_max, prefix_sums
 
@@ -27,28 +28,25 @@ _MARK, _STAND_IN = "", ""
 _BLOCK_CHARS = 2048
 
 
-def lengths(text: Column, pattern: catalog.Pattern) -> Column:
+def lengths(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
     """``array<int>``: lengths of gap, match, gap, match, ..., gap.
 
     One regex pass puts a border character around each match; splitting at the
-    borders gives the pieces, whose running lengths are the match offsets.
+    borders gives the pieces, whose running lengths are the match offsets. ``facts``
+    (``matching.facts``) are shared by the patterns that run on a text.
     """
-    marked = F.regexp_replace(
-        F.replace(text, F.lit(_MARK), F.lit(_STAND_IN)), pattern.java, f"{_MARK}$0{_MARK}"
-    )
+    regex, second = matching.expression(pattern)
+    marks = f"$1{_MARK}$2{_MARK}" if second else f"{_MARK}$0{_MARK}"
+    marked = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_STAND_IN)), regex, marks)
     pieces = F.transform(F.split(marked, _MARK, -1), F.length)
-    guard = F.lit(True)
-    if pattern.needs:
-        guard = guard & F.contains(text, F.lit(pattern.needs))
-    if pattern.needs_digit:
-        guard = guard & text.rlike(r"\p{Nd}")
-    return F.when(guard, pieces).otherwise(F.array().cast("array<int>"))
+    found = matching.facts(text, [pattern]) if facts is None else facts
+    return F.when(matching.possible(text, pattern, found), pieces).otherwise(F.array().cast("array<int>"))
 
 
-def offsets(text: Column, pattern: catalog.Pattern) -> Column:
+def offsets(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
     """``array<struct<start:int,end:int>>`` of all matches, left to right."""
     return let(
-        lengths(text, pattern),
+        lengths(text, pattern, facts),
         lambda lens: F.when(
             F.size(lens) > 1,
             let(
@@ -67,9 +65,9 @@ def find(
 ) -> Column:
     """All matches of a catalog as one span array, in (pattern, position) order."""
 
-    def labelled(rank: int, p: catalog.Pattern) -> Column:
+    def labelled(rank: int, p: catalog.Pattern, facts: Column) -> Column:
         return F.transform(
-            offsets(text, p),
+            offsets(text, p, facts),
             lambda s: F.struct(
                 F.lit(p.name).alias("category"),
                 s["start"].alias("start"),
@@ -80,7 +78,11 @@ def find(
             ),
         )
 
-    return F.flatten(F.array(*[labelled(i, p) for i, p in enumerate(patterns)])).cast(SPANS_TYPE)
+    patterns = list(patterns)
+    return let(
+        matching.facts(text, patterns),
+        lambda facts: F.flatten(F.array(*[labelled(i, p, facts) for i, p in enumerate(patterns)])),
+    ).cast(SPANS_TYPE)
 
 
 def span_text(text: Column, span: Column) -> Column:

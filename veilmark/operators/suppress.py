@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark import catalog
-from veilmark.functions import kernels
+from veilmark.functions import kernels, matching
 from veilmark.functions import spans as sp
+from veilmark.functions.arrays import let
 
 
 def suppress(df: DataFrame, spans: str = "spans", strict: bool = False) -> DataFrame:
@@ -30,7 +31,11 @@ def suppress(df: DataFrame, spans: str = "spans", strict: bool = False) -> DataF
 
 @cache
 def _lengths(text: str, ignore_case: bool) -> Column:
-    return F.array(*[sp.lengths(F.col(text), p) for p in catalog.extended(ignore_case)])
+    patterns = catalog.extended(ignore_case)
+    return let(
+        matching.facts(F.col(text), patterns),
+        lambda facts: F.array(*[sp.lengths(F.col(text), p, facts) for p in patterns]),
+    )
 
 
 def detect_extended(
