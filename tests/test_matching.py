@@ -3,11 +3,12 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from veilmark import catalog
-from veilmark.functions import matching
+from veilmark.functions import kernels, matching
 from veilmark.functions import spans as sp
 from veilmark.operators import detect, suppress
 
@@ -72,3 +73,37 @@ def test_addresses_in_long_runs(spark):
     found = [text[s["start"] : s["end"]] for s in detect.detect_truth(rows).first()["spans"] if s["category"] == "EMAIL"]
     assert found == ["b." * 50_000 + "c@d.org", ".q@r.com", "z" * 50_000 + "@y.net"]
     assert [s["category"] for s in suppress.detect_extended(rows.withColumn("text", F.lit("nothing here 12"))).first()["spans"]]
+
+
+def greedy(spans, strict):
+    kept = []
+    for i, (s, e) in enumerate(spans):
+        if strict:
+            clash = any(s < b and a < e for a, b in (spans[j] for j in kept))
+        else:
+            clash = any(a <= s <= b or a <= e <= b for a, b in (spans[j] for j in kept))
+        if not clash:
+            kept.append(i)
+    return kept
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_suppression_by_intervals(strict):
+    """In any order, and by ranks of spans that do not overlap each other."""
+    rng = random.Random(11)
+    for n in (0, 1, 5, 40, 120):
+        for _ in range(30):
+            spans = [(s := rng.randrange(80), s + rng.randint(1, 12)) for _ in range(n)]
+            assert kernels.accept(*(zip(*spans) if spans else ([], [])), strict) == greedy(spans, strict)
+            ranked = []
+            for rank in range(rng.randint(1, 6)):
+                at = rng.randrange(4)
+                while at < 70:
+                    end = at + rng.randint(1, 9)
+                    ranked.append((rank, at, end))
+                    at = end + rng.choice([0, 0, 1, 3, 15])
+            # two texts, far apart
+            rows = [(r, s + 1000 * t, e + 1000 * t) for r in range(6) for t in (0, 1) for rr, s, e in ranked if rr == r and (t == 0 or s % 3)]
+            columns = [np.array(c, np.int64) for c in zip(*rows)]
+            got = np.flatnonzero(kernels.accepted_by_rank(*columns, strict)).tolist()
+            assert got == greedy([r[1:] for r in rows], strict)

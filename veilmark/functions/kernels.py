@@ -10,6 +10,7 @@ once: it must not copy a call into a filter or into a lambda.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +29,63 @@ def accept(starts, ends, strict: bool) -> list[int]:
     Default test (closed): a candidate is dropped if its start or its end lies
     in [start, end] of a kept one, so neighbours that touch clash and a
     candidate that encloses a kept one passes. ``strict``: any shared character.
+
+    What is kept is held as disjoint intervals in order (an interval that encloses others
+    takes their place), so a test is a binary search, whatever the length of the text.
     """
-    taken = bytearray(int(max(ends, default=0)) + 1)
+    low: list[int] = []
+    high: list[int] = []
     kept = []
     for i, (s, e) in enumerate(zip(starts, ends)):
         if strict:
-            if taken.find(1, s, e) < 0:
-                kept.append(i)
-                taken[s:e] = b"\x01" * (e - s)
-        elif not (taken[s] or taken[e]):
+            at = bisect_left(low, e) if s < e else 0
+            if at and high[at - 1] > s:
+                continue
+            kept.append(i)
+            if s < e:
+                low.insert(at, s)
+                high.insert(at, e)
+        else:
+            at, to = bisect_right(low, s), bisect_right(low, e)
+            if at and high[at - 1] >= s or to and high[to - 1] >= e:
+                continue
             kept.append(i)
-            taken[s : e + 1] = b"\x01" * (e + 1 - s)
+            low[at:to], high[at:to] = [s], [e]
+    return kept
+
+
+def accepted_by_rank(rank: np.ndarray, starts: np.ndarray, ends: np.ndarray, strict: bool) -> np.ndarray:
+    """The same for candidates of many texts, whose places do not meet, as arrays in order
+    of (rank, start); those of one rank do not overlap. Whether each is kept, all of a rank
+    at once: what touches its kept neighbour of the same rank goes, if touching counts."""
+    kept = np.zeros(len(rank), bool)
+    low, high = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def inside(x: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(low, x, "right") - 1
+        return (at >= 0) & (high[at] >= x) if len(low) else np.zeros(len(x), bool)
+
+    cuts = [0, *(np.flatnonzero(rank[1:] != rank[:-1]) + 1).tolist(), len(rank)]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        s, e = starts[lo:hi], ends[lo:hi]
+        if strict:
+            at = np.searchsorted(low, e, "left") - 1
+            free = np.flatnonzero((at < 0) | (high[at] <= s)) if len(low) else np.arange(hi - lo)
+        else:
+            free = np.flatnonzero(~(inside(s) | inside(e)))
+            chain = np.append(True, s[free][1:] > e[free][:-1]) if len(free) else np.zeros(0, bool)
+            first = np.flatnonzero(chain)
+            place = np.arange(len(free)) - np.repeat(first, np.diff(np.append(first, len(free))))
+            free = free[place % 2 == 0]
+        if not len(free):
+            continue
+        kept[lo + free] = True
+        s, e = s[free], e[free]
+        at = np.searchsorted(s, low, "right") - 1
+        rest = (at < 0) | (e[at] < low)  # those that no new one encloses
+        low, high = np.concatenate([low[rest], s]), np.concatenate([high[rest], e])
+        order = np.argsort(low, kind="stable")
+        low, high = low[order], high[order]
     return kept
 
 
@@ -58,24 +105,23 @@ def first_come(strict: bool):
     def run(lens: pa.Array) -> pa.Array:
         # lens: per document and pattern, alternating gap and match lengths
         per_pattern = lens.flatten()
-        pieces = per_pattern.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        inner = np.concatenate([[0], np.cumsum(per_pattern.value_lengths().to_numpy(zero_copy_only=False))])
-        outer = np.concatenate([[0], np.cumsum(lens.value_lengths().to_numpy(zero_copy_only=False))])
-        reach = np.concatenate([[0], np.cumsum(pieces)])
-        rows = []
-        for doc in range(len(lens)):
-            rank, starts, ends = [], [], []
-            for p, at in enumerate(range(outer[doc], outer[doc + 1])):
-                low, high = inner[at], inner[at + 1]
-                if high - low < 3:
-                    continue
-                s = (reach[low + 1 : high : 2] - reach[low]).tolist()
-                starts += s
-                ends += (reach[low + 2 : high + 1 : 2] - reach[low]).tolist()
-                rank += [p] * len(s)
-            kept = accept(starts, ends, strict)
-            rows.append(([rank[i] for i in kept], [starts[i] for i in kept], [ends[i] for i in kept]))
-        return _hits(rows)
+        n_patterns = lens.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        n_pieces = per_pattern.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        reach = np.concatenate([[0], np.cumsum(per_pattern.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
+        first = np.cumsum(n_pieces) - n_pieces
+        n_hits = np.maximum(n_pieces - 1, 0) // 2
+        list_of = np.repeat(np.arange(len(n_pieces)), n_hits)
+        at = first[list_of] + 1 + 2 * (np.arange(len(list_of)) - np.repeat(np.cumsum(n_hits) - n_hits, n_hits))
+        start, end = reach[at] - reach[first[list_of]], reach[at + 1] - reach[first[list_of]]
+        document = np.repeat(np.arange(len(lens)), n_patterns)[list_of]
+        rank = list_of - (np.cumsum(n_patterns) - n_patterns)[document]
+        apart = document * (int(end.max(initial=0)) + 2)
+        order = np.lexsort((start + apart, rank))
+        kept = order[accepted_by_rank(rank[order], (start + apart)[order], (end + apart)[order], strict)]
+        kept = kept[np.lexsort((start[kept], rank[kept], document[kept]))]
+        bounds = np.searchsorted(document[kept], np.arange(len(lens) + 1)).astype(np.int32)
+        columns = [pa.array(x[kept].astype(np.int32)) for x in (rank, start, end)]
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(columns, fields=list(_HIT_ARROW)))
 
     return run.asNondeterministic()
 

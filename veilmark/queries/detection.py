@@ -9,7 +9,7 @@ from veilmark.functions import spans as sp
 from veilmark.operators import detect
 from veilmark.operators.model import Model
 from veilmark.queries.base import (
-    CORE_MERGED, filler, q, query, raw_spans, re2, tag_case, tokens_of, widened,
+    CORE_MERGED, extended_spans, filler, q, query, raw_spans, re2, tag_case, tokens_of, widened,
 )
 from veilmark.sources.tables import texts
 
@@ -108,22 +108,36 @@ def extended_pattern_matches(spark, sf):
     )
 
 
-@query("spans_extended")
+_BASIC = "category IN (" + ", ".join(map(q, catalog.BASIC_TYPES)) + ")"
+
+
+@query(
+    "spans_extended",
+    f"WITH {extended_spans(True, False)} SELECT doc_id, category, s AS span_start, e AS span_end, {_BASIC} AS is_basic FROM kept",
+)
 def spans_extended(spark, sf):
-    """29 patterns with greedy suppression; order of acceptance matters, so no SQL."""
+    """29 patterns with greedy suppression."""
     found = detect.detect_extended(texts(spark, sf).select("doc_id", "text"))
     return detect.to_rows(found, ["doc_id"], text=None).select(
         "doc_id", "category", "span_start", "span_end", sp.is_basic(F.col("category")).alias("is_basic")
     )
 
 
-@query("spans_extended_case_sensitive")
+@query(
+    "spans_extended_case_sensitive",
+    f"WITH {extended_spans(False, True)} SELECT doc_id, category, s AS span_start, e AS span_end FROM kept",
+)
 def spans_extended_case_sensitive(spark, sf):
     found = detect.detect_extended(texts(spark, sf).select("doc_id", "text"), ignore_case=False, strict=True)
     return detect.to_rows(found, ["doc_id"], text=None).select("doc_id", "category", "span_start", "span_end")
 
 
-@query("basic_and_other_counts")
+@query(
+    "basic_and_other_counts",
+    f"WITH {extended_spans(True, False)} SELECT doc_id, CAST(count(*) FILTER ({_BASIC}) AS INTEGER) AS basic, "
+    f"CAST(count(category) FILTER (NOT {_BASIC}) AS INTEGER) AS other, CAST(count(category) AS INTEGER) AS total "
+    "FROM documents LEFT JOIN kept USING (doc_id) GROUP BY doc_id",
+)
 def basic_and_other_counts(spark, sf):
     found = detect.detect_extended(texts(spark, sf).select("doc_id", "text"))
     basic = F.size(F.filter("spans", lambda s: sp.is_basic(s["category"])))

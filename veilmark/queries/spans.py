@@ -8,7 +8,7 @@ from veilmark import catalog
 from veilmark.functions import spans as sp
 from veilmark.operators import detect, spantable
 from veilmark.operators.suppress import suppress
-from veilmark.queries.base import CORE_MERGED, merged_spans, query, raw_spans
+from veilmark.queries.base import CORE_MERGED, merged_spans, query, raw_spans, suppressed
 from veilmark.sources.tables import texts
 
 _BOTH = (
@@ -90,7 +90,11 @@ def spans_of_chosen_categories(spark, sf):
     return _rows(found).select("doc_id", "category", "span_start", "span_end")
 
 
-@query("spans_suppressed")
+@query(
+    "spans_suppressed",
+    f"WITH {raw_spans(catalog.FALLBACK)}, {suppressed(len(catalog.FALLBACK))} "
+    "SELECT doc_id, category, s AS span_start, e AS span_end FROM kept",
+)
 def spans_suppressed(spark, sf):
     """Greedy suppression of an existing span array (fallback catalog)."""
     found = detect.detect_fallback(texts(spark, sf).select("doc_id", "text"))
