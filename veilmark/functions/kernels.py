@@ -82,7 +82,7 @@ def accepted_by_rank(rank: np.ndarray, starts: np.ndarray, ends: np.ndarray, str
         kept[lo + free] = True
         s, e = s[free], e[free]
         at = np.searchsorted(s, low, "right") - 1
-        rest = (at < 0) | (e[at] < low)  # those that no new one encloses
+        rest = (at < 0) | (e[at] <= low)  # those that no new one encloses
         low, high = np.concatenate([low[rest], s]), np.concatenate([high[rest], e])
         order = np.argsort(low, kind="stable")
         low, high = low[order], high[order]
