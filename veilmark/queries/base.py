@@ -159,7 +159,7 @@ def suppressed(n: int, strict: bool = False, raw: str = "raw", prefix: str = "")
             )
         ctes.append(
             f"{prefix}held_{k + 1} AS MATERIALIZED (SELECT doc_id, s, e FROM {new} UNION ALL SELECT h.doc_id, h.s, h.e FROM {held} h "
-            f"ASOF LEFT JOIN {new} n ON h.doc_id = n.doc_id AND h.s >= n.s WHERE n.e IS NULL OR n.e < h.s)"
+            f"ASOF LEFT JOIN {new} n ON h.doc_id = n.doc_id AND h.s >= n.s WHERE n.e IS NULL OR n.e <= h.s)"
         )
     ctes.append(f"{prefix}kept AS (" + " UNION ALL ".join(f"SELECT * FROM {prefix}new_{k}" for k in range(n)) + ")")
     return ", ".join(ctes)
