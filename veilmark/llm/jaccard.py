@@ -41,6 +41,8 @@ FEW = 8
 BITS = 512
 #: Members of a prefix n-gram in one block of a task.
 BLOCK_ROWS = 2048
+#: Shared prefix n-grams by which a pair that is met below several is made only once.
+LISTED = 64
 #: n-grams in one trie.
 TRIE_GRAMS = 1 << 18
 #: Queries that run down a trie together.
@@ -273,14 +275,30 @@ def _stars(prefixes: DataFrame, profiles: DataFrame, num: int, den: int) -> Data
 
 def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
     """center, rep, n: pairs of members of a prefix n-gram that are not in one component
-    yet, as far as sizes and bitmaps allow."""
+    yet, as far as sizes and bitmaps allow.
+
+    A pair is made below the first n-gram that lists both. Every member carries the first
+    ``LISTED`` n-grams that list it, so that a task can tell; a pair that shares only later
+    ones may be made a few times and is made distinct afterwards.
+    """
     schema = pa.schema([("center", pa.int64()), ("rep", pa.int64()), ("n", pa.int64())])
 
+    def first_met(gram: int, a: frozenset, b: frozenset) -> bool:
+        return min(a & b, default=gram) >= gram
+
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in blocks.groups(batches, "task"):
             if group.num_rows < 2:
                 continue
             rep, n, component, block = (group[c].to_numpy() for c in ("rep", "n", "component", "block"))
+            gram, lists = group["gram"][0].as_py(), group["listed"].combine_chunks()
+            seen: dict[int, frozenset] = {}
+
+            def listed(row: int) -> frozenset:
+                if row not in seen:
+                    seen[row] = frozenset(lists[row].values.to_pylist())
+                return seen[row]
+
             bits = group["bits"].combine_chunks()
             words = pc.list_value_length(bits).to_numpy()
             flat, at = bits.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(words)])
@@ -307,8 +325,10 @@ def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int,
                             x = x[:, :v] ^ x[:, v:] if w > v else x
                             y = y[:, :w] ^ y[:, w:] if v > w else y
                             keep[both] = np.bitwise_count(x ^ y).sum(axis=1) <= room[i[both], j[both]]
-                if keep.any():
-                    i, j = i[keep], j[keep]
+                i, j = i[keep], j[keep]
+                once = [k for k, (x, y) in enumerate(zip((lo + i).tolist(), j.tolist(), strict=True)) if first_met(gram, listed(x), listed(y))]
+                if once:
+                    i, j = i[once], j[once]
                     yield batch(schema, rep[lo + i], rep[j], n[j])
 
     placed = prefixes.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -320,9 +340,11 @@ def _rest(prefixes: DataFrame, profiles: DataFrame, found: DataFrame, num: int,
     ).where("low != high")
     # Equal groups below different n-grams are compared once.
     once = among.groupBy("x", "y", "k").agg(F.min("gram").alias("gram")).select("gram", "k")
-    members = untried.join(once, "gram")
-    tasks = blocks.tasks(members, "gram", "rep", F.ceil(F.col("k") / BLOCK_ROWS)).join(profiles.select("rep", "bits"), "rep")
-    columns = ("task", "rep", "n", "component", "bits", "block", "block_i", "block_j")
+    members = cut(untried.join(once, "gram"), "untried")
+    lists = members.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("gram")), 1, LISTED).alias("listed"))
+    own = profiles.select("rep", "bits").join(lists, "rep")
+    tasks = blocks.tasks(members, "gram", "rep", F.ceil(F.col("k") / BLOCK_ROWS)).join(own, "rep")
+    columns = ("task", "gram", "rep", "n", "component", "bits", "listed", "block", "block_i", "block_j")
     return blocks.together(tasks.select(*columns), "task").mapInArrow(tidy(pair), "center long, rep long, n long").distinct()
 
 
