@@ -3,8 +3,8 @@
 Texts become streams of word numbers, a number for each word of a language that is
 frequent enough; anything else, and every end of a piece, is a border. A phrase can only
 be frequent if all phrases inside it are, so the candidates of a level are the phrases
-whose first words and whose last words are frequent phrases of the level before and whose
-occurrences, summed over all shards, suffice. They are broadcast as double-array tries: numpy moves the states of
+that begin (and, while one trie holds all, also end) with a frequent phrase of the level
+before and whose occurrences, summed over all shards, suffice. They are broadcast as double-array tries: numpy moves the states of
 all text positions one byte of a word number at a time, positions that fall out of the
 trie are let go, and the accepting states are counted by ``bincount``. The counts of all
 tasks are summed. Scores, containment and ranks are joins over the counted phrases, in
@@ -25,6 +25,7 @@ Words are told apart by 64-bit digests inside a task and by themselves between t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,13 @@ SPACE, END = b" \t", b".,;:!?\n\x0b\x0c\r"
 LONGEST = 4
 #: Words of a vocabulary, and phrases of a trie, that are broadcast at once (about half of
 #: it on average, so that a hash deals out no more).
-WORDS, PHRASES = 1 << 20, 1 << 18
+WORDS, PHRASES = 1 << 20, 1 << 19
 #: Distinct words and phrases that a task sums up before it passes them on.
 HELD = 400_000
 #: Counts in one row.
 COUNTS = 1 << 16
 #: Places of a stream that are worked on at once; a longer text is worked on alone.
-PLACES = 1 << 19
+PLACES = 1 << 18
 
 _INSIDE = np.array([b not in SPACE + END for b in range(256)])
 _ENDS = np.array([b in END for b in range(256)])
@@ -290,27 +291,6 @@ def _counted(found: DataFrame, trie) -> DataFrame:
     return summed.mapInArrow(add, "w array<int>, a long")
 
 
-def _marked(found: DataFrame, all_tries: list) -> DataFrame:
-    """ids, alive: whether a phrase of one of the tries begins at each place."""
-    schema = pa.schema([("ids", pa.list_(pa.int32())), ("alive", pa.list_(pa.bool_()))])
-
-    def mark(trie):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in _slices(batches):
-                ids, at = _lists(part["ids"])
-                alive = np.zeros(len(ids), bool)
-                if "alive" in part.schema.names:
-                    alive |= part["alive"].flatten().to_numpy(zero_copy_only=False)
-                alive[trie.value.run(ids)[0]] = True
-                yield batch(schema, part["ids"], pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(alive)))
-
-        return run
-
-    for k, trie in enumerate(all_tries):
-        found = (cut(found, "marked") if k else found).mapInArrow(tidy(mark(trie)), "ids array<int>, alive array<boolean>")
-    return found
-
-
 def _combined(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct keys (rows over several arrays) and the sums of ``n``."""
     order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
@@ -320,9 +300,10 @@ def _combined(keys: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     return [k[first] for k in keys], np.add.reduceat(n, first) if len(first) else n
 
 
-def _proposed(found: DataFrame, length: int, least: int) -> DataFrame:
-    """w: the phrases of ``length`` words that occur ``least`` times and whose parts without
-    the last and without the first word are alive (words, where nothing is marked)."""
+def _proposed(found: DataFrame, trie, alone: bool, length: int, least: int) -> DataFrame:
+    """w: phrases of ``length`` words that occur ``least`` times and begin with a phrase of the
+    trie (without one: a word). If the trie is ``alone`` they also end with one of it;
+    of several tries none knows all, and what begins with its phrases is only its own."""
     schema = pa.schema([("head", pa.int64()), ("tail", pa.int64()), ("n", pa.int64())])
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,8 +316,12 @@ def _proposed(found: DataFrame, length: int, least: int) -> DataFrame:
 
         for part in _slices(batches):
             ids, _ = _lists(part["ids"])
-            alive = part["alive"].flatten().to_numpy(zero_copy_only=False) if "alive" in part.schema.names else ids >= 0
-            at = np.flatnonzero(alive[:-1] & alive[1:])
+            alive = ids >= 0
+            if trie is not None:
+                alive = np.zeros(len(ids), bool)
+                alive[trie.value.run(ids)[0]] = True
+            fits = alive[1:] if alone else ids[length - 1 :] >= 0  # the rest of the phrase, or its last word
+            at = np.flatnonzero(alive[: len(fits)] & fits)
             words = [ids[at + k].astype(np.int64) if k < length else np.zeros(len(at), np.int64) for k in range(LONGEST)]
             keys, n = _combined([words[0] << 32 | words[1], words[2] << 32 | words[3]], np.ones(len(at), np.int64))
             held.append((*keys, n))
@@ -385,21 +370,16 @@ def mine(
     if not parts:
         return empty
     found = streams(rows, vocabulary, parts)
-    counts, marked = [vocabulary.select(F.array("id").alias("w"), F.col("n").alias("a"))], found
+    counts, before = [vocabulary.select(F.array("id").alias("w"), F.col("n").alias("a"))], [None]
     for length in range(2, LONGEST + 1):
-        candidates = _tries(session, _proposed(marked, length, least), length, phrases)
-        if not candidates:
+        proposed = [_proposed(found, trie, len(before) == 1, length, least) for trie in before]
+        before = _tries(session, reduce(DataFrame.unionByName, proposed), length, phrases)
+        if not before:
             break
-        for trie in candidates:
-            counts.append(cut(_counted(found, trie), "phrases"))
-        if length < LONGEST:
-            marked = _marked(found, candidates)
+        counts += [cut(_counted(found, trie), "phrases") for trie in before]
     if len(counts) == 1:
         return empty
-    counted = counts[0]
-    for more in counts[1:]:
-        counted = counted.unionByName(more)
-    ranked = scored(cut(counted, "counts"), inside)
+    ranked = scored(cut(reduce(DataFrame.unionByName, counts), "counts"), inside)
     named = _named(ranked, vocabulary).join(F.broadcast(totals) if totals.count() <= blocks.BROADCAST_ROWS else totals, "lang")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
     return (

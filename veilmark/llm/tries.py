@@ -16,7 +16,7 @@ def _placed(parent: np.ndarray, code: np.ndarray, nodes: int) -> np.ndarray:
     base = np.zeros(nodes, np.int64)
     order = np.lexsort((parent, -degree[parent]))  # edges, by node, of many children first
     parent, code = parent[order], code[order]
-    free = 1 << max(8, (4 * len(parent)).bit_length(), int(code.max()).bit_length())
+    free = 1 << max(8, (2 * len(parent)).bit_length(), int(code.max()).bit_length())
     used = np.zeros(free, bool)
     used[0] = True  # the root
     rng, turns, low = np.random.default_rng(1), 0, 0
