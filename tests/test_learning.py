@@ -99,6 +99,55 @@ def test_training_learns_and_repeats(spark):
     assert done[1e6].best.name == "best_eps_1000000.0" and best["epochs"] == 4
 
 
+@pytest.mark.parametrize("rows_per_task", [2048, 50])
+def test_an_epoch_equals_a_plain_loop(spark, monkeypatch, rows_per_task):
+    """Steps, exchanged sums, noise and optimiser state over epochs, by one task and by four."""
+    monkeypatch.setattr(md, "ROWS_PER_TASK", rows_per_task)
+    data = training_set(spark, 200).cache()
+    budgets, strategy = [1e6, 2.0], md.STRATEGIES["improved"]
+    done = md.train(data, ["id"], budgets, strategy, lr=0.05, batch_size=100, epochs=3, seed=5, hidden=6, validation=data)
+    assert md._tasks(spark, 100) == (1 if rows_per_task == 2048 else 2)
+    models = [md.Model.random([6, 6, 3, 2], 42, f"eps_{e}", e) for e in budgets]
+    opts = [md._Adam(0.05, strategy.weight_decay, 0.0, 0.0) for _ in models]
+    for epoch in range(3):
+        drawn = md.draw_steps(data, ["id"], 2, 0.5, 5 + epoch).orderBy("key").collect()
+        rngs = [np.random.default_rng([5, epoch, k]) for k in range(2)]
+        facts = np.zeros((2, 2))
+        for step in range(2):
+            batch = [r for r in drawn if r["step"] == step]
+            x, y = np.array([r["features"] for r in batch]), np.array([float(r["label"]) for r in batch])
+            for k, m in enumerate(models):
+                g, loss, _ = kernels.clipped_gradient(m.layers, x, y, strategy.clip, strategy.loss, strategy.weights, False)
+                facts[k] += loss, len(x)
+                models[k] = m.with_flat(opts[k].step(m.flat(), md._add_noise(g, strategy, m.epsilon, rngs[k], m) / 100))
+        for k, e in enumerate(budgets):
+            assert done[e].history[epoch]["train_loss"] == pytest.approx(facts[k, 0] / facts[k, 1], rel=1e-9)
+    for m, e in zip(models, budgets):
+        assert done[e].last.flat() == pytest.approx(m.flat(), rel=1e-6, abs=1e-9)
+
+
+def test_jobs_do_not_grow_with_steps(spark):
+    data = training_set(spark, 60)
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(batch_size):
+        spark.sparkContext.setJobGroup(f"steps-{batch_size}", "")
+        md.train(data, ["id"], [8.0], batch_size=batch_size, epochs=1, seed=1, hidden=4)
+        spark.sparkContext._jsc.clearJobGroup()
+        return len(tracker.getJobIdsForGroup(f"steps-{batch_size}"))
+
+    assert jobs(2) == jobs(60) > 0
+
+
+def test_empty_steps_and_repeated_ids(spark):
+    """A step without rows only moves the parameters by noise; copies of an id are all drawn."""
+    data = training_set(spark, 3).unionByName(training_set(spark, 1))
+    done = md.train(data, ["id"], [1.0], batch_size=1, epochs=2, seed=3, hidden=4, validation=data)
+    assert len(done[1.0].history) == 2 and np.isfinite(done[1.0].last.flat()).all()
+    with pytest.raises(ValueError):
+        md.train(data.limit(0), ["id"], [1.0])
+
+
 def test_poisson_draws(spark):
     rows = spark.range(2000).select("id", F.array(F.lit(1.0)).alias("features"), F.lit(0).alias("label"))
     counts = md.draw_steps(rows, ["id"], 10, 0.1, 3).groupBy("step").count().collect()

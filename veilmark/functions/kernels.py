@@ -233,37 +233,3 @@ def clipped_gradient(layers, x, y, clip: float, kind: str, weights, per_tensor:
         scale = np.minimum(1.0, clip / np.maximum(n if per_tensor else total, 1e-10))
         out.append((t * scale[:, None]).sum(axis=0))
     return np.concatenate(out), float(loss.sum()), float(total.sum())
-
-
-def gradient_sums(models: list[dict], width: int):
-    """mapInArrow body: (features, label) rows -> one partial sum per model and task."""
-
-    def run(batches):
-        sums: dict[int, list] = {}
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
-            y = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
-            for k, m in enumerate(models):
-                g, loss, norm = clipped_gradient(
-                    m["layers"], x, y, m["clip"], m["loss"], m["weights"], m["per_tensor"]
-                )
-                held = sums.setdefault(k, [np.zeros_like(g), 0.0, 0.0, 0])
-                held[0] += g
-                held[1] += loss
-                held[2] += norm
-                held[3] += n
-        if sums:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "model": pa.array(list(sums), type=pa.int32()),
-                    "grad": pa.array([s[0].tolist() for s in sums.values()], type=pa.list_(pa.float64())),
-                    "loss": pa.array([s[1] for s in sums.values()], type=pa.float64()),
-                    "norm": pa.array([s[2] for s in sums.values()], type=pa.float64()),
-                    "n": pa.array([s[3] for s in sums.values()], type=pa.int64()),
-                }
-            )
-
-    return run

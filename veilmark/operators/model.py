@@ -1,29 +1,39 @@
 """Small classifiers: parameter tables, scoring and training under privacy noise.
 
-The data stays distributed. One training step reads the rows drawn for that
-step, adds up per-example-clipped gradients inside the tasks, and returns one
-vector per partition and model (about 800 numbers); the driver only adds noise
-and moves the parameters. All models of a sweep share the same step job.
+The data stays distributed, and an epoch is one job whatever its number of steps. The
+rows drawn for its steps are dealt out over tasks that run at the same time (a barrier
+stage) and read them in the order of the steps. At each step every task adds up its
+per-example-clipped gradients, the tasks exchange these sums (about 800 numbers a model),
+and each moves its own copy of the parameters by the same noisy sum. All models of a
+sweep share the epoch's job. A lost executor costs that epoch: parameters, optimiser
+state and the noise's seed at its start are with the driver.
 """
 
 from __future__ import annotations
 
+import base64
 import math
 import secrets
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import BarrierTaskContext, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from veilmark.functions import kernels
 from veilmark.functions.text import uniform
-from veilmark.sources.shared import scratch_path
+from veilmark.sources.shared import cut
 
-ROWS_PER_FILE = 50_000
-#: Folders of the draws of one training.
-FOLDERS = 256
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Rows of a batch that make another task worth its exchange of sums.
+ROWS_PER_TASK = 2048
+#: Tasks of an epoch: each gets the sums of all others at every step.
+MOST_TASKS = 64
 PARAMS_SCHEMA = "model string, epsilon double, layer int, w array<array<double>>, b array<double>"
 
 
@@ -187,30 +197,78 @@ def draw_steps(data: DataFrame, ids: list[str], steps: int, q: float, seed: int)
     return drawn.where("step IS NOT NULL").withColumn("step", F.col("step").cast("int"))
 
 
-def _folder_of(steps: int) -> int:
-    """Steps that share a folder, so that there are at most FOLDERS of them."""
-    return max(1, math.ceil(steps / FOLDERS))
+def _tasks(spark: SparkSession, batch_size: int) -> int:
+    """How many tasks share a batch. They run at the same time, which sessions that ask
+    for executors as they go do not offer."""
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 1
+    return max(1, min(math.ceil(batch_size / ROWS_PER_TASK), MOST_TASKS, spark.sparkContext.defaultParallelism))
+
+
+EPOCH_SCHEMA = "model int, params array<double>, m array<double>, v array<double>, loss double, norm double, n long"
+
 
+def _by_step(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(step, features, labels) of rows in the order of steps; the rows of one step may
+    come in several pieces."""
+    for part in batches:
+        if not part.num_rows:
+            continue
+        steps = part["step"].to_numpy(zero_copy_only=False)
+        x = part["features"].flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, width)
+        y = part["label"].to_numpy(zero_copy_only=False).astype(float)
+        cuts = np.flatnonzero(np.diff(steps)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, part.num_rows], strict=True):
+            yield int(steps[lo]), x[lo:hi], y[lo:hi]
 
-def _write_draws(draws: DataFrame, path: str, batch_size: int, steps: int) -> None:
-    """Folders of consecutive steps, sorted by step; a large batch is spread over several
-    files by row key, so that its gradient is computed by several tasks."""
-    parts = max(1, math.ceil(batch_size / ROWS_PER_FILE))
-    foldered = draws.withColumn("folder", F.floor(F.col("step") / _folder_of(steps)).cast("int"))
-    spread = foldered.withColumn("_part", F.pmod("key", F.lit(parts))).repartition("folder", "_part").sortWithinPartitions("folder", "step")
-    spread.select("features", "label", "step", "folder").write.partitionBy("folder").parquet(path)
 
+def _epoch(
+    models: list[Model], opts: list[_Adam], strategy: Strategy, seeds: list[list[int]], steps: int, expected: float, width: int, tasks: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """mapInArrow body: the steps of one epoch over this task's rows, sorted by step.
+
+    ``seeds`` are those of each model's noise, the same in all tasks, so that their
+    parameters stay equal. The first task returns them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get() if tasks > 1 else None
+        now, state = list(models), [replace(o) for o in opts]
+        rngs = [np.random.default_rng(s) for s in seeds]
+        size = models[0].flat().size
+        facts = np.zeros((len(models), 3))  # loss, norm, rows
+        pieces = _by_step(batches, width)
+        ahead = next(pieces, None)
+        for step in range(steps):
+            sums = np.zeros((len(models), size + 3))
+            while ahead is not None and ahead[0] == step:
+                _, x, y = ahead
+                for k, m in enumerate(now):
+                    g, loss, norm = kernels.clipped_gradient(
+                        m.layers, x, y, strategy.clip, strategy.loss, strategy.weights, strategy.per_tensor
+                    )
+                    sums[k, :size] += g
+                    sums[k, size:] += loss, norm, len(x)
+                ahead = next(pieces, None)
+            if context is not None:
+                told = context.allGather(base64.b64encode(sums.tobytes()).decode())
+                sums = sum(np.frombuffer(base64.b64decode(t)).reshape(sums.shape) for t in told)
+            for k, m in enumerate(now):
+                noisy = _add_noise(sums[k, :size], strategy, m.epsilon, rngs[k], m)
+                now[k] = m.with_flat(state[k].step(m.flat(), noisy / max(expected, 1.0)))
+            facts += sums[:, size:]
+        if context is None or context.partitionId() == 0:
+            doubles = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(len(now)), pa.int32()),
+                    *(pa.array([v.tolist() for v in vs], doubles) for vs in ([m.flat() for m in now], [o.m for o in state], [o.v for o in state])),
+                    pa.array(facts[:, 0]), pa.array(facts[:, 1]), pa.array(facts[:, 2].astype(np.int64)),
+                ],
+                names=["model", "params", "m", "v", "loss", "norm", "n"],
+            )
 
-def _read_step(spark: SparkSession, path: str, step: int, steps: int) -> DataFrame:
-    """The rows drawn for one step, without listing the other folders; maybe none."""
-    schema = "features array<double>, label int, step int"
-    try:
-        found = spark.read.schema(schema).parquet(f"{path}/folder={step // _folder_of(steps)}")
-        return found.where(F.col("step") == step).drop("step")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema).drop("step")
+    return run
 
 
 def train(
@@ -238,7 +296,8 @@ def train(
     strategy = STRATEGIES[strategy] if isinstance(strategy, str) else strategy
     spark = data.sparkSession
     sample_seed = seed if seed is not None else secrets.randbits(31)
-    noise_rng = np.random.default_rng(seed if seed is not None else secrets.randbits(128))
+    noise_seed = seed if seed is not None else secrets.randbits(128)
+    data = cut(data.select(*ids, "features", "label"), "training")
     if validation is None:
         held_out = uniform(F.lit("validation"), F.lit(init_seed), *[F.col(i) for i in ids]) < 0.1
         if not data.where(held_out).isEmpty() and not data.where(~held_out).isEmpty():
@@ -249,10 +308,7 @@ def train(
         raise ValueError("no training rows")
     q = min(1.0, batch_size / n)
     per_epoch = max(1, math.ceil(n / batch_size))
-    steps = epochs * per_epoch
-
-    drawn_path = scratch_path(spark, "draws")
-    _write_draws(draw_steps(data, ids, steps, q, sample_seed), drawn_path, batch_size, steps)
+    tasks = _tasks(spark, batch_size)
 
     dims = [width, hidden, hidden // 2, 2]
     models = [Model.random(dims, init_seed, f"eps_{e}", e) for e in budgets]
@@ -263,21 +319,20 @@ def train(
     active = list(range(len(models)))
 
     for epoch in range(epochs):
-        losses = {k: [0.0, 0.0, 0] for k in active}
-        for step in range(epoch * per_epoch, (epoch + 1) * per_epoch):
-            rows = _read_step(spark, drawn_path, step, steps)
-            sums = _step_sums(rows, [models[k] for k in active], strategy, width)
-            for slot, k in enumerate(active):
-                grad, loss, norm, count = sums.get(slot, (np.zeros(models[k].flat().size), 0.0, 0.0, 0))
-                noisy = _add_noise(grad, strategy, budgets[k], noise_rng, models[k])
-                moved = opts[k].step(models[k].flat(), noisy / max(q * n, 1.0))
-                models[k] = models[k].with_flat(moved)
-                losses[k][0] += loss
-                losses[k][1] += norm
-                losses[k][2] += count
-        for k in list(active):
-            e = budgets[k]
-            loss, norm, count = losses[k]
+        drawn = draw_steps(data, ids, per_epoch, q, sample_seed + epoch)
+        # Dealt out by row, so that an id with many rows is spread as well.
+        dealt = drawn.withColumn("row", F.monotonically_increasing_id()).repartition(tasks, "row").sortWithinPartitions("step")
+        body = _epoch(
+            [models[k] for k in active], [opts[k] for k in active], strategy, [[noise_seed, epoch, k] for k in active],
+            per_epoch, q * n, width, tasks,
+        )
+        # One row per model, whatever the data size.
+        done = {r["model"]: r for r in dealt.select("step", "features", "label").mapInArrow(body, EPOCH_SCHEMA, barrier=tasks > 1).collect()}
+        for slot, k in enumerate(list(active)):
+            e, row = budgets[k], done[slot]
+            models[k] = models[k].with_flat(np.array(row["params"]))
+            opts[k] = replace(opts[k], m=np.array(row["m"]), v=np.array(row["v"]), t=opts[k].t + per_epoch)
+            loss, norm, count = row["loss"], row["norm"], row["n"]
             entry = {
                 "epsilon": e, "epoch": epoch,
                 "train_loss": loss / max(count, 1), "grad_norm": norm / max(count, 1),
@@ -298,33 +353,6 @@ def train(
     return out
 
 
-def _step_sums(rows: DataFrame, models: list[Model], strategy: Strategy, width: int) -> dict:
-    specs = [
-        {
-            "layers": m.layers, "clip": strategy.clip, "loss": strategy.loss,
-            "weights": strategy.weights, "per_tensor": strategy.per_tensor,
-        }
-        for m in models
-    ]
-    partial = rows.select("features", "label").mapInArrow(
-        kernels.gradient_sums(specs, width),
-        "model int, grad array<double>, loss double, norm double, n long",
-    )
-    size = models[0].flat().size
-    # Element-wise sums combine on the map side; one row per model comes back.
-    summed = (
-        partial.select("model", "loss", "norm", "n", F.posexplode("grad").alias("i", "g"))
-        .groupBy("model", "i")
-        .agg(F.sum("g").alias("g"), F.sum("loss").alias("loss"), F.sum("norm").alias("norm"), F.sum("n").alias("n"))
-    )
-    result: dict[int, tuple] = {}
-    for r in summed.collect():  # models * parameters numbers, whatever the data size
-        if r["model"] not in result:
-            result[r["model"]] = (np.zeros(size), r["loss"], r["norm"], r["n"])
-        result[r["model"]][0][r["i"]] = r["g"]
-    return result
-
-
 def _add_noise(grad, strategy: Strategy, epsilon: float, rng, model: Model) -> np.ndarray:
     sigma = strategy.sigma(epsilon)
     if sigma == 0.0:

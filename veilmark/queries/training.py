@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from veilmark import catalog
@@ -12,6 +14,7 @@ from veilmark.sources.shared import cut
 from veilmark.sources.tables import texts
 
 EPOCHS = 10
+STEPS = 4096
 
 
 def training_rows(spark, sf, feature_set: str = "final"):
@@ -24,15 +27,16 @@ def training_rows(spark, sf, feature_set: str = "final"):
 
 
 def _batch(rows) -> int:
-    # An eighth of the rows per step: a fixed number of steps whatever the size.
-    return max(32, rows.count() // 8)
+    # Batches of 32; of more rows where an epoch would have more than STEPS steps, which
+    # run one after the other.
+    return max(32, math.ceil(rows.count() / STEPS))
 
 
 @query("train_private_model")
 def train_private_model(spark, sf):
     """Two budgets trained side by side; one row per budget and epoch."""
     rows = training_rows(spark, sf)
-    done = md.train(rows, ["doc_id"], [8.0, 1.0], "final", lr=0.05, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
+    done = md.train(rows, ["doc_id"], [8.0, 1.0], "final", lr=0.005, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
     return md.history_table(spark, done)
 
 
@@ -42,7 +46,7 @@ def train_strategies(spark, sf):
     out = None
     rows = cut(training_rows(spark, sf, "final"), "training-rows")
     for name in md.STRATEGIES:
-        done = md.train(rows, ["doc_id"], [8.0], name, lr=0.05, batch_size=max(32, rows.count() // 2), epochs=EPOCHS, seed=42)
+        done = md.train(rows, ["doc_id"], [8.0], name, lr=0.005, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
         table = md.history_table(spark, done).withColumn("strategy", F.lit(name))
         out = table if out is None else out.unionByName(table)
     return out
@@ -54,4 +58,4 @@ def budget_sweep(spark, sf):
     from veilmark.plans.sweep import sweep
 
     rows = training_rows(spark, sf)
-    return sweep(rows, ["doc_id"], list(catalog.EPSILONS), lr=0.05, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
+    return sweep(rows, ["doc_id"], list(catalog.EPSILONS), lr=0.005, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
