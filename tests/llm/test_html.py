@@ -1,3 +1,6 @@
+import time
+from collections import Counter
+
 from veilmark.llm import html
 from veilmark.llm.html import Page
 
@@ -73,3 +76,71 @@ def test_sections_and_headings_of_an_article_stay(spark):
     table = spark.createDataFrame([(i, "http://h.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html.extract(table).collect()}
     assert got == {i: f"Story {i}\n\nShared passage\n\nCase {i}" for i in range(4)}
+
+
+def extracted(spark, rows):
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html.extract(table).collect()}
+
+
+MENU = "<div class=qz><ul><li>Start here</li><li>All stories</li></ul><p>Tell a friend</p></div>"
+SHARED = "<p>A passage that all pages of this host hold in the same words</p>"
+
+
+def story(i):
+    return f"<h1>Title {i}</h1><p>Story {i} begins in a town by the sea</p>{SHARED}<p>and story {i} ends there again</p>"
+
+
+def told(i):
+    return "\n\n".join([f"Title {i}", f"Story {i} begins in a town by the sea", SHARED[3:-4], f"and story {i} ends there again"])
+
+
+def test_template_inside_an_article_goes_under_any_name(spark):
+    line = "<div class=k7>Send this page on</div>"
+    rows = [(i, "http://h.com/", f"<body><article>{MENU}{story(i)}{line}</article></body>") for i in range(5)]
+    rows += [(9, "http://one.com/", f"<body><article>{MENU}{story(9)}{line}</article></body>")]  # nothing to compare with
+    want = {i: told(i) for i in range(5)}
+    assert extracted(spark, rows) == want | {9: "Start here\n\nAll stories\n\nTell a friend\n\n" + told(9) + "\n\nSend this page on"}
+
+
+def test_template_without_an_article_goes_with_all_below_it(spark):
+    rows = [(i, "http://h.com/", f"<body>{MENU}<div class=t>{story(i)}</div></body>") for i in range(5)]
+    assert extracted(spark, rows) == {i: told(i) for i in range(5)}
+
+
+def test_copies_with_small_changes_stay_whole(spark):
+    body = "<h1>One title for all</h1><blockquote>" + "many words " * 20 + "</blockquote>"
+    rows = [(i, "http://h.com/", f"<body><article>{body}<p>Version {i}</p></article></body>") for i in range(4)]
+    rows += [(10 + i, "http://two.com/", f"<body class=c{i}><article>{story(0)}</article></body>") for i in range(4)]  # equal texts
+    whole = "One title for all\n\n" + ("many words " * 20).strip()
+    assert extracted(spark, rows) == {i: f"{whole}\n\nVersion {i}" for i in range(4)} | {10 + i: told(0) for i in range(4)}
+
+
+def test_templates_equal_brute_force(spark):
+    """Vectors written out page by page."""
+    sources = [f"<body>{MENU}<article>{story(i % 4)}<div class=a>Fixed</div><div class=b>{i % 2}</div></article><p>{i % 3}</p></body>" for i in range(12)]
+    sources += ["<body><article><div class=a>Other</div></article></body>", *sources[:5]]
+    two = [f"<div class=x>One</div><div class=y>{i}</div>" for i in range(3)]
+    rows = [("h.com", s) for s in sources] + [("two.com", s) for s in two]
+    table = spark.createDataFrame(rows, "host string, html string")
+    got = {(r["host"], r["path"], r["text"]) for r in html.templates(html.occurrences(table)).collect()}
+    want = set()
+    for host, of in (("h.com", sources), ("two.com", two)):
+        pages = list({p.digest(): p for p in map(Page, of)}.values())
+        vectors = {}
+        for k, page in enumerate(pages):
+            for token, n in Counter(page.tokens()).items():
+                vectors.setdefault(token, [0] * len(pages))[k] = n
+        for (path, text), v in vectors.items():
+            on = sum(n > 0 for n in v)
+            if text and v == vectors[path, 0] and on >= html.SUPPORT and 2 * on > len(pages):
+                want.add((host, path, text))
+    assert got == want and len({h for h, *_ in want}) == 2 and len(want) > 3
+
+
+def test_deep_pages_are_read_once():
+    deep = "<div>a<p>b" * 3000 + "</div>" * 3000
+    started = time.monotonic()
+    page = Page(deep)
+    everything = set(page.tokens())
+    assert page.text(set()).count("b") == 3000 and page.text(everything) == "" and time.monotonic() - started < 20

@@ -1,16 +1,26 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A page is a sequence of tokens: elements (by their path of tags and classes) and blocks
-of text at such a path. A token's occurrence vector says how often it occurs on each page
-of its host, where pages with equal tokens count once. Tokens with equal vectors over at
-least ``SUPPORT`` pages and most pages of the host form a class; a text whose class holds
-the element around it stands there each time, so the two nest into the host's template. What is left of a page are its slots. The main text is the
-slots inside ``article`` or ``main`` where a page has one, otherwise all slots, without
-those below elements whose tag, role, class or id says navigation, header, footer,
-sidebar, notice, advert, form, script, style or comment. Inside an article only clear
-names (adverts, comments, share boxes, newsletters) are apart; text under the other names
-goes only if it is template. Other text inside an article is never compared with other
-pages: passages that pages share stay, and so does template text under unknown names.
+A page is a sequence of tokens: elements (by their path of tags and classes), blocks of
+text at such a path, and contents (all the blocks below an element with several). A
+token's occurrence vector says how often it occurs on each page of its host, where pages
+with equal texts count once. Tokens with equal vectors over at least ``SUPPORT`` pages and
+most pages of the host form a class; a text or a content whose class holds its element
+stands there each time, so the two nest into the host's template, and all that is below a
+constant element goes with it. What is left of a page are its slots. All pages are
+compared, those with an ``article`` too: a menu or a share line inside it goes under any
+name, a passage that pages share stays, because other texts stand at its path. Where more
+than half of an article would go as template, the host's pages are copies with small
+changes, and the article stays whole.
+
+Tags and names are a prior. The main text is the slots inside ``article`` or ``main``
+where a page has one, otherwise all slots, without those below elements whose tag, role,
+class or id says navigation, header, footer, sidebar, notice, advert, form, script, style
+or comment. Inside an article only clear names (adverts, comments, share boxes,
+newsletters) are apart; text under the other names goes only if it is template, whatever
+is left of the article.
+
+A host's template texts are each on most of its distinct pages, so they are at most twice
+as many as the blocks of an average page: a row carries no more than that.
 
 White space inside a block becomes one space (``br`` is white space), blocks are joined
 by an empty line, character references are decoded. NULL html is empty and has no text;
@@ -71,6 +81,9 @@ APART_INSIDE = frozenset(
 BOX_NAMES = frozenset("area bar block box button buttons container form icons inner item links list section slot thread unit wrap wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: Contents are named by a polynomial of their texts' hashes, modulo a prime.
+PRIME, BASE = (1 << 61) - 1, 0x1B873593CC9E2D51
+
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S
 )
@@ -98,9 +111,13 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, str, bool, bool]] = []  # path, text, inside article or main, under a name that may be apart
+        self.hashes: list[int] = []  # of the blocks' texts
+        self.contents: list[tuple[str, int, int, int]] = []  # path, hash, first block, block after the last
         self.elements: Counter = Counter()
         self.has_main = False
-        self._stack: list[tuple[str, str, int, bool, list | None]] = []  # tag, path, apart (0 to 2), main, text before
+        self._sums = [0]  # polynomials of the first blocks
+        # tag, path, apart (0 to 2), main, text before (inline) or first block
+        self._stack: list[tuple[str, str, int, bool, list | int]] = []
         self._text: list[str] = []
         at = 0
         while m := _TAG.search(source, at):
@@ -137,6 +154,8 @@ class Page:
             _, path, apart, main, _ = self._stack[-1] if self._stack else ("", "", 0, False, None)
             if text and apart < 2:
                 self.blocks.append((path, text, main, apart == 1))
+                self.hashes.append(_hash(text))
+                self._sums.append((self._sums[-1] * BASE + self.hashes[-1]) % PRIME)
 
     def _open(self, tag: str, attributes: str) -> None:
         name, apart, inside = _element(tag, attributes)
@@ -159,7 +178,7 @@ class Page:
         self.has_main |= main
         path = f"{path}/{name}"
         self.elements[path] += 1
-        self._stack.append((tag, path, max(level, was_apart), main, None))
+        self._stack.append((tag, path, max(level, was_apart), main, len(self.blocks)))
 
     def _close(self, tag: str) -> None:
         for i in range(len(self._stack) - 1, -1, -1):
@@ -174,28 +193,46 @@ class Page:
     def _end(self, i: int) -> None:
         """End the elements from number ``i`` on."""
         while len(self._stack) > i:
-            before = self._stack[-1][4]
-            if before is None:
-                self._flush()
-            else:
+            _, path, _, _, before = self._stack[-1]
+            if isinstance(before, list):
                 self._text = before
+            else:
+                self._flush()
+                if len(self.blocks) - before > 1:
+                    self.contents.append((path, self._content(before, len(self.blocks)), before, len(self.blocks)))
             self._stack.pop()
 
+    def _content(self, lo: int, hi: int) -> int:
+        return (self._sums[hi] - self._sums[lo] * pow(BASE, hi - lo, PRIME)) % PRIME ^ hi - lo
+
+    def digest(self) -> int:
+        """Of the texts of all blocks."""
+        return self._content(0, len(self.blocks))
+
+    def tokens(self) -> Counter:
+        """(path, text): occurrences. ``text`` is 0 for an element."""
+        found = Counter({(_path(p), 0): n for p, n in self.elements.items()})
+        found.update((_path(b[0]), h) for b, h in zip(self.blocks, self.hashes, strict=True))
+        found.update((_path(p), h) for p, h, _, _ in self.contents)
+        return found
+
     def slots(self) -> list[tuple[str, str]]:
         """Path and text of the blocks that may be main text."""
         return [(p, t) for p, t, main, _ in self.blocks if main or not self.has_main]
 
-    def compared(self) -> list[tuple[str, str]]:
-        """Those of the slots that may be template: inside an article, only what stands
-        under a name that may be apart."""
-        return [(p, t) for p, t, main, unsure in self.blocks if unsure or not self.has_main]
-
     def text(self, fixed: set[tuple[int, int]]) -> str:
-        """The slots without the template texts ``fixed`` (path, text)."""
-        kept = (b for b in self.blocks if b[2] or not self.has_main)
-        return "\n\n".join(
-            t for p, t, _, unsure in kept if not (fixed and (unsure or not self.has_main) and (_path(p), _hash(t)) in fixed)
-        )
+        """The slots without the template texts and contents ``fixed`` (path, hash)."""
+        fix = [bool(fixed) and (_path(b[0]), h) in fixed for b, h in zip(self.blocks, self.hashes, strict=True)]
+        before = len(fix)  # an element is listed after those in it: backwards, these follow it
+        for path, content, lo, hi in reversed(self.contents) if fixed else ():
+            if hi <= before and (_path(path), content) in fixed:
+                fix[lo:hi] = [True] * (hi - lo)
+                before = lo
+        kept = [(t, f, main, unsure) for (_, t, main, unsure), f in zip(self.blocks, fix, strict=True) if main or not self.has_main]
+        if self.has_main:
+            copies = 2 * sum(len(t) for t, f, _, _ in kept if f) > sum(len(t) for t, _, _, _ in kept)
+            kept = [(t, f and (unsure or not copies), main, unsure) for t, f, main, unsure in kept]
+        return "\n\n".join(t for t, f, _, _ in kept if not f)
 
 
 def _hash(text: str) -> int:
@@ -203,11 +240,11 @@ def _hash(text: str) -> int:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """host, path, text, vector, n_pages, n: the tokens of each host, where equal pages
-    count once. ``text`` is 0 for an element; texts are tokens only where no article marks
-    the main text, or under a name that may be apart. Path 0 stands for the page itself."""
+    """host, path, text, vector, n_pages, n: the tokens of each host, where pages with
+    equal texts count once (of these, the one with the least hash of its elements).
+    ``text`` is 0 for an element. Path 0 stands for the page itself."""
     token = pa.struct([("path", pa.int64()), ("text", pa.int64()), ("n", pa.int64())])
-    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("tokens", pa.list_(token))])
+    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), ("form", pa.int64()), ("tokens", pa.list_(token))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -216,18 +253,17 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 found = {}
                 for k, source in enumerate(sources, lo):
                     page = Page(source)
-                    tokens = Counter({(_path(p), 0): n for p, n in page.elements.items()})
-                    tokens.update((_path(p), _hash(t)) for p, t in page.compared())
+                    tokens = page.tokens()
                     if tokens:
                         tokens[0, 0] = 1
-                        digest = _hash(repr((sorted(page.elements.items()), page.blocks)))
-                        found[hosts[k], digest] = [{"path": p, "text": t, "n": n} for (p, t), n in tokens.items()]
+                        form = _hash(repr((sorted(page.elements.items()), page.blocks)))
+                        found[hosts[k], page.digest(), form] = [{"path": p, "text": t, "n": n} for (p, t), n in tokens.items()]
                 if found:
                     yield batch(schema, *zip(*((*k, v) for k, v in found.items()), strict=True))
 
     distinct = pages.select("host", "html").mapInArrow(
-        count, "host string, page long, tokens array<struct<path: long, text: long, n: long>>"
-    ).dropDuplicates(["host", "page"])
+        count, "host string, page long, form long, tokens array<struct<path: long, text: long, n: long>>"
+    ).groupBy("host", "page").agg(F.min_by("tokens", "form").alias("tokens"))
     return distinct.select("host", "page", F.inline_outer("tokens")).groupBy("host", "path", "text").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("n_pages"), F.sum("n").alias("n")
     )
@@ -239,8 +275,8 @@ def _path(path: str) -> int:
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """host, path, text of the texts that are in the class of the element around them, on
-    most of the host's distinct pages."""
+    """host, path, text of the texts and contents that are in the class of the element
+    around them, on most of the host's distinct pages."""
     hosts = tokens.where("path = 0 AND text = 0").select("host", F.col("n_pages").alias("n_host"))
     frequent = tokens.where((F.col("n_pages") >= SUPPORT) & (F.col("path") != 0))
     elements = frequent.where("text = 0").drop("text")
@@ -258,9 +294,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            fixed = [{(x["path"], x["text"]) for x in f or ()} for f in part["fixed"].to_pylist()]
             for lo, sources in text_groups(part["html"]):
-                texts = [Page(source).text(fixed[k]) for k, source in enumerate(sources, lo)]
+                texts = []
+                for k, source in enumerate(sources, lo):
+                    texts.append(Page(source).text({(x["path"], x["text"]) for x in part["fixed"][k].as_py() or ()}))
                 n = len(texts)
                 yield batch(schema, part["page_id"].slice(lo, n), part["url"].slice(lo, n), texts, [len(t) for t in texts])
 
