@@ -1,3 +1,6 @@
+import re
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,3 +66,65 @@ def test_the_prior_is_the_measured_share(spark, monkeypatch):
         monkeypatch.setattr(toxicity, "LEAST", 1)
         toxicity.train(table, labels, F.lit(True), members=1)
     assert given == [0.001, 0.7]
+
+
+def sparse(rows):
+    """``_risk``'s form of lists of features."""
+    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([f for r in rows for f in r], int), len(rows)
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(1)
+    data = {k: sparse([rng.choice(8, 3, replace=False).tolist() for _ in range(n)]) for k, n in (("p", 20), ("u", 45))}
+    w = rng.normal(0, 1, 9)
+    parts = toxicity._risk(w, data, 0.3)
+    for part in (0, 1):
+        for i in range(9):
+            d = np.zeros(9)
+            d[i] = 1e-6
+            slope = (toxicity._risk(w + d, data, 0.3)[part] - toxicity._risk(w - d, data, 0.3)[part]) / 2e-6
+            assert parts[2 + part][i] == pytest.approx(slope, abs=1e-7)
+
+
+def test_scores_equal_a_plain_fit(spark):
+    """The same risk over dense rows, a row at a time, from the texts themselves."""
+    rng = np.random.default_rng(2)
+    common, bad = [f"w{c}" for c in "abcdefghij"], ["vile", "nasty"]
+    texts = [" ".join(rng.choice(common, 6)) + (f" {rng.choice(bad)}" if i % 5 == 0 else "") for i in range(300)]
+    texts = [re.sub(r"w(\w)", r"\1\1", t) for t in texts]
+    table = documents(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(0, 300, 2)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(table, toxicity.train(table, labels, F.lit(True), members=1)).collect()}
+
+    def features(text):
+        words = re.findall("[a-z]+", text)
+        return {zlib.crc32(f.encode()) for w in words for f in (w, *("^" + w[:k] for k in toxicity.PREFIXES if len(w) >= k))}
+
+    rows = [features(t) for t in texts]
+    positive, prior = [rows[i] for i in range(0, 300, 10)], 0.2
+    names = sorted(set().union(*rows))
+    seen = np.array([sum(f in r for r in positive) for f in names]) + 0.5
+    other = np.array([sum(f in r for r in rows) for f in names]) + 0.5
+    sure = np.abs(np.log(seen / 30) - np.log(other / 300)) >= 5 * np.sqrt(1 / seen + 1 / other)
+    names = [f for f, s, n in zip(names, sure, seen, strict=True) if s and n >= toxicity.LEAST]
+    p, u = (np.array([[*(f in r for f in names), 1.0] for r in of], float) for of in (positive, rows))
+    w, m, v = np.append(np.zeros(len(names)), np.log(prior / (1 - prior))), 0, 0
+    for step in range(1, 201):
+        zp, zu = p @ w, u @ w
+        rest = np.log1p(np.exp(zu)).mean() - prior * np.log1p(np.exp(zp)).mean()
+        g_rest = (u / (1 + np.exp(-zu))[:, None]).mean(axis=0) - prior * (p / (1 + np.exp(-zp))[:, None]).mean(axis=0)
+        g = -g_rest if rest < 0 else g_rest - prior * (p / (1 + np.exp(zp))[:, None]).mean(axis=0)
+        g[:-1] += 2e-4 * w[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    want = 1 / (1 + np.exp(-(u @ w)))
+    assert len(names) > 1 and [got[i] for i in range(300)] == pytest.approx(want.tolist(), rel=1e-6)
+
+
+def test_few_rows_and_clashing_columns(spark):
+    table = documents(spark, [(0, "bad"), (1, "good"), (None, "bad")]).selectExpr("*", "1 AS score", "2 AS predicted", "3 AS toxic")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    classifier = toxicity.train(table, labels, F.lit(True))
+    got = toxicity.score(table, classifier)
+    assert got.columns == ["doc_id", "score", "predicted"] and got.count() == 3
+    assert toxicity.train(table.limit(0), labels, F.lit(True)) is None and toxicity.score(table.limit(0), None).count() == 0

@@ -63,7 +63,7 @@ def fold(column: str, parts: int):
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     classifier = toxicity.train(documents, labels, fold("doc_id", 5) != 0)
-    marked = documents.withColumn("held_out", fold("doc_id", 5) == 0)
+    marked = documents.withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
     return toxicity.score(marked, classifier, ("doc_id", "held_out"))
 
 

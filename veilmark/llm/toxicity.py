@@ -9,9 +9,11 @@ labelled training rows (``prior`` without any).
 
 Training takes a sample of documented size (``positives`` and ``unlabelled`` rows, by
 hash of the id); scores cover whole texts. A word is a run of letters in lower case.
-NULL and empty texts get the score of a text without words. Without a positive row every
-score is 0. Rows whose id repeats are scored each; labels of a repeated id count as toxic
-if one of them is.
+NULL and empty texts get the score of a text without words, texts of any length are read
+whole. Without a positive row every score is 0. Rows whose id repeats are scored each;
+labels of a repeated id count as toxic if one of them is; rows without an id are scored
+and never learned from. Equal texts have equal scores. An empty table gives no rows, empty
+labels give scores of 0. Only doc_id and text are read: other columns may have any name.
 """
 
 from __future__ import annotations
@@ -81,6 +83,27 @@ class Classifier:
         self.weights, self.bias = weights, bias
 
 
+def _risk(w: np.ndarray, data: dict, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The two parts of the risk, pi * E_p[l(f)] and E_u[l(-f)] - pi * E_p[l(-f)], and their
+    gradients by the weights (the bias is the last). ``data`` has, for the positive and the
+    unlabelled rows: the row and the feature of each feature present, and how many rows."""
+    z = {k: np.bincount(r, w[c], n) + w[-1] for k, (r, c, n) in data.items()}
+
+    def sigmoid(x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+
+    def gradient(kind: str, of_z: np.ndarray) -> np.ndarray:
+        r, c, n = data[kind]
+        g = of_z / n
+        return np.append(np.bincount(c, g[r], len(w) - 1), g.sum())
+
+    rest = np.logaddexp(0, z["u"]).mean() - prior * np.logaddexp(0, z["p"]).mean()
+    return (
+        prior * np.logaddexp(0, -z["p"]).mean(), rest,
+        prior * gradient("p", sigmoid(z["p"]) - 1), gradient("u", sigmoid(z["u"])) - prior * gradient("p", sigmoid(z["p"])),
+    )
+
+
 def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int, rate: float, decay: float, least: int, sure: float) -> Classifier:
     """Full-batch Adam on the non-negative risk. Only features in ``least`` positive rows
     whose log odds against the unlabelled rows are ``sure`` standard errors from 0 have a
@@ -101,23 +124,11 @@ def _fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         "u": (row[~first & (column >= 0)] - len(positive), column[~first & (column >= 0)], len(unlabelled)),
     }
 
-    def sigmoid(z):
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-
     w, m, v = np.zeros(len(used) + 1), 0.0, 0.0
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
-        z = {k: np.bincount(r, w[c], n) + w[-1] for k, (r, c, n) in data.items()}
-
-        def gradient(kind: str, of_z: np.ndarray) -> np.ndarray:
-            r, c, n = data[kind]
-            g = of_z / max(n, 1)
-            return np.append(np.bincount(c, g[r], len(used)), g.sum())
-
-        as_positive = gradient("p", sigmoid(z["p"]) - 1)
-        as_negative = gradient("u", sigmoid(z["u"])) - prior * gradient("p", sigmoid(z["p"]))
-        rest = np.logaddexp(0, z["u"]).mean() - prior * np.logaddexp(0, z["p"]).mean()
-        g = prior * as_positive + as_negative if rest >= 0 else -as_negative
+        _, rest, g_positive, g_rest = _risk(w, data, prior)
+        g = g_positive + g_rest if rest >= 0 else -g_rest
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -147,13 +158,13 @@ def train(
     frequent = seen[n >= LEAST]
     p = [_within(f, frequent) for f in p]
     u = _features(_sample(texts, unlabelled), frequent)
-    fitted = [
-        _fit(p, [f for i, f in enumerate(u) if len(u) < 50 * members or i % members != k], prior, steps, 0.1, 2e-4, LEAST, 5.0)
-        for k in range(members)
-    ]
+    parts = [[f for i, f in enumerate(u) if members == 1 or i % members != k] for k in range(members)]
+    fitted = [_fit(p, part, prior, steps, 0.1, 2e-4, LEAST, 5.0) for part in parts if part]
+    if not fitted:
+        return None
     names = set().union(*(c.weights for c in fitted))
     return Classifier(
-        {f: sum(c.weights.get(f, 0.0) for c in fitted) / members for f in names}, sum(c.bias for c in fitted) / members
+        {f: sum(c.weights.get(f, 0.0) for c in fitted) / len(fitted) for f in names}, sum(c.bias for c in fitted) / len(fitted)
     )
 
 
