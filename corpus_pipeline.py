@@ -4,6 +4,13 @@ Each stage takes (spark, documents, folder), works on all rows that the one befo
 kept, and is written as Parquet and read again for the next one. All but the last return
 the columns of ``documents``; the last returns the pieces and their places. Tables of the
 folder other than ``documents`` are read where a stage needs them.
+
+NULL and empty texts have no letter, so the language stage takes them out; before it they
+count as texts without words. Of documents that are copies the one with the least doc_id
+stays, of rows that repeat its id and text one; rows without an id all stay. Texts of any
+length are read whole. A folder whose ``documents`` are empty gives no pieces; without ``labels`` or
+``benchmark`` rows nothing is toxic or contaminated. Further columns of ``documents`` pass
+through all stages but the last, under any name.
 """
 
 from __future__ import annotations

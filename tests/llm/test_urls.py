@@ -59,8 +59,7 @@ def test_difference_equals_brute_force(spark, monkeypatch):
         marked = "^" * urls.ORDER + text + "$"
         want = sum(log_p("allow", marked, i) - log_p("block", marked, i) for i in range(urls.ORDER, len(marked))) / (len(text) + 1) if text else 0.0
         off.append(abs(r["difference"] - want))
-    # Two grams may share a cell now and then.
-    assert sorted(off)[len(off) // 2] < 1e-9 and max(off) < 0.3
+    assert max(off) < 1e-9
     judged = {given[r["page_id"]]: r["verdict"] for r in rows}
     assert judged["http://good.org/a"] == "allow" and judged["http://bad.org/es/"] == "block"
 

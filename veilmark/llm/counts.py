@@ -6,7 +6,9 @@ surviving symbols are the tokens. Results equal those of the library for a BPE m
 with byte fallback and identity normalisation (checked on probe texts when it is loaded).
 
 NULL text is empty and has no token; rows keep their number and order is free; repeated
-ids give one row each; other columns are ignored.
+ids give one row each; other columns are ignored. Texts of any length are counted whole.
+Of equally ranked pairs in a sequence the first is applied first, as the library does it.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

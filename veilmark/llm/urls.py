@@ -12,7 +12,9 @@ each distinct text. Everything is DataFrame functions.
 
 A NULL URL or one without ``://`` has an empty host and path, and its difference is 0. If
 one class has no URL, there is no model and what no rule fits is allowed. Every row gets
-one row; repeated rows count as often as they occur; other columns are ignored.
+one row; repeated rows count as often as they occur; other columns are ignored. URLs of any
+length are judged whole. A difference equal to the threshold allows. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
