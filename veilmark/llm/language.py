@@ -35,9 +35,9 @@ from veilmark.sources.shared import cut
 
 SPACE = "▁"
 #: Letters of a word whose sums are taken as they are, and places times words in one lattice.
-LINEAR, PLACES = 24, 1 << 18
+LINEAR, PLACES = 24, 1 << 16
 #: Words of each age that a worker remembers.
-REMEMBER = 350_000
+REMEMBER = 120_000
 _RUNS = re.compile(r"[^\W\d_]+").findall
 
 
