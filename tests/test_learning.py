@@ -101,7 +101,7 @@ def test_training_learns_and_repeats(spark):
 
 @pytest.mark.parametrize("rows_per_task", [2048, 50])
 def test_an_epoch_equals_a_plain_loop(spark, monkeypatch, rows_per_task):
-    """Steps, exchanged sums, noise and optimiser state over epochs, by one task and by four."""
+    """Steps, exchanged sums, noise and optimiser state over epochs, by one task and by two."""
     monkeypatch.setattr(md, "ROWS_PER_TASK", rows_per_task)
     data = training_set(spark, 200).cache()
     budgets, strategy = [1e6, 2.0], md.STRATEGIES["improved"]
