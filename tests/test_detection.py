@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import re
 
 import numpy as np
@@ -251,6 +252,47 @@ def test_overlap_join(spark):
     }
 
 
+@pytest.mark.parametrize("slices", [1, 5, 64])
+def test_overlap_join_against_brute_force(spark, slices):
+    rng = random.Random(slices)
+
+    def side(n):
+        rows = [(None if rng.random() < 0.1 else rng.randrange(3), rng.choice("AB"), rng.randrange(60)) for _ in range(n)]
+        spans = [(d, c, s, s + rng.choice((0, 1, 3, 9, 40))) for d, c, s in rows]
+        return spans + spans[:5] + [(9, "LONG", 0, 100000), (9, "A", 50000, 50001)]  # repeats, a long one
+
+    found, truth = side(120), side(90) + [(9, "B", 99999, 100001)]
+    schema = "doc_id long, category string, span_start int, span_end int"
+    judged = spantable.compare(
+        spark.createDataFrame(found, schema).withColumn("more", F.lit(1)), spark.createDataFrame(truth, schema), ["doc_id"], slices
+    ).collect()
+
+    def status(span, others, alone):
+        d, _, s, e = span
+        met = [(a, b) for k, _, a, b in others if k == d and s < b and a < e]
+        return "exact" if (s, e) in met else "partial" if met else alone
+
+    want = sorted(
+        [("truth", *x, status(x, found, "missed")) for x in set(truth)]
+        + [("detected", *x, status(x, truth, "spurious")) for x in set(found)], key=str,
+    )
+    got = [(r["side"], r["doc_id"], r["category"], r["span_start"], r["span_end"], r["status"]) for r in judged]
+    assert sorted(got, key=str) == want
+    none = spark.createDataFrame([], schema)
+    assert spantable.compare(none, none, ["doc_id"]).collect() == []
+
+
+def test_ranks_of_spans(spark):
+    schema = "doc_id long, span_start int, span_end int, priority int"
+    spans = spark.createDataFrame([(i % 2, i * 7 % 50, i * 7 % 50 + 2, i % 3) for i in range(50)], schema)
+    for descending in (False, True):
+        rows = spantable.rank_spans(spans, ["doc_id"], descending).collect()
+        for doc in (0, 1):
+            own = [r for r in rows if r["doc_id"] == doc]
+            own.sort(key=lambda r: (-r["span_start"] if descending else r["span_start"], r["priority"], r["span_end"]))
+            assert [r["rank"] for r in own] == list(range(1, 26))
+
+
 def test_lookups(spark):
     df = spark.createDataFrame([("EMAIL", 0.9), ("IBAN", 0.6), ("NAME", 0.59), ("SHOE", 0.8)], "c string, p double")
     rows = df.select(sp.type_group(F.col("c")).alias("g"), sp.band(F.col("p")).alias("b"), sp.is_basic(F.col("c")).alias("k")).collect()

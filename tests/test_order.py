@@ -97,3 +97,36 @@ def test_samples_are_exact(spark):
     few = {r["id"] for r in order.sample_rows(rows, ["id"], 37).collect()}
     assert few == {r["id"] for r in order.sample_rows(rows.repartition(3), ["id"], 37).collect()}
     assert few <= {r["id"] for r in order.sample_rows(rows, ["id"], 38).collect()}
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_ties_of_the_first_column_are_spread(spark, partitions):
+    df = spark.range(4000).select(F.lit(7).alias("a"), (F.col("id") * 31 % 4000).alias("b")).repartition(partitions)
+    bounds = order.slice_bounds(df, ["a", "b"], 16)
+    sizes = df.groupBy(order.slice_of(["a", "b"], bounds).alias("s")).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 3 * 4000 / 16
+    placed = order.ordered_position(df, ["a", "b"]).collect()
+    assert all(r["position"] == r["b"] for r in placed)
+
+
+def test_slices_follow_the_order_of_any_type(spark):
+    values = [("b", 2.5), ("", None), (None, 1.0), ("ab", float("nan")), ("b", -0.0), ("ab", 3.0), (None, None), ("é", 1.0), ("a" * 5000, 2.0)]
+    df = spark.createDataFrame(values, "t string, x double")
+    bounds = order.slice_bounds(df, ["t", "x"], 64)
+    assert len(bounds) == len(values) - 1
+    rows = df.withColumn("s", order.slice_of(["t", "x"], bounds)).orderBy("t", "x").collect()
+    assert [r["s"] for r in rows] == list(range(len(values)))
+    got = [r["position"] for r in order.ordered_position(df, ["t", "x"]).orderBy("t", "x").collect()]
+    assert got == list(range(len(values)))
+
+
+def test_slices_of_an_empty_table(spark):
+    empty = spark.range(0).select("id", F.lit("k").alias("k"))
+    assert order.slice_bounds(empty, "id", 64) == []
+    assert order.ordered_position(empty, ["k", "id"]).collect() == []
+
+
+def test_equal_keys_share_a_slice(spark):
+    df = spark.range(600).select((F.col("id") % 3).alias("a"))
+    rows = order.running(df, [], ["a"], {"n": ("sum", F.lit(1).cast("long"))}).groupBy("a").agg(F.max("n").alias("n")).collect()
+    assert {r["a"]: r["n"] for r in rows} == {0: 200, 1: 400, 2: 600}

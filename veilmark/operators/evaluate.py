@@ -215,7 +215,7 @@ def early_stop(history: DataFrame, keys: Sequence[str], epoch: str, metric: str,
     Where the count since the last strict improvement reaches the patience;
     NULL if training would have run to the end.
     """
-    keys, bounds = list(keys), slice_bounds(history, F.col(epoch), 64)
+    keys, bounds = list(keys), slice_bounds(history, [epoch], 64)
     seen = running(
         history, keys, [epoch], {"_best": ("max", F.col(metric)), "_at": ("sum", F.lit(1).cast("long"))},
         bounds, before=["_best"],

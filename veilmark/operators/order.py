@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
+#: Keys sampled for each slice, and the most slices there are (their bounds are constants of the plan).
+PER_SLICE, MOST_SLICES = 32, 4096
+
 
 def shuffle_key(seed: int, *ids: Column) -> Column:
     """Hex digest that orders rows pseudo-randomly; unique ids give unique keys."""
@@ -30,17 +33,7 @@ def hashed_position(df: DataFrame, key: Column, out: str = "position", n_out: st
     The first ``digits`` hex digits are the bucket: digests are uniform, so no
     bucket is hot, and at most 16**digits bucket totals are broadcast.
     """
-    return text_position(df, key, out, n_out, digits, small=True)
-
-
-def text_position(
-    df: DataFrame, key: Column, out: str = "position", n_out: str = "n_rows", prefix: int = 4, small: bool = False
-) -> DataFrame:
-    """0-based position in the order of a text key; buckets are its prefixes.
-
-    ``small`` says that the number of different prefixes has a known bound.
-    """
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, prefix))
+    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
     totals = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     carry = totals.select(
         "_bucket",
@@ -49,29 +42,47 @@ def text_position(
     )
     local = Window.partitionBy("_bucket").orderBy("_key")
     return (
-        keyed.join(F.broadcast(carry) if small else carry, "_bucket")
+        keyed.join(F.broadcast(carry), "_bucket")
         .withColumn(out, F.col("_before") + F.row_number().over(local) - 1)
         .drop("_bucket", "_key", "_before")
     )
 
 
-def slice_bounds(df: DataFrame, order: Column, slices: int) -> list[float]:
-    """Approximate quantiles of the order value: at most ``slices - 1`` numbers."""
-    cuts = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(order.cast("double"), cuts, 10000).alias("b")).first()
-    return sorted(set(row["b"] or []))
-
+def _key(order: Column | str | Sequence[Column | str]) -> Column:
+    """A whole sort key as one value; structs compare field by field, NULL first."""
+    parts = [order] if isinstance(order, (Column, str)) else order
+    return F.struct(*[(F.col(p) if isinstance(p, str) else p).alias(f"k{i}") for i, p in enumerate(parts)])
 
-def slice_of(order: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds <= order, as a balanced tree of comparisons."""
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(order.cast("double") >= bounds[mid], tree(mid + 1, high)).otherwise(tree(low, mid))
+def slice_bounds(df: DataFrame, order: Column | str | Sequence[Column | str], slices: int) -> list[Column]:
+    """At most ``slices - 1`` sort keys that cut the order into slices of about equal size.
 
-    return tree(0, len(bounds))
+    Keys are whole, so rows that agree in the first column are split by the next
+    ones; columns may be of any type that has an order. The bounds are evenly spaced
+    among ``PER_SLICE`` sampled keys a slice. Where they lie never changes a result.
+    """
+    slices = min(slices, MOST_SLICES)
+    drawn = F.xxhash64(F.col("k"), F.monotonically_increasing_id())
+    sample = df.select(_key(order).alias("k")).orderBy(drawn).limit(slices * PER_SLICE)
+    rank, n = F.row_number().over(Window.orderBy("k")), F.count(F.lit(1)).over(Window.partitionBy())
+    at = sample.select("k", rank.alias("rank"), n.alias("n"))
+    # the first key of every slice but the first
+    part = F.floor((F.col("rank") - 1) * slices / F.col("n"))
+    before = F.floor((F.col("rank") - 2) * slices / F.col("n"))
+    found = at.where((F.col("rank") > 1) & (part > before)).select("k").distinct().orderBy("k")
+    types = [f.dataType for f in found.schema["k"].dataType]
+    return [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r["k"], types))]) for r in found.collect()]
+
+
+def slice_of(order: Column | str | Sequence[Column | str], bounds: Sequence[Column]) -> Column:
+    """Number of bounds <= the sort key, by binary search in one constant array."""
+    if not bounds:
+        return F.lit(0)
+    key, keys = _key(order), F.array(*bounds)
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(keys, at + step - 1) <= key, at + step).otherwise(at)
+    )
 
 
 def running(
@@ -79,22 +90,22 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     aggs: dict[str, tuple[str, Column]],
-    slices: int | Sequence[float] = 64,
+    slices: int | Sequence[Column] = 64,
     before: Sequence[str] = (),
 ) -> DataFrame:
-    """Running sum, max or min per key, also when one key holds most rows.
+    """Running sum, max or min per key, also when one key or one value holds most rows.
 
-    ``order[0]`` must be numeric; later columns break ties. Each (key, slice of
-    order[0]) is one window group; slices of a key are linked by their totals.
-    ``slices`` may be ready bounds from :func:`slice_bounds`. Results named in
-    ``before`` leave the current row out.
+    Each (key, slice of the whole order) is one window group; slices of a key are
+    linked by their totals. Only rows that agree in all of ``order`` stay together.
+    ``slices`` may be ready bounds of the same order from :func:`slice_bounds`.
+    Results named in ``before`` leave the current row out.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}
     if isinstance(slices, int):  # at least as many as the session has shuffle partitions
         slices = max(slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = slice_bounds(df, F.col(order[0]), slices) if isinstance(slices, int) else slices
+    bounds = slice_bounds(df, order, slices) if isinstance(slices, int) else slices
     sliced = df.withColumns(
-        {"_slice": slice_of(F.col(order[0]), bounds)} | {f"_v_{n}": value for n, (_, value) in aggs.items()}
+        {"_slice": slice_of(order, bounds)} | {f"_v_{n}": value for n, (_, value) in aggs.items()}
     )
     group = [*keys, "_slice"]
     totals = sliced.groupBy(*group).agg(*[fold[fn](f"_v_{n}").alias(f"_t_{n}") for n, (fn, _) in aggs.items()])
@@ -118,7 +129,7 @@ def running(
 
 
 def ordered_position(df: DataFrame, order: Sequence[str], out: str = "position", slices: int = 64) -> DataFrame:
-    """0-based position in the order of the given columns (the first one numeric)."""
+    """0-based position in the order of the given columns."""
     placed = running(df, [], order, {out: ("sum", F.lit(1).cast("long"))}, slices)
     return placed.withColumn(out, F.col(out) - 1)
 

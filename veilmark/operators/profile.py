@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilmark.functions import labels as lb
 from veilmark.functions import text as tx
 from veilmark.operators.evaluate import ratio
-from veilmark.operators.order import text_position
+from veilmark.operators.order import ordered_position
 from veilmark.sources.shared import cut
 
 
@@ -48,14 +48,11 @@ def _exploded(df: DataFrame, labels: str) -> DataFrame:
 
 def pii_types(df: DataFrame, labels: str = "labels") -> DataFrame:
     """Entity types with count and share of all non-O labels, most frequent first."""
-    counted = cut(
-        _exploded(df, labels).where(lb.is_pii(F.col("label"))).groupBy("label").agg(F.count(F.lit(1)).alias("c")),
-        "label-counts",
-    )
-    total = counted.agg(F.sum("c")).scalar()
-    typed = counted.withColumn("pii_type", lb.entity_type(F.col("label"))).where("pii_type IS NOT NULL")
-    by_type = typed.groupBy("pii_type").agg(F.sum("c").alias("n"))
-    return by_type.withColumn("percent", ratio(F.col("n") * 100.0, total)).orderBy(F.desc("n"), "pii_type")
+    pii = _exploded(df, labels).where(lb.is_pii(F.col("label")))
+    by_type = pii.groupBy(lb.entity_type(F.col("label")).alias("pii_type")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())  # one row per type
+    shares = by_type.withColumn("percent", ratio(F.col("n") * 100.0, total))
+    return shares.where("pii_type IS NOT NULL").orderBy(F.desc("n"), "pii_type")
 
 
 def label_distribution(df: DataFrame, labels: str = "labels") -> DataFrame:
@@ -90,8 +87,8 @@ def label_summary(df: DataFrame, labels: str = "labels") -> DataFrame:
 
 def label_ids(df: DataFrame, labels: str = "labels") -> DataFrame:
     """Ids 0, 1, ... of the distinct labels in sorted order."""
-    distinct = _exploded(df, labels).distinct()
-    placed = text_position(distinct, F.col("label"), "label_id", "_n", prefix=6)
+    distinct = cut(_exploded(df, labels).distinct(), "labels")
+    placed = ordered_position(distinct, ["label"], "label_id")
     return placed.select("label", F.col("label_id").cast("int").alias("label_id"))
 
 

@@ -32,7 +32,7 @@ def merge_rows(spans: DataFrame, ids: Sequence[str], slices: int = 64) -> DataFr
     keys = list(ids)
     spans = cut(spans.select(*keys, "category", "span_start", "span_end", "confidence", "priority"), "spans")
     order = ["span_start", "priority", "span_end"]
-    bounds = slice_bounds(spans, F.col("span_start"), slices)
+    bounds = slice_bounds(spans, order, slices)
     reach = running(spans, keys, order, {"_reach": ("max", F.col("span_end"))}, bounds, before=["_reach"])
     opens = F.when(F.col("span_start") <= F.col("_reach"), 0).otherwise(1)
     marked = running(
@@ -47,53 +47,54 @@ def merge_rows(spans: DataFrame, ids: Sequence[str], slices: int = 64) -> DataFr
     ).drop("_island")
 
 
-def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str], block: int = 1024) -> DataFrame:
+def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str], slices: int = 64) -> DataFrame:
     """Status of every span: exact, partial, missed (truth) or spurious (detected).
 
-    An equi-join on (document, block of characters) with a range condition: only
-    spans of the same block meet, so a document with very many spans is spread
-    over many join keys. Each side keeps only its best overlap. Row ids are
-    (document, category, start, end).
+    A span overlaps the other side if, of the other side's spans that start before
+    its end, one ends after its start. So each span is two events, its start (which
+    brings its end along) and its end (which asks), and one running maximum per side
+    over the events of a document answers all. Rows moved are two a span, however long
+    spans are and however many overlap; a document with very many is sliced. NULL ids
+    are a document of their own. Row ids are (document, category, start, end).
     """
-    keys = list(ids)
-
-    def side(df: DataFrame, p: str) -> DataFrame:
-        return df.select(
-            *keys, F.col("category").alias(f"{p}_category"), F.col("span_start").alias(f"{p}_start"),
-            F.col("span_end").alias(f"{p}_end"),
-        ).distinct()
-
-    # Both sides are read twice; their texts are scanned once.
-    d, t = cut(side(detected, "d"), "detected"), cut(side(truth, "t"), "truth")
-    exact = F.max(((F.col("d_start") == F.col("t_start")) & (F.col("d_end") == F.col("t_end"))).cast("int"))
-
-    def blocks(df: DataFrame, p: str) -> DataFrame:
-        first = F.floor(F.col(f"{p}_start") / block).cast("int")
-        last = F.floor((F.col(f"{p}_end") - 1) / block).cast("int")
-        return df.withColumn("_b", F.explode(F.sequence(first, F.greatest(first, last))))
-
-    def judge(own: DataFrame, other: DataFrame, p: str, q: str, alone: str, name: str) -> DataFrame:
-        cols = [f"{p}_category", f"{p}_start", f"{p}_end"]
-        overlap = [
-            *[F.col(k) == F.col(f"_{k}") for k in [*keys, "_b"]],
-            F.col("d_start") < F.col("t_end"),
-            F.col("t_start") < F.col("d_end"),
-        ]
-        pairs = blocks(own, p).join(
-            blocks(other, q).withColumnsRenamed({k: f"_{k}" for k in [*keys, "_b"]}), overlap, "left"
-        )
-        best = pairs.groupBy(*keys, *cols).agg(exact.alias("_exact"))
-        status = F.when(F.col("_exact") == 1, "exact").when(F.col("_exact") == 0, "partial").otherwise(alone)
-        return best.select(
-            F.lit(name).alias("side"), *keys, F.col(cols[0]).alias("category"),
-            F.col(cols[1]).alias("span_start"), F.col(cols[2]).alias("span_end"), status.alias("status"),
-        )
-
-    return judge(t, d, "t", "d", "missed", "truth").unionByName(judge(d, t, "d", "t", "spurious", "detected"))
+    keys, own = list(ids), ["side", "category", "span_start", "span_end", "both"]
+
+    def rows(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*keys, "span_start", "span_end", F.struct(F.lit(side).alias("side"), "category").alias("own"))
+
+    # One row a place: repeats combine on the map side, and a set has one entry a side and category.
+    places = rows(detected, "detected").unionByName(rows(truth, "truth")).groupBy(*keys, "span_start", "span_end")
+    of = places.agg(F.collect_set("own").alias("own"))
+    has = [F.exists("own", lambda o, s=s: o["side"] == s) for s in ("detected", "truth")]
+    both = has[0] & has[1] & (F.col("span_start") < F.col("span_end"))
+    spans = cut(of.withColumn("both", both).withColumn("own", F.explode("own")).select("*", "own.*").drop("own"), "sides")
+    is_truth = F.col("side") == "truth"
+    events = spans.select(
+        *keys, *own,
+        F.explode(F.array(
+            F.struct(F.col("span_end").alias("at"), F.lit(False).alias("starts")),
+            F.struct(F.col("span_start").alias("at"), F.lit(True).alias("starts")),
+        )).alias("e"),
+    ).select(*keys, *own, "e.at", "e.starts")
+    ends = {s: F.when(F.col("starts") & (F.col("side") == s), F.col("span_end")) for s in ("detected", "truth")}
+    # at one place, ends ask before starts are seen
+    swept = running(
+        events, keys, ["at", "starts", "span_start", "span_end", "side", "category"],
+        {f"_{s}": ("max", value) for s, value in ends.items()}, slices,
+    ).where(~F.col("starts"))
+    reach = F.when(is_truth, F.col("_detected")).otherwise(F.col("_truth"))
+    status = (
+        F.when(F.col("both"), "exact")
+        .when(reach > F.col("span_start"), "partial")
+        .otherwise(F.when(is_truth, "missed").otherwise("spurious"))
+    )
+    return swept.select("side", *keys, "category", "span_start", "span_end", status.alias("status"))
 
 
 def rank_spans(spans: DataFrame, ids: Sequence[str], descending: bool = False) -> DataFrame:
-    """Rank of each span in its document by start (no global sort)."""
-    by = F.col("span_start").desc() if descending else F.col("span_start").asc()
-    w = Window.partitionBy(*ids).orderBy(by, "priority", "span_end")
-    return spans.withColumn("rank", F.row_number().over(w))
+    """Rank of each span in its document by start (no global sort, long documents sliced)."""
+    by = F.col("span_start") * (-1 if descending else 1)
+    placed = running(
+        spans.withColumn("_by", by), list(ids), ["_by", "priority", "span_end"], {"rank": ("sum", F.lit(1).cast("long"))}
+    )
+    return placed.drop("_by")
