@@ -65,7 +65,7 @@ def compare(detected: DataFrame, truth: DataFrame, ids: Sequence[str], slices: i
     # One row a place: repeats combine on the map side, and a set has one entry a side and category.
     places = rows(detected, "detected").unionByName(rows(truth, "truth")).groupBy(*keys, "span_start", "span_end")
     of = places.agg(F.collect_set("own").alias("own"))
-    has = [F.exists("own", lambda o, s=s: o["side"] == s) for s in ("detected", "truth")]
+    has = [F.array_contains(F.col("own.side"), s) for s in ("detected", "truth")]
     both = has[0] & has[1] & (F.col("span_start") < F.col("span_end"))
     spans = cut(of.withColumn("both", both).withColumn("own", F.explode("own")).select("*", "own.*").drop("own"), "sides")
     is_truth = F.col("side") == "truth"
