@@ -10,6 +10,7 @@ from veilmark.functions import spans as sp
 from veilmark.operators import detect
 from veilmark.operators.model import Model
 from veilmark.sources import files
+from veilmark.sources.named import write_named
 
 MODEL_MODE, FALLBACK_MODE = "Model", "Regex Fallback"
 
@@ -110,10 +111,12 @@ def basic_header(redacted: Column, spans: Column, name: Column, epsilon: Column,
 
 def redact_folder(
     spark: SparkSession, folder: str, out: str, style: str = "mask", categories: list[str] | None = None,
-    model: Model | None = None, text_files: bool = False,
+    model: Model | None = None, text_files: bool = False, named_files: bool = False,
 ) -> DataFrame:
-    """Redact every *.txt file of a folder; returns the one-row summary. ``text_files``
-    also writes each text as plain text, in a folder that bears its output name.
+    """Redact every *.txt file of a folder; returns the one-row summary. ``named_files``
+    also writes each text to a file of its output name under ``named_files``; names that
+    repeat (in a glob over several folders) raise a ValueError. ``text_files`` makes a
+    folder that bears the output name instead, which is for a few files only.
 
     Text and details are written as tables under ``out`` with the output names
     as columns; undecodable files are counted as failed and do not stop the job.
@@ -128,10 +131,12 @@ def redact_folder(
     named.write.mode("overwrite").parquet(f"{out}/results")
     results = spark.read.schema(named.schema).parquet(f"{out}/results")
     ok = results.where("error IS NULL")
-    ok.select("output_file", F.col("result.redacted_text").alias("value")).write.mode("overwrite").json(f"{out}/text")
+    name, text = F.element_at(F.split("output_file", "/"), -1), F.col("result.redacted_text")
+    ok.select("output_file", text.alias("value")).write.mode("overwrite").json(f"{out}/text")
     if text_files:
-        named_texts = ok.select(F.element_at(F.split("output_file", "/"), -1).alias("name"), F.col("result.redacted_text").alias("value"))
-        named_texts.write.mode("overwrite").partitionBy("name").text(f"{out}/text_files")
+        ok.select(name.alias("name"), text.alias("value")).write.mode("overwrite").partitionBy("name").text(f"{out}/text_files")
+    if named_files:
+        write_named(ok, f"{out}/named_files", name, text)
     ok.select("details_file", "result.*").write.mode("overwrite").json(f"{out}/details")
     ok.select(
         F.col("path").alias("input_file"), "output_file", F.col("result.statistics.entity_count").alias("entity_count")
