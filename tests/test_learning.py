@@ -40,6 +40,25 @@ def test_parameter_table(spark, tmp_path):
         md.load_model(spark, path, "none")
 
 
+def test_stored_configuration(spark, tmp_path):
+    path, settings = str(tmp_path / "run_3.0"), tmp_path / "config.json"
+    md.params_table(spark, [md.Model.random([6, 32, 32, 2], name="best_x")]).withColumn("epsilon", F.lit(None).cast("double")).write.parquet(path)
+    assert md.read_config(spark, str(settings)) == md.Config(6, 32, None)  # no file: defaults
+    model = md.load_model(spark, path, config=md.read_config(spark, str(settings)))
+    assert model.epsilon == 3.0 and model.input_dim == 6
+    settings.write_text('{\n "hidden_size": 32, "epsilon": 1.5, "layers": [1], "input_dim": null\n}')
+    config = md.read_config(spark, str(settings))
+    assert config == md.Config(6, 32, 1.5) and md.load_model(spark, path, config=config).epsilon == 1.5
+    for other in (md.Config(input_dim=9), md.Config(hidden_size=64)):
+        with pytest.raises(ValueError, match="its configuration"):
+            md.load_model(spark, path, config=other)
+    for text in ("[]", "{", '[{"epsilon": 1.0}, {}]'):
+        settings.write_text(text)
+        with pytest.raises(ValueError, match="one JSON object"):
+            md.read_config(spark, str(settings))
+
+
+
 @pytest.mark.parametrize("kind, weights", [("cross_entropy", (1.0, 1.0)), ("weighted", (1.0, 2.5)), ("sigmoid", (1.0, 3.0))])
 def test_gradient_against_differences(kind, weights):
     m = md.Model.random([3, 4, 2, 2], 3)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import BarrierTaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from veilmark.functions import kernels
 from veilmark.functions.text import uniform
@@ -96,8 +97,36 @@ def epsilon_of(name: str) -> float:
     return float(name.rstrip("/").split("/")[-1].split("_")[-1])
 
 
-def load_model(spark: SparkSession, path: str, name: str | None = None) -> Model:
-    """Model from a parameter table; ``name`` defaults to the best, then the last."""
+@dataclass
+class Config:
+    """Stored settings of a model: number of features, width of the hidden layers, budget."""
+
+    input_dim: int = 6
+    hidden_size: int = 32
+    epsilon: float | None = None
+
+
+def read_config(spark: SparkSession, path: str) -> Config:
+    """Settings from a JSON object in a file; those that are absent or null, and all
+    of a file that does not exist, have their defaults. Other fields are ignored."""
+    schema = "input_dim int, hidden_size int, epsilon double, _bad string"
+    try:
+        rows = spark.read.json(path, schema=schema, multiLine=True, columnNameOfCorruptRecord="_bad").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Config()
+    if len(rows) != 1 or rows[0]["_bad"] is not None:
+        raise ValueError(f"{path} is not one JSON object")
+    return Config(**{k: v for k, v in rows[0].asDict().items() if v is not None})
+
+
+def load_model(spark: SparkSession, path: str, name: str | None = None, config: Config | None = None) -> Model:
+    """Model from a parameter table; ``name`` defaults to the best, then the last.
+
+    Layers that do not have the widths of ``config`` raise a ValueError. The budget is
+    the table's, else the configuration's, else the one in the folder's name.
+    """
     rows = spark.read.parquet(path)
     if name is None:
         first = rows.agg(*[F.min(F.when(F.col("model").startswith(p), F.col("model"))).alias(p) for p in ("best", "last")]).first()
@@ -107,10 +136,16 @@ def load_model(spark: SparkSession, path: str, name: str | None = None) -> Model
     layers = rows.where(F.col("model") == name).orderBy("layer").collect()
     if not layers:
         raise FileNotFoundError(f"no model {name!r} in {path}")
+    weights = [(np.array(r["w"]), np.array(r["b"])) for r in layers]
     eps = layers[0]["epsilon"]
-    return Model(
-        [(np.array(r["w"]), np.array(r["b"])) for r in layers], name, epsilon_of(path) if eps is None else eps
-    )
+    if config is not None:
+        widths = [w.shape[0] for w, _ in weights]
+        if widths[0] != config.input_dim:
+            raise ValueError(f"model {name!r} has {widths[0]} features, its configuration {config.input_dim}")
+        if len(widths) > 1 and widths[1] != config.hidden_size:
+            raise ValueError(f"model {name!r} has {widths[1]} hidden units, its configuration {config.hidden_size}")
+        eps = config.epsilon if eps is None else eps
+    return Model(weights, name, epsilon_of(path) if eps is None else eps)
 
 
 # -- privacy strategies ----------------------------------------------------------

@@ -18,16 +18,20 @@ storage that all executors share and that pyarrow opens (``file:``, ``hdfs:``, `
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StringType, StructType
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STAGED, DONE = "_attempts", "_SUCCESS"
 
 
