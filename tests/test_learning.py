@@ -29,6 +29,23 @@ def test_scoring(spark):
     assert [r["pred"] for r in rows] == p.argmax(axis=1).tolist()
 
 
+def test_equal_vectors_are_scored_once(monkeypatch):
+    layers = md.Model.random([6, 32, 32, 2]).layers
+    rng = np.random.default_rng(3)
+    few = np.round(rng.normal(size=(40, 6)), 1)
+    few[0], few[1, 2], few[2, 2] = np.nan, 0.0, -0.0
+    x, seen = few[rng.integers(0, 40, 5000)], []
+    want = kernels.softmax(kernels.forward(layers, x)[-1])
+    inner = kernels.forward
+    monkeypatch.setattr(kernels, "forward", lambda layers, x: seen.append(len(x)) or inner(layers, x))
+    assert np.allclose(kernels.probabilities(layers, x), want, rtol=1e-13, atol=0, equal_nan=True)
+    assert seen == [40]
+    different = rng.normal(size=(100, 6))
+    assert np.allclose(kernels.probabilities(layers, different), kernels.softmax(inner(layers, different)[-1]), rtol=1e-13)
+    assert seen == [40, 100] and kernels.probabilities(layers, x[:0]).shape == (0, 2)
+
+
+
 def test_parameter_table(spark, tmp_path):
     a, b = md.Model.random([3, 4, 2], name="best_x", epsilon=2.0), md.Model.random([3, 4, 2], 7, name="last_x")
     path = str(tmp_path / "run_3.0")
