@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -103,6 +104,50 @@ def test_clipping_is_per_example():
     assert both == pytest.approx(sum(one))
 
 
+@pytest.mark.parametrize("per_tensor", [False, True])
+def test_clipped_sums_equal_a_plain_loop(per_tensor):
+    m, clip = md.Model.random([3, 4, 2, 2], 3), 0.4
+    x, y = np.random.default_rng(2).normal(size=(9, 3)) * 3, np.arange(9) % 2.0
+    total = np.zeros(m.flat().size)
+    for i in range(9):
+        g = kernels.clipped_gradient(m.layers, x[i : i + 1], y[i : i + 1], 1e12, "cross_entropy", (1, 1), False)[0]
+        ends = np.cumsum([t.size for pair in m.layers for t in pair])
+        parts = np.split(g, ends[:-1]) if per_tensor else [g]
+        total += np.concatenate([p * min(1.0, clip / np.linalg.norm(p)) for p in parts])
+    assert kernels.clipped_gradient(m.layers, x, y, clip, "cross_entropy", (1, 1), per_tensor)[0] == pytest.approx(total)
+
+
+def test_gradients_of_single_examples_are_not_written_out():
+    m = md.Model.random([6, 32, 16, 2], 3)
+    x = np.random.default_rng(2).normal(size=(20_000, 6))
+    tracemalloc.start()
+    kernels.clipped_gradient(m.layers, x, np.zeros(len(x)), 0.3, "cross_entropy", (1, 1), False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < x.shape[0] * m.flat().size * 8 / 2
+
+
+def test_strategies_share_draws_and_jobs(spark):
+    """The same histories as one training each, and no job more for a second strategy."""
+    data = training_set(spark, 120).cache()
+    args = dict(lr=0.05, batch_size=40, epochs=2, seed=5, hidden=4)
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(runs):
+        group = f"runs-{len(runs)}"
+        spark.sparkContext.setJobGroup(group, "")
+        done = md.train_runs(data, ["id"], runs, **args)
+        spark.sparkContext._jsc.clearJobGroup()
+        return done, len(tracker.getJobIdsForGroup(group))
+
+    both, of_both = jobs([(8.0, "final"), (8.0, "simple")])
+    first, of_one = jobs([(8.0, "final")])
+    assert of_both == of_one > 0
+    for trained, alone in zip(both, [first[0], md.train(data, ["id"], [8.0], "simple", **args)[8.0]]):
+        for a, b in zip(trained.history, alone.history, strict=True):
+            assert a == pytest.approx(b)
+
+
 def test_noise_scales():
     base = math.sqrt(2 * math.log(1.25 / 1e-5))
     s = md.STRATEGIES

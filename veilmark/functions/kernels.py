@@ -234,21 +234,23 @@ def loss_and_slope(kind: str, logits: np.ndarray, y: np.ndarray, weights: tuple[
 def clipped_gradient(layers, x, y, clip: float, kind: str, weights, per_tensor: bool):
     """Sum over examples of gradients clipped one example at a time.
 
+    An example's gradient of a layer is the outer product of its input and its slope, so
+    its norm is the product of theirs, and a clipped sum is one product of matrices: no
+    gradient of a single example is ever written out.
     Returns (flat sum, sum of losses, sum of unclipped norms).
     """
     acts = forward(layers, x)
     loss, delta = loss_and_slope(kind, acts[-1], y, weights)
-    parts = []
-    for i in range(len(layers) - 1, -1, -1):
-        parts.append((acts[i][:, :, None] * delta[:, None, :], delta))
-        if i:
-            delta = (delta @ layers[i][0].T) * (1.0 - acts[i] ** 2)
-    parts.reverse()
-    tensors = [t.reshape(len(x), -1) for pair in parts for t in pair]
-    norms = [np.linalg.norm(t, axis=1) for t in tensors]
-    total = np.sqrt(sum(n**2 for n in norms))
+    deltas = [delta]
+    for i in range(len(layers) - 1, 0, -1):
+        delta = (delta @ layers[i][0].T) * (1.0 - acts[i] ** 2)
+        deltas.insert(0, delta)
+    slopes = [np.sqrt(np.einsum("ij,ij->i", d, d)) for d in deltas]
+    norms = [n * np.sqrt(np.einsum("ij,ij->i", a, a)) for a, n in zip(acts, slopes)]
+    total = np.sqrt(sum(n**2 for n in norms) + sum(n**2 for n in slopes))
+    shared = np.minimum(1.0, clip / np.maximum(total, 1e-10))
     out = []
-    for t, n in zip(tensors, norms):
-        scale = np.minimum(1.0, clip / np.maximum(n if per_tensor else total, 1e-10))
-        out.append((t * scale[:, None]).sum(axis=0))
+    for a, d, of_w, of_b in zip(acts, deltas, norms, slopes):
+        w, b = (np.minimum(1.0, clip / np.maximum(n, 1e-10)) if per_tensor else shared for n in (of_w, of_b))
+        out += [(a.T @ (d * w[:, None])).ravel(), b @ d]
     return np.concatenate(out), float(loss.sum()), float(total.sum())

@@ -43,11 +43,12 @@ def train_private_model(spark, sf):
 @query("train_strategies")
 def train_strategies(spark, sf):
     """Every clipping and noise strategy, with gradient norms, over the same rows."""
-    out = None
     rows = cut(training_rows(spark, sf, "final"), "training-rows")
-    for name in md.STRATEGIES:
-        done = md.train(rows, ["doc_id"], [8.0], name, lr=0.005, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
-        table = md.history_table(spark, done).withColumn("strategy", F.lit(name))
+    names = list(md.STRATEGIES)
+    done = md.train_runs(rows, ["doc_id"], [(8.0, s) for s in names], lr=0.005, batch_size=_batch(rows), epochs=EPOCHS, seed=42)
+    out = None
+    for name, trained in zip(names, done):
+        table = md.history_table(spark, {8.0: trained}).withColumn("strategy", F.lit(name))
         out = table if out is None else out.unionByName(table)
     return out
 
