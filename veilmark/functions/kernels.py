@@ -89,20 +89,34 @@ def accepted_by_rank(rank: np.ndarray, starts: np.ndarray, ends: np.ndarray, str
     return kept
 
 
-def _hits(rows: list[tuple[list, list, list]]) -> pa.Array:
-    sizes = np.array([len(r[0]) for r in rows], dtype=np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    columns = [
-        pa.array([v for r in rows for v in r[c]], type=pa.int32()) for c in range(3)
-    ]
-    return pa.ListArray.from_arrays(
-        pa.array(bounds, type=pa.int32()), pa.StructArray.from_arrays(columns, fields=list(_HIT_ARROW))
-    )
+#: Elements (pieces, spans, bytes) of a batch that are worked on at once. A batch has a
+#: number of rows, whatever their length; memory follows this number and the longest row.
+SLICE = 1 << 20
+
+
+def slices(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of whole rows of at most ``SLICE`` elements, or of one row."""
+    reach = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out, at = [], 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(reach, reach[at] + SLICE, "right")) - 1)
+        out.append((at, to))
+        at = to
+    return out
+
+
+def in_slices(rows: pa.Array, sizes: np.ndarray, body) -> pa.Array:
+    """``body`` over slices of an array, as one array."""
+    parts = [body(rows.slice(lo, hi - lo)) for lo, hi in slices(sizes)]
+    return pa.concat_arrays(parts) if parts else body(rows)
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def first_come(strict: bool):
-    @F.arrow_udf(_HIT)
-    def run(lens: pa.Array) -> pa.Array:
+    def some(lens: pa.Array) -> pa.Array:
         # lens: per document and pattern, alternating gap and match lengths
         per_pattern = lens.flatten()
         n_patterns = lens.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -123,24 +137,208 @@ def first_come(strict: bool):
         columns = [pa.array(x[kept].astype(np.int32)) for x in (rank, start, end)]
         return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(columns, fields=list(_HIT_ARROW)))
 
+    @F.arrow_udf(_HIT)
+    def run(lens: pa.Array) -> pa.Array:
+        per_pattern = np.concatenate([[0], np.cumsum(_sizes(lens.flatten()))])
+        last = np.concatenate([[0], np.cumsum(_sizes(lens))])
+        return in_slices(lens, np.diff(per_pattern[last]), some)
+
     return run.asNondeterministic()
 
 
 def first_come_spans(strict: bool):
+    def some(spans: pa.Array) -> pa.Array:
+        flat, sizes = spans.flatten(), _sizes(spans)
+        starts, ends = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("start", "end"))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        rows = [accept(starts[lo:hi].tolist(), ends[lo:hi].tolist(), strict) for lo, hi in zip(bounds[:-1], bounds[1:])]
+        counts = np.array([len(r) for r in rows], np.int64)
+        place = np.fromiter((i for r in rows for i in r), np.int64, int(counts.sum()))
+        at = place + np.repeat(bounds[:-1], counts)
+        columns = [pa.array(x.astype(np.int32)) for x in (place, starts[at], ends[at])]
+        kept = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(kept), pa.StructArray.from_arrays(columns, fields=list(_HIT_ARROW)))
+
     @F.arrow_udf(_HIT)
     def run(spans: pa.Array) -> pa.Array:
         # spans: in order of preference; the result's priority is the position
-        flat = spans.flatten()
-        starts = flat.field("start").to_pylist()
-        ends = flat.field("end").to_pylist()
-        bounds = np.concatenate([[0], np.cumsum(spans.value_lengths().to_numpy(zero_copy_only=False))])
-        rows = []
-        for doc in range(len(spans)):
-            low, high = bounds[doc], bounds[doc + 1]
-            s, e = starts[low:high], ends[low:high]
-            kept = accept(s, e, strict)
-            rows.append((kept, [s[i] for i in kept], [e[i] for i in kept]))
-        return _hits(rows)
+        return in_slices(spans, _sizes(spans), some)
+
+    return run.asNondeterministic()
+
+
+# -- words scored by a network ----------------------------------------------------
+
+_SPANS = "array<struct<category:string,start:int,end:int,confidence:double,source:string,priority:int>>"
+_KINDS = ["CREDIT_CARD", "PHONE", "NAME", "ACCOUNT_NUMBER", "NUMERIC_ID", "GENERAL_PII"]
+# What a byte of a plain text is: nothing of a word, a letter or underscore, a digit, a capital.
+_BYTE = np.zeros(256, np.uint8)
+_BYTE[[*range(ord("a"), ord("z") + 1), ord("_")]] = 1
+_BYTE[ord("0") : ord("9") + 1] = 2
+_BYTE[ord("A") : ord("Z") + 1] = 3
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 of all texts, one after the other, and where each begins and ends."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _running(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+
+
+def _first_places(texts: pa.Array, doc: np.ndarray, begin: np.ndarray, end: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Start of the first word that equals each one in its text; begin and end count the
+    characters of all texts."""
+    data, _ = _bytes(texts)
+    leads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    whole, seen = data.tobytes(), {}
+    places = zip(doc.tolist(), leads[begin].tolist(), leads[end].tolist(), start.tolist())
+    return np.fromiter((seen.setdefault((d, whole[lo:hi]), s) for d, lo, hi, s in places), np.int64, len(doc))
+
+
+def word_spans(layers, threshold: float, first: bool):
+    """(text, plain text) -> spans of the words that a network calls personal data.
+
+    A plain text has a character for each one of the text: of the characters of words,
+    digits are 0-9, capitals A-Z, and all others a-z or the underscore; no other character
+    is one of these. ``first`` moves each word to the first place of the same word.
+    """
+
+    def some(both: pa.StructArray) -> pa.Array:
+        text, plain = both.field(0), both.field(1)
+        data, bounds = _bytes(plain)
+        kind = _BYTE[data]
+        inside = np.concatenate([[False], kind > 0, [False]])
+        edge = np.zeros(len(data) + 1, bool)
+        edge[bounds] = True
+        begin = np.flatnonzero(inside[1:] & (edge | ~inside[:-1]))
+        end = np.flatnonzero(inside[:-1] & (edge | ~inside[1:]))
+        char, digit = _running((data & 0xC0) != 0x80), _running(kind == 2)
+        doc = np.searchsorted(bounds, begin, "right") - 1
+        start, n = char[begin] - char[bounds[doc]], end - begin
+        size, share, capital = np.minimum(n / 10.0, 2.0), (digit[end] - digit[begin]) / n, kind[begin] == 3
+        none = np.zeros(len(n))
+        x = np.stack([size, none, none, share, capital.astype(float), none + 0.1], axis=1)
+        p = probabilities(layers, x)[:, 1] if len(x) else none
+        long = size > 1.0
+        which = np.select(
+            [(share > 0.7) & long & (share > 0.9), (share > 0.7) & long, capital & long & (share < 0.1), capital & long, share > 0.3],
+            [0, 1, 2, 3, 4], 5,
+        )
+        if first and len(n):
+            start = _first_places(text, doc, char[begin], char[end], start)
+        kept = np.flatnonzero(p > threshold)
+        columns = [
+            pa.array(_KINDS).take(pa.array(which[kept])), pa.array(start[kept].astype(np.int32)), pa.array((start + n)[kept].astype(np.int32)),
+            pa.array(p[kept]), pa.array(["model"]).take(pa.array(np.zeros(len(kept), np.int32))), pa.array(np.zeros(len(kept), np.int32)),
+        ]
+        spans = pa.StructArray.from_arrays(columns, names=["category", "start", "end", "confidence", "source", "priority"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[kept], np.arange(len(plain) + 1)).astype(np.int32)), spans)
+
+    @F.arrow_udf(_SPANS)
+    def run(text: pa.Array, plain: pa.Array) -> pa.Array:
+        both = pa.StructArray.from_arrays([text, plain], names=["text", "plain"])
+        return in_slices(both, np.diff(_bytes(plain)[1]), some)
+
+    return run.asNondeterministic()
+
+
+# -- chunks of words scored by a network -------------------------------------------
+
+_CHUNKS = "array<struct<first:int,start:int,end:int,p:double,named:boolean>>"
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+
+
+def _last_before(places: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The last of ``places`` below each of ``x``, or -1."""
+    return np.append(places, -1)[np.searchsorted(places, x) - 1] if len(places) else np.full(len(x), -1)
+
+
+def _neighbour(values: np.ndarray, there: np.ndarray, by: int) -> np.ndarray:
+    return np.where(there, np.roll(values, by), np.zeros(1, values.dtype))
+
+
+def chunk_hits(layers, size: int):
+    """Plain text with cases -> chunks of ``size`` words that a network calls personal data.
+
+    A chunk begins at every ``size // 5``-th word. ``first`` is the number of its first word,
+    start and end are its place; ``named`` chunks hold a word in title case, no digit and no
+    '@'. Features are those of ``features.in_context``, from sums over the words of a chunk
+    and its neighbours.
+    """
+    step = size // 5
+
+    def some(plain: pa.Array) -> pa.Array:
+        data, bounds = _bytes(plain)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[bounds] = True
+        inside = np.concatenate([[False], ~_SPACE[data], [False]])
+        begin = np.flatnonzero(inside[1:] & (edge | ~inside[:-1]))
+        end = np.flatnonzero(inside[:-1] & (edge | ~inside[1:]))
+        upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
+        after_case = np.concatenate([[False], (upper | lower)[:-1]]) & ~edge[:-1] if len(data) else upper
+        wrong, capitals = _running((upper & after_case) | (lower & ~after_case)), _running(upper)
+        titled = _running((wrong[begin] == wrong[end]) & (capitals[begin] < capitals[end]))
+        char, digit = _running((data & 0xC0) != 0x80), _running((data >= 48) & (data <= 57))
+        letters, digits = _running(char[end] - char[begin]), _running(digit[end] - digit[begin])
+
+        # Words a to b of each chunk, all texts one after the other.
+        top = np.searchsorted(begin, bounds)
+        words = np.diff(top)
+        chunks = -(-words // step)
+        doc = np.repeat(np.arange(len(plain)), chunks)
+        no = np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        a = top[doc] + no * step
+        b = np.minimum(a + size, top[doc + 1])
+        if not len(a):
+            doc = a = b = np.zeros(0, np.int64)
+        n, count = letters[b] - letters[a] + (b - a) - 1, b - a
+        many, title = digits[b] - digits[a], titled[b] > titled[a]
+        low, high = (begin[a], end[b - 1]) if len(a) else (a, a)
+        last_at = _last_before(np.flatnonzero(data == 64), high)
+        last_dot = _last_before(np.flatnonzero(data == 46), high)
+        at, dot = last_at >= low, last_dot >= low
+        dotted = at & (last_dot > last_at)
+
+        same = doc[1:] == doc[:-1]
+        back, ahead = np.append(False, same)[: len(a)], np.append(same, False)[: len(a)]
+
+        def around(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return _neighbour(v, back, 1), _neighbour(v, ahead, -1)
+
+        def total(v: np.ndarray) -> np.ndarray:
+            before, after = around(v)
+            return before + after + v
+
+        chars = total(n) + ahead + (ahead | back)
+        (at_b, at_a), (dotted_b, dotted_a), (_, dot_a), (title_b, title_a) = map(around, (at, dotted, dot, title))
+        has_dot = np.where(at, dotted, np.where(at_a, dotted_a | dot, at_b & (dotted_b | dot_a | dot)))
+        x = np.stack(
+            [
+                np.minimum(chars / 50.0, 2.0), (at | at_b | at_a).astype(float), has_dot.astype(float),
+                total(many) / np.maximum(chars, 1), (title | title_b | title_a).astype(float), total(count) / 20.0,
+            ],
+            axis=1,
+        )
+        p = probabilities(layers, x)[:, 1] if len(x) else np.zeros(0)
+        kept = np.flatnonzero(p > 0.5)
+        own = char[bounds[doc[kept]]]
+        columns = [
+            pa.array((a - top[doc])[kept].astype(np.int32)), pa.array((char[low[kept]] - own).astype(np.int32)),
+            pa.array((char[high[kept]] - own).astype(np.int32)), pa.array(p[kept]), pa.array((title & ~at & (many == 0))[kept]),
+        ]
+        hits = pa.StructArray.from_arrays(columns, names=["first", "start", "end", "p", "named"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[kept], np.arange(len(plain) + 1)).astype(np.int32)), hits)
+
+    @F.arrow_udf(_CHUNKS)
+    def run(plain: pa.Array) -> pa.Array:
+        return in_slices(plain, np.diff(_bytes(plain)[1]), some)
 
     return run.asNondeterministic()
 
@@ -195,20 +393,6 @@ def mlp(layers):
     return run.asNondeterministic()
 
 
-def mlp_nested(layers):
-    """array<array<double>> features -> array<double> probabilities of class 1."""
-    width = layers[0][0].shape[0]
-
-    @F.arrow_udf("array<double>")
-    def run(features: pa.Array) -> pa.Array:
-        x = features.flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        bounds = np.concatenate([[0], np.cumsum(features.value_lengths().to_numpy(zero_copy_only=False))])
-        p = probabilities(layers, x)[:, 1] if len(x) else np.zeros(0)
-        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(p))
-
-    return run.asNondeterministic()
-
-
 # -- training: per-example clipped gradients -------------------------------------
 
 

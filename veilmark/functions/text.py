@@ -54,6 +54,26 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(catalog.WORD.java), F.lit(0))
 
 
+def plain(text: Column) -> Column:
+    """The text with one ASCII character of its kind for each other character of a word:
+    0 for a digit, A for a capital, a for the rest. Its length stays."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    out = F.regexp_replace(text, DIGIT, "0")
+    out = F.regexp_replace(out, r"\p{Lu}", "A")
+    out = F.regexp_replace(out, r"[\p{L}\p{N}&&[^\x00-\x7F]]", "a")
+    return F.when(ascii_only, text).otherwise(out)
+
+
+def plain_with_cases(text: Column) -> Column:
+    """The text with a blank, 0, A or a for each space, digit, capital (title case, too) and
+    small letter that is not ASCII. Its length stays."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    out = F.regexp_replace(text, WS, " ")
+    out = F.regexp_replace(out, DIGIT, "0")
+    out = F.regexp_replace(out, r"[\p{Lu}\p{Lt}]", "A")
+    return F.when(ascii_only, text).otherwise(F.regexp_replace(out, r"\p{Ll}", "a"))
+
+
 def class_tokens(text: Column, pattern: catalog.Pattern) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern.java), F.lit(0))
 

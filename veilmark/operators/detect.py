@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilmark import catalog
-from veilmark.functions import features as ft
 from veilmark.functions import kernels
 from veilmark.functions import spans as sp
 from veilmark.functions import text as tx
-from veilmark.functions.arrays import indices, let, prefix_scan, prefix_sums
+from veilmark.functions.arrays import indices, let, prefix_sums
 from veilmark.operators.model import Model
 from veilmark.operators.suppress import detect_extended
 
@@ -102,8 +101,8 @@ def words(df: DataFrame, ids: list[str], text: str = "text") -> DataFrame:
 
 
 @cache
-def _chunk_array(text: str, size: int, context: bool = True) -> Column:
-    """``array<struct<chunk,context,start,end>>`` of one text; the context is optional.
+def _chunk_array(text: str, size: int, context: bool = True, places: bool = True) -> Column:
+    """``array<struct<chunk,context,start,end>>`` of one text; context and places are optional.
 
     A chunk is its words joined by one blank; start and end are the character
     range in the source from its first to its last word. The context is the
@@ -119,12 +118,14 @@ def _chunk_array(text: str, size: int, context: bool = True) -> Column:
         )
 
         def with_context(chunk: Column) -> Column:
-            def place(ends: Column) -> Column:
+            def place(ends: Column | None) -> Column:
                 def one(c: Column, i: Column) -> Column:
                     before = F.when(i > 0, F.get(chunk, i - 1)).otherwise("")
                     after = F.get(chunk, i + 1)
                     around = [F.when(after.isNotNull(), F.concat(before, F.lit(" "), after)).otherwise(before).alias("context")]
                     around = around if context else []
+                    if ends is None:
+                        return F.struct(c.alias("chunk"), *around)
                     last = F.least(i * step + size, n)
                     return F.struct(
                         c.alias("chunk"),
@@ -135,6 +136,8 @@ def _chunk_array(text: str, size: int, context: bool = True) -> Column:
 
                 return F.transform(chunk, one)
 
+            if not places:
+                return place(None)
             return let(prefix_sums(sp.lengths(F.col(text), word)), place)
 
         return let(joined, with_context)
@@ -142,10 +145,14 @@ def _chunk_array(text: str, size: int, context: bool = True) -> Column:
     return let(tx.ws_tokens(F.col(text)), build)
 
 
-def chunks(df: DataFrame, ids: list[str], text: str = "text", size: int = CHUNK) -> DataFrame:
-    """Overlapping word chunks (step = size // 5) with their neighbours as context."""
-    rows = df.select(*ids, F.posexplode_outer(_chunk_array(text, size)).alias("chunk_no", "c"))
-    return rows.where("chunk_no IS NOT NULL").select(*ids, "chunk_no", "c.chunk", "c.context", "c.start", "c.end")
+def chunks(
+    df: DataFrame, ids: list[str], text: str = "text", size: int = CHUNK, context: bool = True, places: bool = True
+) -> DataFrame:
+    """Overlapping word chunks (step = size // 5), on request with their neighbours as
+    context and their places in the text."""
+    rows = df.select(*ids, F.posexplode_outer(_chunk_array(text, size, context, places)).alias("chunk_no", "c"))
+    columns = ["c.chunk", *(["c.context"] if context else []), *(["c.start", "c.end"] if places else [])]
+    return rows.where("chunk_no IS NOT NULL").select(*ids, "chunk_no", *columns)
 
 
 def _as_spans(hits: Column, category, source: str) -> Column:
@@ -158,30 +165,22 @@ def _as_spans(hits: Column, category, source: str) -> Column:
     ).cast(sp.SPANS_TYPE)
 
 
-def _struct_of(f: dict[str, Column]) -> Column:
-    return F.array(*[c.cast("double") for c in f.values()])
-
-
 def model_chunk_spans(df: DataFrame, model: Model, text: str = "text", out: str = "spans", size: int = CHUNK) -> DataFrame:
     """Chunks that the model calls personal data, with category, merged per document.
 
-    Each chunk is scanned once; what it contributes to its own and its neighbours'
-    features is combined by index. The model sees one Arrow batch of feature
-    arrays and returns one probability array per row.
+    Features of all chunks of a batch come from sums over their words, so no word is read
+    more than once for them; only chunks that are not plainly a name are put together and
+    go through the patterns.
     """
-    arr = df.withColumn("_c", _chunk_array(text, size, context=False))
+    found = df.withColumn("_c", kernels.chunk_hits(model.layers, size)(tx.plain_with_cases(F.col(text))))
+    words = F.when(F.exists("_c", lambda c: ~c["named"]), tx.ws_tokens(F.col(text)))
 
-    facts = arr.withColumn("_f", F.transform(F.col("_c"), lambda c: ft.chunk_facts(c["chunk"])))
-    features = F.transform(
-        F.col("_f"),
-        lambda f, i: ft.from_facts(F.when(i > 0, F.get(F.col("_f"), i - 1)), F.get(F.col("_f"), i + 1), f),
-    )
-    scored = facts.withColumn("_p", kernels.mlp_nested(model.layers)(features))
-    hits = F.filter(
-        F.transform(F.col("_c"), lambda c, i: c.withField("p", F.get(F.col("_p"), i))), lambda h: h["p"] > 0.5
-    )
-    spans = _as_spans(hits, lambda h: sp.chunk_category(h["chunk"]), "model")
-    return scored.withColumn(out, sp.merge(spans)).drop("_c", "_f", "_p")
+    def category(words: Column, c: Column) -> Column:
+        chunk = F.array_join(F.slice(words, c["first"] + 1, F.lit(size)), " ")
+        return F.when(c["named"], "NAME").otherwise(let(chunk, sp.chunk_category))
+
+    spans = let(words, lambda w: _as_spans(F.col("_c"), lambda c: category(w, c), "model"))
+    return found.withColumn(out, sp.merge(spans)).drop("_c")
 
 
 def model_word_spans(
@@ -191,50 +190,11 @@ def model_word_spans(
     """Words that the model calls personal data.
 
     ``position='each'`` places every occurrence where it stands;
-    ``'first'`` places a word at its first occurrence in the text.
-    """
-    arr = df.withColumn("_w", _word_array(text))
-    features = F.transform(F.col("_w"), lambda w: _struct_of(ft.word_token(w["word"])))
-    scored = arr.withColumn("_p", kernels.mlp_nested(model.layers)(features))
-    hits = F.filter(
-        F.transform(F.col("_w"), lambda w, i: w.withField("p", F.get(F.col("_p"), i))),
-        lambda h: h["p"] > threshold,
-    )
-
-    def category(h: Column) -> Column:
-        f = ft.word_token(h["word"])
-        return sp.word_type(f["length"], f["has_at"], f["has_dot"], f["digit_ratio"], f["first_upper"])
-
-    if position == "first":
-        hits = F.filter(_at_first_place(F.col("_w"), F.col("_p")), lambda h: h["p"] > threshold)
-    return scored.withColumn(out, _as_spans(hits, category, "model")).drop("_w", "_p")
-
-
-def _at_first_place(found: Column, p: Column) -> Column:
-    """Words with probabilities, each moved to the first occurrence of its word.
-
-    Sorted by word, the first start of a word is carried over its repeats.
+    ``'first'`` places a word at its first occurrence in the text. Features and types are
+    those of ``features.word_token`` and ``spans.word_type``, for all words of a batch at once.
     """
-    ordered = F.array_sort(
-        F.transform(found, lambda w, i: F.struct(w["word"].alias("word"), w["start"].alias("start"), i.alias("i")))
-    )
-
-    def moved(o: Column) -> Column:
-        firsts = F.transform(
-            o, lambda x, i: F.when((i == 0) | (F.get(o, i - 1)["word"] != x["word"]), x["start"])
-        )
-        return let(
-            prefix_scan(firsts, lambda a, b: F.coalesce(b, a)),
-            lambda at: F.transform(
-                o,
-                lambda x, i: F.struct(
-                    x["i"].alias("i"), x["word"].alias("word"), F.get(at, i).alias("start"),
-                    (F.get(at, i) + F.length(x["word"])).alias("end"), F.get(p, x["i"]).alias("p"),
-                ),
-            ),
-        )
-
-    return F.array_sort(let(ordered, moved))
+    placed = kernels.word_spans(model.layers, threshold, position == "first")
+    return df.withColumn(out, placed(F.col(text), tx.plain(F.col(text))))
 
 
 def detect_hybrid(df: DataFrame, model: Model, text: str = "text", out: str = "spans", merged: bool = True) -> DataFrame:
@@ -249,8 +209,8 @@ def detect_hybrid(df: DataFrame, model: Model, text: str = "text", out: str = "s
 
 def detect_with_policy(df: DataFrame, model: Model | None, text: str = "text", out: str = "spans") -> DataFrame:
     """Word model where it finds anything in the document, fallback patterns elsewhere."""
-    found = detect_fallback(df, text, "_regex")
     if model is None:
-        return found.withColumnRenamed("_regex", out)
-    both = model_word_spans(found, model, text, "_model")
-    return both.withColumn(out, sp.fallback(F.col("_model"), F.col("_regex"))).drop("_model", "_regex")
+        return detect_fallback(df, text, out)
+    found = model_word_spans(df, model, text, "_model")
+    # The patterns run where they are asked for only.
+    return found.withColumn(out, sp.fallback(F.col("_model"), _fallback(text))).drop("_model")
