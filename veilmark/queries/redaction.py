@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veilmark import catalog
 from veilmark.functions import redaction as rd
 from veilmark.functions import spans as sp
+from veilmark.functions.arrays import let
 from veilmark.operators import detect, evaluate
 from veilmark.plans import redact as plan
 from veilmark.queries.base import CORE_MERGED, merged_spans, query, raw_spans, uniform_sql
@@ -139,9 +140,15 @@ _FALLBACK_DRAW = f"{uniform_sql('11', 'doc_id', 's', 'e')} < 0.5::DOUBLE * 0.7::
 )
 def spans_drawn_by_confidence(spark, sf):
     """Draw with probability times confidence (epsilon = 2, confidence 0.7)."""
-    found = detect.detect_fallback(texts(spark, sf).select("doc_id", "text")).where(F.size("spans") > 0)
-    drawn = rd.drawn(F.col("spans"), F.col("doc_id"), F.lit(2.0), seed=11, by_confidence=True)
-    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), F.size(drawn).cast("long").alias("n_drawn"))
+    found = detect.detect_fallback(texts(spark, sf).select("doc_id", "text"))
+
+    def counted(spans):
+        drawn = rd.drawn(spans, F.col("doc_id"), F.lit(2.0), seed=11, by_confidence=True)
+        return F.struct(F.size(spans).cast("long").alias("n_spans"), F.size(drawn).cast("long").alias("n_drawn"))
+
+    # One row a document, behind an explode: a plain filter would detect twice.
+    rows = found.select("doc_id", F.explode_outer(F.array(let(F.col("spans"), counted))).alias("x"))
+    return rows.where("x.n_spans > 0").select("doc_id", "x.*")
 
 
 @query(
