@@ -43,6 +43,20 @@ def lengths(text: Column, pattern: catalog.Pattern, facts: Column | None = None)
     return F.when(matching.possible(text, pattern, found), pieces).otherwise(F.array().cast("array<int>"))
 
 
+def lengths_of_all(text: Column, patterns: Iterable[catalog.Pattern]) -> Column:
+    """``array<struct<pattern,lens>>``: :func:`lengths` of each pattern by name. The text
+    (which may be a longer expression) and its facts are evaluated once for all of them."""
+    patterns = list(patterns)
+
+    def all_of(text: Column) -> Column:
+        return let(
+            matching.facts(text, patterns),
+            lambda facts: F.array(*[F.struct(F.lit(p.name).alias("pattern"), lengths(text, p, facts).alias("lens")) for p in patterns]),
+        )
+
+    return let(text, all_of)
+
+
 def offsets(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
     """``array<struct<start:int,end:int>>`` of all matches, left to right."""
     return let(

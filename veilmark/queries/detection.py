@@ -93,13 +93,7 @@ def extended_pattern_matches(spark, sf):
     """Every extended pattern on its own, before suppression (two need look-ahead
     and are checked against brute force instead)."""
     docs = texts(spark, sf)
-    lens = F.array(
-        *[
-            F.struct(F.lit(p.name).alias("pattern"), sp.lengths(F.col("text"), p).alias("lens"))
-            for p in _RE2_ABLE
-        ]
-    )
-    rows = docs.select(F.explode_outer(lens).alias("x")).select("x.*")
+    rows = docs.select(F.explode_outer(sp.lengths_of_all(F.col("text"), _RE2_ABLE)).alias("x")).select("x.*")
     matched = F.filter("lens", lambda _, i: i % 2 == 1)
     return rows.groupBy("pattern").agg(
         F.count_if(F.size("lens") > 1).alias("n_docs"),
@@ -215,7 +209,7 @@ def _chunk_category_sql() -> str:
     f"(SELECT doc_id, {_chunk_category_sql()} AS category FROM chunk) GROUP BY doc_id, category",
 )
 def chunk_categories(spark, sf):
-    rows = detect.chunks(texts(spark, sf).select("doc_id", "text"), ["doc_id"])
+    rows = detect.chunks(texts(spark, sf).select("doc_id", "text"), ["doc_id"], context=False, places=False)
     labelled = rows.select("doc_id", sp.chunk_category(F.col("chunk")).alias("category"))
     return labelled.groupBy("doc_id", "category").agg(F.count(F.lit(1)).alias("n_chunks"))
 

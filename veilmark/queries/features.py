@@ -130,7 +130,7 @@ def _context_sql() -> str:
 
 @query("features_in_context", _context_sql())
 def features_in_context(spark, sf):
-    rows = detect.chunks(texts(spark, sf).select("doc_id", "text"), ["doc_id"])
+    rows = detect.chunks(texts(spark, sf).select("doc_id", "text"), ["doc_id"], places=False)
     f = ft.in_context(F.col("chunk"), F.col("context"))
     return rows.select("doc_id", "chunk_no", *[F.round(c, 9).alias(n) for n, c in f.items()])
 
