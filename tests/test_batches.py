@@ -100,6 +100,12 @@ def test_suppression_holds_a_part_of_a_batch():
     assert most < 60 * 200 * texts
 
 
+def test_a_missing_text_has_no_extended_spans(docs):
+    rows = detect.detect_extended(docs).select("doc_id", F.size("spans").alias("n")).collect()
+    found = {r["doc_id"]: r["n"] for r in rows}
+    assert found[0] == found[1] == 0 and found[9] > 0 and len(found) == len(ODD)
+
+
 def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 

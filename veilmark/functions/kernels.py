@@ -119,8 +119,7 @@ def first_come(strict: bool):
     def some(lens: pa.Array) -> pa.Array:
         # lens: per document and pattern, alternating gap and match lengths
         per_pattern = lens.flatten()
-        n_patterns = lens.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        n_pieces = per_pattern.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        n_patterns, n_pieces = _sizes(lens), _sizes(per_pattern)
         reach = np.concatenate([[0], np.cumsum(per_pattern.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
         first = np.cumsum(n_pieces) - n_pieces
         n_hits = np.maximum(n_pieces - 1, 0) // 2
