@@ -13,12 +13,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def prefix_scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
-    """Inclusive prefix scan of an array in O(k log k).
+#: So many elements of a prefix scan are combined one by one.
+_RUN = 32
 
-    Round j combines every element with the one 2**j places before it, so
-    log2(k) rounds suffice and nothing is re-sliced or appended per element.
-    """
+
+def _doubling(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive prefix scan in O(k log k): round j combines every element with the one
+    2**j places before it."""
 
     def rounds(arr: Column) -> Column:
         bits = F.when(
@@ -39,12 +40,43 @@ def prefix_scan(values: Column, combine: Callable[[Column, Column], Column]) ->
     return let(values, rounds)
 
 
-def prefix_sums(values: Column) -> Column:
-    return prefix_scan(values, lambda a, b: a + b)
+def prefix_scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive prefix scan of an array.
 
+    Runs of elements are scanned one by one, which copies a short run only, and then take
+    the total of all runs before them; the totals are scanned by doubling.
+    """
 
-def prefix_max(values: Column) -> Column:
-    return prefix_scan(values, lambda a, b: F.greatest(a, b))
+    def runs(arr: Column) -> Column:
+        return F.transform(
+            indices(F.size(arr), 0, _RUN),
+            lambda i: F.aggregate(
+                F.slice(arr, i + 2, F.lit(_RUN - 1)),
+                F.array(F.get(arr, i)),
+                lambda acc, x: F.array_append(acc, combine(F.element_at(acc, F.lit(-1)), x)),
+            ),
+        )
+
+    def placed(run: Column) -> Column:
+        totals = _doubling(F.transform(run, lambda r: F.element_at(r, F.lit(-1))), combine)
+
+        def behind(total: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    run,
+                    lambda r, i: F.when(i == 0, r).otherwise(
+                        let(F.get(total, i - 1), lambda before: F.transform(r, lambda x: combine(before, x)))
+                    ),
+                )
+            )
+
+        return F.when(F.size(run) > 1, let(totals, behind)).otherwise(F.flatten(run))
+
+    return let(values, lambda arr: F.when(arr.isNotNull(), let(runs(arr), placed)))
+
+
+def prefix_sums(values: Column) -> Column:
+    return prefix_scan(values, lambda a, b: a + b)
 
 
 def indices(size: Column, start: int = 0, step: int = 1) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from veilmark import catalog
 from veilmark.functions import matching
 from veilmark.functions import text as tx
-from veilmark.functions.arrays import indices, let, prefix_max, prefix_sums
+from veilmark.functions.arrays import indices, let, prefix_sums
 
 SPAN_TYPE = (
     "struct<category:string,start:int,end:int,confidence:double,source:string,priority:int>"
@@ -25,7 +25,10 @@ SPANS_TYPE = f"array<{SPAN_TYPE}>"
 # Private-use characters: one marks match borders, the other replaces the first
 # where a text already holds it (same Unicode class, so patterns see no change).
 _MARK, _STAND_IN = "", ""
-_BLOCK_CHARS = 2048
+_BLOCK_BITS, _PART_BITS = 9, 15
+_BLOCK_CHARS = 1 << _BLOCK_BITS
+# A span without a start comes first; the lower half of a sort key is a place.
+_FIRST, _PLACE = -(2**31), 2**32 - 1
 
 
 def lengths(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
@@ -57,8 +60,10 @@ def lengths_of_all(text: Column, patterns: Iterable[catalog.Pattern]) -> Column:
     return let(text, all_of)
 
 
-def offsets(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
-    """``array<struct<start:int,end:int>>`` of all matches, left to right."""
+def _places(
+    text: Column, pattern: catalog.Pattern, facts: Column | None, place: Callable[[Column, Column], Column], kind: str
+) -> Column:
+    """``place(start, end)`` (of type ``kind``) of all matches, left to right."""
     return let(
         lengths(text, pattern, facts),
         lambda lens: F.when(
@@ -66,11 +71,18 @@ def offsets(text: Column, pattern: catalog.Pattern, facts: Column | None = None)
             let(
                 prefix_sums(lens),
                 lambda ends: F.transform(
-                    indices(F.size(lens), 1, 2),
-                    lambda i: F.struct(F.get(ends, i - 1).alias("start"), F.get(ends, i).alias("end")),
+                    indices(F.size(lens), 1, 2), lambda i: place(F.get(ends, i - 1), F.get(ends, i))
                 ),
             ),
-        ).otherwise(F.array().cast("array<struct<start:int,end:int>>")),
+        ).otherwise(F.array().cast(f"array<{kind}>")),
+    )
+
+
+def offsets(text: Column, pattern: catalog.Pattern, facts: Column | None = None) -> Column:
+    """``array<struct<start:int,end:int>>`` of all matches, left to right."""
+    return _places(
+        text, pattern, facts, lambda start, end: F.struct(start.alias("start"), end.alias("end")),
+        "struct<start:int,end:int>",
     )
 
 
@@ -80,16 +92,17 @@ def find(
     """All matches of a catalog as one span array, in (pattern, position) order."""
 
     def labelled(rank: int, p: catalog.Pattern, facts: Column) -> Column:
-        return F.transform(
-            offsets(text, p, facts),
-            lambda s: F.struct(
+        return _places(
+            text, p, facts,
+            lambda start, end: F.struct(
                 F.lit(p.name).alias("category"),
-                s["start"].alias("start"),
-                s["end"].alias("end"),
+                start.alias("start"),
+                end.alias("end"),
                 F.lit(float(confidence)).alias("confidence"),
                 F.lit(source).alias("source"),
                 F.lit(rank).alias("priority"),
             ),
+            SPAN_TYPE,
         )
 
     patterns = list(patterns)
@@ -109,14 +122,17 @@ def with_text(text: Column, spans: Column) -> Column:
 
 def in_order(spans: Column, descending: bool = False) -> Column:
     """Spans by start; those with an equal start keep their order."""
-    keyed = F.transform(
-        spans, lambda s, i: F.struct(s["start"].alias("k"), i.alias("i"), s.alias("s"))
-    )
-    if descending:
-        keyed = F.transform(
-            keyed, lambda x: F.struct((-x["k"]).alias("k"), x["i"].alias("i"), x["s"].alias("s"))
-        )
-    return F.transform(F.array_sort(keyed), lambda x: x["s"])
+
+    def ordered(spans: Column) -> Column:
+        # Start and place as one number: numbers are sorted without a comparison function.
+        def key(s: Column, i: Column) -> Column:
+            start = -s["start"] if descending else s["start"]
+            return F.shiftleft(F.coalesce(start, F.lit(_FIRST)).cast("long"), 32) + i
+
+        keys = F.sort_array(F.transform(spans, key))
+        return F.transform(keys, lambda k: F.get(spans, k.bitwiseAND(F.lit(_PLACE)).cast("int")))
+
+    return let(spans, ordered)
 
 
 def only(spans: Column, categories: Iterable[str]) -> Column:
@@ -136,6 +152,9 @@ def merge(spans: Column) -> Column:
     """
 
     def merged(ordered: Column) -> Column:
+        # Where span i of the order starts behind all ends before it, and there only, those
+        # are the i smallest ends. Sorted ends then say both where an island begins and
+        # how far the one before it reaches.
         def islands(reach: Column) -> Column:
             firsts = F.filter(
                 indices(F.size(ordered)),
@@ -145,24 +164,24 @@ def merge(spans: Column) -> Column:
             def close(first: Column) -> Column:
                 def one(i: Column, n: Column) -> Column:
                     stop = F.coalesce(F.get(first, n + 1), F.size(ordered))
-                    best = F.array_max(
-                        F.transform(
-                            F.slice(ordered, i + 1, stop - i),
-                            lambda s, j: F.struct(s["confidence"].alias("c"), (-j).alias("j")),
+
+                    def united(stop: Column) -> Column:
+                        sure = F.transform(F.slice(ordered, i + 1, stop - i), lambda s: s["confidence"])
+                        best = let(sure, lambda c: F.coalesce(F.array_position(c, F.array_max(c)), F.lit(1)).cast("int"))
+                        return let(
+                            F.get(ordered, F.when(stop - i == 1, i).otherwise(i + best - 1)),
+                            lambda s: s.withField("start", F.get(ordered, i)["start"]).withField(
+                                "end", F.get(reach, stop - 1)
+                            ),
                         )
-                    )
-                    return let(
-                        F.get(ordered, i - best["j"]),
-                        lambda s: s.withField("start", F.get(ordered, i)["start"]).withField(
-                            "end", F.get(reach, stop - 1)
-                        ),
-                    )
+
+                    return let(stop, united)
 
                 return F.transform(first, one)
 
             return let(firsts, close)
 
-        return let(prefix_max(F.transform(ordered, lambda s: s["end"])), islands)
+        return let(F.sort_array(F.transform(ordered, lambda s: s["end"])), islands)
 
     return let(spans, lambda s: F.when(F.size(s) > 1, let(in_order(s), merged)).otherwise(s))
 
@@ -190,17 +209,34 @@ def fallback(first: Column, second: Column) -> Column:
     return F.when(F.size(first) > 0, first).otherwise(second)
 
 
+def _cuts(text: Column, bits: int) -> Column:
+    """``text`` in pieces of 2**bits characters; one empty piece of an empty text."""
+    return F.transform(
+        F.sequence(F.lit(0), F.shiftright(F.greatest(F.length(text) - 1, F.lit(0)), bits)),
+        lambda b: F.substring(text, b * (1 << bits) + 1, F.lit(1 << bits)),
+    )
+
+
+def _blocks(text: Column) -> Column:
+    """``text`` in blocks. They are cut from longer parts: a block of a long text costs
+    what leads to it."""
+    return F.flatten(F.transform(_cuts(text, _PART_BITS), lambda part: _cuts(part, _BLOCK_BITS)))
+
+
 def _cutter(text: Column, blocks: Column) -> Callable[[Column, Column], Column]:
     # Cutting from a block is O(block), cutting from a long text O(position).
     def cut(start: Column, end: Column) -> Column:
-        low = F.floor(start / _BLOCK_CHARS).cast("int")
-        high = F.floor((end - 1) / _BLOCK_CHARS).cast("int")
-        near = F.array_join(F.slice(blocks, low + 1, high - low + 1), "")
-        piece = F.substring(near, start - low * _BLOCK_CHARS + 1, end - start)
+        def from_block(low: Column) -> Column:
+            high = F.shiftright(end - 1, _BLOCK_BITS)
+            near = F.when(high == low, F.get(blocks, low)).otherwise(
+                F.array_join(F.slice(blocks, low + 1, high - low + 1), "")
+            )
+            return F.substring(near, start - low * _BLOCK_CHARS + 1, end - start)
+
         return (
             F.when(end <= start, F.lit(""))
             .when(F.size(blocks) == 1, F.substring(text, start + 1, end - start))
-            .otherwise(piece)
+            .otherwise(let(F.shiftright(start, _BLOCK_BITS), from_block))
         )
 
     return cut
@@ -215,18 +251,18 @@ def splice(text: Column, spans: Column, replacement: Callable[[Column, Column],
     def build(blocks: Column) -> Column:
         cut = _cutter(text, blocks)
 
-        def pieces(s: Column, i: Column) -> Column:
-            before = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
-            return F.concat(cut(before, s["start"]), replacement(s, cut(s["start"], s["end"])))
+        def between(behind: Column) -> Column:
+            def pieces(s: Column, i: Column) -> Column:
+                return F.concat(cut(F.get(behind, i), s["start"]), replacement(s, cut(s["start"], s["end"])))
+
+            return F.array_join(F.transform(spans, pieces), "")
 
+        # what stands before a span begins behind the one before it
+        behind = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
         tail = cut(F.element_at(spans, F.lit(-1))["end"], F.length(text))
-        return F.concat(F.array_join(F.transform(spans, pieces), ""), tail)
+        return F.concat(let(behind, between), tail)
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / _BLOCK_CHARS).cast("int")),
-        lambda b: F.substring(text, b * _BLOCK_CHARS + 1, F.lit(_BLOCK_CHARS)),
-    )
-    return F.when(F.size(spans) > 0, let(blocks, build)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(_blocks(text), build)).otherwise(text)
 
 
 def is_basic(category: Column) -> Column:
