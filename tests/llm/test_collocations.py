@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import HAS_DATA, SF
@@ -81,6 +82,88 @@ def test_equals_brute_force(spark, monkeypatch, limits):
     assert not limits or mined(spark, rows, least=8, top=5, **limits) == brute_force(rows, least=8, top=5)
 
 
+@pytest.mark.parametrize(("limits", "tries"), [({}, 1), ({"phrases": 40}, 2)])
+def test_one_pass_over_the_streams_a_level(spark, monkeypatch, limits, tries):
+    """Counts of a level and phrases of the next come from one run of its tries."""
+    written, levels = [], []
+    monkeypatch.setattr(co, "cut", lambda df, name, cut=co.cut: written.append(name) or cut(df, name))
+    monkeypatch.setattr(co, "_tries", lambda *a, own=co._tries: levels.append(own(*a)) or levels[-1])
+    rows = texts(4)
+    assert mined(spark, rows, least=8, **limits) == brute_force(rows, least=8)
+    assert [written.count(x) for x in ("words", "vocabulary", "streams", "counts")] == [1] * 4
+    assert len(written) - 4 == 1 + sum(len(x) for x, _ in levels) and len(levels) == co.LONGEST - 1
+    assert max(len(x) for x, _ in levels) >= tries and (limits or len(written) - 4 == co.LONGEST)
+    assert all((ends is not None) == (len(x) > 1 and length < co.LONGEST) for length, (x, ends) in enumerate(levels, 2))
+
+
+def test_four_passes_for_phrases_of_four_words(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(co, "cut", lambda df, name, cut=co.cut: written.append(name) or cut(df, name))
+    mined(spark, texts(5), least=8)
+    assert len([x for x in written if x not in ("words", "vocabulary", "streams", "counts")]) == 4
+
+
+def test_tries_of_a_large_level(spark):
+    n = 300_000
+    pairs = np.column_stack([np.arange(n) % 700, np.arange(n) // 7 * 31 % 90_000]).astype(np.int32)
+    pairs = np.unique(pairs, axis=0)
+    n, known = len(pairs), set(map(tuple, pairs.tolist()))
+    candidates = spark.createDataFrame(pa.table({"w": pa.FixedSizeListArray.from_arrays(pairs.ravel(), 2).cast(pa.list_(pa.int32()))}))
+    one, ends = co._tries(spark, candidates, 2, co.PHRASES)
+    assert [k for _, k in one] == [n] and ends is None
+    trie = one[0][0].value
+    assert trie.base.nbytes + trie.check.nbytes < 64 * n
+    several, ends = co._tries(spark, candidates, 2, n)
+    assert len(several) == 2 and sum(k for _, k in several) == n and max(k for _, k in several) < 0.7 * n
+    ids = np.random.default_rng(2).permutation(np.append(pairs[:50_000].ravel(), -np.ones(5000, np.int32)))
+    want = {i for i, p in enumerate(zip(ids[:-1].tolist(), ids[1:].tolist(), strict=True)) if p in known}
+    found = [set(t.value.run(ids)[0].tolist()) for t, _ in several]
+    assert found[0] | found[1] == want == set(trie.run(ids)[0].tolist()) and not found[0] & found[1]
+    assert ends.value.has(pairs.ravel(), np.arange(0, 2 * n, 2), 2).all()
+    other = np.arange(200_000, 400_000, dtype=np.int32)
+    assert ends.value.has(other, np.arange(len(other) - 1), 2).mean() < 0.1
+
+
+def test_filter_leaves_out_what_follows_no_phrase(spark):
+    """Of several tries, none knows all phrases; yet rare words after a frequent pair make no candidates."""
+    ids = [x for i in range(2000) for x in (-1, 1, 2, 100 + i)] + [-1, 1, 2, 6, -1, 4, 1, 2] * 50
+    found = spark.createDataFrame([(ids,)], "ids array<int>")
+    pairs = spark.createDataFrame([([1, 2],), ([2, 6],), ([4, 1],)], "w array<int>")
+    tries, ends = co._tries(spark, pairs, 2, 3)
+    got = {}
+    for trie, heads in tries:
+        for r in co._level(found, trie, heads, ends, 2, 1, 3000).collect():
+            got[tuple(r["w"])] = got.get(tuple(r["w"]), 0) + r["a"]
+    assert len(tries) > 1 and {w: got.pop(w, None) for w in ((1, 2), (2, 6), (4, 1), (1, 2, 6), (4, 1, 2))} == {(1, 2): 2100, (2, 6): 50, (4, 1): 50, (1, 2, 6): 50, (4, 1, 2): 50}
+    assert len(got) < 200 and all(w[:2] == (1, 2) and a == 1 for w, a in got.items())
+
+
+@pytest.mark.parametrize("size", [3, 1 << 20, (1 << 45) + 12345, 1 << 63])
+def test_keys_are_dealt_out_and_back(size):
+    rng = np.random.default_rng(size % 97)
+    own = np.unique(np.append(rng.integers(0, size, 40_000, np.uint64), np.array([0, size - 1], np.uint64)))
+    keys = rng.permutation(np.concatenate([own, own[: len(own) // 2], np.repeat(own[:1], 300)]))
+    numbers, got, parts = co.Keys(size), Counter(), Counter()
+    for r in numbers.rows(keys).to_pylist():
+        rest = np.frombuffer(r["keys"], numbers.kind)
+        got.update(dict(zip(numbers.plain(r["part"], rest).tolist(), co._numbers(r["n"], len(rest)).tolist(), strict=True)))
+        parts[r["part"]] += len(rest)
+    assert got == Counter(keys.tolist()) and max(parts) < 1 << co.PART_BITS
+    assert size < 1000 or len(parts) == 1 << co.PART_BITS and max(parts.values()) < 120
+
+
+@pytest.mark.parametrize("n", [1, 2, 1000, 70_000])
+def test_words_are_found_by_digests(n):
+    rng = np.random.default_rng(n)
+    top = ~np.uint64(0)
+    own = np.unique(np.append(rng.integers(1, top, n - 1, np.uint64), top if n > 2 else np.uint64(9)))
+    numbers = rng.permutation(len(own)).astype(np.int32)
+    asked = np.concatenate([own, own + np.uint64(1), rng.integers(0, top, 5000, np.uint64), np.array([0, 1, top], np.uint64)])
+    hit, found = co.Vocabulary(own[::-1], numbers[::-1]).find(asked)
+    number = dict(zip(own.tolist(), numbers.tolist(), strict=True))
+    assert dict(zip(hit.tolist(), found.tolist(), strict=True)) == {i: number[x] for i, x in enumerate(asked.tolist()) if x in number}
+
+
 def test_odd_texts(spark):
     rows = [(None, "en"), ("", "en"), (" .,;\n", None), ("a b", None)] * 40 + [("x " * 100_000 + "y" * 2_000_000 + " x x", "en"), ("A\tb", "de")]
     rows += [("a b.c d", "fr")] * 30 + [("a b", "")] * 31
